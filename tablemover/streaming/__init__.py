@@ -1,0 +1,6 @@
+"""Nothing here on purpose.
+
+The reference moves whole tables in batch jobs and has no streaming operator
+(no watermark, window, state or late data), so none is built.  A load or an
+extract is one batch job; run it again to move the table again.
+"""
