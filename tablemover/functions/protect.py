@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import os
 import stat
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,7 +119,12 @@ def _encrypt_v2(df: DataFrame, columns, passphrase: str, empty: str) -> DataFram
     # One row, so its size is bounded; joined by salt, the key is in no plan text.
     keys = spark.createDataFrame([(salt_text, pbkdf2_key(passphrase, salt))],
                                  "_tm_salt string, _tm_key binary")
-    work = df.withColumn("_tm_salt", F.lit(salt_text)).join(F.broadcast(keys), "_tm_salt", "left")
+    # Only values that get sealed ask for the key.  The join key depends on the
+    # row, so it stays a broadcast hash join (a constant key would be folded
+    # into a nested-loop join).
+    needs_key = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
+    work = (df.withColumn("_tm_salt", F.when(needs_key, F.lit(salt_text)))
+              .join(F.broadcast(keys), "_tm_salt", "left"))
     out = {}
     for name in columns:
         plain = F.col(name).cast("string")

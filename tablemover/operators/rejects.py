@@ -10,9 +10,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,18 +63,15 @@ def conversion_split(df: DataFrame, target: T.StructType) -> tuple[DataFrame, Da
     return good, rejects
 
 
-def _null_safe_equal(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
-
-
-def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
-                    ) -> tuple[DataFrame, DataFrame]:
+def duplicate_split(df: DataFrame, key_columns) -> tuple[DataFrame, DataFrame]:
     """(one row per key, all other rows).
 
-    Skew-safe: every shuffle is either a partial (map-side) aggregate or is
-    keyed by the whole row, so a hot key never lands in one task; the copies of
-    a row repeated very often are produced by many tasks (``replicate_rows``).
-    ``stage_path`` writes the distinct rows once so both outputs reuse them.
+    The row that stays is the least by the other columns.  No join and no
+    window: the kept rows come from a partial (map-side) aggregate by key, and
+    the rejects from the multiset difference ``all rows - kept rows``, summed by
+    whole row, again with a map-side partial aggregate.  A hot key or a row
+    repeated very often is reduced before any shuffle; the copies of such a row
+    are then produced by many tasks (``replicate_rows``).
     """
     key = list(key_columns)
     cols = df.columns
@@ -84,28 +79,15 @@ def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
     if missing:
         raise ValueError(f"Key columns {missing} are not in the rows.")
     others = [c for c in cols if c not in key]
-
-    # distinct rows and how often each occurs (partial aggregation)
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    if stage_path:
-        from ..workspace import stage
-        counted = stage(counted, stage_path)
-
-    # the row that stays: least by the other columns (partial aggregation)
     if others:
-        least = counted.groupBy(*key).agg(F.min(F.struct(*others)).alias("_m"))
+        least = df.groupBy(*key).agg(F.min(F.struct(*others)).alias("_m"))
         kept = least.select(*key, *[F.col("_m").getField(c).alias(c) for c in others]).select(*cols)
     else:
-        kept = counted.select(*key)
-
-    # rejects: each distinct row, minus the one kept copy; joined on the whole row
-    marks = kept.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(cols)],
-                        F.lit(1).alias("_kept"))
-    cond = _null_safe_equal(counted, marks, [(c, f"_k_{i}") for i, c in enumerate(cols)])
-    surplus = (counted.join(marks, cond, "left")
-                      .select(*[counted[c] for c in cols],
-                              (F.col("_n") - F.coalesce(F.col("_kept"), F.lit(0))).alias("_r"))
-                      .where(F.col("_r") > 0))
+        kept = df.select(*key).distinct()
+    weighted = (df.select(*cols, F.lit(1).cast("long").alias("_w"))
+                  .unionByName(kept.select(*cols, F.lit(-1).cast("long").alias("_w"))))
+    surplus = (weighted.groupBy(*cols).agg(F.sum("_w").alias("_r"))
+                       .where(F.col("_r") > 0))
     return kept, replicate_rows(surplus, "_r")
 
 

@@ -1,8 +1,8 @@
 """Expand ``(row, n)`` into ``n`` copies of the row without a hot task.
 
-A row whose count is small is expanded in place.  A row with a huge count (one
-value may hold a third of a table) is first cut into chunks; the chunks are
-hash-partitioned on (row, chunk id), so its copies are produced by many tasks.
+A row with a huge count (one value may hold a third of a table) is cut into
+chunks; the chunks are hash-partitioned on (row, chunk id), so its copies are
+produced by many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -18,19 +18,15 @@ def _seq_to(n: Column) -> Column:
 
 
 def replicate_rows(df: DataFrame, count_column: str, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """One pass: cut each count into chunks of at most ``chunk_rows`` copies,
+    spread the chunks by (row, chunk id), then expand each chunk in place."""
     cols = [c for c in df.columns if c != count_column]
-    n = F.col(count_column)
-    small = (df.where(n <= chunk_rows)
-               .select(*cols, F.explode(_seq_to(n)).alias("_copy"))
-               .drop("_copy"))
-    chunk = F.col("_chunk")
-    big = (df.where(n > chunk_rows)
-             .select(*cols, n.alias("_n"),
-                     F.explode(F.sequence(F.lit(0).cast("long"),
-                                          ((n - 1) / chunk_rows).cast("long"))).alias("_chunk"))
-             .withColumn("_in_chunk", F.least(F.lit(chunk_rows).cast("long"),
-                                              F.col("_n") - chunk * chunk_rows))
-             .repartition(*cols, "_chunk")
-             .select(*cols, F.explode(_seq_to(F.col("_in_chunk"))).alias("_copy"))
-             .drop("_copy"))
-    return small.unionByName(big)
+    n = F.col(count_column).cast("long")
+    last_chunk = F.floor((n - 1) / chunk_rows).cast("long")
+    return (df.select(*cols, n.alias("_n"),
+                      F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
+              .withColumn("_in_chunk", F.least(F.lit(chunk_rows).cast("long"),
+                                               F.col("_n") - F.col("_chunk") * chunk_rows))
+              .repartition(*cols, "_chunk")
+              .select(*cols, F.explode(_seq_to(F.col("_in_chunk"))).alias("_copy"))
+              .drop("_copy"))

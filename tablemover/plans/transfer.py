@@ -23,7 +23,6 @@ from ..sources.files import read_files
 from ..sources.tables import read_catalog_table, read_query, read_table_split
 from ..spec import Direction, TableName, TransferSpec
 from ..warehouse import CatalogWarehouse, JdbcWarehouse
-from ..workspace import new_run_dir
 
 
 @dataclass
@@ -73,8 +72,7 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     dropped = prepare_reject_tables(wh, (err_1, err_2), drop=spec.drop_error_tables)
     written = [err_1.qualified()]
     if spec.key_columns:
-        stage_path = f"{new_run_dir(spark, 'dedup')}/distinct" if wh.kind == "catalog" else None
-        kept, duplicate_rejects = duplicate_split(good, spec.key_columns, stage_path=stage_path)
+        kept, duplicate_rejects = duplicate_split(good, spec.key_columns)
         wh.create(conversion_rejects, err_1)
         wh.create(duplicate_rejects, err_2)
         written.append(err_2.qualified())
