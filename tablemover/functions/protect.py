@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.spread import spread
 from .kdf import PBKDF2_ROUNDS, pbkdf2_key, pbkdf2_key_udf, pkcs12_key_iv_udf
 
 # Fixed values of the envelope format.
@@ -137,6 +138,7 @@ def _encrypt_v2(df: DataFrame, columns, passphrase: str, empty: str) -> DataFram
 
 def _encrypt_v11(df: DataFrame, columns, passphrase: str, empty: str) -> DataFrame:
     derive = pkcs12_key_iv_udf(passphrase)
+    df = spread(df, df.sparkSession.sparkContext.defaultParallelism)
     salts = {name: F.unhex(F.regexp_replace(F.expr("uuid()"), "-", "")) for name in columns}
     work = df.withColumns({f"_tm_salt_{i}": salts[name] for i, name in enumerate(columns)})
     work = work.withColumns({f"_tm_kiv_{i}": derive(F.when(F.col(name).isNotNull() & (F.col(name).cast("string") != ""),
@@ -186,14 +188,20 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
         work = work.withColumns({f"_tm_ver_{i}": ver, f"_tm_val_{i}": F.try_to_binary(val, F.lit("base64")),
                                  f"_tm_salt_{i}": F.when(ver == VERSION_2_0, salt)})
 
-    # 2.0 keys: one per job salt.  Broadcast when the distinct salts are few
-    # (counted first, so the broadcast size is checked), else derive in tasks.
-    salt_cols = [F.col(f"_tm_salt_{i}") for i in range(len(columns))]
-    distinct = (work.select(F.explode(F.array(*salt_cols)).alias("s")).where(F.col("s").isNotNull())
-                    .distinct().limit(max_broadcast_salts + 1).collect())
-    salts = [r[0] for r in distinct]
+    # One light pass over the envelopes (only their columns are read): which
+    # versions occur, and the distinct 2.0 job salts, at most a bound of them.
+    seen = (work.select(F.explode(F.array(*[
+                F.struct(F.col(f"_tm_ver_{i}").alias("ver"), F.col(f"_tm_salt_{i}").alias("salt"))
+                for i in range(len(columns))])).alias("e"))
+                .select("e.*").where(F.col("ver").isin(VERSION_1_1, VERSION_2_0))
+                .distinct().limit(max_broadcast_salts + 2).collect())
+    salts = sorted({r["salt"] for r in seen if r["salt"] is not None})
+    has_v11 = any(r["ver"] == VERSION_1_1 for r in seen) or len(seen) > max_broadcast_salts + 1
+
+    # 2.0 keys: one per job salt.  With the salts counted, the key table's size
+    # is bounded and it is broadcast; past the bound, keys are derived in tasks.
     if len(salts) <= max_broadcast_salts:
-        rows = [(s, pbkdf2_key(passphrase, base64.b64decode(s))) for s in salts]
+        rows = [(x, pbkdf2_key(passphrase, base64.b64decode(x))) for x in salts]
         keys = spark.createDataFrame(rows, "s string, k binary")
         for i in range(len(columns)):
             k = F.broadcast(keys.select(F.col("s").alias(f"_tm_ks_{i}"), F.col("k").alias(f"_tm_key_{i}")))
@@ -202,12 +210,19 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
         derive = pbkdf2_key_udf(passphrase, PBKDF2_ROUNDS)
         work = work.withColumns({f"_tm_key_{i}": derive(F.col(f"_tm_salt_{i}")) for i in range(len(columns))})
 
-    # 1.1 key and IV: one per value's salt, derived in an Arrow UDF.
-    derive_11 = pkcs12_key_iv_udf(passphrase)
-    work = work.withColumns({
-        f"_tm_kiv_{i}": derive_11(F.when(F.col(f"_tm_ver_{i}") == VERSION_1_1,
-                                         F.substring(F.col(f"_tm_val_{i}"), 1, SALT_BYTES)))
-        for i in range(len(columns))})
+    # 1.1 key and IV: one per value's salt, derived in an Arrow UDF (CPU-bound,
+    # so a small input is spread over the cores first).  Skipped when no 1.1
+    # value exists: then the plan has no Python at all.
+    if has_v11:
+        derive_11 = pkcs12_key_iv_udf(passphrase)
+        work = spread(work, spark.sparkContext.defaultParallelism)
+        work = work.withColumns({
+            f"_tm_kiv_{i}": derive_11(F.when(F.col(f"_tm_ver_{i}") == VERSION_1_1,
+                                             F.substring(F.col(f"_tm_val_{i}"), 1, SALT_BYTES)))
+            for i in range(len(columns))})
+    else:
+        work = work.withColumns({f"_tm_kiv_{i}": F.lit(None).cast("struct<key:binary,iv:binary>")
+                                 for i in range(len(columns))})
 
     decrypt = F.try_aes_decrypt if on_error == "null" else F.aes_decrypt
     out = {}

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.spread import spread
 from ..operators.rejects import conversion_split, duplicate_split, prepare_reject_tables
 from ..sinks.files import extract_files
 from ..sinks.tables import load_table, replace_target
@@ -66,6 +67,7 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
         raise ValueError(f"Target table {target.qualified()} does not exist; create it first.")
     schema = wh.schema(target)
     rows = source if source is not None else load_source(spark, spec, schema)
+    rows = spread(rows, spec.writers)
 
     good, conversion_rejects = conversion_split(rows, schema)
     err_1, err_2 = spec.error_tables
