@@ -1,3 +1,3 @@
-from .transfer import LoadReport, extract, load, warehouse_for
+from .transfer import LoadReport, decrypt_value, extract, load, spec_from_properties, warehouse_for
 
-__all__ = ["LoadReport", "extract", "load", "warehouse_for"]
+__all__ = ["LoadReport", "decrypt_value", "extract", "load", "spec_from_properties", "warehouse_for"]

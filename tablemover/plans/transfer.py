@@ -22,7 +22,8 @@ from ..sinks.files import extract_files
 from ..sinks.tables import load_table, replace_target
 from ..sources.files import read_files
 from ..sources.tables import read_catalog_table, read_query, read_table_split
-from ..spec import Direction, TableName, TransferSpec
+from ..functions.protect import decrypt_columns, read_passphrase
+from ..spec import CRYPTO_KEY_PATH_KEY, ENCRYPTED_CREDENTIAL_KEY, Direction, TableName, TransferSpec
 from ..warehouse import CatalogWarehouse, JdbcWarehouse
 
 
@@ -34,6 +35,24 @@ class LoadReport:
     error_tables: tuple[str, ...] = ()
 
 
+def decrypt_value(spark: SparkSession, envelope: str, key_path: str) -> str:
+    """Open one secret (a connection password) with the pass phrase of a
+    0400 key file; both stay on the driver and out of every plan."""
+    passphrase = read_passphrase(key_path, spark)
+    row = decrypt_columns(spark.createDataFrame([(envelope,)], "v string"), ["v"], passphrase).first()
+    if row is None or row[0] is None:
+        raise ValueError("Was not able to decrypt")
+    return row[0]
+
+
+def spec_from_properties(spark: SparkSession, props, **overrides) -> TransferSpec:
+    """Job properties to a spec; an encrypted password is opened only when both
+    the envelope and the key file path are given."""
+    envelope, key_path = props.get(ENCRYPTED_CREDENTIAL_KEY), props.get(CRYPTO_KEY_PATH_KEY)
+    password = decrypt_value(spark, envelope, key_path) if envelope and key_path else None
+    return TransferSpec.from_properties(props, password=password, **overrides)
+
+
 def warehouse_for(spark: SparkSession, spec: TransferSpec):
     if spec.warehouse == "catalog":
         return CatalogWarehouse(spark)

@@ -55,11 +55,12 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
 
 
 def avro_available(spark: SparkSession) -> bool:
+    """Whether the ``avro`` data source resolves (the module is external)."""
     try:
-        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
-        return True
-    except Exception:
-        return False
+        spark.read.format("avro").schema("a int").load("/nonexistent/tablemover-avro-probe")
+    except Exception as exc:  # a missing path is fine; a missing source is not
+        return "Failed to find data source" not in str(exc)
+    return True
 
 
 def read_avro_schema_file(spark: SparkSession, schema_path: str) -> str:

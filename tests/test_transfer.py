@@ -84,3 +84,27 @@ def test_jdbc_options_and_split_predicates(spark):
         wh.write_options(TableName("t"), 8, insert_method="internal.fastload")
     with pytest.raises(ValueError, match="password"):
         JdbcWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="")
+
+
+def test_encrypted_password_from_properties(spark, tmp_path):
+    import os
+    from tablemover.plans.transfer import spec_from_properties
+    from test_protect import VECTOR_1_1
+    key = tmp_path / "key"
+    key.write_text("test1234\n")
+    os.chmod(key, 0o400)
+    props = {"td.hostname": "h", "td.userid": "u", "target.td.tablename": "db.t",
+             "source.hdfs.path": "/in", "hdfs.fileformat": "orcfile",
+             "td.encrypted.credential": VECTOR_1_1, "td.crypto.key.path": str(key)}
+    spec = spec_from_properties(spark, props, driver="d")
+    assert spec.password == "test" and "'test'" not in repr(spec)
+
+
+def test_avro_without_module_is_a_clear_error(spark, tmp_path):
+    from tablemover.sources.files import avro_available, read_avro
+    if avro_available(spark):
+        pytest.skip("Avro module present")
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        read_avro(spark, str(tmp_path), schema_inline='{"type": "record", "name": "r", "fields": []}')
+    with pytest.raises(ValueError, match="exactly one"):
+        read_avro(spark, str(tmp_path), schema_inline="{}", schema_path="/s.avsc")
