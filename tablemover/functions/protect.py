@@ -137,29 +137,26 @@ def _encrypt_v2(df: DataFrame, columns, passphrase: str, empty: str) -> DataFram
 
 
 def _encrypt_v11(df: DataFrame, columns, passphrase: str, empty: str) -> DataFrame:
+    """Per value: a random 16-byte salt, key and IV derived from it (Arrow UDF,
+    once per salt), then native AES-CBC.  Spark puts the IV in front of the
+    ciphertext; the envelope wants the salt there instead."""
     derive = pkcs12_key_iv_udf(passphrase)
-    df = spread(df, df.sparkSession.sparkContext.defaultParallelism)
-    salts = {name: F.unhex(F.regexp_replace(F.expr("uuid()"), "-", "")) for name in columns}
-    work = df.withColumns({f"_tm_salt_{i}": salts[name] for i, name in enumerate(columns)})
-    work = work.withColumns({f"_tm_kiv_{i}": derive(F.when(F.col(name).isNotNull() & (F.col(name).cast("string") != ""),
-                                                           F.col(f"_tm_salt_{i}")))
-                             for i, name in enumerate(columns)})
-    out = {}
-    for i, name in enumerate(columns):
-        kiv, salt = F.col(f"_tm_kiv_{i}"), F.col(f"_tm_salt_{i}")
-        sealed = F.aes_encrypt(F.col(name).cast("string").cast("binary"), kiv.getField("key"),
-                               F.lit("CBC"), F.lit("PKCS"), kiv.getField("iv"))
-        # Spark puts the IV in front of the ciphertext; the envelope wants the salt there.
-        payload = F.concat(salt, F.expr(f"substring(`_tm_sealed_{i}`, {SALT_BYTES + 1})"))
-        out[f"_tm_sealed_{i}"] = sealed
-        out[f"_tm_payload_{i}"] = payload
-    work = work.withColumns({k: v for k, v in out.items() if k.startswith("_tm_sealed_")})
-    work = work.withColumns({k: v for k, v in out.items() if k.startswith("_tm_payload_")})
+    work = spread(df, df.sparkSession.sparkContext.defaultParallelism)
+    salt_of = {name: f"_tm_salt_{i}" for i, name in enumerate(columns)}
+    kiv_of = {name: f"_tm_kiv_{i}" for i, name in enumerate(columns)}
+    # the salt is drawn once, in its own column, so every use sees the same bytes
+    work = work.withColumns({salt_of[c]: F.unhex(F.regexp_replace(F.expr("uuid()"), "-", ""))
+                             for c in columns})
+    work = work.withColumns({kiv_of[c]: derive(F.when(F.col(c).isNotNull(), F.col(salt_of[c])))
+                             for c in columns})
     final = {}
-    for i, name in enumerate(columns):
-        envelope = F.to_json(F.struct(F.lit(VERSION_1_1).alias("ver"),
-                                      _b64(F.col(f"_tm_payload_{i}")).alias("val")))
-        final[name] = _refuse_empty(F.col(name), _b64(envelope.cast("binary")), empty)
+    for c in columns:
+        kiv = F.col(kiv_of[c])
+        sealed = F.aes_encrypt(F.col(c).cast("string").cast("binary"), kiv.getField("key"),
+                               F.lit("CBC"), F.lit("PKCS"), kiv.getField("iv"))
+        payload = F.concat(F.col(salt_of[c]), F.substring(sealed, SALT_BYTES + 1, 1 << 30))
+        envelope = F.to_json(F.struct(F.lit(VERSION_1_1).alias("ver"), _b64(payload).alias("val")))
+        final[c] = _refuse_empty(F.col(c), _b64(envelope.cast("binary")), empty)
     return work.withColumns(final).select(*df.columns)
 
 
@@ -228,7 +225,7 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     out = {}
     for i, name in enumerate(columns):
         ver, val, kiv = F.col(f"_tm_ver_{i}"), F.col(f"_tm_val_{i}"), F.col(f"_tm_kiv_{i}")
-        body = F.expr(f"substring(`_tm_val_{i}`, {SALT_BYTES + 1})")
+        body = F.substring(val, SALT_BYTES + 1, 1 << 30)
         v11 = decrypt(F.concat(kiv.getField("iv"), body), kiv.getField("key"), F.lit("CBC"), F.lit("PKCS"))
         v20 = decrypt(val, F.col(f"_tm_key_{i}"), F.lit("GCM"))
         if on_error == "raise":

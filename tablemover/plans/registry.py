@@ -102,6 +102,14 @@ def extract_delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_text(spark, path, _table(spark, db, "documents").schema)
 
 
+def extract_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw web pages (quotes, commas, line breaks) to comma-separated text and back."""
+    db = source_database(spark, sf_dir, ["pages"])
+    path = f"{new_run_dir(spark, 'extract')}/pages"
+    extract(spark, catalog_spec(source_table=f"{db}.pages", target_path=path, file_format="textfile"))
+    return spark.read.schema(_table(spark, db, "pages").schema).options(**text_read_options(None)).csv(path)
+
+
 # -- loads (F1, F2; S2, S3, S4, K1, K2) ------------------------------------------
 def _files_from(spark, sf_dir, table, fmt) -> tuple[str, T.StructType]:
     """Files Spark derives from a given table: the input of a file load."""
@@ -120,6 +128,16 @@ def load_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, db, "customer")
 
 
+def load_delimited_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-second timestamps and JSON text through delimited files."""
+    path, schema = _files_from(spark, sf_dir, "events", "textfile")
+    db = new_database(spark, "wh")
+    create_table(spark, db, "events", schema)
+    load(spark, catalog_spec(source_path=path, file_format="textfile", separator=SEP,
+                             target_table=f"{db}.events", key_columns=("event_id",)))
+    return _table(spark, db, "events")
+
+
 def load_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = _files_from(spark, sf_dir, "part", "orcfile")
     db = new_database(spark, "wh")
@@ -199,6 +217,14 @@ def encrypt_decrypt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decrypt_columns(at_rest, ["c_name", "c_mktsegment"], PASSPHRASE)
 
 
+def encrypt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents (up to tens of thousands of words) sealed and opened."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    at_rest = stage(encrypt_columns(documents, ["text"], PASSPHRASE),
+                    f"{new_run_dir(spark, 'protect')}/documents")
+    return decrypt_columns(at_rest, ["text"], PASSPHRASE)
+
+
 def decrypt_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
     mixed = (encrypt_columns(customer, ["c_name"], PASSPHRASE, version="1.1")
@@ -217,7 +243,9 @@ QUERIES = {
     "extract_query": extract_query,
     "overwrite_extract": overwrite_extract,
     "extract_delimited_text": extract_delimited_text,
+    "extract_pages_text": extract_pages_text,
     "load_delimited": load_delimited,
+    "load_delimited_events": load_delimited_events,
     "load_orc": load_orc,
     "load_catalog_table": load_catalog_table,
     "replace_target": replace_target,
@@ -226,6 +254,7 @@ QUERIES = {
     "dedup_target": dedup_target,
     "reject_tables": reject_tables,
     "encrypt_decrypt": encrypt_decrypt,
+    "encrypt_documents": encrypt_documents,
     "decrypt_mixed_versions": decrypt_mixed_versions,
     "mask_columns": mask_columns_query,
 }
@@ -244,6 +273,9 @@ ORACLE_SQL = {
     "extract_query": REVENUE_SQL.format(db=""),
     "overwrite_extract": "SELECT * FROM customer",
     "extract_delimited_text": "SELECT * FROM documents",
+    "extract_pages_text": "SELECT * FROM pages",
+    "load_delimited_events": "SELECT * FROM events",
+    "encrypt_documents": "SELECT * FROM documents",
     "load_delimited": "SELECT * FROM customer",
     "load_orc": "SELECT * FROM part",
     "load_catalog_table": "SELECT * FROM supplier",

@@ -12,16 +12,11 @@ Two kinds share one small interface:
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from .spec import TableName, merge_options
 
-log = logging.getLogger(__name__)
-
-
 def _quote(part: str) -> str:
     return "`" + part.replace("`", "``") + "`"
 
