@@ -49,8 +49,9 @@ def create_table(spark: SparkSession, db: str, name: str, schema: T.StructType)
     return table
 
 
-def read_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**text_read_options(SEP)).csv(path)
+def read_text(spark: SparkSession, path: str, schema: T.StructType, *,
+              multiline: bool = False) -> DataFrame:
+    return spark.read.schema(schema).options(**text_read_options(SEP, multiline=multiline)).csv(path)
 
 
 def catalog_spec(**kw) -> TransferSpec:
@@ -99,7 +100,7 @@ def extract_delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{new_run_dir(spark, 'extract')}/documents"
     extract(spark, catalog_spec(source_table=f"{db}.documents", target_path=path,
                                 file_format="textfile", separator=SEP))
-    return read_text(spark, path, _table(spark, db, "documents").schema)
+    return read_text(spark, path, _table(spark, db, "documents").schema, multiline=True)
 
 
 def extract_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +108,8 @@ def extract_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = source_database(spark, sf_dir, ["pages"])
     path = f"{new_run_dir(spark, 'extract')}/pages"
     extract(spark, catalog_spec(source_table=f"{db}.pages", target_path=path, file_format="textfile"))
-    return spark.read.schema(_table(spark, db, "pages").schema).options(**text_read_options(None)).csv(path)
+    return spark.read.schema(_table(spark, db, "pages").schema).options(
+        **text_read_options(None, multiline=True)).csv(path)
 
 
 # -- loads (F1, F2; S2, S3, S4, K1, K2) ------------------------------------------
@@ -138,6 +140,16 @@ def load_delimited_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, db, "events")
 
 
+def load_delimited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, line breaks inside quoted values, through delimited files."""
+    path, schema = _files_from(spark, sf_dir, "documents", "textfile")
+    db = new_database(spark, "wh")
+    create_table(spark, db, "documents", schema)
+    load(spark, catalog_spec(source_path=path, file_format="textfile", separator=SEP,
+                             source_options={"multiLine": "true"}, target_table=f"{db}.documents"))
+    return _table(spark, db, "documents")
+
+
 def load_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = _files_from(spark, sf_dir, "part", "orcfile")
     db = new_database(spark, "wh")
@@ -246,6 +258,7 @@ QUERIES = {
     "extract_pages_text": extract_pages_text,
     "load_delimited": load_delimited,
     "load_delimited_events": load_delimited_events,
+    "load_delimited_documents": load_delimited_documents,
     "load_orc": load_orc,
     "load_catalog_table": load_catalog_table,
     "replace_target": replace_target,
@@ -275,6 +288,7 @@ ORACLE_SQL = {
     "extract_delimited_text": "SELECT * FROM documents",
     "extract_pages_text": "SELECT * FROM pages",
     "load_delimited_events": "SELECT * FROM events",
+    "load_delimited_documents": "SELECT * FROM documents",
     "encrypt_documents": "SELECT * FROM documents",
     "load_delimited": "SELECT * FROM customer",
     "load_orc": "SELECT * FROM part",

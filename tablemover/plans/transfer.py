@@ -71,7 +71,7 @@ def load_source(spark: SparkSession, spec: TransferSpec, target_schema) -> DataF
         return read_catalog_table(spark, spec.hive_database, spec.hive_table)
     return read_files(spark, spec.source_path, spec.file_format, columns=target_schema,
                       separator=spec.separator, avro_schema_inline=spec.avro_schema_inline,
-                      avro_schema_path=spec.avro_schema_path)
+                      avro_schema_path=spec.avro_schema_path, options=spec.source_options)
 
 
 def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
@@ -92,8 +92,10 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     err_1, err_2 = spec.error_tables
     dropped = prepare_reject_tables(wh, (err_1, err_2), drop=spec.drop_error_tables)
     written = [err_1.qualified()]
-    if spec.key_columns:
-        kept, duplicate_rejects = duplicate_split(good, spec.key_columns)
+    key = tuple(spec.key_columns) or wh.primary_key(target)
+    if key:
+        by_lower = {c.lower(): c for c in good.columns}
+        kept, duplicate_rejects = duplicate_split(good, [by_lower.get(k.lower(), k) for k in key])
         wh.create(conversion_rejects, err_1)
         wh.create(duplicate_rejects, err_2)
         written.append(err_2.qualified())

@@ -34,21 +34,25 @@ def spark_format(file_format: str | None) -> str:
     return FORMAT_ALIASES.get(name, name)
 
 
-def text_read_options(separator: str | None) -> dict[str, str]:
+def text_read_options(separator: str | None, *, multiline: bool = False) -> dict[str, str]:
+    """Line-based by default, so a large file is read by many tasks.  Text whose
+    quoted values hold line breaks needs ``multiline``, which reads each file
+    in one task."""
     opts = dict(TEXT_OPTIONS)
     opts["sep"] = separator or ","
-    opts["multiLine"] = "true"  # quoted values may hold line breaks
+    opts["multiLine"] = "true" if multiline else "false"
     return opts
 
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.StructType,
-                   separator: str | None = None, *, options: dict | None = None) -> DataFrame:
+                   separator: str | None = None, *, multiline: bool = False,
+                   options: dict | None = None) -> DataFrame:
     """Delimited text, every field as a string, plus the raw line of any
     malformed record in ``_malformed_line`` (R1 routes those aside)."""
     names = columns.fieldNames() if isinstance(columns, T.StructType) else list(columns)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField(MALFORMED_COLUMN, T.StringType())])
-    opts = text_read_options(separator)
+    opts = text_read_options(separator, multiline=multiline)
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_COLUMN})
     opts.update(options or {})
     return spark.read.schema(schema).options(**opts).csv(path)

@@ -46,6 +46,10 @@ class CatalogWarehouse:
     def count(self, table: TableName) -> int:
         return self.spark.table(self.name(table)).count()
 
+    def primary_key(self, table: TableName) -> tuple[str, ...]:
+        """Spark's catalog tables declare no enforced key; the caller names one."""
+        return ()
+
     def delete_all(self, table: TableName) -> int:
         """Delete every row, keep the table and its definition; return the count."""
         n = self.count(table)
@@ -157,6 +161,24 @@ class JdbcWarehouse:
             return False
         return self._execute(check)
 
+    def primary_key(self, table: TableName) -> tuple[str, ...]:
+        """Key columns declared by the database, in key order (empty if none)."""
+        def read(conn):
+            meta = conn.getMetaData()
+            for db, name in ((table.database, table.table),
+                             (table.database and table.database.upper(), table.table.upper())):
+                rs = meta.getPrimaryKeys(None, db, name)
+                cols = []
+                try:
+                    while rs.next():
+                        cols.append((rs.getShort("KEY_SEQ"), rs.getString("COLUMN_NAME")))
+                finally:
+                    rs.close()
+                if cols:
+                    return tuple(c for _, c in sorted(cols))
+            return ()
+        return self._execute(read)
+
     def drop(self, table: TableName) -> None:
         if self.exists(table):
             self._execute(lambda c: c.createStatement().execute(f"DROP TABLE {table.qualified()}"))

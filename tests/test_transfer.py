@@ -108,3 +108,60 @@ def test_avro_without_module_is_a_clear_error(spark, tmp_path):
         read_avro(spark, str(tmp_path), schema_inline='{"type": "record", "name": "r", "fields": []}')
     with pytest.raises(ValueError, match="exactly one"):
         read_avro(spark, str(tmp_path), schema_inline="{}", schema_path="/s.avsc")
+
+
+class _Recorder:
+    """Records the reader and writer calls a JDBC transfer makes."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+        return call
+
+    def first(self):
+        return (0, 99)
+
+
+class _FakeSpark:
+    def __init__(self):
+        self.read = _Recorder()
+
+
+def test_jdbc_split_reads_build_the_right_calls():
+    spark = _FakeSpark()
+    wh = JdbcWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="pw")
+    wh.read_table(TableName("orders", "db"), splits=4, method="split.by.hash", split_column="o_orderkey")
+    name, args, kwargs = spark.read.calls[-1]
+    assert name == "jdbc" and args[1] == "db.orders"
+    assert kwargs["predicates"] == [f"MOD(ABS(o_orderkey), 4) = {i}" for i in range(4)]
+    assert kwargs["properties"]["password"] == "pw"
+
+    spark.read.calls.clear()
+    wh.read_table(TableName("orders", "db"), splits=8, method="split.by.partition", split_column="o_orderkey")
+    opts = [c[2] for c in spark.read.calls if c[0] == "options"]
+    assert any("MIN(o_orderkey)" in o.get("query", "") for o in opts)
+    split = [o for o in opts if "partitionColumn" in o][0]
+    assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("0", "99", "8")
+
+    spark.read.calls.clear()
+    wh.read_query("SELECT 1 AS k", splits=8)
+    assert [o for o in [c[2] for c in spark.read.calls if c[0] == "options"]][0]["query"] == "SELECT 1 AS k"
+
+
+def test_jdbc_append_uses_writer_count():
+    class FakeFrame:
+        def __init__(self):
+            self.write = _Recorder()
+
+    df = FakeFrame()
+    wh = JdbcWarehouse(_FakeSpark(), "jdbc:x://h", driver="D", user="u", password="pw")
+    wh.append(df, TableName("t", "db"), writers=8)
+    names = [c[0] for c in df.write.calls]
+    assert names == ["format", "options", "mode", "save"]
+    opts = df.write.calls[1][2]
+    assert opts["numPartitions"] == "8" and opts["dbtable"] == "db.t"
+    assert df.write.calls[2][1] == ("append",)
