@@ -11,10 +11,16 @@ derives once per distinct salt of a batch; the cipher itself stays native.
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# The UDFs below run in executor Python workers, which need not have this
+# package installed: ship this module's code with them (pickled by value).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the 1.1 envelope (they must match existing readers/writers).
 PKCS12_ROUNDS = 1000
 PKCS12_BLOCK = 64          # SHA-256 input block, bytes

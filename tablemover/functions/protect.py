@@ -104,6 +104,8 @@ def encrypt_columns(df: DataFrame, columns, passphrase: str, *, version: str = V
     """
     _check_passphrase(passphrase)
     columns = list(columns)
+    # cipher work is CPU-bound: a small input gets at least one task per core
+    df = spread(df, df.sparkSession.sparkContext.defaultParallelism)
     if version == VERSION_2_0:
         return _encrypt_v2(df, columns, passphrase, empty)
     if version == VERSION_1_1:
@@ -141,7 +143,7 @@ def _encrypt_v11(df: DataFrame, columns, passphrase: str, empty: str) -> DataFra
     once per salt), then native AES-CBC.  Spark puts the IV in front of the
     ciphertext; the envelope wants the salt there instead."""
     derive = pkcs12_key_iv_udf(passphrase)
-    work = spread(df, df.sparkSession.sparkContext.defaultParallelism)
+    work = df
     salt_of = {name: f"_tm_salt_{i}" for i, name in enumerate(columns)}
     kiv_of = {name: f"_tm_kiv_{i}" for i, name in enumerate(columns)}
     # the salt is drawn once, in its own column, so every use sees the same bytes
@@ -195,6 +197,9 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     salts = sorted({r["salt"] for r in seen if r["salt"] is not None})
     has_v11 = any(r["ver"] == VERSION_1_1 for r in seen) or len(seen) > max_broadcast_salts + 1
 
+    # cipher work is CPU-bound: a small input gets at least one task per core
+    work = spread(work, spark.sparkContext.defaultParallelism)
+
     # 2.0 keys: one per job salt.  With the salts counted, the key table's size
     # is bounded and it is broadcast; past the bound, keys are derived in tasks.
     if len(salts) <= max_broadcast_salts:
@@ -207,12 +212,10 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
         derive = pbkdf2_key_udf(passphrase, PBKDF2_ROUNDS)
         work = work.withColumns({f"_tm_key_{i}": derive(F.col(f"_tm_salt_{i}")) for i in range(len(columns))})
 
-    # 1.1 key and IV: one per value's salt, derived in an Arrow UDF (CPU-bound,
-    # so a small input is spread over the cores first).  Skipped when no 1.1
-    # value exists: then the plan has no Python at all.
+    # 1.1 key and IV: one per value's salt, derived in an Arrow UDF.  Skipped
+    # when no 1.1 value exists: then the plan has no Python at all.
     if has_v11:
         derive_11 = pkcs12_key_iv_udf(passphrase)
-        work = spread(work, spark.sparkContext.defaultParallelism)
         work = work.withColumns({
             f"_tm_kiv_{i}": derive_11(F.when(F.col(f"_tm_ver_{i}") == VERSION_1_1,
                                              F.substring(F.col(f"_tm_val_{i}"), 1, SALT_BYTES)))
