@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.spread import spread
+from ..operators.spread import parallelism, spread
 from .kdf import PBKDF2_ROUNDS, pbkdf2_key, pbkdf2_key_udf, pkcs12_key_iv_udf
 
 # Fixed values of the envelope format.
@@ -105,7 +105,7 @@ def encrypt_columns(df: DataFrame, columns, passphrase: str, *, version: str = V
     _check_passphrase(passphrase)
     columns = list(columns)
     # cipher work is CPU-bound: a small input gets at least one task per core
-    df = spread(df, df.sparkSession.sparkContext.defaultParallelism)
+    df = spread(df, parallelism(df.sparkSession))
     if version == VERSION_2_0:
         return _encrypt_v2(df, columns, passphrase, empty)
     if version == VERSION_1_1:
@@ -198,7 +198,7 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     has_v11 = any(r["ver"] == VERSION_1_1 for r in seen) or len(seen) > max_broadcast_salts + 1
 
     # cipher work is CPU-bound: a small input gets at least one task per core
-    work = spread(work, spark.sparkContext.defaultParallelism)
+    work = spread(work, parallelism(spark))
 
     # 2.0 keys: one per job salt.  With the salts counted, the key table's size
     # is bounded and it is broadcast; past the bound, keys are derived in tasks.

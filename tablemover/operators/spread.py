@@ -8,10 +8,21 @@ parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # a Connect session has no SparkContext
+        return int(spark.conf.get("spark.default.parallelism", str(default)))
 
 
 def spread(df: DataFrame, n: int | None) -> DataFrame:
-    if n and n > 1 and df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    if not n or n <= 1:
+        return df
+    try:
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Connect): leave the plan as it is
+        return df
+    return df.repartition(n) if partitions < n else df

@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session: only the SQL conf is visible
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
+        return root.rstrip("/")
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tablemover-")
