@@ -195,6 +195,22 @@ def _lineitem_load(spark, sf_dir, *, narrow_key: bool, key: bool, runs: int = 1)
     return db, spec
 
 
+def reject_existing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load lineitem, then append it again: every row of the second run breaks
+    the key (a copy within the rows or a key the target holds)."""
+    src = source_database(spark, sf_dir, ["lineitem"])
+    db = new_database(spark, "wh")
+    create_table(spark, db, "lineitem", _table(spark, src, "lineitem").schema)
+    spec = catalog_spec(job_type="hive", hive_database=src, hive_table="lineitem",
+                        target_table=f"{db}.lineitem", key_columns=LINEITEM_KEY)
+    load(spark, spec)
+    load(spark, spec)
+    roles = [("target", "lineitem"), ("ERR_2", spec.error_tables[1].table)]
+    parts = [_table(spark, db, t).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(role).alias("table_role"), "n_rows") for role, t in roles]
+    return parts[0].unionByName(parts[1])
+
+
 def reject_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     db, spec = _lineitem_load(spark, sf_dir, narrow_key=True, key=False)
     return _table(spark, db, spec.error_tables[0].table)
@@ -266,6 +282,7 @@ QUERIES = {
     "reject_duplicates": reject_duplicates,
     "dedup_target": dedup_target,
     "reject_tables": reject_tables,
+    "reject_existing_keys": reject_existing_keys,
     "encrypt_decrypt": encrypt_decrypt,
     "encrypt_documents": encrypt_documents,
     "decrypt_mixed_versions": decrypt_mixed_versions,
@@ -305,6 +322,10 @@ ORACLE_SQL = {
         SELECT 'target' AS table_role, COUNT(*) AS n_rows FROM ranked WHERE rn = 1
         UNION ALL SELECT 'ERR_1', COUNT(*) FROM lineitem WHERE NOT {_NARROW_FIT}
         UNION ALL SELECT 'ERR_2', COUNT(*) FROM ranked WHERE rn > 1""",
+    "reject_existing_keys": """
+        SELECT 'target' AS table_role, COUNT(*) AS n_rows
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k
+        UNION ALL SELECT 'ERR_2', COUNT(*) FROM lineitem""",
     "encrypt_decrypt": "SELECT * FROM customer",
     "decrypt_mixed_versions": ("SELECT c_custkey, c_name, '1.1' AS ver FROM customer "
                                "UNION ALL SELECT c_custkey, c_name, '2.0' AS ver FROM customer"),

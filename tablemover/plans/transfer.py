@@ -1,8 +1,9 @@
 """Whole transfers, each a composition of sources, rejects and sinks.
 
 Load (F1 files -> table, F2 catalog table -> table):
-    read -> R1 conversion rejects -> R2 duplicate rejects -> R3 drop leftovers
-    -> write both reject tables -> K2 delete target rows -> K1 append.
+    read -> R1 conversion rejects -> R2 duplicate rejects (within the rows, and
+    against keys the target already holds unless it is replaced) -> R3 drop
+    leftovers -> write both reject tables -> K2 delete target rows -> K1 append.
 The rejects are written before the target is touched, so a failure while
 computing them leaves the target as it was.
 
@@ -95,7 +96,13 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     key = tuple(spec.key_columns) or wh.primary_key(target)
     if key:
         by_lower = {c.lower(): c for c in good.columns}
-        kept, duplicate_rejects = duplicate_split(good, [by_lower.get(k.lower(), k) for k in key])
+        key = [by_lower.get(k.lower(), k) for k in key]
+        kept, duplicate_rejects = duplicate_split(good, key)
+        if not spec.replace_target:
+            # rows whose key the target already holds would break it as well
+            held = wh.read_table(target, splits=spec.writers).select(*key)
+            duplicate_rejects = duplicate_rejects.unionByName(kept.join(held, key, "left_semi"))
+            kept = kept.join(held, key, "left_anti")
         wh.create(conversion_rejects, err_1)
         wh.create(duplicate_rejects, err_2)
         written.append(err_2.qualified())
