@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..sources.files import MALFORMED_COLUMN
 from ..spec import TableName
+from ..workspace import stage
 from .replicate import replicate_rows
 
 REASON_COLUMN = "reject_reason"
@@ -86,7 +87,8 @@ def conversion_split(df: DataFrame, target: T.StructType) -> tuple[DataFrame, Da
     return good, rejects
 
 
-def duplicate_split(df: DataFrame, key_columns) -> tuple[DataFrame, DataFrame]:
+def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
     """(one row per key, all other rows).
 
     The row that stays is the least by the other columns.  No join and no
@@ -95,6 +97,9 @@ def duplicate_split(df: DataFrame, key_columns) -> tuple[DataFrame, DataFrame]:
     whole row, again with a map-side partial aggregate.  A hot key or a row
     repeated very often is reduced before any shuffle; the copies of such a row
     are then produced by many tasks (``replicate_rows``).
+
+    ``stage_path`` writes the kept rows once (a lineage cut in the shared work
+    folder); the rejects and every later use then read that copy.
     """
     key = list(key_columns)
     cols = df.columns
@@ -107,6 +112,8 @@ def duplicate_split(df: DataFrame, key_columns) -> tuple[DataFrame, DataFrame]:
         kept = least.select(*key, *[F.col("_m").getField(c).alias(c) for c in others]).select(*cols)
     else:
         kept = df.select(*key).distinct()
+    if stage_path:
+        kept = stage(kept, stage_path)
     weighted = (df.select(*cols, F.lit(1).cast("long").alias("_w"))
                   .unionByName(kept.select(*cols, F.lit(-1).cast("long").alias("_w"))))
     surplus = (weighted.groupBy(*cols).agg(F.sum("_w").alias("_r"))

@@ -26,6 +26,7 @@ from ..sources.tables import read_catalog_table, read_query, read_table_split
 from ..functions.protect import decrypt_columns, read_passphrase
 from ..spec import CRYPTO_KEY_PATH_KEY, ENCRYPTED_CREDENTIAL_KEY, Direction, TableName, TransferSpec
 from ..warehouse import CatalogWarehouse, JdbcWarehouse
+from ..workspace import new_run_dir
 
 
 @dataclass
@@ -97,7 +98,9 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     if key:
         by_lower = {c.lower(): c for c in good.columns}
         key = [by_lower.get(k.lower(), k) for k in key]
-        kept, duplicate_rejects = duplicate_split(good, key)
+        # the kept rows feed the rejects, the key check and the append: computed once
+        kept, duplicate_rejects = duplicate_split(good, key,
+                                                  stage_path=f"{new_run_dir(spark, 'load')}/kept")
         if not spec.replace_target:
             # rows whose key the target already holds would break it as well
             held = wh.read_table(target, splits=spec.writers).select(*key)
