@@ -101,6 +101,8 @@ def encrypt_columns(df: DataFrame, columns, passphrase: str, *, version: str = V
 
     ``empty="raise"`` fails the job on an empty string (as the single-value API
     refuses one); ``empty="keep"`` leaves it unencrypted.  Null stays null.
+    Every evaluation draws fresh IVs (and, for ``1.1``, salts): write the
+    result once rather than computing it twice.
     """
     _check_passphrase(passphrase)
     columns = list(columns)

@@ -158,6 +158,16 @@ def load_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, db, "part")
 
 
+def load_orc_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nested column (array of floats) into a catalog target of the same type."""
+    path, schema = _files_from(spark, sf_dir, "embeddings", "orcfile")
+    db = new_database(spark, "wh")
+    create_table(spark, db, "embeddings", schema)
+    load(spark, catalog_spec(source_path=path, file_format="orcfile", target_table=f"{db}.embeddings",
+                             key_columns=("vec_id",)))
+    return _table(spark, db, "embeddings")
+
+
 def load_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = source_database(spark, sf_dir, ["supplier"])
     db = new_database(spark, "wh")
@@ -276,6 +286,7 @@ QUERIES = {
     "load_delimited_events": load_delimited_events,
     "load_delimited_documents": load_delimited_documents,
     "load_orc": load_orc,
+    "load_orc_embeddings": load_orc_embeddings,
     "load_catalog_table": load_catalog_table,
     "replace_target": replace_target,
     "reject_conversion": reject_conversion,
@@ -309,6 +320,7 @@ ORACLE_SQL = {
     "encrypt_documents": "SELECT * FROM documents",
     "load_delimited": "SELECT * FROM customer",
     "load_orc": "SELECT * FROM part",
+    "load_orc_embeddings": "SELECT * FROM embeddings",
     "load_catalog_table": "SELECT * FROM supplier",
     "replace_target": "SELECT * FROM customer",
     "reject_conversion": f"SELECT *, 'l_orderkey' AS {REASON_COLUMN} FROM lineitem WHERE NOT {_NARROW_FIT}",
