@@ -219,6 +219,11 @@ class JdbcWarehouse:
 
     def read_table(self, table: TableName, *, splits: int | None = 8,
                    method: str | None = None, split_column: str | None = None) -> DataFrame:
+        """Without a split column, the table's first key column is used: the
+        warehouse spreads a table over its units by a hash of that key."""
+        if not split_column and splits and splits > 1:
+            key = self.primary_key(table)
+            split_column = key[0] if key else None
         return self._split_read(table.qualified(), splits, method, split_column)
 
     def read_query(self, sql: str, *, splits: int | None = None,

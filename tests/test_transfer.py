@@ -165,3 +165,15 @@ def test_jdbc_append_uses_writer_count():
     opts = df.write.calls[1][2]
     assert opts["numPartitions"] == "8" and opts["dbtable"] == "db.t"
     assert df.write.calls[2][1] == ("append",)
+
+
+def test_jdbc_table_split_defaults_to_primary_key():
+    class KeyedWarehouse(JdbcWarehouse):
+        def primary_key(self, table):
+            return ("o_orderkey", "o_custkey")
+
+    spark = _FakeSpark()
+    wh = KeyedWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="pw")
+    wh.read_table(TableName("orders", "db"), splits=4)
+    name, args, kwargs = spark.read.calls[-1]
+    assert name == "jdbc" and kwargs["predicates"][0] == "MOD(ABS(o_orderkey), 4) = 0"
