@@ -26,7 +26,7 @@ from ..sources.tables import read_catalog_table, read_query, read_table_split
 from ..functions.protect import decrypt_columns, read_passphrase
 from ..spec import CRYPTO_KEY_PATH_KEY, ENCRYPTED_CREDENTIAL_KEY, Direction, TableName, TransferSpec
 from ..warehouse import CatalogWarehouse, JdbcWarehouse
-from ..workspace import new_run_dir
+from ..workspace import discard, new_run_dir
 
 
 @dataclass
@@ -95,12 +95,13 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     dropped = prepare_reject_tables(wh, (err_1, err_2), drop=spec.drop_error_tables)
     written = [err_1.qualified()]
     key = tuple(spec.key_columns) or wh.primary_key(target)
+    run_dir = None
     if key:
         by_lower = {c.lower(): c for c in good.columns}
         key = [by_lower.get(k.lower(), k) for k in key]
         # the kept rows feed the rejects, the key check and the append: computed once
-        kept, duplicate_rejects = duplicate_split(good, key,
-                                                  stage_path=f"{new_run_dir(spark, 'load')}/kept")
+        run_dir = new_run_dir(spark, "load")
+        kept, duplicate_rejects = duplicate_split(good, key, stage_path=f"{run_dir}/kept")
         if not spec.replace_target:
             # rows whose key the target already holds would break it as well
             held = wh.read_table(target, splits=spec.writers).select(*key)
@@ -115,6 +116,8 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
 
     deleted = replace_target(wh, target) if spec.replace_target else None
     load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
+    if run_dir:
+        discard(spark, run_dir)  # every reader of the staged rows has run
     return LoadReport(target=target.qualified(), deleted=deleted, dropped=dropped,
                       error_tables=tuple(written))
 

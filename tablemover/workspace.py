@@ -50,3 +50,14 @@ def new_database(spark: SparkSession, label: str = "wh") -> str:
     location = f"{new_run_dir(spark, label)}/{name}.db"
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{location}'")
     return name
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library staged, once nothing will read it again.
+    Best effort: a leftover folder costs space, never correctness."""
+    try:
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:
+        pass

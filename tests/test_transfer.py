@@ -177,3 +177,11 @@ def test_jdbc_table_split_defaults_to_primary_key():
     wh.read_table(TableName("orders", "db"), splits=4)
     name, args, kwargs = spark.read.calls[-1]
     assert name == "jdbc" and kwargs["predicates"][0] == "MOD(ABS(o_orderkey), 4) = 0"
+
+
+def test_keyed_load_removes_its_staged_rows(spark):
+    import glob
+    from tablemover.workspace import work_root
+    before = set(glob.glob(f"{work_root(spark)}/tablemover/load-*"))
+    E.queries()["dedup_target"](spark, SF).count()
+    assert set(glob.glob(f"{work_root(spark)}/tablemover/load-*")) == before
