@@ -185,3 +185,12 @@ def test_keyed_load_removes_its_staged_rows(spark):
     before = set(glob.glob(f"{work_root(spark)}/tablemover/load-*"))
     E.queries()["dedup_target"](spark, SF).count()
     assert set(glob.glob(f"{work_root(spark)}/tablemover/load-*")) == before
+
+
+def test_every_survey_id_is_exercised():
+    from tablemover.plans.registry import COVERAGE
+    assert set(COVERAGE) == set(E.queries()) == set(E.oracle_sql())
+    covered = {i for ids in COVERAGE.values() for i in ids}
+    expected = {f"S{i}" for i in range(2, 7)} | {f"K{i}" for i in range(1, 5)} \
+        | {"R1", "R2", "R3", "C1", "C2", "C3", "F1", "F2", "F3", "F4"}
+    assert expected <= covered  # S1 needs the external Avro module (README)
