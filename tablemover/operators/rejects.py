@@ -46,9 +46,10 @@ def _converted(src, src_type, dst_type):
     return src.try_cast(dst_type)
 
 
-def _fit(df: DataFrame, target: T.StructType):
+def _fit(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = None):
     """Per target field: (converted value, does-not-fit flag)."""
     by_lower = {c.lower(): c for c in df.columns}
+    limit_of = {k.lower(): v for k, v in (limits or {}).items()}
     out = []
     for f in target.fields:
         src_name = by_lower.get(f.name.lower())
@@ -67,17 +68,22 @@ def _fit(df: DataFrame, target: T.StructType):
         bad = src.isNotNull() & value.isNull()
         if not f.nullable:
             bad = bad | src.isNull()
+        limit = limit_of.get(f.name.lower())
+        if limit is not None:  # trailing spaces may be cut to fit, as the write does
+            bad = bad | (F.length(F.rtrim(value.cast("string"))) > limit)
         out.append((f.name, value, bad))
     return out
 
 
-def conversion_split(df: DataFrame, target: T.StructType) -> tuple[DataFrame, DataFrame]:
+def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = None
+                     ) -> tuple[DataFrame, DataFrame]:
     """(rows converted to ``target``, rejected source rows + ``reject_reason``).
 
     ``reject_reason`` lists the target columns that did not fit, comma-separated,
-    or names the malformed-line column for text that did not parse.
+    or names the malformed-line column for text that did not parse.  ``limits``
+    are the declared lengths of CHAR/VARCHAR columns.
     """
-    fits = _fit(df, target)
+    fits = _fit(df, target, limits)
     reasons = [F.when(bad, F.lit(name)) for name, _, bad in fits]
     if MALFORMED_COLUMN in df.columns:
         reasons = [F.when(F.col(MALFORMED_COLUMN).isNotNull(), F.lit(MALFORMED_COLUMN))] + reasons

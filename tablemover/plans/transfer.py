@@ -90,7 +90,7 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     rows = source if source is not None else load_source(spark, spec, schema)
     rows = spread(rows, spec.writers)
 
-    good, conversion_rejects = conversion_split(rows, schema)
+    good, conversion_rejects = conversion_split(rows, schema, wh.text_limits(target))
     err_1, err_2 = spec.error_tables
     dropped = prepare_reject_tables(wh, (err_1, err_2), drop=spec.drop_error_tables)
     written = [err_1.qualified()]

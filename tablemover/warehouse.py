@@ -12,11 +12,16 @@ Two kinds share one small interface:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from .spec import TableName, merge_options
 
+_CHAR_TYPE = re.compile(r"(?:var)?char\((\d+)\)")
+
+
 def _quote(part: str) -> str:
     return "`" + part.replace("`", "``") + "`"
 
@@ -50,6 +55,17 @@ class CatalogWarehouse:
         """Spark's catalog tables declare no enforced key; the caller names one."""
         return ()
 
+    def text_limits(self, table: TableName) -> dict[str, int]:
+        """Declared lengths of CHAR(n)/VARCHAR(n) columns, which a write enforces."""
+        limits = {}
+        for row in self.spark.sql(f"DESCRIBE TABLE {self.name(table)}").collect():
+            if not row.col_name or row.col_name.startswith("#"):
+                break  # partition and detail sections follow the columns
+            m = _CHAR_TYPE.fullmatch((row.data_type or "").strip().lower())
+            if m:
+                limits[row.col_name] = int(m.group(1))
+        return limits
+
     def delete_all(self, table: TableName) -> int:
         """Delete every row, keep the table and its definition; return the count."""
         n = self.count(table)
@@ -179,6 +195,25 @@ class JdbcWarehouse:
             return ()
         return self._execute(read)
 
+    def text_limits(self, table: TableName) -> dict[str, int]:
+        """Declared lengths of CHAR/VARCHAR columns, from the database's metadata."""
+        def read(conn):
+            meta = conn.getMetaData()
+            for db, name in ((table.database, table.table),
+                             (table.database and table.database.upper(), table.table.upper())):
+                rs = meta.getColumns(None, db, name, None)
+                limits = {}
+                try:
+                    while rs.next():
+                        if rs.getString("TYPE_NAME").upper() in ("CHAR", "VARCHAR", "NCHAR", "NVARCHAR"):
+                            limits[rs.getString("COLUMN_NAME")] = int(rs.getInt("COLUMN_SIZE"))
+                finally:
+                    rs.close()
+                if limits:
+                    return limits
+            return {}
+        return self._execute(read)
+
     def drop(self, table: TableName) -> None:
         if self.exists(table):
             self._execute(lambda c: c.createStatement().execute(f"DROP TABLE {table.qualified()}"))

@@ -128,3 +128,19 @@ def test_no_drop_when_absent():
 def test_leftover_without_drop_is_an_error():
     with pytest.raises(ValueError, match="earlier run"):
         prepare_reject_tables(RecordingWarehouse({"db.target_table_ERR_1"}), ERRS, drop=False)
+
+
+def test_declared_text_length_is_a_conversion_reject(spark):
+    from tablemover import CatalogWarehouse, TransferSpec, load
+    from tablemover.workspace import new_database
+    db = new_database(spark, "vc")
+    spark.sql(f"CREATE TABLE {db}.t (k BIGINT, s VARCHAR(3)) USING parquet")
+    spark.sql(f"CREATE TABLE {db}.src USING parquet AS "
+              "SELECT * FROM VALUES (1L, 'abc'), (2L, 'abcd'), (3L, 'ab   '), (4L, NULL) AS v(k, s)")
+    wh = CatalogWarehouse(spark)
+    assert wh.text_limits(TableName("t", db)) == {"s": 3}
+    load(spark, TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db,
+                                   hive_table="src", target_table=f"{db}.t"))
+    assert sorted(r["k"] for r in spark.table(f"{db}.t").collect()) == [1, 3, 4]
+    rejected = spark.table(f"{db}.t_ERR_1").collect()
+    assert [(r["k"], r[REASON_COLUMN]) for r in rejected] == [(2, "s")]
