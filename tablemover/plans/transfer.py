@@ -21,7 +21,7 @@ from ..operators.spread import spread
 from ..operators.rejects import conversion_split, duplicate_split, prepare_reject_tables
 from ..sinks.files import extract_files
 from ..sinks.tables import load_table, replace_target
-from ..sources.files import read_files
+from ..sources.files import read_avro_schema_file, read_files, spark_format
 from ..sources.tables import read_catalog_table, read_query, read_table_split
 from ..functions.protect import decrypt_columns, read_passphrase
 from ..spec import CRYPTO_KEY_PATH_KEY, ENCRYPTED_CREDENTIAL_KEY, Direction, TableName, TransferSpec
@@ -136,5 +136,8 @@ def extract(spark: SparkSession, spec: TransferSpec, *, warehouse=None) -> str:
         raise ValueError("This spec is not an extract.")
     _apply_settings(spark, spec)
     wh = warehouse or warehouse_for(spark, spec)
+    options = {}
+    if spark_format(spec.file_format) == "avro" and (spec.avro_schema_inline or spec.avro_schema_path):
+        options["avroSchema"] = spec.avro_schema_inline or read_avro_schema_file(spark, spec.avro_schema_path)
     return extract_files(extract_source(spec, wh), spec.target_path, spec.file_format,
-                         separator=spec.separator, overwrite=spec.force_overwrite)
+                         separator=spec.separator, overwrite=spec.force_overwrite, options=options)
