@@ -44,9 +44,9 @@ def source_database(spark: SparkSession, sf_dir: str, tables) -> str:
 
 
 def create_table(spark: SparkSession, db: str, name: str, schema: T.StructType) -> TableName:
-    table = TableName(name, db)
-    spark.createDataFrame([], schema).write.format("parquet").saveAsTable(f"`{db}`.`{name}`")
-    return table
+    """An empty parquet target table (DDL only, no job)."""
+    spark.sql(f"CREATE TABLE `{db}`.`{name}` ({schema.toDDL()}) USING parquet")
+    return TableName(name, db)
 
 
 def read_text(spark: SparkSession, path: str, schema: T.StructType, *,
