@@ -104,7 +104,7 @@ class JdbcWarehouse:
 
     def __init__(self, spark: SparkSession, url: str, *, driver: str, user: str,
                  password: str, extra_options: dict[str, str] | None = None,
-                 batch_size: int = 10000):
+                 batch_size: int = 10000, fetch_size: int = 10000):
         if not password:
             raise ValueError("A JDBC warehouse needs a password.")
         self.spark = spark
@@ -114,6 +114,7 @@ class JdbcWarehouse:
         self._password = password
         self.extra_options = dict(extra_options or {})
         self.batch_size = batch_size
+        self.fetch_size = fetch_size  # rows per round trip; some drivers default to ~10
 
     def __repr__(self) -> str:
         return f"JdbcWarehouse(url={self.url!r}, user={self.user!r}, password='***')"
@@ -126,6 +127,7 @@ class JdbcWarehouse:
     def read_options(self, dbtable: str | None = None, query: str | None = None,
                      **split) -> dict[str, str]:
         opts = self.base_options()
+        opts["fetchsize"] = str(self.fetch_size)
         if query is not None:
             opts["query"] = query
         else:

@@ -77,7 +77,9 @@ def test_jdbc_options_and_split_predicates(spark):
     w = wh.write_options(TableName("t", "db"), 24)
     assert w["dbtable"] == "db.t" and w["numPartitions"] == "24" and "batchsize" not in w
     r = wh.read_options(dbtable="db.t", partitionColumn="k", numPartitions=8)
-    assert r["fetchsize"] == "1000" and r["numPartitions"] == "8"
+    assert r["fetchsize"] == "1000" and r["numPartitions"] == "8"  # extra options win
+    plain = JdbcWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="secret")
+    assert plain.read_options(dbtable="db.t")["fetchsize"] == "10000"
     preds = wh.split_predicates("o_orderkey", 4)
     assert preds == [f"MOD(ABS(o_orderkey), 4) = {i}" for i in range(4)]
     with pytest.raises(ValueError, match="JDBC URL"):
