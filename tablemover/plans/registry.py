@@ -17,7 +17,6 @@ from ..operators.rejects import REASON_COLUMN
 from ..sinks.files import extract_files
 from ..sources.files import text_read_options
 from ..spec import TableName, TransferSpec
-from ..warehouse import CatalogWarehouse
 from ..workspace import new_database, new_run_dir, stage
 from .transfer import extract, load
 

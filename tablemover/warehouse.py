@@ -246,7 +246,10 @@ class JdbcWarehouse:
 
     # -- split reads -------------------------------------------------------------
     def split_predicates(self, column: str, splits: int) -> list[str]:
-        """One predicate per hash bucket of ``column``: every row in exactly one."""
+        """One predicate per hash bucket of ``column``: every row in exactly one.
+
+        ``column`` may be any integer-valued SQL expression of the warehouse,
+        e.g. its own hash of a text key, for tables without a numeric key."""
         return [f"MOD(ABS({column}), {splits}) = {i}" for i in range(splits)]
 
     def _bounds(self, source_sql: str, column: str) -> tuple:
