@@ -13,6 +13,7 @@ Extract (F3 table -> files, F4 query -> files):
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,10 +63,20 @@ def warehouse_for(spark: SparkSession, spec: TransferSpec):
                          password=spec.password, extra_options=spec.extra_options)
 
 
-def _apply_settings(spark: SparkSession, spec: TransferSpec) -> None:
-    """Free settings of the spec go ahead of everything else."""
+@contextmanager
+def _settings(spark: SparkSession, spec: TransferSpec):
+    """The spec's free settings hold for this transfer only, ahead of the rest."""
+    before = {k: spark.conf.get(k, None) for k in spec.spark_settings}
     for key, value in spec.spark_settings.items():
         spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def load_source(spark: SparkSession, spec: TransferSpec, target_schema) -> DataFrame:
@@ -81,8 +92,11 @@ def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
     """F1/F2.  ``source`` overrides the spec's source (e.g. a protected frame)."""
     if spec.direction not in (Direction.LOAD_FILES, Direction.LOAD_CATALOG):
         raise ValueError("This spec is not a load.")
-    _apply_settings(spark, spec)
-    wh = warehouse or warehouse_for(spark, spec)
+    with _settings(spark, spec):
+        return _load(spark, spec, warehouse or warehouse_for(spark, spec), source)
+
+
+def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None) -> LoadReport:
     target = spec.target
     if not wh.exists(target):
         raise ValueError(f"Target table {target.qualified()} does not exist; create it first.")
@@ -134,10 +148,10 @@ def extract(spark: SparkSession, spec: TransferSpec, *, warehouse=None) -> str:
     """write the table or query result to ``spec.target_path``."""
     if spec.direction != Direction.EXTRACT:
         raise ValueError("This spec is not an extract.")
-    _apply_settings(spark, spec)
-    wh = warehouse or warehouse_for(spark, spec)
-    options = {}
-    if spark_format(spec.file_format) == "avro" and (spec.avro_schema_inline or spec.avro_schema_path):
-        options["avroSchema"] = spec.avro_schema_inline or read_avro_schema_file(spark, spec.avro_schema_path)
-    return extract_files(extract_source(spec, wh), spec.target_path, spec.file_format,
-                         separator=spec.separator, overwrite=spec.force_overwrite, options=options)
+    with _settings(spark, spec):
+        wh = warehouse or warehouse_for(spark, spec)
+        options = {}
+        if spark_format(spec.file_format) == "avro" and (spec.avro_schema_inline or spec.avro_schema_path):
+            options["avroSchema"] = spec.avro_schema_inline or read_avro_schema_file(spark, spec.avro_schema_path)
+        return extract_files(extract_source(spec, wh), spec.target_path, spec.file_format,
+                             separator=spec.separator, overwrite=spec.force_overwrite, options=options)

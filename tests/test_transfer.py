@@ -196,3 +196,14 @@ def test_every_survey_id_is_exercised():
     expected = {f"S{i}" for i in range(2, 7)} | {f"K{i}" for i in range(1, 5)} \
         | {"R1", "R2", "R3", "C1", "C2", "C3", "F1", "F2", "F3", "F4"}
     assert expected <= covered  # S1 needs the external Avro module (README)
+
+
+def test_spec_settings_hold_for_the_transfer_only(spark):
+    db = source_database(spark, SF, ["nation"])
+    path = f"{new_run_dir(spark, 'test')}/nation"
+    before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spec = catalog_spec(source_table=f"{db}.nation", target_path=path, file_format="parquet",
+                        spark_settings={"spark.sql.files.maxRecordsPerFile": "5"})
+    extract(spark, spec)
+    assert len([f for f in __import__("os").listdir(path) if f.endswith(".parquet")]) == 5
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == before
