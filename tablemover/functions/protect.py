@@ -172,15 +172,19 @@ def _parsed(c: Column):
 
 
 def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str = "raise",
+                    version: str | None = None,
                     max_broadcast_salts: int = MAX_BROADCAST_SALTS) -> DataFrame:
     """Open each envelope of ``columns`` by its own version.
 
     ``on_error="raise"`` fails the job on a value that cannot be opened (bad
     text, unknown or unsupported version, wrong key); ``"null"`` gives null.
+    ``version`` pins one version: an envelope of any other cannot be opened.
     """
     _check_passphrase(passphrase)
     if on_error not in ("raise", "null"):
         raise ValueError("on_error is 'raise' or 'null'")
+    if version not in (None, VERSION_1_0, VERSION_1_1, VERSION_2_0):
+        raise ValueError(f"Invalid version {version}")
     columns = list(columns)
     spark = df.sparkSession
     work = df
@@ -233,10 +237,12 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
         body = F.substring(val, SALT_BYTES + 1, 1 << 30)
         v11 = decrypt(F.concat(kiv.getField("iv"), body), kiv.getField("key"), F.lit("CBC"), F.lit("PKCS"))
         v20 = decrypt(val, F.col(f"_tm_key_{i}"), F.lit("GCM"))
+        if version is not None:  # a pinned version sees other envelopes as foreign
+            ver = F.when(ver == version, ver).otherwise(F.concat(F.lit("foreign "), ver))
         if on_error == "raise":
             bad = lambda msg: F.raise_error(F.lit(msg))
             opened = (F.when(F.col(name).isNull(), F.lit(None).cast("binary"))
-                       .when(ver.isNull() | val.isNull(), bad("not an envelope"))
+                       .when(F.col(f"_tm_ver_{i}").isNull() | val.isNull(), bad("not an envelope"))
                        .when(ver == VERSION_1_1, v11)
                        .when(ver == VERSION_2_0, v20)
                        .when(ver == VERSION_1_0, bad("version 1.0 (DES) is not supported"))

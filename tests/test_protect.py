@@ -128,3 +128,11 @@ def test_decrypt_whole_table_column(spark):
     back = decrypt_columns(encrypt_columns(customer, ["c_name"], PASS), ["c_name"], PASS)
     assert back.exceptAll(customer).count() == 0 and customer.exceptAll(back).count() == 0
     assert back.where(F.col("c_name").isNull()).count() == customer.where(F.col("c_name").isNull()).count()
+
+
+def test_pinned_version_refuses_other_envelopes(spark):
+    with pytest.raises(Exception, match="Invalid version foreign 1.1"):
+        decrypt_columns(frame(spark, [VECTOR_1_1]), ["v"], PASS, version="1.0").collect()
+    assert decrypt_columns(frame(spark, [VECTOR_1_1]), ["v"], PASS, version="2.0",
+                           on_error="null").first()["v"] is None
+    assert decrypt_columns(frame(spark, [VECTOR_1_1]), ["v"], PASS, version="1.1").first()["v"] == PLAIN
