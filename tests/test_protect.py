@@ -136,3 +136,14 @@ def test_pinned_version_refuses_other_envelopes(spark):
     assert decrypt_columns(frame(spark, [VECTOR_1_1]), ["v"], PASS, version="2.0",
                            on_error="null").first()["v"] is None
     assert decrypt_columns(frame(spark, [VECTOR_1_1]), ["v"], PASS, version="1.1").first()["v"] == PLAIN
+
+
+def test_1_1_envelope_has_the_published_structure(spark):
+    import base64
+    import json
+    sealed = encrypt_columns(frame(spark, ["test", "x" * 40]), ["v"], PASS, version="1.1")
+    for row in sealed.collect():
+        doc = json.loads(base64.b64decode(row["v"], validate=True))
+        assert set(doc) == {"ver", "val"} and doc["ver"] == "1.1"
+        raw = base64.b64decode(doc["val"], validate=True)
+        assert len(raw) > 16 and (len(raw) - 16) % 16 == 0  # salt + whole AES blocks
