@@ -195,13 +195,18 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
 
     # One light pass over the envelopes (only their columns are read): which
     # versions occur, and the distinct 2.0 job salts, at most a bound of them.
-    seen = (work.select(F.explode(F.array(*[
+    # A decrypt pinned to 1.1 needs no 2.0 keys and skips it.
+    seen = [] if version == VERSION_1_1 else (
+        work.select(F.explode(F.array(*[
                 F.struct(F.col(f"_tm_ver_{i}").alias("ver"), F.col(f"_tm_salt_{i}").alias("salt"))
                 for i in range(len(columns))])).alias("e"))
-                .select("e.*").where(F.col("ver").isin(VERSION_1_1, VERSION_2_0))
-                .distinct().limit(max_broadcast_salts + 2).collect())
+            .select("e.*").where(F.col("ver").isin(VERSION_1_1, VERSION_2_0))
+            .distinct().limit(max_broadcast_salts + 2).collect())
     salts = sorted({r["salt"] for r in seen if r["salt"] is not None})
-    has_v11 = any(r["ver"] == VERSION_1_1 for r in seen) or len(seen) > max_broadcast_salts + 1
+    has_v11 = (version == VERSION_1_1 or any(r["ver"] == VERSION_1_1 for r in seen)
+               or len(seen) > max_broadcast_salts + 1)
+    if version == VERSION_2_0:
+        has_v11 = False  # pinned: 1.1 envelopes are foreign and never opened
 
     # cipher work is CPU-bound: a small input gets at least one task per core
     work = spread(work, parallelism(spark))
