@@ -93,8 +93,8 @@ def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int]
     return good, rejects
 
 
-def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
-                    ) -> tuple[DataFrame, DataFrame]:
+def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None,
+                    annotate=None) -> tuple[DataFrame, DataFrame]:
     """(one row per key, all other rows).
 
     The row that stays is the least by the other columns.  No join and no
@@ -105,7 +105,9 @@ def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
     are then produced by many tasks (``replicate_rows``).
 
     ``stage_path`` writes the kept rows once (a lineage cut in the shared work
-    folder); the rejects and every later use then read that copy.
+    folder); the rejects and every later use then read that copy.  ``annotate``
+    may add columns to the kept rows before they are staged (they are not part
+    of the row for the difference).
     """
     key = list(key_columns)
     cols = df.columns
@@ -118,6 +120,8 @@ def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
         kept = least.select(*key, *[F.col("_m").getField(c).alias(c) for c in others]).select(*cols)
     else:
         kept = df.select(*key).distinct()
+    if annotate is not None:
+        kept = annotate(kept)
     if stage_path:
         kept = stage(kept, stage_path)
     weighted = (df.select(*cols, F.lit(1).cast("long").alias("_w"))

@@ -17,6 +17,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.spread import spread
 from ..operators.rejects import conversion_split, duplicate_split, prepare_reject_tables
@@ -115,12 +116,19 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
         key = [by_lower.get(k.lower(), k) for k in key]
         # the kept rows feed the rejects, the key check and the append: computed once
         run_dir = new_run_dir(spark, "load")
-        kept, duplicate_rejects = duplicate_split(good, key, stage_path=f"{run_dir}/kept")
+        annotate = None
         if not spec.replace_target:
-            # rows whose key the target already holds would break it as well
-            held = wh.read_table(target, splits=spec.writers).select(*key)
-            duplicate_rejects = duplicate_rejects.unionByName(kept.join(held, key, "left_semi"))
-            kept = kept.join(held, key, "left_anti")
+            # rows whose key the target already holds would break it as well:
+            # flag them once, by one join of unique keys on both sides
+            held = (wh.read_table(target, splits=spec.writers).select(*key).distinct()
+                      .withColumn("_held", F.lit(True)))
+            annotate = lambda k: (k.join(held, key, "left")
+                                   .withColumn("_held", F.coalesce(F.col("_held"), F.lit(False))))
+        kept, duplicate_rejects = duplicate_split(good, key, stage_path=f"{run_dir}/kept",
+                                                  annotate=annotate)
+        if annotate is not None:
+            duplicate_rejects = duplicate_rejects.unionByName(kept.where("_held").drop("_held"))
+            kept = kept.where(~F.col("_held")).drop("_held")
         wh.create(conversion_rejects, err_1)
         wh.create(duplicate_rejects, err_2)
         written.append(err_2.qualified())
