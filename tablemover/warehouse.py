@@ -78,7 +78,7 @@ class CatalogWarehouse:
     def append(self, df: DataFrame, table: TableName, *, writers: int | None = None,
                options: dict[str, str] | None = None) -> None:
         """Insert by column name.  The DataFrame's own partitions are the writers:
-        forcing a count here would add a shuffle and cap a cluster-wide write."""
+        forcing a writer count here would add a shuffle and cap a cluster-wide write."""
         target_cols = self.schema(table).fieldNames()
         df.select(*target_cols).write.options(**(options or {})).insertInto(self.name(table))
 
@@ -246,11 +246,15 @@ class JdbcWarehouse:
 
     # -- split reads -------------------------------------------------------------
     def split_predicates(self, column: str, splits: int) -> list[str]:
-        """One predicate per hash bucket of ``column``: every row in exactly one.
+        """One predicate per hash bucket of ``column``: every row in exactly one,
+        rows whose value is NULL in the first (none is left out).
 
         ``column`` may be any integer-valued SQL expression of the warehouse,
-        e.g. its own hash of a text key, for tables without a numeric key."""
-        return [f"MOD(ABS({column}), {splits}) = {i}" for i in range(splits)]
+        e.g. its own hash of a text key, for tables without a numeric key.
+        ``MOD(MOD(c, n) + n, n)`` is never negative and, unlike ``ABS``, cannot
+        overflow on the smallest integer."""
+        bucket = f"MOD(MOD({column}, {splits}) + {splits}, {splits})"
+        return [f"({bucket} = 0 OR {column} IS NULL)"] + [f"{bucket} = {i}" for i in range(1, splits)]
 
     def _bounds(self, source_sql: str, column: str) -> tuple:
         row = self.spark.read.format("jdbc").options(**self.read_options(

@@ -81,7 +81,8 @@ def test_jdbc_options_and_split_predicates(spark):
     plain = JdbcWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="secret")
     assert plain.read_options(dbtable="db.t")["fetchsize"] == "10000"
     preds = wh.split_predicates("o_orderkey", 4)
-    assert preds == [f"MOD(ABS(o_orderkey), 4) = {i}" for i in range(4)]
+    bucket = "MOD(MOD(o_orderkey, 4) + 4, 4)"
+    assert preds == [f"({bucket} = 0 OR o_orderkey IS NULL)"] + [f"{bucket} = {i}" for i in (1, 2, 3)]
     with pytest.raises(ValueError, match="JDBC URL"):
         wh.write_options(TableName("t"), 8, insert_method="internal.fastload")
     with pytest.raises(ValueError, match="password"):
@@ -139,7 +140,7 @@ def test_jdbc_split_reads_build_the_right_calls():
     wh.read_table(TableName("orders", "db"), splits=4, method="split.by.hash", split_column="o_orderkey")
     name, args, kwargs = spark.read.calls[-1]
     assert name == "jdbc" and args[1] == "db.orders"
-    assert kwargs["predicates"] == [f"MOD(ABS(o_orderkey), 4) = {i}" for i in range(4)]
+    assert kwargs["predicates"] == wh.split_predicates("o_orderkey", 4)
     assert kwargs["properties"]["password"] == "pw"
 
     spark.read.calls.clear()
@@ -178,7 +179,7 @@ def test_jdbc_table_split_defaults_to_primary_key():
     wh = KeyedWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="pw")
     wh.read_table(TableName("orders", "db"), splits=4)
     name, args, kwargs = spark.read.calls[-1]
-    assert name == "jdbc" and kwargs["predicates"][0] == "MOD(ABS(o_orderkey), 4) = 0"
+    assert name == "jdbc" and kwargs["predicates"][1] == "MOD(MOD(o_orderkey, 4) + 4, 4) = 1"
 
 
 def test_keyed_load_removes_its_staged_rows(spark):
@@ -207,3 +208,14 @@ def test_spec_settings_hold_for_the_transfer_only(spark):
     extract(spark, spec)
     assert len([f for f in __import__("os").listdir(path) if f.endswith(".parquet")]) == 5
     assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == before
+
+
+def test_split_predicates_cover_every_row_once(duck):
+    """Each row, NULL and negative keys included, falls in exactly one split."""
+    wh = JdbcWarehouse(_FakeSpark(), "jdbc:x://h", driver="D", user="u", password="pw")
+    hits = " + ".join(f"(CASE WHEN {p} THEN 1 ELSE 0 END)" for p in wh.split_predicates("k", 8))
+    n, wrong = duck.execute(f"""
+        WITH t AS (SELECT * FROM (VALUES (NULL), (-9223372036854775808), (-7), (0), (5), (15))
+                   AS v(k) UNION ALL SELECT o_orderkey FROM orders)
+        SELECT COUNT(*), COUNT(*) FILTER (WHERE {hits} <> 1) FROM t""").fetchone()
+    assert n > 6 and wrong == 0
