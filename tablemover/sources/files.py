@@ -26,6 +26,9 @@ TEXT_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "dateFormat": "yyyy-MM-dd",
+    # records end with "\n"; a fixed separator stops the parser from guessing it
+    # from a file's first line break, which may be a "\r\n" inside a value
+    "lineSep": "\n",
 }
 
 
@@ -41,6 +44,11 @@ def text_read_options(separator: str | None, *, multiline: bool = False) -> dict
     opts = dict(TEXT_OPTIONS)
     opts["sep"] = separator or ","
     opts["multiLine"] = "true" if multiline else "false"
+    # Written text marks NULL by an empty field and an empty string by "".  On
+    # read, an empty field takes this sentinel, which alone maps to NULL, so an
+    # empty string stays an empty string.  (A value of exactly one NUL character
+    # would also read as NULL.)
+    opts["nullValue"] = "\u0000"
     return opts
 
 
