@@ -23,7 +23,7 @@ TEXT_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",  # an instant carries its offset
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "dateFormat": "yyyy-MM-dd",
     # records end with "\n"; a fixed separator stops the parser from guessing it

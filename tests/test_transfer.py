@@ -231,3 +231,25 @@ def test_text_round_trip_keeps_every_value(spark):
     extract_files(df, path, "textfile", separator="|")
     back = spark.read.schema(df.schema).options(**text_read_options("|", multiline=True)).csv(path)
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_instants_survive_text_across_time_zones(spark):
+    import datetime as dt
+    from tablemover.operators.rejects import conversion_split
+    from tablemover.sinks.files import extract_files
+    from tablemover.sources.files import read_delimited
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        df = spark.sql("SELECT 1L AS id, TIMESTAMP'2024-03-10 01:30:00.123456' AS ts, "
+                       "TIMESTAMP_NTZ'2024-03-10 01:30:00.123456' AS local_ts")
+        path = f"{new_run_dir(spark, 'test')}/tz"
+        extract_files(df, path, "textfile", separator="|")
+        expected = df.selectExpr("unix_micros(ts) AS us", "local_ts").first()
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        good, bad = conversion_split(read_delimited(spark, path, df.schema, "|"), df.schema)
+        got = good.selectExpr("unix_micros(ts) AS us", "local_ts").first()
+        assert bad.count() == 0 and got.us == expected.us
+        assert got.local_ts == dt.datetime(2024, 3, 10, 1, 30, 0, 123456)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
