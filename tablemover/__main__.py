@@ -13,29 +13,43 @@
 from __future__ import annotations
 
 import argparse
+import re
 import sys
 
 # Fixed value: the driver class the reference's jobs connect with.
 DEFAULT_JDBC_DRIVER = "com.teradata.jdbc.TeraDriver"
 
 
+_ESCAPES = {"t": "\t", "n": "\n", "r": "\r", "f": "\f"}
+_KEY_VALUE = re.compile(r"^((?:\\.|[^=:\s\\])*)\s*[=:]?\s*(.*)$", re.S)
+
+
+def _unescape(text: str) -> str:
+    def one(m):
+        if m.group(1):  # \uXXXX
+            return chr(int(m.group(1), 16))
+        return _ESCAPES.get(m.group(2), m.group(2))
+    return re.sub(r"\\u([0-9a-fA-F]{4})|\\(.)", one, text)
+
+
 def read_properties(path: str) -> dict[str, str]:
-    """``key=value`` (or ``key: value``) lines; ``#``/``!`` comments; a trailing
-    backslash continues a line."""
+    """A Java properties file: ``key=value``, ``key: value`` or ``key value``;
+    ``#``/``!`` comments; a trailing backslash continues a line (the next
+    line's leading blanks dropped); backslash escapes, ``\\uXXXX`` included."""
     props: dict[str, str] = {}
     with open(path, encoding="utf-8") as fh:
         pending = ""
         for raw in fh:
-            line = pending + raw.strip()
+            line = pending + (raw.lstrip() if pending else raw.strip()).rstrip("\r\n")
             pending = ""
-            if line.endswith("\\"):
-                pending = line[:-1]
+            if not line.strip() or line.lstrip()[0] in "#!":
                 continue
-            if not line or line[0] in "#!":
+            trailing = len(line) - len(line.rstrip("\\"))
+            if trailing % 2 == 1:  # an odd number of backslashes continues the line
+                pending = line[:-1]
                 continue
-            cut = min((i for i in (line.find("="), line.find(":")) if i >= 0), default=-1)
-            key, value = (line, "") if cut < 0 else (line[:cut], line[cut + 1:])
-            props[key.strip()] = value.strip()
+            key, value = _KEY_VALUE.match(line.strip()).groups()
+            props[_unescape(key)] = _unescape(value.strip())
     return props
 
 

@@ -11,8 +11,11 @@ SF = "/root/testdata/sf0.001"
 
 def test_read_properties(tmp_path):
     p = tmp_path / "job.properties"
-    p.write_text("# comment\n! also\na.b=1\nc : two words\nlong=x\\\n  y\nempty=\n")
-    assert read_properties(str(p)) == {"a.b": "1", "c": "two words", "long": "xy", "empty": ""}
+    p.write_text("# comment\n! also\na.b=1\nc : two words\nlong=x\\\n  y\nempty=\n"
+                 "spaced value here\nesc\\=key=a\\tb\nuni=caf\\u00e9\npath=C:\\\\dir\n")
+    assert read_properties(str(p)) == {"a.b": "1", "c": "two words", "long": "xy", "empty": "",
+                                       "spaced": "value here", "esc=key": "a\tb", "uni": "café",
+                                       "path": "C:\\dir"}
 
 
 def test_run_extract_and_load_from_properties(spark, tmp_path, capsys):
