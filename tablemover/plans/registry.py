@@ -220,6 +220,21 @@ def reject_existing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def reject_hot_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skew on the given data: lineitem's flags as rows keyed by the return flag.
+    Each key holds about a third of all rows, and a handful of distinct rows are
+    each repeated tens of thousands of times; the rejects are those copies."""
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_linestatus")
+    path = f"{new_run_dir(spark, 'files')}/flags"
+    extract_files(df, path, "orcfile")
+    db = new_database(spark, "wh")
+    create_table(spark, db, "flags", df.schema)
+    spec = catalog_spec(source_path=path, file_format="orcfile", target_table=f"{db}.flags",
+                        key_columns=("l_returnflag",), replace_target=True)
+    load(spark, spec)
+    return _table(spark, db, spec.error_tables[1].table)
+
+
 def reject_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     db, spec = _lineitem_load(spark, sf_dir, narrow_key=True, key=False)
     return _table(spark, db, spec.error_tables[0].table)
@@ -293,6 +308,7 @@ QUERIES = {
     "dedup_target": dedup_target,
     "reject_tables": reject_tables,
     "reject_existing_keys": reject_existing_keys,
+    "reject_hot_copies": reject_hot_copies,
     "encrypt_decrypt": encrypt_decrypt,
     "encrypt_documents": encrypt_documents,
     "decrypt_mixed_versions": decrypt_mixed_versions,
@@ -318,6 +334,7 @@ COVERAGE = {
     "dedup_target": ("S4", "R2", "K1", "F2"),
     "reject_tables": ("S4", "R1", "R2", "R3", "K2", "F2"),
     "reject_existing_keys": ("S4", "R2", "R3", "K1", "F2"),
+    "reject_hot_copies": ("S3", "R2", "K2", "K1", "F1"),
     "encrypt_decrypt": ("C1", "C2"),
     "encrypt_documents": ("C1", "C2"),
     "decrypt_mixed_versions": ("C1", "C2"),
@@ -362,6 +379,12 @@ ORACLE_SQL = {
         SELECT 'target' AS table_role, COUNT(*) AS n_rows
         FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k
         UNION ALL SELECT 'ERR_2', COUNT(*) FROM lineitem""",
+    "reject_hot_copies": """
+        SELECT l_returnflag, l_linestatus FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_returnflag
+                                         ORDER BY l_linestatus NULLS FIRST) AS rn
+            FROM lineitem) r
+        WHERE rn > 1""",
     "encrypt_decrypt": "SELECT * FROM customer",
     "decrypt_mixed_versions": ("SELECT c_custkey, c_name, '1.1' AS ver FROM customer "
                                "UNION ALL SELECT c_custkey, c_name, '2.0' AS ver FROM customer"),
