@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..sources.files import MALFORMED_COLUMN
 from ..spec import TableName
 from ..workspace import stage
+from .names import col, cols
 from .replicate import replicate_rows
 
 REASON_COLUMN = "reject_reason"
@@ -57,7 +58,7 @@ def _fit(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = No
             out.append((f.name, F.lit(None).cast(f.dataType), F.lit(not f.nullable)))
             continue
         src_type = df.schema[src_name].dataType
-        src = F.col(src_name)
+        src = col(src_name)
         if src_type == f.dataType:
             value = src
         elif isinstance(src_type, _NESTED) and not isinstance(f.dataType, _NESTED):
@@ -86,10 +87,10 @@ def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int]
     fits = _fit(df, target, limits)
     reasons = [F.when(bad, F.lit(name)) for name, _, bad in fits]
     if MALFORMED_COLUMN in df.columns:
-        reasons = [F.when(F.col(MALFORMED_COLUMN).isNotNull(), F.lit(MALFORMED_COLUMN))] + reasons
+        reasons = [F.when(col(MALFORMED_COLUMN).isNotNull(), F.lit(MALFORMED_COLUMN))] + reasons
     reason = F.concat_ws(",", *reasons)
     good = df.where(reason == "").select(*[value.alias(name) for name, value, _ in fits])
-    rejects = df.where(reason != "").select(*df.columns, reason.alias(REASON_COLUMN))
+    rejects = df.where(reason != "").select(*cols(df.columns), reason.alias(REASON_COLUMN))
     return good, rejects
 
 
@@ -110,23 +111,24 @@ def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
     of the row for the difference).
     """
     key = list(key_columns)
-    cols = df.columns
-    missing = [k for k in key if k not in cols]
+    names = df.columns
+    missing = [k for k in key if k not in names]
     if missing:
         raise ValueError(f"Key columns {missing} are not in the rows.")
-    others = [c for c in cols if c not in key]
+    others = [c for c in names if c not in key]
     if others:
-        least = df.groupBy(*key).agg(F.min(F.struct(*others)).alias("_m"))
-        kept = least.select(*key, *[F.col("_m").getField(c).alias(c) for c in others]).select(*cols)
+        least = df.groupBy(*cols(key)).agg(F.min(F.struct(*cols(others))).alias("_m"))
+        kept = (least.select(*cols(key), *[F.col("_m").getField(c).alias(c) for c in others])
+                     .select(*cols(names)))
     else:
-        kept = df.select(*key).distinct()
+        kept = df.select(*cols(key)).distinct()
     if annotate is not None:
         kept = annotate(kept)
     if stage_path:
         kept = stage(kept, stage_path)
-    weighted = (df.select(*cols, F.lit(1).cast("long").alias("_w"))
-                  .unionByName(kept.select(*cols, F.lit(-1).cast("long").alias("_w"))))
-    surplus = (weighted.groupBy(*cols).agg(F.sum("_w").alias("_r"))
+    weighted = (df.select(*cols(names), F.lit(1).cast("long").alias("_w"))
+                  .unionByName(kept.select(*cols(names), F.lit(-1).cast("long").alias("_w"))))
+    surplus = (weighted.groupBy(*cols(names)).agg(F.sum("_w").alias("_r"))
                        .where(F.col("_r") > 0))
     return kept, replicate_rows(surplus, "_r")
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import col, cols
+
 CHUNK_ROWS = 1 << 16
 
 
@@ -20,13 +22,13 @@ def _seq_to(n: Column) -> Column:
 def replicate_rows(df: DataFrame, count_column: str, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One pass: cut each count into chunks of at most ``chunk_rows`` copies,
     spread the chunks by (row, chunk id), then expand each chunk in place."""
-    cols = [c for c in df.columns if c != count_column]
-    n = F.col(count_column).cast("long")
+    names = [c for c in df.columns if c != count_column]
+    n = col(count_column).cast("long")
     last_chunk = F.floor((n - 1) / chunk_rows).cast("long")
-    return (df.select(*cols, n.alias("_n"),
+    return (df.select(*cols(names), n.alias("_n"),
                       F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
               .withColumn("_in_chunk", F.least(F.lit(chunk_rows).cast("long"),
                                                F.col("_n") - F.col("_chunk") * chunk_rows))
-              .repartition(*cols, "_chunk")
-              .select(*cols, F.explode(_seq_to(F.col("_in_chunk"))).alias("_copy"))
+              .repartition(*cols(names), F.col("_chunk"))
+              .select(*cols(names), F.explode(_seq_to(F.col("_in_chunk"))).alias("_copy"))
               .drop("_copy"))

@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.names import cols
 from ..operators.spread import spread
 from ..operators.rejects import conversion_split, duplicate_split, prepare_reject_tables
 from ..sinks.files import extract_files
@@ -120,7 +121,7 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
         if not spec.replace_target:
             # rows whose key the target already holds would break it as well:
             # flag them once, by one join of unique keys on both sides
-            held = (wh.read_table(target, splits=spec.writers).select(*key).distinct()
+            held = (wh.read_table(target, splits=spec.writers).select(*cols(key)).distinct()
                       .withColumn("_held", F.lit(True)))
             annotate = lambda k: (k.join(held, key, "left")
                                    .withColumn("_held", F.coalesce(F.col("_held"), F.lit(False))))

@@ -17,6 +17,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .operators.names import cols
 from .spec import TableName, merge_options
 
 _CHAR_TYPE = re.compile(r"(?:var)?char\((\d+)\)")
@@ -80,7 +81,7 @@ class CatalogWarehouse:
         """Insert by column name.  The DataFrame's own partitions are the writers:
         forcing a writer count here would add a shuffle and cap a cluster-wide write."""
         target_cols = self.schema(table).fieldNames()
-        df.select(*target_cols).write.options(**(options or {})).insertInto(self.name(table))
+        df.select(*cols(target_cols)).write.options(**(options or {})).insertInto(self.name(table))
 
     def create(self, df: DataFrame, table: TableName, *, fmt: str = "parquet") -> None:
         """Write ``df`` as a new table (used for the reject tables)."""

@@ -144,3 +144,27 @@ def test_declared_text_length_is_a_conversion_reject(spark):
     assert sorted(r["k"] for r in spark.table(f"{db}.t").collect()) == [1, 3, 4]
     rejected = spark.table(f"{db}.t_ERR_1").collect()
     assert [(r["k"], r[REASON_COLUMN]) for r in rejected] == [(2, "s")]
+
+
+def test_names_with_dots_and_spaces(spark):
+    from tablemover import TransferSpec, load
+    from tablemover.workspace import new_database
+    df = spark.createDataFrame([(1, "x", 5), (1, "y", 6), (2, "z", 7), (2, "z", 7)],
+                               "`a.b` long, `c d` string, n long")
+    kept, rejects = duplicate_split(df, ["a.b"])
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "x", 5), (2, "z", 7)]
+    assert multiset(kept.unionByName(rejects)) == multiset(df)
+    target = T.StructType([T.StructField("a.b", T.IntegerType()), T.StructField("c d", T.StringType()),
+                           T.StructField("n", T.LongType())])
+    good, bad = conversion_split(df, target)
+    assert good.count() == 4 and bad.count() == 0
+
+    db = new_database(spark, "names")
+    spark.sql(f"CREATE TABLE {db}.t (`a.b` BIGINT, `c d` STRING, n BIGINT) USING parquet")
+    df.write.saveAsTable(f"{db}.src")
+    spec = TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db, hive_table="src",
+                              target_table=f"{db}.t", key_columns=("a.b",))
+    load(spark, spec)
+    load(spark, spec)  # every key is now held: all rows go aside
+    assert spark.table(f"{db}.t").count() == 2
+    assert spark.table(f"{db}.t_ERR_2").count() == 4
