@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.names import col, cols
 from ..operators.spread import parallelism, spread
 from .kdf import PBKDF2_ROUNDS, pbkdf2_key, pbkdf2_key_udf, pkcs12_key_iv_udf
 
@@ -38,7 +39,7 @@ MAX_BROADCAST_SALTS = 4096
 
 def mask(c: Column | str) -> Column:
     """As many ``*`` as the value has characters; null stays null."""
-    c = F.col(c) if isinstance(c, str) else c
+    c = col(c) if isinstance(c, str) else c
     return F.repeat(F.lit("*"), F.length(c))
 
 
@@ -127,17 +128,17 @@ def _encrypt_v2(df: DataFrame, columns, passphrase: str, empty: str) -> DataFram
     # Only values that get sealed ask for the key.  The join key depends on the
     # row, so it stays a broadcast hash join (a constant key would be folded
     # into a nested-loop join).
-    needs_key = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
+    needs_key = reduce(lambda a, b: a | b, [col(c).isNotNull() for c in columns])
     work = (df.withColumn("_tm_salt", F.when(needs_key, F.lit(salt_text)))
               .join(F.broadcast(keys), "_tm_salt", "left"))
     out = {}
     for name in columns:
-        plain = F.col(name).cast("string")
+        plain = col(name).cast("string")
         sealed = F.aes_encrypt(plain.cast("binary"), F.col("_tm_key"), F.lit("GCM"))
         envelope = F.to_json(F.struct(F.lit(VERSION_2_0).alias("ver"), F.col("_tm_salt").alias("salt"),
                                       _b64(sealed).alias("val")))
-        out[name] = _refuse_empty(F.col(name), _b64(envelope.cast("binary")), empty)
-    return work.withColumns(out).select(*df.columns)
+        out[name] = _refuse_empty(col(name), _b64(envelope.cast("binary")), empty)
+    return work.withColumns(out).select(*cols(df.columns))
 
 
 def _encrypt_v11(df: DataFrame, columns, passphrase: str, empty: str) -> DataFrame:
@@ -151,17 +152,17 @@ def _encrypt_v11(df: DataFrame, columns, passphrase: str, empty: str) -> DataFra
     # the salt is drawn once, in its own column, so every use sees the same bytes
     work = work.withColumns({salt_of[c]: F.unhex(F.regexp_replace(F.expr("uuid()"), "-", ""))
                              for c in columns})
-    work = work.withColumns({kiv_of[c]: derive(F.when(F.col(c).isNotNull(), F.col(salt_of[c])))
+    work = work.withColumns({kiv_of[c]: derive(F.when(col(c).isNotNull(), F.col(salt_of[c])))
                              for c in columns})
     final = {}
     for c in columns:
         kiv = F.col(kiv_of[c])
-        sealed = F.aes_encrypt(F.col(c).cast("string").cast("binary"), kiv.getField("key"),
+        sealed = F.aes_encrypt(col(c).cast("string").cast("binary"), kiv.getField("key"),
                                F.lit("CBC"), F.lit("PKCS"), kiv.getField("iv"))
         payload = F.concat(F.col(salt_of[c]), F.substring(sealed, SALT_BYTES + 1, 1 << 30))
         envelope = F.to_json(F.struct(F.lit(VERSION_1_1).alias("ver"), _b64(payload).alias("val")))
-        final[c] = _refuse_empty(F.col(c), _b64(envelope.cast("binary")), empty)
-    return work.withColumns(final).select(*df.columns)
+        final[c] = _refuse_empty(col(c), _b64(envelope.cast("binary")), empty)
+    return work.withColumns(final).select(*cols(df.columns))
 
 
 def _parsed(c: Column):
@@ -189,7 +190,7 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     spark = df.sparkSession
     work = df
     for i, name in enumerate(columns):
-        js, ver, val, salt = _parsed(F.col(name))
+        js, ver, val, salt = _parsed(col(name))
         work = work.withColumns({f"_tm_ver_{i}": ver, f"_tm_val_{i}": F.try_to_binary(val, F.lit("base64")),
                                  f"_tm_salt_{i}": F.when(ver == VERSION_2_0, salt)})
 
@@ -246,7 +247,7 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
             ver = F.when(ver == version, ver).otherwise(F.concat(F.lit("foreign "), ver))
         if on_error == "raise":
             bad = lambda msg: F.raise_error(F.lit(msg))
-            opened = (F.when(F.col(name).isNull(), F.lit(None).cast("binary"))
+            opened = (F.when(col(name).isNull(), F.lit(None).cast("binary"))
                        .when(F.col(f"_tm_ver_{i}").isNull() | val.isNull(), bad("not an envelope"))
                        .when(ver == VERSION_1_1, v11)
                        .when(ver == VERSION_2_0, v20)
@@ -255,4 +256,4 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
         else:
             opened = F.when(ver == VERSION_1_1, v11).when(ver == VERSION_2_0, v20)
         out[name] = opened.cast("string")
-    return work.withColumns(out).select(*df.columns)
+    return work.withColumns(out).select(*cols(df.columns))

@@ -147,3 +147,12 @@ def test_1_1_envelope_has_the_published_structure(spark):
         assert set(doc) == {"ver", "val"} and doc["ver"] == "1.1"
         raw = base64.b64decode(doc["val"], validate=True)
         assert len(raw) > 16 and (len(raw) - 16) % 16 == 0  # salt + whole AES blocks
+
+
+def test_protect_columns_with_dotted_names(spark):
+    df = spark.createDataFrame([(1, "secret", "x")], "id long, `a.b` string, `c d` string")
+    for version in ("1.1", "2.0"):
+        back = decrypt_columns(encrypt_columns(df, ["a.b", "c d"], PASS, version=version),
+                               ["a.b", "c d"], PASS)
+        assert back.columns == df.columns and back.collect() == df.collect()
+    assert mask_columns(df, ["a.b"]).first()["a.b"] == "******"
