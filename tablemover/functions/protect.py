@@ -107,12 +107,12 @@ def encrypt_columns(df: DataFrame, columns, passphrase: str, *, version: str = V
     """
     _check_passphrase(passphrase)
     columns = list(columns)
-    # cipher work is CPU-bound: a small input gets at least one task per core
-    df = spread(df, parallelism(df.sparkSession))
     if version == VERSION_2_0:
         return _encrypt_v2(df, columns, passphrase, empty)
     if version == VERSION_1_1:
-        return _encrypt_v11(df, columns, passphrase, empty)
+        # 1.1 costs two key derivations per value (about 1 ms): worth a shuffle
+        # that gives a small input one task per core.  Native 2.0 is not.
+        return _encrypt_v11(spread(df, parallelism(df.sparkSession)), columns, passphrase, empty)
     if version == VERSION_1_0:
         raise ValueError("Version 1.0 (DES) is not supported; use 2.0 or 1.1.")
     raise ValueError(f"Invalid version {version}")
@@ -209,9 +209,6 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     if version == VERSION_2_0:
         has_v11 = False  # pinned: 1.1 envelopes are foreign and never opened
 
-    # cipher work is CPU-bound: a small input gets at least one task per core
-    work = spread(work, parallelism(spark))
-
     # 2.0 keys: one per job salt.  With the salts counted, the key table's size
     # is bounded and it is broadcast; past the bound, keys are derived in tasks.
     if len(salts) <= max_broadcast_salts:
@@ -227,6 +224,8 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     # 1.1 key and IV: one per value's salt, derived in an Arrow UDF.  Skipped
     # when no 1.1 value exists: then the plan has no Python at all.
     if has_v11:
+        # CPU-bound (about 1 ms per value): a small input gets one task per core
+        work = spread(work, parallelism(spark))
         derive_11 = pkcs12_key_iv_udf(passphrase)
         work = work.withColumns({
             f"_tm_kiv_{i}": derive_11(F.when(F.col(f"_tm_ver_{i}") == VERSION_1_1,
