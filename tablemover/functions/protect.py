@@ -35,6 +35,9 @@ SALT_BYTES = 16
 # Largest number of distinct 2.0 job salts whose keys we broadcast (32 bytes
 # each); beyond it keys are derived inside the tasks instead.
 MAX_BROADCAST_SALTS = 4096
+# Fewest tasks a column job runs with (the default parallel width of a
+# transfer): an input in fewer partitions, one file say, is spread first.
+MIN_TASKS = 8
 
 
 def mask(c: Column | str) -> Column:
@@ -108,11 +111,12 @@ def encrypt_columns(df: DataFrame, columns, passphrase: str, *, version: str = V
     _check_passphrase(passphrase)
     columns = list(columns)
     if version == VERSION_2_0:
-        return _encrypt_v2(df, columns, passphrase, empty)
+        return _encrypt_v2(spread(df, MIN_TASKS), columns, passphrase, empty)
     if version == VERSION_1_1:
         # 1.1 costs two key derivations per value (about 1 ms): worth a shuffle
-        # that gives a small input one task per core.  Native 2.0 is not.
-        return _encrypt_v11(spread(df, parallelism(df.sparkSession)), columns, passphrase, empty)
+        # that gives a small input one task per core.
+        return _encrypt_v11(spread(df, max(MIN_TASKS, parallelism(df.sparkSession))),
+                            columns, passphrase, empty)
     if version == VERSION_1_0:
         raise ValueError("Version 1.0 (DES) is not supported; use 2.0 or 1.1.")
     raise ValueError(f"Invalid version {version}")
@@ -209,6 +213,8 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     if version == VERSION_2_0:
         has_v11 = False  # pinned: 1.1 envelopes are foreign and never opened
 
+    work = spread(work, MIN_TASKS)
+
     # 2.0 keys: one per job salt.  With the salts counted, the key table's size
     # is bounded and it is broadcast; past the bound, keys are derived in tasks.
     if len(salts) <= max_broadcast_salts:
@@ -225,7 +231,7 @@ def decrypt_columns(df: DataFrame, columns, passphrase: str, *, on_error: str =
     # when no 1.1 value exists: then the plan has no Python at all.
     if has_v11:
         # CPU-bound (about 1 ms per value): a small input gets one task per core
-        work = spread(work, parallelism(spark))
+        work = spread(work, max(MIN_TASKS, parallelism(spark)))
         derive_11 = pkcs12_key_iv_udf(passphrase)
         work = work.withColumns({
             f"_tm_kiv_{i}": derive_11(F.when(F.col(f"_tm_ver_{i}") == VERSION_1_1,
