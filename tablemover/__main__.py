@@ -1,6 +1,6 @@
 """Command line: run a transfer from a job properties file, or seal one value.
 
-    spark-submit -m tablemover run job.properties [key=value ...]
+    python -m tablemover run job.properties [key=value ...]
     python -m tablemover encrypt -k <pass phrase> -p <plain text> -v 2.0
     python -m tablemover decrypt -f <key file> -c <envelope>
 
