@@ -38,6 +38,7 @@ class LoadReport:
     deleted: int | None = None
     dropped: list[str] = field(default_factory=list)
     error_tables: tuple[str, ...] = ()
+    rejected: dict[str, int] = field(default_factory=dict)  # rows per error table
 
 
 def decrypt_value(spark: SparkSession, envelope: str, key_path: str) -> str:
@@ -109,7 +110,7 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
     good, conversion_rejects = conversion_split(rows, schema, wh.text_limits(target))
     err_1, err_2 = spec.error_tables
     dropped = prepare_reject_tables(wh, (err_1, err_2), drop=spec.drop_error_tables)
-    written = [err_1.qualified()]
+    written = [err_1]
     key = tuple(spec.key_columns) or wh.primary_key(target)
     run_dir = None
     if key:
@@ -132,7 +133,7 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
             kept = kept.where(~F.col("_held")).drop("_held")
         wh.create(conversion_rejects, err_1)
         wh.create(duplicate_rejects, err_2)
-        written.append(err_2.qualified())
+        written.append(err_2)
     else:
         kept = good
         wh.create(conversion_rejects, err_1)
@@ -141,8 +142,10 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
     load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
     if run_dir:
         discard(spark, run_dir)  # every reader of the staged rows has run
+    # counts of the tables just written: file footers (or one COUNT(*)), no scan of rows
+    rejected = {t.qualified(): wh.count(t) for t in written}
     return LoadReport(target=target.qualified(), deleted=deleted, dropped=dropped,
-                      error_tables=tuple(written))
+                      error_tables=tuple(t.qualified() for t in written), rejected=rejected)
 
 
 def extract_source(spec: TransferSpec, warehouse) -> DataFrame:

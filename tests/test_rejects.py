@@ -139,8 +139,9 @@ def test_declared_text_length_is_a_conversion_reject(spark):
               "SELECT * FROM VALUES (1L, 'abc'), (2L, 'abcd'), (3L, 'ab   '), (4L, NULL) AS v(k, s)")
     wh = CatalogWarehouse(spark)
     assert wh.text_limits(TableName("t", db)) == {"s": 3}
-    load(spark, TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db,
-                                   hive_table="src", target_table=f"{db}.t"))
+    report = load(spark, TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db,
+                                            hive_table="src", target_table=f"{db}.t"))
+    assert report.rejected == {f"{db}.t_ERR_1": 1}
     assert sorted(r["k"] for r in spark.table(f"{db}.t").collect()) == [1, 3, 4]
     rejected = spark.table(f"{db}.t_ERR_1").collect()
     assert [(r["k"], r[REASON_COLUMN]) for r in rejected] == [(2, "s")]

@@ -57,6 +57,7 @@ def test_replace_reports_deleted_rows(spark):
     report = load(spark, catalog_spec(replace_target=True, **spec))
     assert report.deleted == 25 and spark.table(f"{db}.nation").count() == 25
     assert report.dropped == [f"{db}.nation_ERR_1"]
+    assert report.rejected == {f"{db}.nation_ERR_1": 0}
 
 
 def test_missing_target_is_an_error(spark):
