@@ -99,7 +99,8 @@ def main(argv=None) -> int:
     p_enc.add_argument("-p", "--plaintext", required=True)
     p_enc.add_argument("-v", "--version", default="2.0", choices=["1.1", "2.0"])
     p_dec = sub.add_parser("decrypt", help="print the plain text of one envelope")
-    p_dec.add_argument("-f", "--key-file", required=True, help="0400 file whose first line is the pass phrase")
+    p_dec.add_argument("-f", "--key-file", required=True,
+                       help="0400 file whose first line is the pass phrase")
     p_dec.add_argument("-c", "--ciphertext", required=True)
     args = parser.parse_args(argv)
 

@@ -164,6 +164,7 @@ def extract(spark: SparkSession, spec: TransferSpec, *, warehouse=None) -> str:
         wh = warehouse or warehouse_for(spark, spec)
         options = {}
         if spark_format(spec.file_format) == "avro" and (spec.avro_schema_inline or spec.avro_schema_path):
-            options["avroSchema"] = spec.avro_schema_inline or read_avro_schema_file(spark, spec.avro_schema_path)
+            options["avroSchema"] = (spec.avro_schema_inline
+                                     or read_avro_schema_file(spark, spec.avro_schema_path))
         return extract_files(extract_source(spec, wh), spec.target_path, spec.file_format,
                              separator=spec.separator, overwrite=spec.force_overwrite, options=options)
