@@ -156,3 +156,11 @@ def test_protect_columns_with_dotted_names(spark):
                                ["a.b", "c d"], PASS)
         assert back.columns == df.columns and back.collect() == df.collect()
     assert mask_columns(df, ["a.b"]).first()["a.b"] == "******"
+
+
+def test_several_columns_each_with_its_own_version(spark):
+    df = spark.createDataFrame([(1, "alpha", "beta", None), (2, "gamma", "delta", "eps")],
+                               "id long, a string, b string, c string")
+    sealed = encrypt_columns(encrypt_columns(df, ["a"], PASS, version="1.1"), ["b", "c"], PASS)
+    back = decrypt_columns(sealed, ["a", "b", "c"], PASS).orderBy("id").collect()
+    assert back == df.orderBy("id").collect()
