@@ -131,12 +131,12 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
         if annotate is not None:
             duplicate_rejects = duplicate_rejects.unionByName(kept.where("_held").drop("_held"))
             kept = kept.where(~F.col("_held")).drop("_held")
-        wh.create(conversion_rejects, err_1)
-        wh.create(duplicate_rejects, err_2)
+        wh.create(conversion_rejects, err_1, writers=spec.writers)
+        wh.create(duplicate_rejects, err_2, writers=spec.writers)
         written.append(err_2)
     else:
         kept = good
-        wh.create(conversion_rejects, err_1)
+        wh.create(conversion_rejects, err_1, writers=spec.writers)
 
     deleted = replace_target(wh, target) if spec.replace_target else None
     load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)

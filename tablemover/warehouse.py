@@ -83,7 +83,8 @@ class CatalogWarehouse:
         target_cols = self.schema(table).fieldNames()
         df.select(*cols(target_cols)).write.options(**(options or {})).insertInto(self.name(table))
 
-    def create(self, df: DataFrame, table: TableName, *, fmt: str = "parquet") -> None:
+    def create(self, df: DataFrame, table: TableName, *, fmt: str = "parquet",
+               writers: int | None = None) -> None:
         """Write ``df`` as a new table (used for the reject tables)."""
         df.write.format(fmt).mode("errorifexists").saveAsTable(self.name(table))
 
@@ -242,8 +243,10 @@ class JdbcWarehouse:
         opts = merge_options(self.write_options(table, writers, insert_method), options)
         df.write.format("jdbc").options(**opts).mode("append").save()
 
-    def create(self, df: DataFrame, table: TableName, *, fmt: str | None = None) -> None:
-        df.write.format("jdbc").options(**self.write_options(table, None)).mode("errorifexists").save()
+    def create(self, df: DataFrame, table: TableName, *, fmt: str | None = None,
+               writers: int | None = None) -> None:
+        """A new table from ``df``, through at most ``writers`` connections."""
+        df.write.format("jdbc").options(**self.write_options(table, writers)).mode("errorifexists").save()
 
     # -- split reads -------------------------------------------------------------
     def split_predicates(self, column: str, splits: int) -> list[str]:

@@ -254,3 +254,15 @@ def test_instants_survive_text_across_time_zones(spark):
         assert got.local_ts == dt.datetime(2024, 3, 10, 1, 30, 0, 123456)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_jdbc_error_tables_use_the_writer_cap():
+    class FakeFrame:
+        def __init__(self):
+            self.write = _Recorder()
+
+    df = FakeFrame()
+    wh = JdbcWarehouse(_FakeSpark(), "jdbc:x://h", driver="D", user="u", password="pw")
+    wh.create(df, TableName("t_ERR_1", "db"), writers=8)
+    opts = df.write.calls[1][2]
+    assert opts["numPartitions"] == "8" and df.write.calls[2][1] == ("errorifexists",)
