@@ -164,3 +164,11 @@ def test_several_columns_each_with_its_own_version(spark):
     sealed = encrypt_columns(encrypt_columns(df, ["a"], PASS, version="1.1"), ["b", "c"], PASS)
     back = decrypt_columns(sealed, ["a", "b", "c"], PASS).orderBy("id").collect()
     assert back == df.orderBy("id").collect()
+
+
+def test_empty_ciphertext_refused_null_kept(spark):
+    with pytest.raises(Exception, match="not an envelope"):
+        decrypt_columns(frame(spark, [""]), ["v"], PASS).collect()
+    rows = decrypt_columns(frame(spark, ["", None]), ["v"], PASS, on_error="null").orderBy("id").collect()
+    assert [r["v"] for r in rows] == [None, None]
+    assert decrypt_columns(frame(spark, [None]), ["v"], PASS).first()["v"] is None
