@@ -169,3 +169,13 @@ def test_names_with_dots_and_spaces(spark):
     load(spark, spec)  # every key is now held: all rows go aside
     assert spark.table(f"{db}.t").count() == 2
     assert spark.table(f"{db}.t_ERR_2").count() == 4
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-(2 ** 63), 2 ** 63 - 1)), min_size=1, max_size=40))
+def test_conversion_good_plus_rejects_is_input(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    good, bad = conversion_split(df, T.StructType([T.StructField("v", T.ByteType())]))
+    fits = [v for v in values if v is None or -128 <= v <= 127]
+    assert sorted(map(repr, (r.v for r in good.collect()))) == sorted(map(repr, fits))
+    assert bad.count() + len(fits) == len(values)
