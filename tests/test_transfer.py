@@ -266,3 +266,19 @@ def test_jdbc_error_tables_use_the_writer_cap():
     wh.create(df, TableName("t_ERR_1", "db"), writers=8)
     opts = df.write.calls[1][2]
     assert opts["numPartitions"] == "8" and df.write.calls[2][1] == ("errorifexists",)
+
+
+def test_load_into_a_partitioned_target(spark):
+    src = source_database(spark, SF, ["orders"])
+    db = new_database(spark, "part")
+    spark.sql(f"CREATE TABLE {db}.orders (o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, o_orderstatus STRING) "
+              "USING parquet PARTITIONED BY (o_orderstatus)")
+    spec = dict(job_type="hive", hive_database=src, hive_table="orders", target_table=f"{db}.orders",
+                key_columns=("o_orderkey",))
+    load(spark, catalog_spec(**spec))
+    report = load(spark, catalog_spec(replace_target=True, **spec))
+    got = spark.table(f"{db}.orders")
+    want = spark.table(f"{src}.orders")
+    assert report.deleted == want.count()
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
