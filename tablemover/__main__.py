@@ -1,6 +1,7 @@
 """Command line: run a transfer from a job properties file, or seal one value.
 
     python -m tablemover run job.properties [key=value ...]
+    python -m tablemover check job.properties
     python -m tablemover encrypt -k <pass phrase> -p <plain text> -v 2.0
     python -m tablemover decrypt -f <key file> -c <envelope>
 
@@ -58,10 +59,7 @@ def _session():
     return SparkSession.builder.appName("tablemover").getOrCreate()
 
 
-def run(props: dict[str, str]) -> str:
-    from .plans.transfer import extract, load, spec_from_properties
-    from .spec import Direction
-
+def _extras(props: dict[str, str]) -> dict:
     extra = {"warehouse": props.get("tablemover.warehouse", "jdbc")}
     if extra["warehouse"] == "jdbc":
         extra["driver"] = props.get("tablemover.jdbc.driver", DEFAULT_JDBC_DRIVER)
@@ -71,8 +69,25 @@ def run(props: dict[str, str]) -> str:
         extra["key_columns"] = tuple(c.strip() for c in props["tablemover.key.columns"].split(","))
     if props.get("tablemover.split.column"):
         extra["split_column"] = props["tablemover.split.column"]
+    return extra
+
+
+def check(props: dict[str, str]) -> str:
+    """Validate a properties file without Spark; an encrypted password is not
+    opened, only noted as present.  Secrets print masked."""
+    from .spec import CRYPTO_KEY_PATH_KEY, ENCRYPTED_CREDENTIAL_KEY, TransferSpec
+    has_secret = props.get(ENCRYPTED_CREDENTIAL_KEY) and props.get(CRYPTO_KEY_PATH_KEY)
+    spec = TransferSpec.from_properties(props, password="<encrypted>" if has_secret else None,
+                                        **_extras(props))
+    return repr(spec)
+
+
+def run(props: dict[str, str]) -> str:
+    from .plans.transfer import extract, load, spec_from_properties
+    from .spec import Direction
+
     spark = _session()
-    spec = spec_from_properties(spark, props, **extra)
+    spec = spec_from_properties(spark, props, **_extras(props))
     if spec.direction == Direction.EXTRACT:
         return f"extracted to {extract(spark, spec)}"
     return str(load(spark, spec))
@@ -96,6 +111,8 @@ def main(argv=None) -> int:
     p_run = sub.add_parser("run", help="run the load or extract a properties file describes")
     p_run.add_argument("properties")
     p_run.add_argument("overrides", nargs="*", help="key=value, applied after the file")
+    p_chk = sub.add_parser("check", help="validate a properties file and print its spec")
+    p_chk.add_argument("properties")
     p_enc = sub.add_parser("encrypt", help="print the envelope of one value")
     p_enc.add_argument("-k", "--key", required=True, help="pass phrase")
     p_enc.add_argument("-p", "--plaintext", required=True)
@@ -110,6 +127,8 @@ def main(argv=None) -> int:
         props = read_properties(args.properties)
         props.update(dict(o.split("=", 1) for o in args.overrides))
         print(run(props))
+    elif args.command == "check":
+        print(check(read_properties(args.properties)))
     elif args.command == "encrypt":
         print(seal(args.key, args.plaintext, args.version))
     else:

@@ -47,3 +47,17 @@ def test_encrypt_then_decrypt_one_value(spark, tmp_path, capsys):
         envelope = capsys.readouterr().out.strip()
         main(["decrypt", "-f", str(key), "-c", envelope])
         assert capsys.readouterr().out.strip() == "secret value"
+
+
+def test_check_validates_without_spark(tmp_path, capsys):
+    job = tmp_path / "job.properties"
+    job.write_text("td.hostname=h\ntd.userid=u\ntd.encrypted.credential=abc\ntd.crypto.key.path=/k\n"
+                   "source.hdfs.path=/in\nhdfs.fileformat=orcfile\ntarget.td.tablename=db.target\n")
+    assert main(["check", str(job)]) == 0
+    out = capsys.readouterr().out
+    assert "direction=<Direction.LOAD_FILES" in out and "error_prefix='target'" in out
+    assert "<encrypted>" not in out and "password='***********'" in out
+    job.write_text("td.hostname=h\ntd.userid=u\nsource.hdfs.path=/in\n")
+    import pytest
+    with pytest.raises(ValueError, match="Password is required."):
+        main(["check", str(job)])
