@@ -3,7 +3,8 @@
 Load (F1 files -> table, F2 catalog table -> table):
     read -> R1 conversion rejects -> R2 duplicate rejects (within the rows, and
     against keys the target already holds unless it is replaced) -> R3 drop
-    leftovers -> write both reject tables -> K2 delete target rows -> K1 append.
+    leftovers -> write both reject tables -> K2 + K1: replace (a catalog target
+    in one INSERT OVERWRITE job; JDBC: DELETE, then append) or append.
 The rejects are written before the target is touched, so a failure while
 computing them leaves the target as it was.
 
@@ -23,7 +24,7 @@ from ..operators.names import cols
 from ..operators.spread import spread
 from ..operators.rejects import conversion_split, duplicate_split, prepare_reject_tables
 from ..sinks.files import extract_files
-from ..sinks.tables import load_table, replace_target
+from ..sinks.tables import load_table, replace_and_load
 from ..sources.files import read_avro_schema_file, read_files, spark_format
 from ..sources.tables import read_catalog_table, read_query, read_table_split
 from ..functions.protect import decrypt_columns, read_passphrase
@@ -138,8 +139,12 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
         kept = good
         wh.create(conversion_rejects, err_1, writers=spec.writers)
 
-    deleted = replace_target(wh, target) if spec.replace_target else None
-    load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
+    if spec.replace_target:
+        deleted = replace_and_load(kept, wh, target, writers=spec.writers,
+                                   insert_method=spec.insert_method)
+    else:
+        deleted = None
+        load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
     if run_dir:
         discard(spark, run_dir)  # every reader of the staged rows has run
     # counts of the tables just written: file footers (or one COUNT(*)), no scan of rows

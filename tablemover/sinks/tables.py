@@ -20,3 +20,10 @@ def load_table(df: DataFrame, warehouse, target: TableName, *, writers: int | No
 def replace_target(warehouse, target: TableName) -> int:
     """K2: delete all rows of ``target``, keep the table; return how many went."""
     return warehouse.delete_all(target)
+
+
+def replace_and_load(df: DataFrame, warehouse, target: TableName, *, writers: int | None = None,
+                     insert_method: str | None = None) -> int:
+    """K2 + K1: the target ends up holding exactly ``df``; returns how many rows
+    it held before.  A catalog target does both in one overwrite job."""
+    return warehouse.replace_with(df, target, writers=writers, insert_method=insert_method)

@@ -83,6 +83,26 @@ class CatalogWarehouse:
         target_cols = self.schema(table).fieldNames()
         df.select(*cols(target_cols)).write.options(**(options or {})).insertInto(self.name(table))
 
+    def replace_with(self, df: DataFrame, table: TableName, *, writers: int | None = None,
+                     insert_method: str | None = None) -> int:
+        """K2 + K1 in one job: every old row goes, ``df`` comes in; return how
+        many rows went.  ``INSERT OVERWRITE`` also serves external tables (which
+        refuse ``TRUNCATE``).  Partition overwrite is held static for the write,
+        so no old partition survives even when the session overwrites dynamically."""
+        n = self.count(table)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, "static")
+        try:
+            target_cols = self.schema(table).fieldNames()
+            df.select(*cols(target_cols)).write.insertInto(self.name(table), overwrite=True)
+        finally:
+            if before is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, before)
+        return n
+
     def create(self, df: DataFrame, table: TableName, *, fmt: str = "parquet",
                writers: int | None = None) -> None:
         """Write ``df`` as a new table (used for the reject tables)."""
@@ -243,6 +263,13 @@ class JdbcWarehouse:
         opts = merge_options(self.write_options(table, writers, insert_method), options)
         df.write.format("jdbc").options(**opts).mode("append").save()
 
+    def replace_with(self, df: DataFrame, table: TableName, *, writers: int | None = None,
+                     insert_method: str | None = None) -> int:
+        """K2 then K1: delete every row (committed, counted), then append."""
+        n = self.delete_all(table)
+        self.append(df, table, writers=writers, insert_method=insert_method)
+        return n
+
     def create(self, df: DataFrame, table: TableName, *, fmt: str | None = None,
                writers: int | None = None) -> None:
         """A new table from ``df``, through at most ``writers`` connections."""

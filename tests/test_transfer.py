@@ -282,3 +282,22 @@ def test_load_into_a_partitioned_target(spark):
     want = spark.table(f"{src}.orders")
     assert report.deleted == want.count()
     assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_replace_external_partitioned_target_under_dynamic_overwrite(spark, tmp_path):
+    src = source_database(spark, SF, ["nation"])
+    db = new_database(spark, "ext")
+    spark.sql(f"CREATE TABLE {db}.nation (n_nationkey INT, n_name STRING, n_regionkey INT) "
+              f"USING parquet PARTITIONED BY (n_regionkey) LOCATION '{tmp_path}/nation'")
+    spark.createDataFrame([(99, "OLD", 7)], "n_nationkey int, n_name string, n_regionkey int") \
+        .write.insertInto(f"{db}.nation")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        report = load(spark, catalog_spec(job_type="hive", hive_database=src, hive_table="nation",
+                                          target_table=f"{db}.nation", replace_target=True))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    got = spark.table(f"{db}.nation")
+    assert report.deleted == 1 and got.count() == 25 and got.where("n_name = 'OLD'").count() == 0
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
