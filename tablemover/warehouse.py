@@ -68,12 +68,18 @@ class CatalogWarehouse:
         return limits
 
     def delete_all(self, table: TableName) -> int:
-        """Delete every row, keep the table and its definition; return the count."""
+        """Delete every row, keep the table and its definition; return the count.
+        ``TRUNCATE``; else ``DELETE`` (V2 tables); else, for external file
+        tables, an overwrite with no rows."""
         n = self.count(table)
         try:
             self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
-        except Exception:  # V2 tables without TRUNCATE support take a DELETE
-            self.spark.sql(f"DELETE FROM {self.name(table)}")
+        except Exception:
+            try:
+                self.spark.sql(f"DELETE FROM {self.name(table)}")
+            except Exception:
+                empty = self.spark.createDataFrame([], self.schema(table))
+                self.replace_with(empty, table)
         return n
 
     def append(self, df: DataFrame, table: TableName, *, writers: int | None = None,

@@ -301,3 +301,13 @@ def test_replace_external_partitioned_target_under_dynamic_overwrite(spark, tmp_
     got = spark.table(f"{db}.nation")
     assert report.deleted == 1 and got.count() == 25 and got.where("n_name = 'OLD'").count() == 0
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_delete_all_on_an_external_table(spark, tmp_path):
+    from tablemover.sinks.tables import replace_target
+    db = new_database(spark, "ext")
+    spark.sql(f"CREATE TABLE {db}.t (k BIGINT, p STRING) USING parquet PARTITIONED BY (p) "
+              f"LOCATION '{tmp_path}/t'")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k long, p string").write.insertInto(f"{db}.t")
+    assert replace_target(CatalogWarehouse(spark), TableName("t", db)) == 2
+    assert spark.table(f"{db}.t").count() == 0 and spark.catalog.tableExists(f"{db}.t")
