@@ -18,7 +18,7 @@ from ..sources.files import MALFORMED_COLUMN
 from ..spec import TableName
 from ..workspace import stage
 from .names import col, cols
-from .replicate import replicate_rows
+from .replicate import CHUNK_ROWS, replicate_rows
 
 REASON_COLUMN = "reject_reason"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -95,7 +95,7 @@ def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int]
 
 
 def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None,
-                    annotate=None) -> tuple[DataFrame, DataFrame]:
+                    annotate=None, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """(one row per key, all other rows).
 
     The row that stays is the least by the other columns.  No join and no
@@ -130,7 +130,7 @@ def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None
                   .unionByName(kept.select(*cols(names), F.lit(-1).cast("long").alias("_w"))))
     surplus = (weighted.groupBy(*cols(names)).agg(F.sum("_w").alias("_r"))
                        .where(F.col("_r") > 0))
-    return kept, replicate_rows(surplus, "_r")
+    return kept, replicate_rows(surplus, "_r", chunk_rows=chunk_rows)
 
 
 def prepare_reject_tables(warehouse, tables: tuple[TableName, ...], *, drop: bool) -> list[str]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .names import col, cols
+from .spread import parallelism
 
 CHUNK_ROWS = 1 << 16
 
@@ -21,14 +22,22 @@ def _seq_to(n: Column) -> Column:
 
 def replicate_rows(df: DataFrame, count_column: str, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One pass: cut each count into chunks of at most ``chunk_rows`` copies,
-    spread the chunks by (row, chunk id), then expand each chunk in place."""
+    spread the chunks by (row, chunk id), then expand each chunk in place.
+
+    The shuffle carries one small record per chunk, so adaptive execution would
+    see little data and coalesce it into few tasks, and the copies would then be
+    expanded by those few.  An explicit partition count keeps the chunks apart."""
     names = [c for c in df.columns if c != count_column]
+    try:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:  # a non-numeric setting: use the session's parallelism
+        partitions = parallelism(df.sparkSession)
     n = col(count_column).cast("long")
     last_chunk = F.floor((n - 1) / chunk_rows).cast("long")
     return (df.select(*cols(names), n.alias("_n"),
                       F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
               .withColumn("_in_chunk", F.least(F.lit(chunk_rows).cast("long"),
                                                F.col("_n") - F.col("_chunk") * chunk_rows))
-              .repartition(*cols(names), F.col("_chunk"))
+              .repartition(partitions, *cols(names), F.col("_chunk"))
               .select(*cols(names), F.explode(_seq_to(F.col("_in_chunk"))).alias("_copy"))
               .drop("_copy"))

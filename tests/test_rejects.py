@@ -179,3 +179,14 @@ def test_conversion_good_plus_rejects_is_input(spark, values):
     fits = [v for v in values if v is None or -128 <= v <= 127]
     assert sorted(map(repr, (r.v for r in good.collect()))) == sorted(map(repr, fits))
     assert bad.count() + len(fits) == len(values)
+
+
+def test_hot_copies_are_written_in_chunks(spark):
+    """Copies beyond one chunk are produced by several tasks; none is lost."""
+    copies = spark.range(0, 1000).select(F.lit(1).cast("long").alias("k"), F.lit(5).cast("long").alias("v"))
+    other = spark.range(0, 10).select(F.lit(2).cast("long").alias("k"), F.col("id").alias("v"))
+    df = copies.unionByName(other)
+    kept, rejects = duplicate_split(df, ["k"], chunk_rows=7)
+    assert multiset(kept.unionByName(rejects)) == multiset(df)
+    per_task = rejects.groupBy(F.spark_partition_id().alias("pid")).count().collect()
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 999
