@@ -40,6 +40,7 @@ class LoadReport:
     dropped: list[str] = field(default_factory=list)
     error_tables: tuple[str, ...] = ()
     rejected: dict[str, int] = field(default_factory=dict)  # rows per error table
+    loaded: int | None = None  # rows the target gained (or holds, after a replace)
 
 
 def decrypt_value(spark: SparkSession, envelope: str, key_path: str) -> str:
@@ -142,15 +143,18 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
     if spec.replace_target:
         deleted = replace_and_load(kept, wh, target, writers=spec.writers,
                                    insert_method=spec.insert_method)
+        loaded = wh.count(target)
     else:
-        deleted = None
+        deleted, before = None, wh.count(target)
         load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
+        loaded = wh.count(target) - before
     if run_dir:
         discard(spark, run_dir)  # every reader of the staged rows has run
     # counts of the tables just written: file footers (or one COUNT(*)), no scan of rows
     rejected = {t.qualified(): wh.count(t) for t in written}
     return LoadReport(target=target.qualified(), deleted=deleted, dropped=dropped,
-                      error_tables=tuple(t.qualified() for t in written), rejected=rejected)
+                      error_tables=tuple(t.qualified() for t in written), rejected=rejected,
+                      loaded=loaded)
 
 
 def extract_source(spec: TransferSpec, warehouse) -> DataFrame:

@@ -53,11 +53,12 @@ def test_replace_reports_deleted_rows(spark):
     db = new_database(spark, "test")
     create_table(spark, db, "nation", spark.table(f"{src}.nation").schema)
     spec = dict(job_type="hive", hive_database=src, hive_table="nation", target_table=f"{db}.nation")
-    assert load(spark, catalog_spec(**spec)).deleted is None
+    first = load(spark, catalog_spec(**spec))
+    assert first.deleted is None and first.loaded == 25
     report = load(spark, catalog_spec(replace_target=True, **spec))
     assert report.deleted == 25 and spark.table(f"{db}.nation").count() == 25
     assert report.dropped == [f"{db}.nation_ERR_1"]
-    assert report.rejected == {f"{db}.nation_ERR_1": 0}
+    assert report.rejected == {f"{db}.nation_ERR_1": 0} and report.loaded == 25
 
 
 def test_missing_target_is_an_error(spark):
