@@ -7,6 +7,7 @@ per file split of a catalog table): no repartition, so no shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..sources.files import TEXT_OPTIONS, avro_available, spark_format
 
@@ -20,6 +21,12 @@ def extract_files(df: DataFrame, path: str, file_format: str | None, *,
     if fmt == "avro" and not avro_available(df.sparkSession):
         raise RuntimeError("Writing Avro needs Spark's Avro module on the class path "
                            "(spark-submit --packages org.apache.spark:spark-avro_2.13:<spark version>).")
+    if fmt == "csv":
+        nested = [f.name for f in df.schema.fields
+                  if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+        if nested:
+            raise ValueError(f"Delimited text cannot hold nested columns {nested}; "
+                             "turn them to text with to_json first, or extract to orc or parquet.")
     writer = df.write.format(fmt).mode("overwrite" if overwrite else "errorifexists")
     if fmt == "csv":
         writer = writer.options(**TEXT_OPTIONS).option("sep", separator or ",")

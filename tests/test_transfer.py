@@ -312,3 +312,10 @@ def test_delete_all_on_an_external_table(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (2, "b")], "k long, p string").write.insertInto(f"{db}.t")
     assert replace_target(CatalogWarehouse(spark), TableName("t", db)) == 2
     assert spark.table(f"{db}.t").count() == 0 and spark.catalog.tableExists(f"{db}.t")
+
+
+def test_nested_columns_refused_by_text_extract(spark):
+    from tablemover.sinks.files import extract_files
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet")
+    with pytest.raises(ValueError, match="to_json"):
+        extract_files(emb, f"{new_run_dir(spark, 'test')}/emb", "textfile")
