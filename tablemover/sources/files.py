@@ -66,6 +66,20 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, target: T.StructType, *,
+                    options: dict | None = None) -> DataFrame:
+    """JSON lines under the target's columns: flat fields as text (R1 converts
+    them), nested fields in their own type, and the raw text of a malformed
+    line in ``_malformed_line``, so that no bad line loads as a row of nulls."""
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    schema = T.StructType([T.StructField(f.name, f.dataType if isinstance(f.dataType, nested)
+                                         else T.StringType()) for f in target.fields]
+                          + [T.StructField(MALFORMED_COLUMN, T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_COLUMN}
+    opts.update(options or {})
+    return spark.read.schema(schema).options(**opts).json(path)
+
+
 def avro_available(spark: SparkSession) -> bool:
     """Whether the ``avro`` data source resolves (the module is external)."""
     try:
@@ -106,4 +120,6 @@ def read_files(spark: SparkSession, path: str, file_format: str | None, *,
         if columns is None:
             raise ValueError("Delimited text needs the target's column names.")
         return read_delimited(spark, path, columns, separator, options=options)
+    if fmt == "json" and isinstance(columns, T.StructType):
+        return read_json_lines(spark, path, columns, options=options)
     return spark.read.format(fmt).options(**(options or {})).load(path)

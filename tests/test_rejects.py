@@ -190,3 +190,15 @@ def test_hot_copies_are_written_in_chunks(spark):
     assert multiset(kept.unionByName(rejects)) == multiset(df)
     per_task = rejects.groupBy(F.spark_partition_id().alias("pid")).count().collect()
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 999
+
+
+def test_json_lines_reject_bad_values_and_lines(spark, tmp_path):
+    from tablemover.sources.files import read_files
+    path = tmp_path / "in.json"
+    path.write_text('{"k": 1, "s": "a", "xs": [1, 2]}\n{"k": "x", "s": "b"}\n{not json\n'
+                    '{"k": 3, "s": null, "xs": []}\n')
+    target = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.StringType()),
+                           T.StructField("xs", T.ArrayType(T.LongType()))])
+    good, bad = conversion_split(read_files(spark, str(path), "json", columns=target), target)
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "a", [1, 2]), (3, None, [])]
+    assert sorted(r[REASON_COLUMN] for r in bad.collect()) == [MALFORMED_COLUMN, "k"]
