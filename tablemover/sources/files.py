@@ -21,6 +21,9 @@ TEXT_OPTIONS = {
     "header": "false",
     "quote": '"',
     "escape": '"',
+    # quotes are only ever doubled; the default ("\0") would make the parser
+    # swallow NUL characters that stand next to a quote inside a value
+    "charToEscapeQuoteEscaping": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",  # an instant carries its offset

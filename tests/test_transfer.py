@@ -319,3 +319,20 @@ def test_nested_columns_refused_by_text_extract(spark):
     emb = spark.read.parquet(f"{SF}/embeddings.parquet")
     with pytest.raises(ValueError, match="to_json"):
         extract_files(emb, f"{new_run_dir(spark, 'test')}/emb", "textfile")
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30).filter(lambda v: v != "\x00")),
+                min_size=1, max_size=25))
+def test_text_round_trip_property(spark, values):
+    from tablemover.sinks.files import extract_files
+    from tablemover.sources.files import text_read_options
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
+    path = f"{new_run_dir(spark, 'prop')}/t"
+    extract_files(df, path, "textfile", separator="|")
+    back = spark.read.schema(df.schema).options(**text_read_options("|", multiline=True)).csv(path)
+    assert sorted((r.id, r.v) for r in back.collect()) == sorted(enumerate(values))
