@@ -2,19 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir
 from .line_dedup import dedup_lines
+from .quality import judge
+from .sentencepiece_fst import encode_decode
 from .sharding import shard_rows
+from .toxicity import scored, train
 from .warc import read_warc, records_of, write_warc
 
+# The folder of the public tokenizers' vocabulary files.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+SENTENCEPIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc32_of_id(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id written as text."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = encode_decode(docs, SENTENCEPIECE_MODEL)
+    return done.select("doc_id", "n_pieces", "pieces", "round_trip",
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = table(spark, sf_dir, "labels").where(F.pmod(crc32_of_id(), F.lit(3)) != 1)
+    models = train(docs.where(F.pmod(crc32_of_id(), F.lit(3)) != 1), seen.select("doc_id", "toxic"))
+    return scored(docs, models).select(
+        "doc_id", (F.pmod(crc32_of_id(), F.lit(3)) == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -72,9 +102,18 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM r
 """
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return judge(docs).select("row.doc_id", "counts.n_words", "counts.word_chars", "counts.n_symbols",
+                              "counts.n_dup_lines", "counts.n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op10_warc": op10_warc,
 }
 
