@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir
+from .decontaminate import contamination
 from .line_dedup import dedup_lines
 from .quality import judge
+from .secret_ledger import BASE_RULES, findings
 from .sentencepiece_fst import encode_decode
 from .sharding import shard_rows
 from .toxicity import scored, train
@@ -84,6 +86,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("row.doc_id", (F.size("items") > 0).alias("contaminated"), "items", "edits")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest = write_warc(pages, new_run_dir(spark, "warc"), "page_id", "url", "html")
@@ -102,6 +110,22 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM r
 """
 
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = findings(docs, "doc_id", "text", new_run_dir(spark, "ledger"))
+    base = F.filter("found", lambda s: s["kind"] <= len(BASE_RULES))
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"], s["stop"])), ",")
+
+    def count(k):
+        return F.size(F.filter("found", lambda s: s["kind"] == k + 1)).cast("long")
+
+    return scanned.select("row.doc_id", *[count(k).alias(f"n_{r.name}") for k, r in enumerate(BASE_RULES)],
+                          F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
+                          written(F.col("found")).alias("spans"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return judge(docs).select("row.doc_id", "counts.n_words", "counts.word_chars", "counts.n_symbols",
@@ -113,7 +137,9 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op6_secret_ledger": op6_secret_ledger,
     "op7_quality_rules": op7_quality_rules,
+    "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
 }
 
