@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..workspace import new_run_dir
 from .decontaminate import contamination
 from .line_dedup import dedup_lines
+from .minmax import near_duplicates
 from .quality import judge
 from .secret_ledger import BASE_RULES, findings
 from .sentencepiece_fst import encode_decode
@@ -110,6 +111,13 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM r
 """
 
+def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, width=4)
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = findings(docs, "doc_id", "text", new_run_dir(spark, "ledger"))
@@ -137,6 +145,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op5_minmax_dedup": op5_minmax_dedup,
     "op6_secret_ledger": op6_secret_ledger,
     "op7_quality_rules": op7_quality_rules,
     "op9_decontaminate": op9_decontaminate,
