@@ -11,6 +11,7 @@ from ..workspace import new_run_dir
 from .decontaminate import contamination
 from .line_dedup import dedup_lines
 from .minmax import near_duplicates
+from .pitman_yor import score_texts
 from .quality import judge
 from .secret_ledger import BASE_RULES, findings
 from .sentencepiece_fst import encode_decode
@@ -87,6 +88,14 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    train = F.coalesce(F.pmod(crc32_of_id(), F.lit(10)) != 0, F.lit(True))
+    scored, tokens = score_texts(docs.select(F.col("doc_id").alias("id"), "text", train.alias("train")))
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -148,6 +157,7 @@ QUERIES = {
     "op5_minmax_dedup": op5_minmax_dedup,
     "op6_secret_ledger": op6_secret_ledger,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
 }
