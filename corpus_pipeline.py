@@ -1,25 +1,60 @@
 """A cleaning pipeline over ``documents``: each stage calls one operator of ``tablemover.llm``.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes as Parquet to the shared
-folder and rereads as the next stage's documents.
+folder and rereads as the next stage's documents.  All stages but the last return the columns of documents;
+each works on all rows that its predecessor kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablemover.llm.decontaminate import drop_contaminated
 from tablemover.llm.line_dedup import dedup_lines
+from tablemover.llm.minmax import drop_near_duplicates
+from tablemover.llm.quality import keep_good
+from tablemover.llm.queries import SENTENCEPIECE_MODEL
+from tablemover.llm.sentencepiece_fst import encode_decode
 from tablemover.workspace import new_run_dir, stage
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or their group's adaptive thresholds go."""
+    return keep_good(docs)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that several documents share stay only in the smallest doc_id."""
-    return dedup_lines(docs)
+    """Lines of 10 characters or more that several documents share stay only in the smallest doc_id.
+    ``n_chars`` follows the text."""
+    shorter = dedup_lines(docs)
+    return shorter.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8, the smallest doc_id stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage within its edit budget go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of documents with their pieces, and whether these decode to the text."""
+    return encode_decode(docs, SENTENCEPIECE_MODEL, decoded=False)
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("sentencepiece", sentencepiece),
+]
 
-# The quantile sketches and the similarity search have no SQL form; tests use a brute-force version.
+# Quantile sketches and similarity search have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
