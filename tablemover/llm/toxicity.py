@@ -51,18 +51,16 @@ def _features(texts: pd.Series) -> pd.Series:
     return pd.Series([sorted(features_of(t)) for t in texts])
 
 
-def select_features(positives: list[set], unlabelled: list[set]) -> list[str]:
-    """What is found in positives at another rate than in unlabelled texts, beyond chance; most telling first."""
-    from collections import Counter
-
-    p, u = Counter(w for s in positives for w in s), Counter(w for s in unlabelled for w in s)
-    n, m, z = len(positives), max(1, len(unlabelled)), {}
-    for w, found in p.items():
-        if found >= MIN_FOUND:
-            a, b = found / n, u[w] / m
-            both = (found + u[w] + 1) / (n + m + 2)
-            z[w] = abs(a - b) / np.sqrt(both * (1 - both) * (1 / n + 1 / m))
-    return [w for w in sorted(z, key=lambda w: (-z[w], w)) if z[w] >= MIN_Z][:MAX_FEATURES]
+def telling(sample: DataFrame, n: int, m: int) -> DataFrame:
+    """Features of the rows (positive, found) whose rate in the n positives differs from that in the m
+    unlabelled texts beyond chance; the MAX_FEATURES most telling ones, in order."""
+    counts = sample.select("positive", F.explode("found").alias("feature")).groupBy("feature").agg(
+        F.sum(F.col("positive").cast("int")).alias("p"), F.sum((~F.col("positive")).cast("int")).alias("u"))
+    both = (F.col("p") + F.col("u") + 1) / (n + m + 2)
+    error = F.sqrt(both * (1 - both) * (1 / n + 1 / max(1, m)))
+    z = F.abs(F.col("p") / n - F.col("u") / max(1, m)) / error
+    return (counts.where(F.col("p") >= MIN_FOUND).select("feature", z.alias("z")).where(F.col("z") >= MIN_Z)
+            .orderBy(F.desc("z"), "feature").limit(MAX_FEATURES))
 
 
 def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = STEPS) -> np.ndarray:
@@ -89,16 +87,15 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = ST
     return mean / (steps - steps // 2)
 
 
-def fit(positives: list[set], unlabelled: list[set], prior: float, seed: int = 5) -> list[tuple[dict, float]]:
-    """Classifiers as (word -> weight, intercept), each fitted on a random half of either sample."""
+def fit(positives: list, unlabelled: list, features: list[str], prior: float, seed: int = 5) -> list[tuple[dict, float]]:
+    """Classifiers as (feature -> weight, intercept), each fitted on a random half of either sample.  A sample
+    is a list of lists of feature numbers."""
     if not positives or not unlabelled:
         return []
-    features = select_features(positives, unlabelled)
-    at = {w: k for k, w in enumerate(features)}
-    def matrix(sets):
-        x = np.zeros((len(sets), len(features)), np.float32)
-        for r, s in enumerate(sets):
-            x[r, [at[w] for w in s if w in at]] = 1
+    def matrix(rows):
+        x = np.zeros((len(rows), len(features)), np.float32)
+        for r, found in enumerate(rows):
+            x[r, found] = 1
         return x
     x_pos, x_unl, rng, out = matrix(positives), matrix(unlabelled), np.random.default_rng(seed), []
     for _ in range(CLASSIFIERS):
@@ -111,7 +108,8 @@ def fit(positives: list[set], unlabelled: list[set], prior: float, seed: int = 5
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           toxic: str = "toxic", max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED):
     """Fit on the documents that ``labels`` covers.  The class prior is the share of positives among them.
-    Returns the classifiers; at most max_positives + max_unlabelled feature sets reach the driver."""
+    Returns the classifiers.  Feature counts are taken in Spark; the driver gets at most MAX_FEATURES features
+    and, per sampled text, the numbers of those it has."""
     marked = (labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("label_id"))
               .agg(F.max(toxic).alias("mark")))
     share = marked.agg(F.sum(F.when(F.col("mark") == 1, 1).otherwise(0)).alias("p"), F.count("*").alias("n")).first()
@@ -121,14 +119,26 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chosen = (marked.where("mark = 1").orderBy(order, "label_id").limit(max_positives)
               .unionByName(marked.where("mark IS DISTINCT FROM 1").orderBy(order, "label_id").limit(max_unlabelled)))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    sample = (texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
-              .dropDuplicates(["id"]).select("mark", _features("text").alias("found")))
-    rows = sample.collect()
-    positives = [set(r["found"]) for r in rows if r["mark"] == 1]
-    unlabelled = [set(r["found"]) for r in rows if r["mark"] != 1]
+    texts = (texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
+             .dropDuplicates(["id"]).select(F.col("mark").eqNullSafe(1).alias("positive"), "text"))
+    sample = texts.select("positive", _features("text").alias("found"))
+    sizes = {r["positive"]: r["count"] for r in texts.groupBy("positive").count().collect()}
+    n, m = sizes.get(True, 0), sizes.get(False, 0)
+    if not n or not m:
+        return []
+    features = [r["feature"] for r in telling(sample, n, m).collect()]
+    at = {f: k for k, f in enumerate(features)}
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def numbers(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(at[f] for f in features_of(t) & at.keys()) for t in texts])
+
+    rows = texts.select("positive", numbers("text").alias("found")).collect()
+    positives = [r["found"] for r in rows if r["positive"]]
+    unlabelled = [r["found"] for r in rows if not r["positive"]]
     prior = min(max(share["p"] / share["n"], 1e-3), 0.9)
     # The unlabelled sample leaves the known positives out; their share of the population is put back.
-    return fit(positives, unlabelled + positives[:round(prior / (1 - prior) * len(unlabelled))], prior)
+    return fit(positives, unlabelled + positives[:round(prior / (1 - prior) * m)], features, prior)
 
 
 def scored(docs: DataFrame, models: list[tuple[dict, float]], text: str = "text", name: str = "score") -> DataFrame:

@@ -1,10 +1,8 @@
 import zlib
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from tablemover.llm.queries import op2_toxicity
-from tablemover.llm.toxicity import features_of, fit, fit_nnpu, scored, select_features, train
+from tablemover.llm.toxicity import features_of, fit_nnpu, scored, telling, train
 
 from .conftest import SF
 
@@ -22,17 +20,16 @@ def sample(n=400, share=0.1, seed=1):
     return out
 
 
-def test_learns_from_positives_and_unlabelled():
+def test_learns_from_positives_and_unlabelled(spark):
+    """Half of the toxic texts are not marked as such."""
     rows = sample(3000)
-    positives = [features_of(t) for k, t, y in rows if y and k % 2]
-    unlabelled = [features_of(t) for k, t, y in rows if not (y and k % 2)][:1500]
-    models = fit(positives, unlabelled, 0.1)
-    def score(text):
-        found = features_of(text)
-        return np.mean([1 / (1 + np.exp(-(b + sum(w.get(x, 0) for x in found)))) for w, b in models])
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y * (k % 2)) for k, _, y in rows], "doc_id long, toxic int")
+    models = train(docs, labels)
     held = sample(800, seed=2)
-    hit = [(score(t) >= 0.5) == bool(y) for _, t, y in held]
-    assert np.mean(hit) > 0.99
+    got = scored(spark.createDataFrame(held, "doc_id long, text string, y int"), models).collect()
+    cut = 0.5 * (min(r.score for r in got) + max(r.score for r in got))
+    assert np.mean([(r.score >= cut) == bool(r.y) for r in got]) > 0.99
 
 
 def test_risk_stays_bounded_when_overfit():
@@ -41,10 +38,15 @@ def test_risk_stays_bounded_when_overfit():
     assert np.isfinite(w).all() and abs(w).max() < 100
 
 
-def test_no_chance_features():
+def test_no_chance_features(spark):
     rng = np.random.default_rng(0)
-    sets = [set(map(str, rng.integers(0, 50, 10))) for _ in range(400)]
-    assert select_features(sets[:200], sets[200:]) == []
+    rows = [(k < 200, sorted({f"c{x}" for x in rng.integers(0, 50, 10)} | ({"mark"} if k < 60 else set()))) for k in range(400)]
+    got = telling(spark.createDataFrame(rows, "positive boolean, found array<string>"), 200, 200).collect()
+    assert [r.feature for r in got] == ["mark"]
+
+
+def test_beginnings():
+    assert features_of("Worthless, no!") == {"worthless", "no", "wor-", "wort-", "worth-"} and features_of(None) == set()
 
 
 def test_awkward(spark, awkward, nothing):
