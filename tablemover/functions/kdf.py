@@ -2,16 +2,20 @@
 
 * ``1.1``: PKCS #12 derivation (RFC 7292, appendix B) with SHA-256: the AES-128
   key is id 1 and the CBC IV is id 2, from the pass phrase and a 16-byte salt.
-* ``2.0``: PBKDF2-HMAC-SHA256 from the pass phrase and one salt per job.
+* ``2.0``: PBKDF2-HMAC-SHA256 from the pass phrase and one salt per job, then
+  HMAC-SHA256 of the bucket of values that the key is for.
 
 These are per-salt helpers.  On Spark they run in an Arrow ``pandas_udf`` that
-derives once per distinct salt of a batch; the cipher itself stays native.
+derives once per distinct salt; the cipher itself stays native.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import hmac
 import sys
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -29,6 +33,7 @@ AES128_BYTES = 16
 # Our 2.0 envelope.
 PBKDF2_ROUNDS = 100_000
 AES256_BYTES = 32
+KEYS_KEPT = 4096
 
 
 def _stretch(data: bytes, block: int) -> bytes:
@@ -80,21 +85,44 @@ def pkcs12_key_iv_udf(passphrase: str):
     return derive_key_iv
 
 
-def pbkdf2_key_udf(passphrase: str, rounds: int = PBKDF2_ROUNDS):
-    """``salt (base64 text) -> key binary``, for more job salts than we broadcast."""
-    import base64
+def parse_salt(text: str) -> tuple[bytes, int | None]:
+    """``<base64 job salt>`` or ``<base64 job salt>:<bucket>``; anything else is a ValueError."""
+    salt, colon, bucket = text.partition(":")
+    if colon and not bucket.isdecimal():
+        raise ValueError("not a bucket")
+    return base64.b64decode(salt, validate=True), int(bucket) if colon else None
+
+
+def data_key(job_key: bytes, bucket: int | None) -> bytes:
+    """The key of one bucket of a job's values; without a bucket, the job key itself."""
+    if bucket is None:
+        return job_key
+    return hmac.new(job_key, b"bucket" + bucket.to_bytes(4, "big"), hashlib.sha256).digest()
+
+
+def key_of_salt(passphrase: str, text: str | None, cache: dict[bytes, bytes]) -> bytes | None:
+    """The key a ``2.0`` envelope's salt asks for, or None if the salt is not valid.  ``cache`` keeps at most
+    KEYS_KEPT job keys."""
+    if text is None:
+        return None
+    try:
+        salt, bucket = parse_salt(text)
+        if salt not in cache:
+            if len(cache) >= KEYS_KEPT:
+                cache.clear()
+            cache[salt] = pbkdf2_key(passphrase, salt)
+        return data_key(cache[salt], bucket)
+    except (ValueError, OverflowError):
+        return None
+
+
+def pbkdf2_key_udf(passphrase: str):
+    """``salt text -> key binary``: derived once per distinct job salt, kept across the batches of a task."""
 
     @F.pandas_udf("binary")
-    def derive_key(salts: pd.Series) -> pd.Series:
-        cache: dict[str, bytes] = {}
-        out = []
-        for salt in salts:
-            if salt is None or (isinstance(salt, float) and pd.isna(salt)):
-                out.append(None)
-                continue
-            if salt not in cache:
-                cache[salt] = pbkdf2_key(passphrase, base64.b64decode(salt), rounds=rounds)
-            out.append(cache[salt])
-        return pd.Series(out, dtype=object)
+    def derive_key(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[bytes, bytes] = {}
+        for salts in batches:
+            yield pd.Series([key_of_salt(passphrase, s if isinstance(s, str) else None, cache) for s in salts], dtype=object)
 
     return derive_key

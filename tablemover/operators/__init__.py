@@ -1,5 +1,4 @@
-from .rejects import REASON_COLUMN, conversion_split, duplicate_split, prepare_reject_tables
-from .replicate import replicate_rows
+"""R1-R3 and small helpers."""
+from .rejects import conversion_split, duplicate_split, held_split, matched_columns, prepare_reject_tables
 
-__all__ = ["REASON_COLUMN", "conversion_split", "duplicate_split", "prepare_reject_tables",
-           "replicate_rows"]
+__all__ = ["conversion_split", "duplicate_split", "held_split", "matched_columns", "prepare_reject_tables"]

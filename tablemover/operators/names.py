@@ -12,3 +12,21 @@ def col(name: str) -> Column:
 
 def cols(names) -> list[Column]:
     return [col(n) for n in names]
+
+
+def fresh(taken, *wanted: str) -> list[str]:
+    """Names for helper columns that no column in ``taken`` has (letter case aside)."""
+    used, out = {t.lower() for t in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def same_keys(left, right) -> Column:
+    """Null-safe equality of two lists of columns: one rule for keys, NULL equals NULL."""
+    from functools import reduce
+
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right, strict=True)])

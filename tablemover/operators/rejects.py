@@ -10,15 +10,16 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.files import MALFORMED_COLUMN
 from ..spec import TableName
-from ..workspace import stage
-from .names import col, cols
-from .replicate import CHUNK_ROWS, replicate_rows
+from ..workspace import new_run_dir, stage
+from .names import col, cols, fresh, same_keys
 
 REASON_COLUMN = "reject_reason"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -26,12 +27,29 @@ _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 # Ranges of the integral types a value may be narrowed into.
 _INTEGRAL_RANGE = {T.ByteType: (-(2 ** 7), 2 ** 7 - 1), T.ShortType: (-(2 ** 15), 2 ** 15 - 1),
-                   T.IntegerType: (-(2 ** 31), 2 ** 31 - 1)}
+                   T.IntegerType: (-(2 ** 31), 2 ** 31 - 1), T.LongType: (-(2 ** 63), 2 ** 63 - 1)}
+
+
+def _decimals_fit(src, value, scale: int):
+    """Whether a text's number has no digit but zeros beyond ``scale`` decimals."""
+    plain = src.rlike(rf"^[^.eE]*(\.\d{{0,{scale}}}0*)?\s*$")
+    return plain | (src.rlike("[eE]") & (value.cast("double") == src.try_cast("double")))
+
+
+def _has_map(t) -> bool:
+    return isinstance(t, T.MapType) or (isinstance(t, T.ArrayType) and _has_map(t.elementType)) or (
+        isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields))
 
 
-def _converted(src, src_type, dst_type):
+def _converted(src, src_type, dst_type, encoded: bool):
     """Value in the target type, or null when it does not fit.
 
+    A value fits only if nothing is lost: cast back, it is the value it came
+    from.  Text fits if it spells a value of the type, for a decimal or a date
+    without digits or a time of day beyond it; a text of a float or double takes
+    the nearest value, as such numbers are always written.  ``encoded`` text
+    spells binary values in base64.
+
     Narrowing a number into a smaller integer is a range test, which stays in
     generated code; ``try_cast`` would raise and catch one exception per value
     that overflows (about 5 times slower when many do).
@@ -40,17 +58,31 @@ def _converted(src, src_type, dst_type):
     if bounds and isinstance(src_type, T.NumericType):
         lo, hi = bounds
         if isinstance(src_type, T.IntegralType):
-            fits = src.between(lo, hi)
-        else:  # fractions are truncated toward zero; NaN is above every value
-            fits = (src > lo - 1) & (src < hi + 1)
-        return F.when(fits, src.cast(dst_type))
-    return src.try_cast(dst_type)
+            return F.when(src.between(lo, hi), src.cast(dst_type))
+        number = Decimal if isinstance(src_type, T.DecimalType) else float
+        inside = (src >= F.lit(number(lo))) & (src < F.lit(number(hi + 1)))
+        value = F.when(inside, src.cast(dst_type))
+    elif isinstance(src_type, T.StringType) and isinstance(dst_type, T.BinaryType) and encoded:
+        return F.try_to_binary(src, F.lit("base64"))
+    else:
+        value = src.try_cast(dst_type)
+    if isinstance(src_type, T.StringType):
+        if isinstance(dst_type, T.DecimalType):
+            return F.when(_decimals_fit(src, value, dst_type.scale), value)
+        if isinstance(dst_type, T.DateType):
+            return F.when(value.cast("timestamp_ntz") == src.try_cast("timestamp_ntz"), value)
+        if not isinstance(dst_type, T.BinaryType):
+            return value
+    if _has_map(src_type) or _has_map(dst_type):  # maps cannot be compared
+        return value
+    return F.when(value.try_cast(src_type) == src, value)
 
 
 def _fit(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = None):
     """Per target field: (converted value, does-not-fit flag)."""
     by_lower = {c.lower(): c for c in df.columns}
     limit_of = {k.lower(): v for k, v in (limits or {}).items()}
+    encoded = MALFORMED_COLUMN in df.columns  # read from text
     out = []
     for f in target.fields:
         src_name = by_lower.get(f.name.lower())
@@ -65,7 +97,7 @@ def _fit(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = No
             raise ValueError(f"Column {src_name} is nested ({src_type.simpleString()}) but the "
                              f"target column is flat; turn it to text first with to_json.")
         else:
-            value = _converted(src, src_type, f.dataType)
+            value = _converted(src, src_type, f.dataType, encoded)
         bad = src.isNotNull() & value.isNull()
         if not f.nullable:
             bad = bad | src.isNull()
@@ -94,43 +126,98 @@ def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int]
     return good, rejects
 
 
-def duplicate_split(df: DataFrame, key_columns, *, stage_path: str | None = None,
-                    annotate=None, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+def matched_columns(df: DataFrame, target: T.StructType, mapping: dict[str, str] | None = None,
+                    allow_unmatched: bool = False) -> DataFrame:
+    """``df`` under the target's column names.  Without a ``mapping`` (target column -> source column, which
+    says all that is loaded) the names must be the same, letter case aside; a difference is an error that
+    names both sides unless ``allow_unmatched``, which drops the one and fills the other with NULL."""
+    own = [c for c in df.columns if c != MALFORMED_COLUMN]
+    if mapping:
+        by_lower = {c.lower(): c for c in own}
+        wrong = [f"{t} <- {s}" for t, s in mapping.items()
+                 if s.lower() not in by_lower or t.lower() not in {f.lower() for f in target.fieldNames()}]
+        if wrong:
+            raise ValueError(f"The column mapping names unknown columns: {wrong}; the source has {own}, "
+                             f"the target {target.fieldNames()}.")
+        more = [col(MALFORMED_COLUMN)] if MALFORMED_COLUMN in df.columns else []
+        return df.select(*[col(by_lower[s.lower()]).alias(t) for t, s in mapping.items()], *more)
+    theirs, ours = {f.lower() for f in target.fieldNames()}, {c.lower() for c in own}
+    extra = [c for c in own if c.lower() not in theirs]
+    missing = [f for f in target.fieldNames() if f.lower() not in ours]
+    if (extra or missing) and not allow_unmatched:
+        raise ValueError(f"Source and target columns differ: only in the source {extra}, only in the target "
+                         f"{missing}; give a column mapping or allow unmatched columns.")
+    return df
+
+
+def _orderable(name: str, data_type) -> list:
+    """Columns that order the values of ``name`` totally: -0.0 and 0.0 apart, maps by their JSON text."""
+    if _has_map(data_type):
+        return [F.to_json(F.struct(col(name).alias("v")))]
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return [col(name), col(name).cast("string")]
+    return [col(name)]
+
+
+def duplicate_split(df: DataFrame, key_columns, *, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(one row per key, all other rows).
 
-    The row that stays is the least by the other columns.  No join and no
-    window: the kept rows come from a partial (map-side) aggregate by key, and
-    the rejects from the multiset difference ``all rows - kept rows``, summed by
-    whole row, again with a map-side partial aggregate.  A hot key or a row
-    repeated very often is reduced before any shuffle; the copies of such a row
-    are then produced by many tasks (``replicate_rows``).
-
-    ``stage_path`` writes the kept rows once (a lineage cut in the shared work
-    folder); the rejects and every later use then read that copy.  ``annotate``
-    may add columns to the kept rows before they are staged (they are not part
-    of the row for the difference).
-    """
+    The row that stays is the least by the other columns.  NULL in a key equals
+    NULL: rows without a key value are duplicates of one another.  Rows come out
+    as they went in, to the bit.
+
+    First only keys are counted (partial aggregate; the shuffle carries keys,
+    not rows).  Rows of keys that occur once pass an anti-join with the repeated
+    keys, which is no shuffle where these are few, and nothing at all where
+    there are none.  Rows of repeated keys are staged in ``folder``; there each
+    has an address (file, row number), the least row's address is found per key
+    by a partial aggregate, and a join by address, which no key can make hot,
+    tells it from the rest."""
     key = list(key_columns)
-    names = df.columns
-    missing = [k for k in key if k not in names]
+    missing = [k for k in key if k not in df.columns]
     if missing:
         raise ValueError(f"Key columns {missing} are not in the rows.")
-    others = [c for c in names if c not in key]
-    if others:
-        least = df.groupBy(*cols(key)).agg(F.min(F.struct(*cols(others))).alias("_m"))
-        kept = (least.select(*cols(key), *[F.col("_m").getField(c).alias(c) for c in others])
-                     .select(*cols(names)))
-    else:
-        kept = df.select(*cols(key)).distinct()
-    if annotate is not None:
-        kept = annotate(kept)
-    if stage_path:
-        kept = stage(kept, stage_path)
-    weighted = (df.select(*cols(names), F.lit(1).cast("long").alias("_w"))
-                  .unionByName(kept.select(*cols(names), F.lit(-1).cast("long").alias("_w"))))
-    surplus = (weighted.groupBy(*cols(names)).agg(F.sum("_w").alias("_r"))
-                       .where(F.col("_r") > 0))
-    return kept, replicate_rows(surplus, "_r", chunk_rows=chunk_rows)
+    unfit = [k for k in key if _has_map(df.schema[k].dataType)]
+    if unfit:
+        raise ValueError(f"Key columns {unfit} hold maps, which cannot be compared.")
+    folder = folder or new_run_dir(df.sparkSession, "duplicates")
+    k_names = fresh(df.columns, *[f"k{i}" for i in range(len(key))])
+    keys = df.select(*[col(c).alias(n) for c, n in zip(key, k_names)])
+    n = fresh(k_names, "n")[0]
+    repeated = stage(keys.groupBy(*k_names).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(*k_names),
+                     f"{folder}/repeated")
+    same = same_keys(cols(key), [F.col(n) for n in k_names])
+    once = df.join(repeated, same, "left_anti")
+    again = stage(df.join(repeated, same, "left_semi"), f"{folder}/again")
+    order = [o for c in df.columns if c not in key for o in _orderable(c, df.schema[c].dataType)]
+    order += [o for c in key for o in _orderable(c, df.schema[c].dataType)]  # 0.0 and -0.0 are one key
+    row = again.select(F.struct(*cols(df.columns)).alias("row"), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("rank"),
+                       F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
+                       *[col(c).alias(n) for c, n in zip(key, [f"key{i}" for i in range(len(key))])])
+    least = row.groupBy(*[f"key{i}" for i in range(len(key))]).agg(F.min(F.struct("rank", "file", "place")).alias("least"))
+    chosen = stage(least.select("least.file", "least.place"), f"{folder}/chosen")
+    out = [F.col("row").getField(c).alias(c) for c in df.columns]
+    stays, goes = (row.join(chosen, ["file", "place"], how).select(*out) for how in ("left_semi", "left_anti"))
+    return once.unionByName(stays), goes
+
+
+def held_split(df: DataFrame, key_columns, held: DataFrame, *, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key ``held`` lacks, rows whose key it has), for rows unique by key.  ``held`` has the key
+    columns under the same names.  NULL equals NULL.  The target's side is cut to the range of the incoming
+    first key column before the join; only keys are joined and staged, not rows."""
+    key = list(key_columns)
+    first = key[0]
+    if isinstance(df.schema[first].dataType, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        r = df.agg(F.min(col(first)).alias("lo"), F.max(col(first)).alias("hi"), F.bool_or(col(first).isNull()).alias("gap")).first()
+        if r["lo"] is not None:
+            inside = col(first).between(F.lit(r["lo"]), F.lit(r["hi"]))
+            held = held.where(inside | col(first).isNull() if r["gap"] else inside)
+    k_names = fresh(df.columns, *[f"k{i}" for i in range(len(key))])
+    theirs = held.select(*[col(c).alias(n) for c, n in zip(key, k_names)])
+    ours = df.select(*cols(key))
+    both = stage(theirs.join(ours, same_keys([F.col(n) for n in k_names], cols(key)), "left_semi").distinct(), f"{folder}/held")
+    same = same_keys(cols(key), [F.col(n) for n in k_names])
+    return df.join(both, same, "left_anti"), df.join(both, same, "left_semi")
 
 
 def prepare_reject_tables(warehouse, tables: tuple[TableName, ...], *, drop: bool) -> list[str]:

@@ -1,14 +1,8 @@
-"""Give a small input at least ``n`` parallel tasks.
-
-A large source already has many splits and is left alone (no shuffle).  A
-source with fewer partitions than the transfer's writer count, such as a file
-with one row group, is spread round-robin so the work after it runs in
-parallel.
-"""
+"""How many tasks a CPU-bound step is dealt to.  Nothing here looks at a DataFrame or runs a job."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def parallelism(spark: SparkSession, default: int = 8) -> int:
@@ -18,11 +12,10 @@ def parallelism(spark: SparkSession, default: int = 8) -> int:
         return int(spark.conf.get("spark.default.parallelism", str(default)))
 
 
-def spread(df: DataFrame, n: int | None) -> DataFrame:
-    if not n or n <= 1:
-        return df
+def wide(spark: SparkSession) -> int:
+    """At least a task per core, and never fewer than the session's shuffles have."""
     try:
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Connect): leave the plan as it is
-        return df
-    return df.repartition(n) if partitions < n else df
+        shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:  # a non-numeric setting
+        shuffles = 1
+    return max(parallelism(spark), shuffles)

@@ -8,14 +8,17 @@ matching ANSI SQL for DuckDB is in ``ORACLE_SQL``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.protect import decrypt_columns, encrypt_columns, mask_columns
-from ..operators.rejects import REASON_COLUMN
+from ..operators.rejects import REASON_COLUMN, conversion_split
+from ..operators.spread import wide
 from ..sinks.files import extract_files
-from ..sources.files import text_read_options
+from ..sources.files import read_delimited
 from ..spec import TableName, TransferSpec
 from ..workspace import new_database, new_run_dir, stage
 from .transfer import extract, load
@@ -48,9 +51,9 @@ def create_table(spark: SparkSession, db: str, name: str, schema: T.StructType)
     return TableName(name, db)
 
 
-def read_text(spark: SparkSession, path: str, schema: T.StructType, *,
-              multiline: bool = False) -> DataFrame:
-    return spark.read.schema(schema).options(**text_read_options(SEP, multiline=multiline)).csv(path)
+def read_text(spark: SparkSession, path: str, schema: T.StructType, separator: str | None = SEP) -> DataFrame:
+    """Extracted text under its source's types, by the reader and the conversion that a load uses."""
+    return conversion_split(read_delimited(spark, path, schema, separator), schema)[0]
 
 
 def catalog_spec(**kw) -> TransferSpec:
@@ -99,7 +102,7 @@ def extract_delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{new_run_dir(spark, 'extract')}/documents"
     extract(spark, catalog_spec(source_table=f"{db}.documents", target_path=path,
                                 file_format="textfile", separator=SEP))
-    return read_text(spark, path, _table(spark, db, "documents").schema, multiline=True)
+    return read_text(spark, path, _table(spark, db, "documents").schema)
 
 
 def extract_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +110,28 @@ def extract_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = source_database(spark, sf_dir, ["pages"])
     path = f"{new_run_dir(spark, 'extract')}/pages"
     extract(spark, catalog_spec(source_table=f"{db}.pages", target_path=path, file_format="textfile"))
-    return spark.read.schema(_table(spark, db, "pages").schema).options(
-        **text_read_options(None, multiline=True)).csv(path)
+    return read_text(spark, path, _table(spark, db, "pages").schema, None)
+
+
+def _roundtrip(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Extract to text, then load it with default options; an error row is an error here."""
+    src = source_database(spark, sf_dir, [table])
+    path = f"{new_run_dir(spark, 'extract')}/{table}"
+    extract(spark, catalog_spec(source_table=f"{src}.{table}", target_path=path, file_format="textfile"))
+    db = new_database(spark, "wh")
+    create_table(spark, db, table, _table(spark, src, table).schema)
+    report = load(spark, catalog_spec(source_path=path, file_format="textfile", target_table=f"{db}.{table}"))
+    if any(report.rejected.values()):
+        raise AssertionError(f"{table} did not come back whole: {report}")
+    return _table(spark, db, table)
+
+
+def roundtrip_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, sf_dir, "pages")
+
+
+def roundtrip_documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, sf_dir, "documents")
 
 
 # -- loads (F1, F2; S2, S3, S4, K1, K2) ------------------------------------------
@@ -140,12 +163,12 @@ def load_delimited_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_delimited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents, line breaks inside quoted values, through delimited files."""
+    """Whole documents, line breaks inside values, through delimited files."""
     path, schema = _files_from(spark, sf_dir, "documents", "textfile")
     db = new_database(spark, "wh")
     create_table(spark, db, "documents", schema)
     load(spark, catalog_spec(source_path=path, file_format="textfile", separator=SEP,
-                             source_options={"multiLine": "true"}, target_table=f"{db}.documents"))
+                             target_table=f"{db}.documents"))
     return _table(spark, db, "documents")
 
 
@@ -214,21 +237,26 @@ def reject_existing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
                         target_table=f"{db}.lineitem", key_columns=LINEITEM_KEY)
     load(spark, spec)
     load(spark, spec)
-    roles = [("target", "lineitem"), ("ERR_2", spec.error_tables[1].table)]
-    parts = [_table(spark, db, t).agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(role).alias("table_role"), "n_rows") for role, t in roles]
-    return parts[0].unionByName(parts[1])
+    return _by_role(spark, db, [("target", "lineitem"), ("ERR_2", spec.error_tables[1].table)])
+
+
+def _by_role(spark: SparkSession, db: str, roles) -> DataFrame:
+    """The rows of several tables, each with its table's role; the narrowed key in its first type again."""
+    parts = []
+    for role, name in roles:
+        t = _table(spark, db, name)
+        if REASON_COLUMN not in t.columns:
+            t = t.withColumn(REASON_COLUMN, F.lit(None).cast("string"))
+        parts.append(t.withColumns({"table_role": F.lit(role), "l_orderkey": F.col("l_orderkey").cast("long")}))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def reject_hot_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Skew on the given data: lineitem's flags as rows keyed by the return flag.
-    Each key holds about a third of all rows, and a handful of distinct rows are
-    each repeated tens of thousands of times; the rejects are those copies."""
-    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_linestatus")
-    path = f"{new_run_dir(spark, 'files')}/flags"
-    extract_files(df, path, "orcfile")
+    """Skew on the given data: whole lineitem rows keyed by the return flag, so that
+    each of three keys holds about a third of all rows; all but three rows are rejects."""
+    path, schema = _files_from(spark, sf_dir, "lineitem", "orcfile")
     db = new_database(spark, "wh")
-    create_table(spark, db, "flags", df.schema)
+    create_table(spark, db, "flags", schema)
     spec = catalog_spec(source_path=path, file_format="orcfile", target_table=f"{db}.flags",
                         key_columns=("l_returnflag",), replace_target=True)
     load(spark, spec)
@@ -254,11 +282,21 @@ def dedup_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reject_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs with drop + replace: counts are those of one run."""
     db, spec = _lineitem_load(spark, sf_dir, narrow_key=True, key=True, runs=2)
-    roles = [("target", "lineitem"), ("ERR_1", spec.error_tables[0].table),
-             ("ERR_2", spec.error_tables[1].table)]
-    parts = [_table(spark, db, t).agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(role).alias("table_role"), "n_rows") for role, t in roles]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _by_role(spark, db, [("target", "lineitem"), ("ERR_1", spec.error_tables[0].table),
+                                ("ERR_2", spec.error_tables[1].table)])
+
+
+def reject_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices into an integer column: those with cents would lose them and go aside."""
+    src = source_database(spark, sf_dir, ["lineitem"])
+    db = new_database(spark, "wh")
+    schema = _retyped(_table(spark, src, "lineitem").schema, l_extendedprice=T.IntegerType())
+    create_table(spark, db, "lineitem", schema)
+    spec = catalog_spec(job_type="hive", hive_database=src, hive_table="lineitem", target_table=f"{db}.lineitem")
+    load(spark, spec)
+    good = _table(spark, db, "lineitem").withColumns({
+        "l_extendedprice": F.col("l_extendedprice").cast("double"), REASON_COLUMN: F.lit(None).cast("string")})
+    return good.unionByName(_table(spark, db, spec.error_tables[0].table))
 
 
 # -- protection (C1, C2, C3) ---------------------------------------------------------
@@ -278,12 +316,12 @@ def encrypt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decrypt_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     mixed = (encrypt_columns(customer, ["c_name"], PASSPHRASE, version="1.1")
              .unionByName(encrypt_columns(customer, ["c_name"], PASSPHRASE, version="2.0")))
     at_rest = stage(mixed, f"{new_run_dir(spark, 'protect')}/mixed")
     ver = F.get_json_object(F.unbase64(F.col("c_name")).cast("string"), "$.ver")
-    return decrypt_columns(at_rest.withColumn("ver", ver), ["c_name"], PASSPHRASE)
+    return decrypt_columns(at_rest.withColumn("ver", ver), ["c_name"], PASSPHRASE, tasks=wide(spark))
 
 
 def mask_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,6 +334,8 @@ QUERIES = {
     "overwrite_extract": overwrite_extract,
     "extract_delimited_text": extract_delimited_text,
     "extract_pages_text": extract_pages_text,
+    "roundtrip_pages_text": roundtrip_pages_text,
+    "roundtrip_documents_text": roundtrip_documents_text,
     "load_delimited": load_delimited,
     "load_delimited_events": load_delimited_events,
     "load_delimited_documents": load_delimited_documents,
@@ -304,6 +344,7 @@ QUERIES = {
     "load_catalog_table": load_catalog_table,
     "replace_target": replace_target,
     "reject_conversion": reject_conversion,
+    "reject_lossy": reject_lossy,
     "reject_duplicates": reject_duplicates,
     "dedup_target": dedup_target,
     "reject_tables": reject_tables,
@@ -322,6 +363,8 @@ COVERAGE = {
     "overwrite_extract": ("S5", "S6", "K3", "K4", "F3", "F4"),
     "extract_delimited_text": ("S5", "K3", "F3"),
     "extract_pages_text": ("S5", "K3", "F3"),
+    "roundtrip_pages_text": ("S5", "K3", "F3", "S2", "R1", "K1", "F1"),
+    "roundtrip_documents_text": ("S5", "K3", "F3", "S2", "R1", "K1", "F1"),
     "load_delimited": ("S2", "R1", "R3", "K1", "F1"),
     "load_delimited_events": ("S2", "R1", "R2", "R3", "K1", "F1"),
     "load_delimited_documents": ("S2", "R1", "R3", "K1", "F1"),
@@ -330,6 +373,7 @@ COVERAGE = {
     "load_catalog_table": ("S4", "R1", "R3", "K1", "F2"),
     "replace_target": ("S3", "K2", "K1", "F1"),
     "reject_conversion": ("S4", "R1", "K2", "F2"),
+    "reject_lossy": ("S4", "R1", "K1", "F2"),
     "reject_duplicates": ("S4", "R2", "K2", "F2"),
     "dedup_target": ("S4", "R2", "K1", "F2"),
     "reject_tables": ("S4", "R1", "R2", "R3", "K2", "F2"),
@@ -348,6 +392,9 @@ SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                              ORDER BY {_LINEITEM_OTHERS.replace(', ', ' NULLS FIRST, ')} NULLS FIRST) AS rn
 FROM {{source}}
 """
+_BY_FLAG = ", ".join(f"{c} NULLS FIRST" for c in (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+    "l_linestatus, l_shipdate").split(", "))
 _NARROW_FIT = "(l_orderkey IS NULL OR TRY_CAST(l_orderkey AS TINYINT) IS NOT NULL)"
 
 ORACLE_SQL = {
@@ -372,22 +419,25 @@ ORACLE_SQL = {
     "reject_tables": f"""
         WITH fit AS (SELECT * FROM lineitem WHERE {_NARROW_FIT}),
              ranked AS ({_RANKED.format(source='fit')})
-        SELECT 'target' AS table_role, COUNT(*) AS n_rows FROM ranked WHERE rn = 1
-        UNION ALL SELECT 'ERR_1', COUNT(*) FROM lineitem WHERE NOT {_NARROW_FIT}
-        UNION ALL SELECT 'ERR_2', COUNT(*) FROM ranked WHERE rn > 1""",
-    "reject_existing_keys": """
-        SELECT 'target' AS table_role, COUNT(*) AS n_rows
-        FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k
-        UNION ALL SELECT 'ERR_2', COUNT(*) FROM lineitem""",
-    "reject_hot_copies": """
-        SELECT l_returnflag, l_linestatus FROM (
-            SELECT *, row_number() OVER (PARTITION BY l_returnflag
-                                         ORDER BY l_linestatus NULLS FIRST) AS rn
-            FROM lineitem) r
+        SELECT * EXCLUDE (rn), NULL::VARCHAR AS {REASON_COLUMN},
+               CASE WHEN rn = 1 THEN 'target' ELSE 'ERR_2' END AS table_role FROM ranked
+        UNION ALL SELECT *, 'l_orderkey', 'ERR_1' FROM lineitem WHERE NOT {_NARROW_FIT}""",
+    "reject_existing_keys": f"""
+        WITH ranked AS ({_RANKED.format(source='lineitem')})
+        SELECT * EXCLUDE (rn), NULL::VARCHAR AS {REASON_COLUMN}, 'target' AS table_role FROM ranked WHERE rn = 1
+        UNION ALL SELECT *, NULL, 'ERR_2' FROM lineitem""",
+    "reject_hot_copies": f"""
+        SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY {_BY_FLAG}) AS rn FROM lineitem) r
         WHERE rn > 1""",
+    "reject_lossy": f"""
+        SELECT *, CASE WHEN CAST(TRY_CAST(l_extendedprice AS INTEGER) AS DOUBLE) = l_extendedprice OR l_extendedprice IS NULL
+                       THEN NULL ELSE 'l_extendedprice' END AS {REASON_COLUMN} FROM lineitem""",
+    "roundtrip_pages_text": "SELECT * FROM pages",
+    "roundtrip_documents_text": "SELECT * FROM documents",
     "encrypt_decrypt": "SELECT * FROM customer",
-    "decrypt_mixed_versions": ("SELECT c_custkey, c_name, '1.1' AS ver FROM customer "
-                               "UNION ALL SELECT c_custkey, c_name, '2.0' AS ver FROM customer"),
+    "decrypt_mixed_versions": ("SELECT *, '1.1' AS ver FROM customer "
+                               "UNION ALL SELECT *, '2.0' AS ver FROM customer"),
     "mask_columns": ("SELECT c_custkey, repeat('*', length(c_name)) AS c_name, c_nationkey, "
                      "c_acctbal, c_mktsegment FROM customer"),
 }

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.names import cols
-from ..operators.spread import spread
-from ..operators.rejects import conversion_split, duplicate_split, prepare_reject_tables
+from ..operators.rejects import (conversion_split, duplicate_split, held_split, matched_columns,
+                                 prepare_reject_tables)
 from ..sinks.files import extract_files
 from ..sinks.tables import load_table, replace_and_load
 from ..sources.files import read_avro_schema_file, read_files, spark_format
@@ -107,49 +107,39 @@ def _load(spark: SparkSession, spec: TransferSpec, wh, source: DataFrame | None)
         raise ValueError(f"Target table {target.qualified()} does not exist; create it first.")
     schema = wh.schema(target)
     rows = source if source is not None else load_source(spark, spec, schema)
-    rows = spread(rows, spec.writers)
+    rows = matched_columns(rows, schema, spec.column_mapping, spec.allow_unmatched)
 
     good, conversion_rejects = conversion_split(rows, schema, wh.text_limits(target))
     err_1, err_2 = spec.error_tables
     dropped = prepare_reject_tables(wh, (err_1, err_2), drop=spec.drop_error_tables)
     written = [err_1]
     key = tuple(spec.key_columns) or wh.primary_key(target)
-    run_dir = None
-    if key:
-        by_lower = {c.lower(): c for c in good.columns}
-        key = [by_lower.get(k.lower(), k) for k in key]
-        # the kept rows feed the rejects, the key check and the append: computed once
-        run_dir = new_run_dir(spark, "load")
-        annotate = None
-        if not spec.replace_target:
-            # rows whose key the target already holds would break it as well:
-            # flag them once, by one join of unique keys on both sides
-            held = (wh.read_table(target, splits=spec.writers).select(*cols(key)).distinct()
-                      .withColumn("_held", F.lit(True)))
-            annotate = lambda k: (k.join(held, key, "left")
-                                   .withColumn("_held", F.coalesce(F.col("_held"), F.lit(False))))
-        kept, duplicate_rejects = duplicate_split(good, key, stage_path=f"{run_dir}/kept",
-                                                  annotate=annotate)
-        if annotate is not None:
-            duplicate_rejects = duplicate_rejects.unionByName(kept.where("_held").drop("_held"))
-            kept = kept.where(~F.col("_held")).drop("_held")
-        wh.create(conversion_rejects, err_1, writers=spec.writers)
-        wh.create(duplicate_rejects, err_2, writers=spec.writers)
-        written.append(err_2)
-    else:
+    run_dir = new_run_dir(spark, "load")
+    try:
         kept = good
+        if key:
+            by_lower = {c.lower(): c for c in good.columns}
+            key = [by_lower.get(k.lower(), k) for k in key]
+            kept, duplicate_rejects = duplicate_split(good, key, folder=run_dir)
+            if not spec.replace_target:  # rows whose key the target already holds would break it as well
+                held = wh.read_table(target, splits=spec.writers).select(*cols(key))
+                kept, again = held_split(kept, key, held, folder=run_dir)
+                duplicate_rejects = duplicate_rejects.unionByName(again)
+            written.append(err_2)
         wh.create(conversion_rejects, err_1, writers=spec.writers)
-
-    if spec.replace_target:
-        deleted = replace_and_load(kept, wh, target, writers=spec.writers,
-                                   insert_method=spec.insert_method)
-        loaded = wh.count(target)
-    else:
-        deleted, before = None, wh.count(target)
-        load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
-        loaded = wh.count(target) - before
-    if run_dir:
-        discard(spark, run_dir)  # every reader of the staged rows has run
+        if key:
+            wh.create(duplicate_rejects, err_2, writers=spec.writers)
+
+        if spec.replace_target:
+            deleted = replace_and_load(kept, wh, target, writers=spec.writers,
+                                       insert_method=spec.insert_method)
+            loaded = wh.count(target)
+        else:
+            deleted, before = None, wh.count(target)
+            load_table(kept, wh, target, writers=spec.writers, insert_method=spec.insert_method)
+            loaded = wh.count(target) - before
+    finally:
+        discard(spark, run_dir)  # no reader of the staged rows is left, or none will come
     # counts of the tables just written: file footers (or one COUNT(*)), no scan of rows
     rejected = {t.qualified(): wh.count(t) for t in written}
     return LoadReport(target=target.qualified(), deleted=deleted, dropped=dropped,

@@ -7,9 +7,22 @@ per file split of a catalog table): no repartition, so no shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.files import TEXT_OPTIONS, avro_available, spark_format
+from ..operators.names import col
+from ..sources.files import NULL_MARK, TEXT_OPTIONS, avro_available, escape_text, spark_format
+
+
+def _as_text(f: T.StructField, alone: bool):
+    """A column as delimited text holds it: line breaks escaped, binary values in base64.  The NULL of a table's
+    only column would be an empty line, which the writer leaves out, so it has a mark."""
+    if alone and not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+        text = _as_text(f, False).cast("string")
+        return F.coalesce(text, F.lit(NULL_MARK)).alias(f.name)
+    if isinstance(f.dataType, T.BinaryType):
+        return F.regexp_replace(F.base64(col(f.name)), r"[\r\n]", "").alias(f.name)
+    return escape_text(col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else col(f.name)
 
 
 def extract_files(df: DataFrame, path: str, file_format: str | None, *,
@@ -27,6 +40,7 @@ def extract_files(df: DataFrame, path: str, file_format: str | None, *,
         if nested:
             raise ValueError(f"Delimited text cannot hold nested columns {nested}; "
                              "turn them to text with to_json first, or extract to orc or parquet.")
+        df = df.select(*[_as_text(f, len(df.columns) == 1) for f in df.schema.fields])
     writer = df.write.format(fmt).mode("overwrite" if overwrite else "errorifexists")
     if fmt == "csv":
         writer = writer.options(**TEXT_OPTIONS).option("sep", separator or ",")

@@ -8,15 +8,22 @@ read as text and converted later, so a bad value becomes a reject, not a null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.names import col
+
 # The transfer's format names and their Spark readers.
 FORMAT_ALIASES = {"avrofile": "avro", "orcfile": "orc", "textfile": "csv", "parquetfile": "parquet"}
 MALFORMED_COLUMN = "_malformed_line"
+# Reader options that concern single lines; any other makes the CSV reader read the file.
+LINE_OPTIONS = {"sep", "delimiter", "quote", "escape", "chartoescapequoteescaping", "nullvalue", "emptyvalue",
+                "ignoreleadingwhitespace", "ignoretrailingwhitespace", "multiline", "maxcolumns", "maxcharspercolumn"}
 
-# Text written and read by this library: nothing trimmed, quotes doubled, and
-# micro-second timestamps, so that a value survives a round trip exactly.
+# Text written and read by this library: nothing trimmed, quotes doubled, line
+# breaks escaped, binary values in base64, and micro-second timestamps, so that
+# a value survives a round trip exactly.
 TEXT_OPTIONS = {
     "header": "false",
     "quote": '"',
@@ -40,33 +47,80 @@ def spark_format(file_format: str | None) -> str:
     return FORMAT_ALIASES.get(name, name)
 
 
+# A character that would end or blur a text line is written as DLE and a letter
+# (DLE, "data link escape", announces that the next character means another), so
+# that every record is one line and a large file is read by many tasks.
+ESCAPE = "\x10"
+NULL_MARK = ESCAPE + "z"
+ESCAPED = (("\n", "n"), ("\r", "r"), ("\x00", "0"), (ESCAPE, "e"))
+
+
+def escape_text(c: Column) -> Column:
+    """``c`` without line breaks and NULs."""
+    out = F.replace(c, F.lit(ESCAPE), F.lit(ESCAPE + "e"))
+    for char, letter in ESCAPED[:-1]:
+        out = F.replace(out, F.lit(char), F.lit(ESCAPE + letter))
+    return F.when(c.rlike("[\\x00\\n\\r\\x10]"), out).otherwise(c)
+
+
+def unescape_text(c: Column) -> Column:
+    """Undo ``escape_text``.  After escaping, every DLE is followed by its letter, so replacing the pairs one
+    kind after the other, DLE's own last, cannot meet a pair that was not written."""
+    out = c
+    for char, letter in ESCAPED:
+        out = F.replace(out, F.lit(ESCAPE + letter), F.lit(char))
+    return F.when(c == NULL_MARK, F.lit(None)).when(F.contains(c, F.lit(ESCAPE)), out).otherwise(c)
+
+
 def text_read_options(separator: str | None, *, multiline: bool = False) -> dict[str, str]:
-    """Line-based by default, so a large file is read by many tasks.  Text whose
-    quoted values hold line breaks needs ``multiline``, which reads each file
-    in one task."""
+    """Options of a CSV read of text: one line per record unless ``multiline`` is asked for, for foreign files
+    whose quoted values hold line breaks; it reads each file in one task."""
     opts = dict(TEXT_OPTIONS)
     opts["sep"] = separator or ","
     opts["multiLine"] = "true" if multiline else "false"
     # Written text marks NULL by an empty field and an empty string by "".  On
     # read, an empty field takes this sentinel, which alone maps to NULL, so an
-    # empty string stays an empty string.  (A value of exactly one NUL character
-    # would also read as NULL.)
+    # empty string stays an empty string.  (Written text holds no NUL; a foreign
+    # value of exactly one NUL character reads as NULL.)
     opts["nullValue"] = "\u0000"
     return opts
 
 
+def _unclosed_quote(line: Column, separator: str) -> Column:
+    """A field of the line begins with a quote, and the quotes do not pair: the value goes on in a line that
+    cannot be told, so neither is a record."""
+    quotes = F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
+    return (quotes % 2 == 1) & (line.startswith('"') | line.contains(separator + '"'))
+
+
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.StructType,
                    separator: str | None = None, *, multiline: bool = False,
                    options: dict | None = None) -> DataFrame:
     """Delimited text, every field as a string, plus the raw line of any
-    malformed record in ``_malformed_line`` (R1 routes those aside)."""
+    malformed record in ``_malformed_line`` (R1 routes those aside).
+
+    Lines are read as text and parsed one by one, so a file splits anywhere, and
+    a line whose quote is not closed is malformed.  Options that concern whole
+    files (``multiLine``, ``header``, ``encoding``, ...) go to the CSV reader."""
     names = columns.fieldNames() if isinstance(columns, T.StructType) else list(columns)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField(MALFORMED_COLUMN, T.StringType())])
     opts = text_read_options(separator, multiline=multiline)
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_COLUMN})
     opts.update(options or {})
-    return spark.read.schema(schema).options(**opts).csv(path)
+    if opts["multiLine"] == "true" or {k.lower() for k in options or {}} - LINE_OPTIONS:
+        parsed = spark.read.schema(schema).options(**opts).csv(path)
+    else:
+        lines = spark.read.option("lineSep", "\n").text(path)
+        lines = lines.where("value <> ''")  # an empty line is no record
+        opts = {k: v for k, v in opts.items() if k not in ("header", "lineSep", "multiLine")}
+        record = F.from_csv("value", schema.toDDL(), opts)
+        broken = _unclosed_quote(F.col("value"), opts["sep"])
+        lines = lines.select("value", broken.alias("broken"), F.when(~broken, record).alias("r"))
+        parsed = lines.select(
+            *[F.col("r").getField(n).alias(n) for n in names],
+            F.when(F.col("broken"), F.col("value")).otherwise(F.col("r").getField(MALFORMED_COLUMN)).alias(MALFORMED_COLUMN))
+    return parsed.select(*[unescape_text(col(n)).alias(n) for n in names], col(MALFORMED_COLUMN))
 
 
 def read_json_lines(spark: SparkSession, path: str, target: T.StructType, *,

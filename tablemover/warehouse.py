@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from .operators.names import cols
 from .spec import TableName, merge_options
 
+_UNSUPPORTED = re.compile("UNSUPPORTED|NOT_SUPPORTED|_EXTERNAL|external table|does not support|not allowed", re.I)
 _CHAR_TYPE = re.compile(r"(?:var)?char\((\d+)\)")
 
 
@@ -72,14 +74,14 @@ class CatalogWarehouse:
         ``TRUNCATE``; else ``DELETE`` (V2 tables); else, for external file
         tables, an overwrite with no rows."""
         n = self.count(table)
-        try:
-            self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
-        except Exception:
+        for statement in ("TRUNCATE TABLE", "DELETE FROM"):
             try:
-                self.spark.sql(f"DELETE FROM {self.name(table)}")
-            except Exception:
-                empty = self.spark.createDataFrame([], self.schema(table))
-                self.replace_with(empty, table)
+                self.spark.sql(f"{statement} {self.name(table)}")
+                return n
+            except AnalysisException as e:  # only "this kind of table does not do that" leads on
+                if not _UNSUPPORTED.search(f"{e.getCondition()} {e}"):
+                    raise
+        self.replace_with(self.spark.createDataFrame([], self.schema(table)), table)
         return n
 
     def append(self, df: DataFrame, table: TableName, *, writers: int | None = None,
@@ -168,7 +170,7 @@ class JdbcWarehouse:
         opts = self.base_options()
         opts["dbtable"] = table.qualified()
         if writers:
-            opts["numPartitions"] = str(writers)  # Spark coalesces down to this
+            opts["numPartitions"] = str(writers)  # so many connections; ``dealt`` keeps it from narrowing what comes before
         opts["batchsize"] = str(self.batch_size)
         if insert_method not in (None, "", "batch.insert"):
             # Spark's JDBC writer sends batched INSERTs; a vendor bulk protocol is
@@ -267,7 +269,7 @@ class JdbcWarehouse:
     def append(self, df: DataFrame, table: TableName, *, writers: int | None = None,
                insert_method: str | None = None, options: dict[str, str] | None = None) -> None:
         opts = merge_options(self.write_options(table, writers, insert_method), options)
-        df.write.format("jdbc").options(**opts).mode("append").save()
+        self.dealt(df, writers).write.format("jdbc").options(**opts).mode("append").save()
 
     def replace_with(self, df: DataFrame, table: TableName, *, writers: int | None = None,
                      insert_method: str | None = None) -> int:
@@ -279,32 +281,56 @@ class JdbcWarehouse:
     def create(self, df: DataFrame, table: TableName, *, fmt: str | None = None,
                writers: int | None = None) -> None:
         """A new table from ``df``, through at most ``writers`` connections."""
-        df.write.format("jdbc").options(**self.write_options(table, writers)).mode("errorifexists").save()
+        self.dealt(df, writers).write.format("jdbc").options(**self.write_options(table, writers)).mode("errorifexists").save()
 
-    # -- split reads -------------------------------------------------------------
-    def split_predicates(self, column: str, splits: int) -> list[str]:
-        """One predicate per hash bucket of ``column``: every row in exactly one,
-        rows whose value is NULL in the first (none is left out).
+    @staticmethod
+    def dealt(df: DataFrame, writers: int | None) -> DataFrame:
+        """The rows dealt to the connections by a shuffle.  Without it Spark's writer would coalesce, and the
+        scan and conversion of the whole source would run in as few tasks as there are connections."""
+        return df.repartition(writers) if writers else df
 
-        ``column`` may be any integer-valued SQL expression of the warehouse,
-        e.g. its own hash of a text key, for tables without a numeric key.
-        ``MOD(MOD(c, n) + n, n)`` is never negative and, unlike ``ABS``, cannot
-        overflow on the smallest integer."""
-        bucket = f"MOD(MOD({column}, {splits}) + {splits}, {splits})"
-        return [f"({bucket} = 0 OR {column} IS NULL)"] + [f"{bucket} = {i}" for i in range(1, splits)]
+    # -- split reads -------------------------------------------------------------
+    def quoted(self, column: str) -> str:
+        """A column name as Spark's dialect writes it in the tables it creates."""
+        return '"' + column.replace('"', '""') + '"'
+
+    def split_predicates(self, columns, splits: int, *, is_expression: bool = False) -> list[str]:
+        """One predicate per bucket: every row in exactly one, rows whose value is NULL in the first.
+
+        ``columns`` are integer columns, all of them weighed in, so that no value of the first one makes a hot
+        split; or, with ``is_expression``, one integer-valued SQL expression of the warehouse, such as its own
+        hash of a text key.  ``MOD(MOD(c, n) + n, n)`` is never negative and, unlike ``ABS``, cannot overflow on
+        the smallest integer; remainders are added up below n * 31^k, so the sum cannot overflow either."""
+        names = [columns] if isinstance(columns, str) else list(columns)
+        terms = names if is_expression else [self.quoted(c) for c in names]
+        part = [f"MOD(MOD({t}, {splits}) + {splits}, {splits})" for t in terms]
+        total = part[0]
+        for p in part[1:]:
+            total = f"MOD({total} * 31 + {p}, {splits})"
+        null = " OR ".join(f"{t} IS NULL" for t in terms)
+        return [f"({total} = 0 OR {null})"] + [f"{total} = {i}" for i in range(1, splits)]
 
     def _bounds(self, source_sql: str, column: str) -> tuple:
         row = self.spark.read.format("jdbc").options(**self.read_options(
-            query=f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {source_sql}")).load().first()
+            query=f"SELECT MIN({self.quoted(column)}) AS lo, MAX({self.quoted(column)}) AS hi FROM {source_sql}")).load().first()
         return row[0], row[1]
 
     def read_table(self, table: TableName, *, splits: int | None = 8,
                    method: str | None = None, split_column: str | None = None) -> DataFrame:
-        """Without a split column, the table's first key column is used: the
-        warehouse spreads a table over its units by a hash of that key."""
-        if not split_column and splits and splits > 1:
-            key = self.primary_key(table)
-            split_column = key[0] if key else None
+        """Without a split column, all columns of the table's key are used: the warehouse spreads a table over
+        its units by a hash of that key.  A table without one, or with a key of another type than integers,
+        needs ``split_column`` (a column, or with a parenthesis in it an integer-valued expression, such as a
+        hash of the key); reading it through one connection takes ``splits=1``."""
+        if splits and splits > 1 and not split_column:
+            schema = self.schema(table)
+            types = {f.name.lower(): f.dataType for f in schema.fields}
+            split_column = self.primary_key(table)
+            if not split_column:
+                raise ValueError(f"{table.qualified()} has no key to split by: give a split column or hash expression, or splits=1.")
+            other = [c for c in split_column if not isinstance(types.get(c.lower()), IntegralType)]
+            if other:
+                raise ValueError(f"Key columns {other} of {table.qualified()} are not integers: give a hash expression "
+                                 "of the warehouse as the split column, or splits=1.")
         return self._split_read(table.qualified(), splits, method, split_column)
 
     def read_query(self, sql: str, *, splits: int | None = None,
@@ -315,10 +341,11 @@ class JdbcWarehouse:
 
     def _split_read(self, source_sql: str, splits, method, column) -> DataFrame:
         reader = self.spark.read.format("jdbc")
-        if not column or not splits or splits <= 1:
+        if not splits or splits <= 1:
             return reader.options(**self.read_options(dbtable=source_sql)).load()
         method = method or "split.by.amp"
         if method in ("split.by.partition", "split.by.value"):
+            column = column if isinstance(column, str) else column[0]
             lo, hi = self._bounds(source_sql, column)
             if lo is None:
                 return reader.options(**self.read_options(dbtable=source_sql)).load()
@@ -329,6 +356,7 @@ class JdbcWarehouse:
         # which is how the warehouse spreads a table over its units.
         opts = self.read_options(dbtable=source_sql)
         props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+        expression = isinstance(column, str) and "(" in column
         return self.spark.read.jdbc(self.url, source_sql,
-                                    predicates=self.split_predicates(column, splits),
+                                    predicates=self.split_predicates(column, splits, is_expression=expression),
                                     properties=props)

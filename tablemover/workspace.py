@@ -1,12 +1,14 @@
 """Shared working folder for staged tables and per-run catalog databases.
 
 On a cluster the folder is the one named by ``spark.checkpoint.dir`` (shared
-storage every executor can reach).  Only when the session names none, as in
-local tests, do we create one and register it as the checkpoint directory.
+storage every executor can reach).  Only when the session names none and runs
+on a local master, as in tests, do we create one and register it as the
+checkpoint directory.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,6 +24,9 @@ def work_root(spark: SparkSession) -> str:
             raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
         return root.rstrip("/")
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach: "
+                           f"the session runs on {sc.master}, where a local folder is each machine's own.")
     if not root:
         root = tempfile.mkdtemp(prefix="tablemover-")
         sc.setCheckpointDir(root)

@@ -172,3 +172,54 @@ def test_empty_ciphertext_refused_null_kept(spark):
     rows = decrypt_columns(frame(spark, ["", None]), ["v"], PASS, on_error="null").orderBy("id").collect()
     assert [r["v"] for r in rows] == [None, None]
     assert decrypt_columns(frame(spark, [None]), ["v"], PASS).first()["v"] is None
+
+
+def sealed_by_hand(ver, salt, passphrase="pw", key_salt=b"0" * 16):
+    import base64
+    import json
+
+    from tablemover.functions.kdf import pbkdf2_key
+    doc = {"ver": ver, "val": base64.b64encode(b"x" * 40).decode()}
+    if salt is not None:
+        doc["salt"] = salt
+    assert pbkdf2_key(passphrase, key_salt)
+    return base64.b64encode(json.dumps(doc).encode()).decode()
+
+
+@pytest.mark.parametrize("salt, message", [(None, "without a salt"), ("not base64!", "salt is not valid"),
+                                           ("MDEy:x", "salt is not valid"), ("MDEy:" + "9" * 12, "salt is not valid")])
+def test_missing_or_bad_salt_fails_by_name(spark, salt, message):
+    bad = sealed_by_hand("2.0", salt)
+    good = encrypt_columns(frame(spark, ["kept"]), ["v"], PASS).first()["v"]
+    with pytest.raises(Exception, match=message):
+        decrypt_columns(frame(spark, [good, bad]), ["v"], PASS).collect()
+    rows = decrypt_columns(frame(spark, [good, bad]), ["v"], PASS, on_error="null").orderBy("id").collect()
+    assert [r["v"] for r in rows] == ["kept", None]
+
+
+def test_job_salt_envelopes_of_earlier_writers_open(spark):
+    """A 2.0 envelope whose salt names no bucket is sealed with the job key itself."""
+    import base64
+
+    from tablemover.functions.kdf import pbkdf2_key
+    salt = b"0123456789abcdef"
+    keys = spark.createDataFrame([("old value", pbkdf2_key(PASS, salt))], "v string, k binary")
+    sealed = keys.select(F.base64(F.to_json(F.struct(
+        F.lit("2.0").alias("ver"), F.lit(base64.b64encode(salt).decode()).alias("salt"),
+        F.base64(F.aes_encrypt("v", "k", F.lit("GCM"))).alias("val"))).cast("binary")).alias("v"))
+    assert decrypt_columns(sealed, ["v"], PASS).first()["v"] == "old value"
+
+
+def test_values_are_dealt_over_keys(spark):
+    import base64
+    import json
+    sealed = encrypt_columns(spark.range(500).selectExpr("CAST(id AS string) AS v"), ["v"], PASS).collect()
+    salts = {json.loads(base64.b64decode(r["v"]))["salt"] for r in sealed}
+    assert len({s.partition(":")[0] for s in salts}) == 1 and len(salts) > 300
+
+
+def test_columns_named_like_helpers(spark):
+    df = spark.createDataFrame([(1, "a", "b")], "_tm_salt int, _tm_key string, _tm_env_0 string")
+    for version in ("1.1", "2.0"):
+        back = decrypt_columns(encrypt_columns(df, ["_tm_key", "_tm_env_0"], PASS, version=version), ["_tm_key", "_tm_env_0"], PASS)
+        assert back.columns == df.columns and back.collect() == df.collect()

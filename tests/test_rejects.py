@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from tablemover.operators.rejects import (REASON_COLUMN, conversion_split, duplicate_split,
                                           prepare_reject_tables)
-from tablemover.operators.replicate import replicate_rows
 from tablemover.sources.files import MALFORMED_COLUMN, read_delimited
 from tablemover.spec import TableName
 
@@ -77,13 +76,6 @@ def test_hot_key_and_hot_copies(spark):
     assert multiset(kept.unionByName(rejects)) == multiset(df)
 
 
-def test_replicate_spreads_big_counts(spark):
-    df = spark.createDataFrame([("a", 10), ("b", 1), ("c", 7)], "x string, n long")
-    out = replicate_rows(df, "n", chunk_rows=3)
-    counts = {r["x"]: r["count"] for r in out.groupBy("x").count().collect()}
-    assert counts == {"a": 10, "b": 1, "c": 7}
-
-
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 3))), min_size=1, max_size=40))
 def test_good_plus_rejects_is_input(spark, rows):
@@ -181,15 +173,83 @@ def test_conversion_good_plus_rejects_is_input(spark, values):
     assert bad.count() + len(fits) == len(values)
 
 
-def test_hot_copies_are_written_in_chunks(spark):
-    """Copies beyond one chunk are produced by several tasks; none is lost."""
-    copies = spark.range(0, 1000).select(F.lit(1).cast("long").alias("k"), F.lit(5).cast("long").alias("v"))
-    other = spark.range(0, 10).select(F.lit(2).cast("long").alias("k"), F.col("id").alias("v"))
-    df = copies.unionByName(other)
-    kept, rejects = duplicate_split(df, ["k"], chunk_rows=7)
-    assert multiset(kept.unionByName(rejects)) == multiset(df)
-    per_task = rejects.groupBy(F.spark_partition_id().alias("pid")).count().collect()
-    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 999
+def bits(rows):
+    """Rows with floats told apart to the sign of zero."""
+    return sorted(repr(tuple(r)) for r in rows)
+
+
+def test_duplicates_to_the_bit(spark):
+    """-0.0 in keys and values, NaN, NULL keys, map and nested columns, and helper-like names."""
+    nan = float("nan")
+    rows = [(0.0, -0.0, {"a": 1}, [(1, None)], "x"), (-0.0, 0.0, {"a": 1}, [(1, None)], "x"), (-0.0, -0.0, {}, [], "y"),
+            (None, 1.0, None, None, "p"), (None, nan, {"b": 2}, None, "q"), (None, nan, {"b": 2}, None, "q"),
+            (nan, 2.0, {}, None, None), (nan, 2.0, {}, None, None), (3.0, None, None, None, "alone")]
+    df = spark.createDataFrame(rows, "k0 double, row double, file map<string,int>, place array<struct<a:int,b:string>>, _held string")
+    kept, rejects = duplicate_split(df, ["k0"])
+    plain = [r.replace("Row(a=1, b=None)", "(1, None)") for r in bits(kept.collect() + rejects.collect())]
+    assert plain == bits(rows)
+    left = {repr(abs(r.k0) if r.k0 is not None else None): r for r in kept.collect()}
+    assert sorted(left) == ["0.0", "3.0", "None", "nan"]
+    assert left["None"]["row"] == 1.0 and repr(left["0.0"]["row"]) == "-0.0"
+
+
+def test_null_keys_are_one_key_against_the_target_too(spark):
+    from tablemover import TransferSpec, load
+    from tablemover.workspace import new_database
+    db = new_database(spark, "nulls")
+    spark.sql(f"CREATE TABLE {db}.t (k BIGINT, _held STRING) USING parquet")
+    spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k long, _held string").write.saveAsTable(f"{db}.src")
+    spec = TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db, hive_table="src",
+                              target_table=f"{db}.t", key_columns=("k",))
+    assert load(spark, spec).loaded == 2
+    again = load(spark, spec)
+    assert again.loaded == 0 and again.rejected[f"{db}.t_ERR_2"] == 3
+    assert sorted(map(tuple, spark.table(f"{db}.t").collect()), key=repr) == [(1, "c"), (None, "a")]
+
+
+def test_a_map_cannot_be_a_key(spark):
+    with pytest.raises(ValueError, match="maps"):
+        duplicate_split(spark.createDataFrame([({"a": 1},)], "m map<string,int>"), ["m"])
+
+
+@pytest.mark.parametrize("source, value, target, fits", [
+    ("double", 1.7, "int", None), ("double", 2.0, "int", 2), ("double", 2.0 ** 63, "long", None), ("double", -0.0, "int", 0),
+    ("double", 16777217.0, "float", None), ("double", 0.5, "float", 0.5), ("double", float("nan"), "int", None),
+    ("long", 2 ** 53 + 1, "double", None), ("long", 2 ** 53, "double", float(2 ** 53)), ("int", 2, "boolean", None),
+    ("int", 300, "byte", None), ("int", 7, "string", "7"), ("decimal(5,3)", "1.239", "decimal(4,1)", None),
+    ("decimal(5,3)", "1.200", "decimal(4,1)", "1.2"), ("timestamp_ntz", "2024-01-01 10:00:00", "date", None),
+    ("timestamp_ntz", "2024-01-01 00:00:00", "date", "2024-01-01"), ("string", "1.7", "int", None), ("string", "12", "int", 12),
+    ("string", "1.239", "decimal(4,1)", None), ("string", "1.20", "decimal(4,1)", "1.2"), ("string", "1e1", "decimal(4,1)", "10.0"),
+    ("string", "2024-01-01 10:00", "date", None), ("string", "2024-01-01", "date", "2024-01-01"), ("string", "0.1", "double", 0.1),
+    ("string", "x", "double", None)])
+def test_a_value_fits_only_without_loss(spark, source, value, target, fits):
+    df = spark.createDataFrame([(value if not isinstance(value, str) else None, str(value))], "v double, s string") \
+        if source == "double" else spark.sql(f"SELECT CAST('{value}' AS {source}) AS v")
+    df = df.select("v")
+    schema = spark.sql(f"SELECT CAST(NULL AS {target}) AS v").schema
+    good, bad = conversion_split(df, schema)
+    assert bad.count() == (fits is None)
+    if fits is not None:
+        assert str(good.first().v) == str(fits)
+
+
+def test_columns_must_match_unless_told(spark):
+    from tablemover import TransferSpec, load
+    from tablemover.workspace import new_database
+    db = new_database(spark, "cols")
+    spark.createDataFrame([(1, "a", 2.5)], "id int, nmae string, extra double").write.saveAsTable(f"{db}.src")
+    def run(**kw):
+        spark.sql(f"DROP TABLE IF EXISTS {db}.t")
+        spark.sql(f"CREATE TABLE {db}.t (ID INT, name STRING) USING parquet")
+        load(spark, TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db, hive_table="src",
+                                       target_table=f"{db}.t", **kw))
+        return tuple(spark.table(f"{db}.t").first())
+    with pytest.raises(ValueError, match=r"\['nmae', 'extra'\].*\['name'\]"):
+        run()
+    assert run(allow_unmatched=True) == (1, None)
+    assert run(column_mapping={"id": "id", "name": "nmae"}) == (1, "a")
+    with pytest.raises(ValueError, match="unknown columns"):
+        run(column_mapping={"name": "nothere"})
 
 
 def test_json_lines_reject_bad_values_and_lines(spark, tmp_path):

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from tablemover import CatalogWarehouse, JdbcWarehouse, TableName, extract, load
-from tablemover.plans.registry import catalog_spec, create_table, source_database
+from tablemover.plans.registry import QUERIES, catalog_spec, create_table, source_database
 from tablemover.workspace import new_database, new_run_dir
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +25,7 @@ def rows_of(cols, rows):
     return sorted("|".join(norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_query_matches_duckdb(spark, duck, name):
     df = E.queries()[name](spark, SF)
     res = duck.execute(E.oracle_sql()[name])
@@ -83,8 +83,8 @@ def test_jdbc_options_and_split_predicates(spark):
     plain = JdbcWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="secret")
     assert plain.read_options(dbtable="db.t")["fetchsize"] == "10000"
     preds = wh.split_predicates("o_orderkey", 4)
-    bucket = "MOD(MOD(o_orderkey, 4) + 4, 4)"
-    assert preds == [f"({bucket} = 0 OR o_orderkey IS NULL)"] + [f"{bucket} = {i}" for i in (1, 2, 3)]
+    bucket = 'MOD(MOD("o_orderkey", 4) + 4, 4)'
+    assert preds == [f'({bucket} = 0 OR "o_orderkey" IS NULL)'] + [f"{bucket} = {i}" for i in (1, 2, 3)]
     with pytest.raises(ValueError, match="JDBC URL"):
         wh.write_options(TableName("t"), 8, insert_method="internal.fastload")
     with pytest.raises(ValueError, match="password"):
@@ -148,7 +148,7 @@ def test_jdbc_split_reads_build_the_right_calls():
     spark.read.calls.clear()
     wh.read_table(TableName("orders", "db"), splits=8, method="split.by.partition", split_column="o_orderkey")
     opts = [c[2] for c in spark.read.calls if c[0] == "options"]
-    assert any("MIN(o_orderkey)" in o.get("query", "") for o in opts)
+    assert any('MIN("o_orderkey")' in o.get("query", "") for o in opts)
     split = [o for o in opts if "partitionColumn" in o][0]
     assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("0", "99", "8")
 
@@ -160,11 +160,16 @@ def test_jdbc_split_reads_build_the_right_calls():
 def test_jdbc_append_uses_writer_count():
     class FakeFrame:
         def __init__(self):
-            self.write = _Recorder()
+            self.write, self.dealt_to = _Recorder(), None
+
+        def repartition(self, n):
+            self.dealt_to = n
+            return self
 
     df = FakeFrame()
     wh = JdbcWarehouse(_FakeSpark(), "jdbc:x://h", driver="D", user="u", password="pw")
     wh.append(df, TableName("t", "db"), writers=8)
+    assert df.dealt_to == 8  # a shuffle, so that the source before it keeps its own tasks
     names = [c[0] for c in df.write.calls]
     assert names == ["format", "options", "mode", "save"]
     opts = df.write.calls[1][2]
@@ -173,15 +178,32 @@ def test_jdbc_append_uses_writer_count():
 
 
 def test_jdbc_table_split_defaults_to_primary_key():
+    from pyspark.sql import types as T
+
     class KeyedWarehouse(JdbcWarehouse):
+        key = ("o_orderkey", "o_custkey")
+
         def primary_key(self, table):
-            return ("o_orderkey", "o_custkey")
+            return self.key
+
+        def schema(self, table):
+            return T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                                 T.StructField("name", T.StringType())])
 
     spark = _FakeSpark()
     wh = KeyedWarehouse(spark, "jdbc:x://h", driver="D", user="u", password="pw")
     wh.read_table(TableName("orders", "db"), splits=4)
     name, args, kwargs = spark.read.calls[-1]
-    assert name == "jdbc" and kwargs["predicates"][1] == "MOD(MOD(o_orderkey, 4) + 4, 4) = 1"
+    part = 'MOD(MOD("{}", 4) + 4, 4)'
+    assert name == "jdbc" and kwargs["predicates"][1] == (
+        f"MOD({part.format('o_orderkey')} * 31 + {part.format('o_custkey')}, 4) = 1")
+    wh.read_table(TableName("orders", "db"), splits=4, split_column="HASHROW(name)")
+    assert spark.read.calls[-1][2]["predicates"][1] == "MOD(MOD(HASHROW(name), 4) + 4, 4) = 1"
+    for key, message in (((), "no key to split by"), (("name",), "not integers")):
+        wh.key = key
+        with pytest.raises(ValueError, match=message):
+            wh.read_table(TableName("orders", "db"), splits=4)
+        wh.read_table(TableName("orders", "db"), splits=1)  # one connection only when asked for
 
 
 def test_keyed_load_removes_its_staged_rows(spark):
@@ -193,8 +215,9 @@ def test_keyed_load_removes_its_staged_rows(spark):
 
 
 def test_every_survey_id_is_exercised():
-    from tablemover.plans.registry import COVERAGE
-    assert set(COVERAGE) == set(E.queries()) == set(E.oracle_sql())
+    from tablemover.plans.registry import COVERAGE, ORACLE_SQL, QUERIES
+    assert set(COVERAGE) == set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
     covered = {i for ids in COVERAGE.values() for i in ids}
     expected = {f"S{i}" for i in range(2, 7)} | {f"K{i}" for i in range(1, 5)} \
         | {"R1", "R2", "R3", "C1", "C2", "C3", "F1", "F2", "F3", "F4"}
@@ -224,17 +247,69 @@ def test_split_predicates_cover_every_row_once(duck):
 
 
 def test_text_round_trip_keeps_every_value(spark):
+    from tablemover.plans.registry import read_text
     from tablemover.sinks.files import extract_files
-    from tablemover.sources.files import text_read_options
     values = ["", None, " padded ", 'q"uote', 'x|y', "line\nbreak", "cr\r\nlf", "back\\slash",
-              "#not a comment", '"', "\\\"", "tab\there"]
+              "#not a comment", '"', "\\\"", "tab\there", "\x00", "\x10n", "\x10", "\n", "\x10\x10e\n\r"]
     df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
     path = f"{new_run_dir(spark, 'test')}/edge"
     extract_files(df, path, "textfile", separator="|")
-    back = spark.read.schema(df.schema).options(**text_read_options("|", multiline=True)).csv(path)
+    back = read_text(spark, path, df.schema)
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_binary_columns_survive_text(spark):
+    from tablemover.plans.registry import read_text
+    from tablemover.sinks.files import extract_files
+    df = spark.sql("SELECT 1L AS id, X'00FF80' AS b UNION ALL SELECT 2L, X'' UNION ALL SELECT 3L, NULL "
+                   "UNION ALL SELECT 4L, CAST(repeat('x', 500) AS binary)")
+    path = f"{new_run_dir(spark, 'test')}/binary"
+    extract_files(df, path, "textfile", separator="|")
+    assert sorted(read_text(spark, path, df.schema).collect()) == sorted(df.collect())
+
+
+def test_foreign_text_with_open_quotes_goes_to_the_first_error_table(spark, tmp_path):
+    """A quoted value with a line break, written by another tool: neither half loads as a row."""
+    from pyspark.sql import types as T
+    from tablemover.operators.rejects import conversion_split
+    from tablemover.sources.files import MALFORMED_COLUMN, read_delimited
+    (tmp_path / "f.txt").write_text('1,"a\nb"\n2,plain\n3,5" disk\n"4","x"\n\n6,"say ""hi"""\n')
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    good, bad = conversion_split(read_delimited(spark, str(tmp_path / "f.txt"), schema), schema)
+    assert sorted(map(tuple, good.collect())) == [(2, "plain"), (3, '5" disk'), (4, "x"), (6, 'say "hi"')]
+    assert sorted(r[MALFORMED_COLUMN] for r in bad.collect()) == ['1,"a', 'b"']
+    whole = conversion_split(read_delimited(spark, str(tmp_path / "f.txt"), schema, options={"multiLine": "true"}), schema)[0]
+    assert (1, "a\nb") in set(map(tuple, whole.collect()))
+
+
+def test_text_of_one_column_keeps_nulls(spark):
+    from tablemover.plans.registry import read_text
+    from tablemover.sinks.files import extract_files
+    df = spark.createDataFrame([("a",), (None,), ("",), (" ",)], "v string")
+    path = f"{new_run_dir(spark, 'test')}/one"
+    extract_files(df, path, "textfile", separator="|")
+    assert sorted(read_text(spark, path, df.schema).collect(), key=repr) == sorted(df.collect(), key=repr)
+
+
+def test_staging_off_a_local_master_needs_a_shared_folder():
+    from tablemover.workspace import work_root
+
+    class Context:
+        master = "spark://h:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_root(Session())
+
+
 def test_instants_survive_text_across_time_zones(spark):
     import datetime as dt
     from tablemover.operators.rejects import conversion_split
@@ -260,7 +335,11 @@ def test_instants_survive_text_across_time_zones(spark):
 def test_jdbc_error_tables_use_the_writer_cap():
     class FakeFrame:
         def __init__(self):
-            self.write = _Recorder()
+            self.write, self.dealt_to = _Recorder(), None
+
+        def repartition(self, n):
+            self.dealt_to = n
+            return self
 
     df = FakeFrame()
     wh = JdbcWarehouse(_FakeSpark(), "jdbc:x://h", driver="D", user="u", password="pw")
@@ -326,39 +405,33 @@ from hypothesis import strategies as st  # noqa: E402
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.one_of(st.none(), st.text(max_size=30).filter(lambda v: v != "\x00")),
-                min_size=1, max_size=25))
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30)), min_size=1, max_size=25))
 def test_text_round_trip_property(spark, values):
+    from tablemover.plans.registry import read_text
     from tablemover.sinks.files import extract_files
-    from tablemover.sources.files import text_read_options
     df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
     path = f"{new_run_dir(spark, 'prop')}/t"
     extract_files(df, path, "textfile", separator="|")
-    back = spark.read.schema(df.schema).options(**text_read_options("|", multiline=True)).csv(path)
-    assert sorted((r.id, r.v) for r in back.collect()) == sorted(enumerate(values))
+    back = read_text(spark, path, df.schema)
+    assert sorted(((r.id, r.v) for r in back.collect()), key=lambda r: r[0]) == list(enumerate(values))
 
 
 def test_text_stress_quotes_separators_nul_line_breaks(spark):
-    """Values built from the characters that broke text before; both the read-back
-    and the load path (permissive, malformed-line column) must return them exactly."""
+    """Values built from the characters that broke text before come back exactly."""
     import random
     from tablemover.operators.rejects import conversion_split
     from tablemover.sinks.files import extract_files
-    from tablemover.sources.files import read_delimited, text_read_options
+    from tablemover.sources.files import read_delimited
     from pyspark.sql import types as T
     rnd = random.Random(3)
-    alphabet = ['"', '|', ',', '\n', '\r', '\\', ' ', '\t', '\x00', 'a', 'é', '𝄞', '#', "'"]
+    alphabet = ['"', '|', ',', '\n', '\r', '\\', ' ', '\t', '\x00', '\x10', 'a', 'n', 'é', '𝄞', '#', "'"]
     vals = [None if rnd.random() < 0.05 else "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 10)))
             for _ in range(1000)]
-    vals = [v for v in vals if v != "\x00"]
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
     df = spark.createDataFrame(list(enumerate(vals)), schema).repartition(4)
     path = f"{new_run_dir(spark, 'stress')}/t"
     extract_files(df, path, "textfile", separator="|")
     want = sorted(enumerate(vals), key=lambda r: r[0])
-    back = spark.read.schema(schema).options(**text_read_options("|", multiline=True)).csv(path)
-    assert sorted(((r.id, r.v) for r in back.collect()), key=lambda r: r[0]) == want
-    good, bad = conversion_split(read_delimited(spark, path, schema, "|", options={"multiLine": "true"}),
-                                 schema)
+    good, bad = conversion_split(read_delimited(spark, path, schema, "|"), schema)
     assert bad.count() == 0
     assert sorted(((r.id, r.v) for r in good.collect()), key=lambda r: r[0]) == want
