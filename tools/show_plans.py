@@ -51,10 +51,10 @@ def main() -> None:
     revenue = spark.sql(REVENUE_SQL.format(db=f"`{db}`."))
     sections = [
         ("R1 conversion split, rejected rows (one narrow pass, range test)", bad),
-        ("R2 kept rows (partial min by key; no join, no window)", kept),
-        ("R2 rejected rows (whole-row partial sum; chunked replicate)", rejects),
-        ("C1 encrypt 2.0 (one-row key table, broadcast hash join)", sealed),
-        ("C2 decrypt 2.0 (bounded key table by salt; no Python)", opened),
+        ("R2 kept rows (anti-join with the repeated keys, and the least of each)", kept),
+        ("R2 rejected rows (staged rows of repeated keys, by address)", rejects),
+        ("C1 encrypt 2.0 (table of 1024 keys, broadcast hash join)", sealed),
+        ("C2 decrypt (one pass; keys derived in the tasks)", opened),
         ("S6/F4 extract query (pruned scans; Catalyst picks the join)", revenue),
     ]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
