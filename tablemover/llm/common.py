@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,12 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that an idle Python worker holds none of its last batch."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` does just that on pure ASCII and is much faster."""
     ascii_only = F.octet_length(c) == F.char_length(c)
