@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import new_run_dir, stage
 from .common import BLANKS, ascii_lower, field, packed
 
 
@@ -46,7 +47,9 @@ def dropped_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Da
     else:
         held = lines.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.count_distinct("id").alias("n_docs"))
         shared = held.where(F.col("n_docs") >= min_docs)
-    return (lines.join(shared.select("h1", "h2", "first_id"), ["h1", "h2"])
+    # Written and read anew, the shared keys need a shuffle of their own, so that the join can split a hot key.
+    shared = stage(shared.select("h1", "h2", "first_id"), new_run_dir(docs.sparkSession, "lines"))
+    return (lines.join(shared, ["h1", "h2"])
             .where("id > first_id")
             .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone")))
 
@@ -55,15 +58,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10, doc_id:
                 text: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with shared lines removed from ``text``.  ``counts`` names two more columns: the number
     of lines before, and the number dropped."""
-    rows = packed(docs).withColumns({"id": field("row", doc_id), "text": field("row", text)})
-    gone = dropped_lines(rows.select("id", "text"), min_docs, min_chars)
+    rows, content = packed(docs).withColumn("id", field("row", doc_id)), field("row", text)
+    gone = dropped_lines(rows.select("id", content.alias("text")), min_docs, min_chars)
     gone = gone.withColumnsRenamed({"id": "gone_id", "text_hash": "gone_hash"})
-    joined = rows.withColumn("text_hash", F.xxhash64("text")).join(
+    joined = rows.withColumn("text_hash", F.xxhash64(content)).join(
         gone, (F.col("id") == F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
-    joined = joined.withColumn("lines", _lines(F.col("text")))
+    joined = joined.withColumn("lines", _lines(content))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     kept = F.array_join(F.transform(stay, lambda p: F.get(F.col("lines"), p)), "\n")
-    new_text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    new_text = F.when(F.col("gone").isNull(), content).otherwise(kept)
     out = [(new_text if c == text else field("row", c)).alias(c) for c in docs.columns]
     if counts:
         n_gone = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone"))
