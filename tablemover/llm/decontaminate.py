@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import field, packed, ship_by_value
+from ..workspace import new_run_dir, stage
+from .common import field, packed, release, ship_by_value
 
 Q = 10
 EDIT_RATE = 0.08
@@ -173,6 +174,7 @@ def _searcher(index_value):
                 kinds = [pa.int64()] * 5 + [pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            release()
     return search
 
 
@@ -203,23 +205,38 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id"
     return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], MATCHES)
 
 
+def _marked(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, carry=None, **options) -> tuple[DataFrame, DataFrame]:
+    """The documents as (row, id, text_hash), the row with the columns in ``carry`` (all by default), and the
+    matches by document as (f_id, f_hash, items, edits), written once: they are few, and their size is then
+    known to the join."""
+    whole, carry = packed(docs), docs.columns if carry is None else list(carry)
+    rows = whole.select(F.struct(*[field("row", c).alias(c) for c in carry]).alias("row"),
+                        field("row", doc_id).cast("long").alias("id"), F.xxhash64(field("row", text)).alias("text_hash"))
+    texts = whole.select(field("row", doc_id).alias("id"), field("row", text).alias("text"))
+    found = (find_matches(texts, benchmark, **options)
+             .groupBy(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash"))
+             .agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.min("edits").alias("edits")))
+    return rows, stage(found, new_run_dir(docs.sparkSession, "matches"))
+
+
+def _same_document():
+    return F.col("id").eqNullSafe(F.col("f_id")) & (F.col("text_hash") == F.col("f_hash"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   **options) -> DataFrame:
     """(row, items, edits): every document, packed, with the sorted ids of the items in it (empty if clean) and
-    the least edits of any."""
-    rows = packed(docs).select("row", field("row", doc_id).cast("long").alias("id"), field("row", text).alias("text"))
-    found = (find_matches(rows.select("id", "text"), benchmark, **options)
-             .groupBy(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash"))
-             .agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.min("edits").alias("edits")))
-    same = F.col("id").eqNullSafe(F.col("f_id")) & (F.xxhash64("text") == F.col("f_hash"))
+    the least edits of any.  ``carry`` names the columns of the row where not all are wanted."""
+    rows, found = _marked(docs, benchmark, doc_id, text, **options)
     none = F.array().cast("array<bigint>")
-    return rows.join(found, same, "left").select("row", F.coalesce("items", none).alias("items"), "edits")
+    return rows.join(found, _same_document(), "left").select("row", F.coalesce("items", none).alias("items"), "edits")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                      **options) -> DataFrame:
     """The documents without any benchmark item."""
-    marked = contamination(docs, benchmark, **options)
-    return marked.where(F.size("items") == 0).select(*[field("row", c).alias(c) for c in docs.columns])
+    rows, found = _marked(docs, benchmark, doc_id, text, **options)
+    return rows.join(found, _same_document(), "left_anti").select(*[field("row", c).alias(c) for c in docs.columns])
 
 
 ship_by_value(__name__)

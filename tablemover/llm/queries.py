@@ -98,7 +98,7 @@ def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = contamination(docs, table(spark, sf_dir, "benchmark"))
+    marked = contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return marked.select("row.doc_id", (F.size("items") > 0).alias("contaminated"), "items", "edits")
 
 
@@ -129,7 +129,7 @@ def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scanned = findings(docs, "doc_id", "text", new_run_dir(spark, "ledger"))
+    scanned = findings(docs, "doc_id", "text", new_run_dir(spark, "ledger"), carry=["doc_id"])
     base = F.filter("found", lambda s: s["kind"] <= len(BASE_RULES))
 
     def written(spans):

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import new_run_dir, stage
 from .common import field, packed
 
 LEDGER = "blob string, rule string, version int, spans array<struct<start:int,stop:int>>"
@@ -103,10 +104,11 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None, rules=RULES) -> D
     return once.select("blob", F.inline(rows)).where(F.col("spans").isNotNull())
 
 
-def findings(docs: DataFrame, path: str, text: str, folder: str, rules=RULES, seen: bool = False) -> DataFrame:
+def findings(docs: DataFrame, path: str, text: str, folder: str, rules=RULES, seen: bool = False, carry=None) -> DataFrame:
     """(row, blob, found): every input row, packed, with its blob id and the spans found by the current rules as
     array<struct<start, kind number, stop, kind>> in order of start and then of kind.  The ledger in ``folder`` is
-    read if ``seen``, and gets the pairs scanned now."""
+    read if ``seen``, and gets the pairs scanned now.  ``carry`` names the columns of the row where not all are
+    wanted."""
     spark = docs.sparkSession
     rows = packed(docs).withColumn("text", F.coalesce(field("row", text), F.lit("")))
     rows = rows.withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
@@ -117,7 +119,10 @@ def findings(docs: DataFrame, path: str, text: str, folder: str, rules=RULES, se
     hits = (read_ledger(spark, folder).where(current & (F.size("spans") > 0)).select("blob", "rule", number.alias("kind"), F.explode("spans").alias("s"))
             .groupBy(F.col("blob").alias("h_blob"))
             .agg(F.array_sort(F.collect_set(F.struct("s.start", "kind", "s.stop", "rule"))).alias("found")))
+    # Written and read anew, the findings need a shuffle of their own, so that the join can split a blob of many paths.
+    hits = stage(hits, new_run_dir(spark, "findings"))
     none = F.array().cast("array<struct<start:int,kind:int,stop:int,rule:string>>")
-    light = rows.select("row", "blob")
+    kept = docs.columns if carry is None else list(carry)
+    light = rows.select(F.struct(*[field("row", c).alias(c) for c in kept]).alias("row"), "blob")
     return light.join(hits, F.col("blob") == F.col("h_blob"), "left").select(
         "row", "blob", F.coalesce("found", none).alias("found"))
