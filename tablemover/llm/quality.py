@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, ship_by_value
+from .common import field, packed, release, ship_by_value
 
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
@@ -76,6 +76,7 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
 def _counts(texts: pd.Series) -> pd.DataFrame:
+    release()
     return pd.DataFrame([text_counts(t or "") for t in texts], columns=list(COUNTS), dtype="int64")
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, ship_by_value
+from .common import packed, release, ship_by_value
 
 BLANK = "▁"
 NEVER = float("inf")
@@ -42,8 +42,9 @@ START = LABELS
 # Piece kinds in a model file (fixed by its format).
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-# Encodings of words that a worker remembers; the memory is emptied when full.
-REMEMBERED = 400_000
+# Encodings of words, and borders of pieces, that a worker remembers; a full memory is emptied.
+REMEMBERED = 200_000
+BORDERS = 600_000
 
 
 def read_model(path: str) -> dict:
@@ -131,7 +132,7 @@ class Transducer:
         """All finite weights are zero, so the first path that arrives is a shortest one: depth-first, the
         longest arc first, each state (position, label) once, as one number."""
         n, longest, trie, borders = len(text), self.longest, self.trie, self.borders
-        if self.n_borders > 4_000_000:
+        if self.n_borders > BORDERS:
             borders.clear()
             self.n_borders = 0
         came, stack, end = {}, [START], n << LABEL_BITS
@@ -260,6 +261,7 @@ def _mapper(model, key: str, at: int, with_text: bool):
                 columns.append(pa.array(whole, pa.string()))
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names)
+            release()
     return encode
 
 
