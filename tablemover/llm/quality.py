@@ -2,10 +2,15 @@
 
 Each text gives signals (share of symbols, of repeated lines, of repeated words, letters per word).  A
 mergeable quantile sketch (KLL) of every signal is built per language and source, in map-side parts; the
-sketches of a language's sources are merged into one for the language, and these into one for all.  A group's
-threshold for a signal lies some spreads beyond its median, the spread being the distance from the lower
-quartile to the median, which a large share of junk leaves alone.  A group with few documents takes the
-thresholds of its language, or of all.  Documents are then filtered by a join with the thresholds.
+sketches of a language's sources are merged into one for the language, and these into one for all.  A group is
+shrunk towards the next wider one: its distribution is mixed with ``min_group`` documents' worth of its
+language's, and that with as many of all.  So a small source of mostly junk is judged against its language,
+and a source of many more documents than that by what is usual in it.
+
+A signal may lie ``SPREADS`` spreads beyond the group's lower and upper quartile.  A spread is the quartile's
+distance from the median, or what chance alone gives a text of that size if larger: events that come at the
+group's median rate, and one more, over the text's letters, lines or words.  No limit has a fixed floor.
+Documents are then filtered by a join with the groups' quartiles.
 
 Two rules stay fixed, as base rules: at least 50 words, and at most half of the words in repeated windows.
 
@@ -31,16 +36,14 @@ MIN_WORDS = 50
 MAX_REPEATED = 0.5
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
-# Thresholds of a group with fewer documents come from the next wider group.
+# So many documents' worth of the next wider group are mixed into a group.
 MIN_GROUP = 200
-# Signal -> (spreads beyond the median, least distance from it, direction).  The least distance is what a
-# clean text may differ by even where all its group are alike.
-SIGNALS = {
-    "symbol_share": (8.0, 0.04, 1),
-    "line_share": (8.0, 0.50, 1),
-    "repeat_share": (8.0, 0.45, 1),
-    "word_length": (8.0, 4.0, 1),
-}
+SPREADS = 8.0
+# Signal -> what its events fall on.  Words repeat by the line.
+SIGNALS = {"symbol_share": "word_chars", "line_share": "n_lines", "repeat_share": "n_lines", "word_length": "n_words"}
+QUARTILES = {"low": 0.25, "mid": 0.5, "high": 0.75}
+# A sketch is mixed as this many equally likely values.
+GRID = 100
 # Threshold rows up to this number are broadcast (about 100 bytes each); beyond it the join shuffles.
 MAX_BROADCAST_ROWS = 100_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -96,31 +99,52 @@ def base_failed() -> Column:
         F.col("counts.n_repeat_words") > MAX_REPEATED * F.col("counts.n_words"))
 
 
+def _mixed(parts: list[tuple[str, Column]], q: float) -> Column:
+    """Quantile q of a mixture of (array of equally likely values, weight)."""
+    def weighed(values, weight):
+        return F.transform(F.coalesce(values, F.array().cast("array<double>")),
+                           lambda v: F.struct(v.alias("v"), (weight / GRID).alias("w")))
+    ordered = F.array_sort(F.concat(*[weighed(F.col(v), w) for v, w in parts]))
+    least = q * sum((w for _, w in parts), F.lit(0.0))
+    start = F.struct(F.lit(0.0).alias("below"), F.lit(None).cast("double").alias("v"))
+    step = lambda s, x: F.struct((s["below"] + x["w"]).alias("below"),
+                                 F.when(s["below"] < least, x["v"]).otherwise(s["v"]).alias("v"))
+    return F.aggregate(ordered, start, step, lambda s: s["v"])
+
+
 def thresholds(signals: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang, source, <signal>_limit ...) from rows of (lang, source, signals): one row per group."""
+    """(lang, source, <signal>_low, _mid, _high ...) from rows of (lang, source, signals): the quartiles of each
+    group as mixed with the wider ones."""
     def widened(df, keys, merge):
         aggs = [(F.kll_merge_agg_double(f"{s}_sketch") if merge else F.kll_sketch_agg_double(s)).alias(f"{s}_sketch")
                 for s in SIGNALS]
         return df.groupBy(*keys).agg(F.sum("n").alias("n"), *aggs)
 
-    def limits(df):
-        out = [F.col(c) for c in ("lang", "source", "n") if c in df.columns]
-        for s, (spreads, least, way) in SIGNALS.items():
-            low, mid = (F.kll_sketch_get_quantile_double(f"{s}_sketch", F.lit(q)) for q in (0.25, 0.5))
-            out.append((mid + way * F.greatest(spreads * (mid - low), F.lit(least))).alias(f"{s}_limit"))
-        return df.select(*out)
+    def values(df, name):
+        ranks = F.array(*[F.lit((k + 0.5) / GRID) for k in range(GRID)])
+        return df.select(*[F.col(c).alias(c if name == "own" else f"{name}_{c}") for c in ("lang", "source") if c in df.columns],
+                         F.col("n").cast("double").alias(f"{name}_n"),
+                         *[F.kll_sketch_get_quantile_double(f"{s}_sketch", ranks).alias(f"{name}_{s}") for s in SIGNALS])
 
     known = signals.where(" AND ".join(f"{s} IS NOT NULL" for s in SIGNALS)).withColumn("n", F.lit(1))
     own = stage(widened(known, ["lang", "source"], False), new_run_dir(signals.sparkSession, "sketches"))
     per_lang = widened(own, ["lang"], True)
-    overall = limits(widened(per_lang, [], True).where("n > 0"))
-    o, lang, every = limits(own).alias("o"), limits(per_lang).alias("l"), overall.alias("e")
-    joined = o.join(lang, F.col("o.lang").eqNullSafe(F.col("l.lang")), "left").join(F.broadcast(every), F.lit(True), "left")
-    def pick(s):
-        c = f"{s}_limit"
-        return (F.when(F.col("o.n") >= min_group, F.col(f"o.{c}")).when(F.col("l.n") >= min_group, F.col(f"l.{c}"))
-                .otherwise(F.col(f"e.{c}")).alias(c))
-    return joined.select("o.lang", "o.source", *[pick(s) for s in SIGNALS])
+    overall = values(widened(per_lang, [], True).where("n > 0"), "all")
+    joined = (values(own, "own").join(values(per_lang, "wide"), F.col("lang").eqNullSafe(F.col("wide_lang")), "left")
+              .join(F.broadcast(overall), F.lit(True), "left"))
+    k, share = F.lit(float(min_group)), F.col("wide_n") / (F.col("wide_n") + min_group)
+    out = [_mixed([(f"own_{s}", F.col("own_n")), (f"wide_{s}", k * share), (f"all_{s}", k * (1 - share))], q).alias(f"{s}_{name}")
+           for s in SIGNALS for name, q in QUARTILES.items()]
+    return joined.select("lang", "source", *out)
+
+
+def unusual(signal: str, size: str) -> Column:
+    """Whether a text's signal lies beyond its group's limits; null without a signal or a group."""
+    low, mid, high = (F.col(f"{signal}_{q}") for q in QUARTILES)
+    n = F.col(f"counts.{size}").cast("double")
+    chance = F.sqrt(F.try_divide(mid + F.try_divide(F.lit(1.0), n), n))
+    return ((F.col(signal) > high + SPREADS * F.greatest(high - mid, chance))
+            | (F.col(signal) < low - SPREADS * F.greatest(mid - low, chance)))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
@@ -138,9 +162,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     on = field("row", lang).eqNullSafe(F.col("t_lang")) & field("row", source).eqNullSafe(F.col("t_source"))
     judged = _with_signals(rows).join(small, on, "left")
     passes = F.lit(True)
-    for s, (_, _, way) in SIGNALS.items():
-        over = way * (F.col(s) - F.col(f"{s}_limit")) > 0
-        passes = passes & ~F.coalesce(over, F.lit(False))
+    for s, size in SIGNALS.items():
+        passes = passes & ~F.coalesce(unusual(s, size), F.lit(False))
     failed = F.coalesce(base_failed(), F.lit(True))
     return judged.select("row", "counts", failed.alias("base_failed"), (~failed & passes).alias("kept"))
 

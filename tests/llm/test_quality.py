@@ -50,6 +50,21 @@ def test_thresholds_follow_the_group(spark):
     assert all(kept[k] for k in range(400)) and sum(kept[1000 + k] for k in range(400)) > 390
 
 
+def test_no_limit_is_fixed(spark):
+    """A share of symbols below 0.04 is junk among long texts without any, and a small source of mostly junk is
+    judged against its language."""
+    def text(k, symbols, n=400):
+        return " ".join(f"w{k + 1000}x{j}" + ("#" if j < symbols else "") for j in range(n))
+    rows = [(k, text(k, 0), "en", "plain") for k in range(1000)] + [(1000, text(1000, 60), "en", "plain")]
+    rows += [(2000 + k, text(k, 40 + k if k < 40 else 0, 100), "en", "junk") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = judge(docs).collect()
+    kept = {r.row.doc_id: r.kept for r in got}
+    assert max(r.counts.n_symbols / r.counts.word_chars for r in got if r.row.doc_id == 1000) < 0.04
+    assert not kept[1000] and all(kept[k] for k in range(1000))
+    assert [kept[2000 + k] for k in range(60)] == [False] * 40 + [True] * 20
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
