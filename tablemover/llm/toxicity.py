@@ -1,16 +1,19 @@
 """Toxicity: non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are positives; every other text of the sample is unlabelled, whatever its label says.
+Confirmed toxic texts are positives; the unlabelled texts are a sample of all documents, with or without a label,
+drawn without regard to it, so that positives are among them as often as in the population.
 With the class prior p, the risk of a score f is estimated as
 
     p * E_pos[loss(f)] + max(0, E_unl[loss(-f)] - p * E_pos[loss(-f)])
 
 where the maximum keeps the estimate of the negative part from going below zero as the classifier overfits;
-there, a step is taken against that part alone.  The classifiers are logistic, over presence of words and word beginnings,
-fitted with numpy on random halves of the sample, and their scores are averaged.
+there, a step is taken against that part alone.  The classifiers are logistic, over presence of words and word
+beginnings, under the squared loss of their probability: it is proper, and bounded, so that an error in the prior
+cannot outweigh the risk of the negatives.  They are fitted with numpy on documents drawn with replacement from
+the sample, and their scores are averaged; a positive that is unlabelled too is drawn as often in both.
 
-Fitting uses a bounded sample of labelled rows (``MAX_POSITIVES``, ``MAX_UNLABELLED``, the smallest by a hash
-of the id); scoring covers every whole text.
+Fitting uses bounded samples (``MAX_POSITIVES`` confirmed positives, ``MAX_UNLABELLED`` documents, each the
+smallest by a hash of the id); scoring covers every whole text.
 
 Defined cases.  A null or empty text has no words and gets the scores' intercept.  Repeated ids score each
 row.  Labels of unknown documents count for nothing; of several labels for an id, toxic wins.  Without any
@@ -73,11 +76,11 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = ST
     m, v, mean = np.zeros_like(w), np.zeros_like(w), np.zeros_like(w)
     sigmoid = lambda f: 1 / (1 + np.exp(-np.clip(f, -30, 30)))
     for t in range(1, steps + 1):
-        f_pos, f_unl = x_pos @ w, x_unl @ w
-        negative = np.logaddexp(0, f_unl).mean() - prior * np.logaddexp(0, f_pos).mean()
-        g_negative = x_unl.T @ sigmoid(f_unl) / len(f_unl) - prior * (x_pos.T @ sigmoid(f_pos)) / len(f_pos)
-        if negative >= 0:
-            g = g_negative - prior * (x_pos.T @ sigmoid(-f_pos)) / len(f_pos)
+        s_pos, s_unl = sigmoid(x_pos @ w), sigmoid(x_unl @ w)
+        g_negative = 2 * (x_unl.T @ (s_unl ** 2 * (1 - s_unl)) / len(s_unl)
+                          - prior * (x_pos.T @ (s_pos ** 2 * (1 - s_pos))) / len(s_pos))
+        if (s_unl ** 2).mean() >= prior * (s_pos ** 2).mean():
+            g = g_negative - 2 * prior * (x_pos.T @ (s_pos * (1 - s_pos) ** 2)) / len(s_pos)
         else:
             g = -g_negative
         g = g + DECAY * w
@@ -88,39 +91,52 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = ST
 
 
 def fit(positives: list, unlabelled: list, features: list[str], prior: float, seed: int = 5) -> list[tuple[dict, float]]:
-    """Classifiers as (feature -> weight, intercept), each fitted on a random half of either sample.  A sample
-    is a list of lists of feature numbers."""
+    """Classifiers as (feature -> weight, intercept), each fitted on documents drawn with replacement.  A sample
+    is a list of (id, feature numbers)."""
     if not positives or not unlabelled:
         return []
     def matrix(rows):
         x = np.zeros((len(rows), len(features)), np.float32)
-        for r, found in enumerate(rows):
+        for r, (_, found) in enumerate(rows):
             x[r, found] = 1
         return x
     x_pos, x_unl, rng, out = matrix(positives), matrix(unlabelled), np.random.default_rng(seed), []
+    place = {i: k for k, i in enumerate(dict.fromkeys(i for i, _ in positives + unlabelled))}
+    at_pos, at_unl = (np.array([place[i] for i, _ in rows]) for rows in (positives, unlabelled))
     for _ in range(CLASSIFIERS):
-        p, u = (rng.permutation(len(x))[:max(1, len(x) // 2)] for x in (x_pos, x_unl))
-        w = fit_nnpu(x_pos[p], x_unl[u], prior)
+        drawn = np.bincount(rng.integers(0, len(place), len(place)), minlength=len(place))
+        p, u = (np.repeat(np.arange(len(at)), drawn[at]) for at in (at_pos, at_unl))
+        if len(p) and len(u):
+            w = fit_nnpu(x_pos[p], x_unl[u], prior)
+        else:
+            w = fit_nnpu(x_pos, x_unl, prior)
         out.append((dict(zip(features, w[:-1].tolist())), float(w[-1])))
     return out
 
 
+def smallest(ids: DataFrame, column: str, most: int) -> DataFrame:
+    """The ``most`` distinct ids that are smallest by a hash.  A cut of the hash first leaves about twice as many,
+    so that the ordering sees no more of them as the table grows."""
+    ids = ids.select(F.col(column).alias("chosen_id")).distinct()
+    key, span = F.pmod(F.xxhash64("chosen_id"), F.lit(1 << 40)), 2 * most / max(1, ids.count())
+    return ids.where(key < F.lit(int(min(1, span) * (1 << 40)))).orderBy(key, "chosen_id").limit(most)
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           toxic: str = "toxic", max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED):
-    """Fit on the documents that ``labels`` covers.  The class prior is the share of positives among them.
-    Returns the classifiers.  Feature counts are taken in Spark; the driver gets at most MAX_FEATURES features
-    and, per sampled text, the numbers of those it has."""
+    """Fit on the positives of ``labels`` and on a sample of all ``docs``.  The class prior is the share of
+    positives among the labelled.  Returns the classifiers.  Feature counts are taken in Spark; the driver gets
+    at most MAX_FEATURES features and, per sampled text, the numbers of those it has."""
     marked = (labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("label_id"))
               .agg(F.max(toxic).alias("mark")))
     share = marked.agg(F.sum(F.when(F.col("mark") == 1, 1).otherwise(0)).alias("p"), F.count("*").alias("n")).first()
     if not share["p"]:
         return []
-    order = F.xxhash64("label_id")
-    chosen = (marked.where("mark = 1").orderBy(order, "label_id").limit(max_positives)
-              .unionByName(marked.where("mark IS DISTINCT FROM 1").orderBy(order, "label_id").limit(max_unlabelled)))
+    chosen = (smallest(marked.where("mark = 1"), "label_id", max_positives).withColumn("positive", F.lit(True))
+              .unionByName(smallest(docs, doc_id, max_unlabelled).withColumn("positive", F.lit(False))))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    texts = (texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
-             .dropDuplicates(["id"]).select(F.col("mark").eqNullSafe(1).alias("positive"), "text"))
+    texts = (texts.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("chosen_id")))
+             .dropDuplicates(["id", "positive"]).select("id", "positive", "text"))
     sample = texts.select("positive", _features("text").alias("found"))
     sizes = {r["positive"]: r["count"] for r in texts.groupBy("positive").count().collect()}
     n, m = sizes.get(True, 0), sizes.get(False, 0)
@@ -133,12 +149,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     def numbers(texts: pd.Series) -> pd.Series:
         return pd.Series([sorted(at[f] for f in features_of(t) & at.keys()) for t in texts])
 
-    rows = texts.select("positive", numbers("text").alias("found")).collect()
-    positives = [r["found"] for r in rows if r["positive"]]
-    unlabelled = [r["found"] for r in rows if not r["positive"]]
+    rows = sorted(texts.select("id", "positive", numbers("text").alias("found")).collect(), key=lambda r: (r["id"] is None, r["id"]))
+    positives = [(r["id"], r["found"]) for r in rows if r["positive"]]
+    unlabelled = [(r["id"], r["found"]) for r in rows if not r["positive"]]
     prior = min(max(share["p"] / share["n"], 1e-3), 0.9)
-    # The unlabelled sample leaves the known positives out; their share of the population is put back.
-    return fit(positives, unlabelled + positives[:round(prior / (1 - prior) * m)], features, prior)
+    return fit(positives, unlabelled, features, prior)
 
 
 def scored(docs: DataFrame, models: list[tuple[dict, float]], text: str = "text", name: str = "score") -> DataFrame:

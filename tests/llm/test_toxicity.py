@@ -32,6 +32,19 @@ def test_learns_from_positives_and_unlabelled(spark):
     assert np.mean([(r.score >= cut) == bool(r.y) for r in got]) > 0.99
 
 
+def test_unlabelled_texts_come_from_all_documents(spark):
+    """A harmless word is in all toxic texts and in no clean text with a label, so only documents without a label
+    show that it is harmless."""
+    rows = [(k, f"filler{k % 7}" + (" nasty harmless" if k % 10 == 0 else " harmless" * (k % 2))) for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(0, 1000, 2)] + [(k, 0) for k in range(1002, 2000, 2) if k % 10]
+                                   , "doc_id long, toxic int")
+    models = train(docs, labels)
+    probe = spark.createDataFrame([(0, "filler1 harmless"), (1, "filler1 nasty harmless")], "doc_id long, text string")
+    plain, nasty = (r.score for r in scored(probe, models).orderBy("doc_id").collect())
+    assert plain < 0.1 and nasty > 0.7
+
+
 def test_risk_stays_bounded_when_overfit():
     rng = np.random.default_rng(3)
     w = fit_nnpu(rng.integers(0, 2, (5, 40)).astype(np.float32), rng.integers(0, 2, (50, 40)).astype(np.float32), 0.2)
