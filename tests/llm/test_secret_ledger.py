@@ -1,11 +1,13 @@
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tablemover.llm import secret_ledger
 from tablemover.llm.queries import op6_secret_ledger
 from tablemover.llm.secret_ledger import BASE_RULES, RULES, Rule, findings, read_ledger, spans_of
 
@@ -88,3 +90,19 @@ def test_plan_has_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
     with pytest.raises(Exception):
         read_ledger(spark, "/nowhere/at/all").count()
+
+
+def test_query_scans_only_pairs_that_its_ledger_lacks(spark, monkeypatch):
+    runs, scan = [], secret_ledger.scan_unseen
+
+    def spy(versions, ledger, rules):
+        rows = scan(versions, ledger, rules)
+        runs.append((ledger is not None, Counter(r.rule for r in rows.select("rule").collect())))
+        return rows
+
+    monkeypatch.setattr(secret_ledger, "scan_unseen", spy)
+    op6_secret_ledger(spark, SF).collect()
+    blobs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("coalesce(text, '') AS t").distinct().count()
+    base = {r.name for r in secret_ledger.BASE_RULES}
+    assert runs == [(False, Counter({r: blobs for r in base})),
+                    (True, Counter({r.name: blobs for r in secret_ledger.RULES if r.name not in base}))]
