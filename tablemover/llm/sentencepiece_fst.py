@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-A model file is compiled into three transducers: the normaliser (dummy prefix, blanks to the piece blank,
-optionally runs of blanks to one), the pieces (an arc per piece string, weighted by the model), and byte
-fallback (an arc per character without a piece, which writes its UTF-8 bytes).  They are composed with each
-input, lazily, and the path of least weight in the tropical semiring (sum along a path, least over paths) is
-the encoding.
+Text is normalised by plain string replacement (dummy prefix, blanks to the piece blank, optionally runs of
+blanks to one); models with a precompiled character map are refused.  Two transducers, the pieces (an arc per
+piece string, weighted by the model) and byte fallback (an arc per character without a piece, which writes its
+UTF-8 bytes), are composed with each input, lazily, and the path of least weight in the tropical semiring (sum
+along a path, least over paths) is the encoding.
 
 * Unigram models: an arc weighs minus the piece's log probability.
 * BPE models: scores are merge ranks, which do not add up along a path.  There the state after an arc is its
