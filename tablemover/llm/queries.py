@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir
 from .decontaminate import contamination
+from .filter_audit import audit
 from .line_dedup import dedup_lines
 from .minmax import near_duplicates
 from .pitman_yor import score_texts
@@ -152,6 +153,56 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "counts.n_dup_lines", "counts.n_repeat_words", "base_failed", "kept")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return audit(docs, table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+judged AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask
+  FROM w),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                 max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+groups AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM judged LEFT JOIN marks USING (doc_id) GROUP BY part, mask),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, g.bit,
+         (SELECT coalesce(sum(h.bit), 0) FROM f h WHERE strpos(filter_order, h.letter) < step) AS before
+  FROM orders, range(1, 6) r(step), f g WHERE g.letter = substr(filter_order, CAST(step AS INTEGER), 1)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (CAST(before AS INTEGER) | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & CAST(before AS INTEGER) > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & CAST(before AS INTEGER) = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM groups, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -163,9 +214,11 @@ QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL = {
     "op4_line_dedup": OP4_SQL,
     "op10_warc": OP10_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

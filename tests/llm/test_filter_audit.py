@@ -1,0 +1,122 @@
+import re
+from collections import Counter
+from itertools import permutations
+from math import factorial
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablemover.llm.filter_audit import Lattice, audit, document_filters, edge_counts, failures, order_steps, with_shapley
+from tablemover.llm.queries import OP13_SQL, op13_filter_audit
+
+from .conftest import SF
+
+LETTERS = "ABCDE"
+
+
+def fails(text, doc_id, rows):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    out = set()
+    if len(words) < 200:
+        out.add("A")
+    if 100 * len(set(words)) < 50 * len(words):
+        out.add("B")
+    if 100 * len(re.findall("[A-Z]", text)) > 2 * len(text):
+        out.add("C")
+    if re.search(r"[#$%&*|]", text):
+        out.add("D")
+    if doc_id is not None and any(i is not None and i < doc_id and (t or "") == text for i, t, _ in rows):
+        out.add("E")
+    return out
+
+
+def brute(rows, labels):
+    """rows: (id, text, source); labels: {id: (good, toxic)}.  Every order is run, filter by filter."""
+    out = {}
+    judged = [(source or "", fails(text, i, rows), *labels.get(i, (0, 0))) for i, text, source in rows]
+    for part in {p for p, *_ in judged}:
+        own = [x[1:] for x in judged if x[0] == part]
+        shapley = Counter()
+        for order in permutations(LETTERS):
+            here = own
+            for step, f in enumerate(order, 1):
+                gone = [x for x in here if f in x[0]]
+                failing = [x for x in own if f in x[0]]
+                here = [x for x in here if f not in x[0]]
+                shapley[f] += len(gone)
+                out[part, "".join(order), step] = (len(here), len(gone), len(failing) - len(gone), sum(x[0] == {f} for x in own),
+                                                   sum(x[1] for x in gone), sum(x[2] for x in gone))
+        for (p, order, step), counts in list(out.items()):
+            if p == part:
+                out[p, order, step] = (*counts, shapley[order[step - 1]])
+    return out
+
+
+def answer(df):
+    rows = df.collect()
+    out = {(r.part, r.filter_order, r.step): tuple(r[3:]) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def test_paths_of_the_lattice():
+    for n in range(1, 7):
+        lattice = Lattice.of(n)
+        assert lattice.forward == [factorial(bin(s).count("1")) for s in range(2 ** n)]
+        assert lattice.forward[-1] == lattice.backward[0] == factorial(n)
+        assert len(lattice.edges()) == n * 2 ** (n - 1)
+        # Every order runs over one edge of each filter.
+        for f in range(n):
+            assert sum(paths for _, g, paths in lattice.edges() if g == f) == factorial(n)
+
+
+def test_awkward_documents_against_every_order_run(spark, awkward):
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (3, 1, None), (3, 0, 1), (None, 1, 1), (7, 1, 1), (99, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    marks = {1: (1, 0), 2: (0, 1), 3: (1, 1), 7: (1, 1)}
+    rows = [(r.doc_id, r.text, r.source) for r in awkward.collect()]
+    got = answer(audit(awkward, labels))
+    assert got == brute(rows, marks)
+    assert len(got) == 600 * len({r[2] or "" for r in rows})
+
+
+def test_empty_table(spark, nothing):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert audit(nothing, labels).collect() == []
+
+
+def test_many_copies_and_one_source(spark):
+    """Copies hold a third of the rows and one source nearly all."""
+    rows = [(k, "same text of all" if k % 3 == 0 else f"text {k} #{'#' * (k % 2)}", "hot" if k % 10 else None) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(k, k % 2, k % 5 == 0) for k in range(300)], "doc_id long, quality int, toxic boolean")
+    got = answer(audit(df, labels.withColumn("toxic", F.col("toxic").cast("int"))))
+    assert got == brute(rows, {k: (k % 2, int(k % 5 == 0)) for k in range(300)})
+
+
+def test_own_filters_and_no_repeats(spark):
+    df = spark.createDataFrame([(1, "a b", "s"), (2, "a", "s"), (3, "b b", "t")], "key long, body string, part string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    got = answer(audit(df, labels, "key", "body", "part", {"x": F.col("text").startswith("a"), "y": F.size("words") == 2}, None))
+    assert got["s", "xy", 1][:4] == (0, 2, 0, 1) and got["s", "yx", 1][:4] == (1, 1, 0, 0)
+    assert got["s", "xy", 1][-1] == 2 + 1 and got["t", "yx", 2][:3] == (0, 0, 0)
+
+
+def test_shapley_shares_add_up_to_all_removals(spark):
+    """Per part the Shapley sums of all filters are what all orders remove together."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    judged = failures(docs, "doc_id", "text", "source").select("part", "mask", F.lit(0).alias("good"), F.lit(0).alias("toxic"))
+    names = list(document_filters())
+    edges = with_shapley(edge_counts(judged, names))
+    total = {r.part: r.s for r in edges.select("part", "filter", "shapley").distinct().groupBy("part").agg(F.sum("shapley").alias("s")).collect()}
+    removed = {r.part: r.n for r in judged.where("mask > 0").groupBy("part").agg(F.count("*").alias("n")).collect()}
+    assert total == {p: removed.get(p, 0) * factorial(len(names)) for p in total}
+    with pytest.raises(ValueError, match="too many"):
+        order_steps(edges, [str(k) for k in range(9)])
+
+
+def test_query_against_sql(spark, duck):
+    got = answer(op13_filter_audit(spark, SF))
+    rows = duck.sql(f"SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley FROM ({OP13_SQL})").fetchall()
+    assert got == {r[:3]: r[3:] for r in rows}
