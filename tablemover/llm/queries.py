@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..workspace import new_run_dir
 from .decontaminate import contamination
 from .filter_audit import audit
+from .license_scan import labelled
 from .line_dedup import dedup_lines
 from .minmax import near_duplicates
 from .pitman_yor import score_texts
@@ -153,6 +154,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "counts.n_dup_lines", "counts.n_repeat_words", "base_failed", "kept")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return labelled(docs, carry=["doc_id"]).select(
+        "row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return audit(docs, table(spark, sf_dir, "labels"))
@@ -214,6 +221,7 @@ QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op12_license_scan": op12_license_scan,
     "op13_filter_audit": op13_filter_audit,
 }
 
