@@ -18,12 +18,14 @@ from .quality import judge
 from .secret_ledger import BASE_RULES, findings
 from .sentencepiece_fst import encode_decode
 from .sharding import shard_rows
+from .tokenizer_alignment import linked_counts
 from .toxicity import scored, train
 from .warc import read_warc, records_of, write_warc
 
 # The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 SENTENCEPIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+BYTE_BPE_MODEL = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,6 +156,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "counts.n_dup_lines", "counts.n_repeat_words", "base_failed", "kept")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linked_counts(docs, BYTE_BPE_MODEL, SENTENCEPIECE_MODEL, carry=["doc_id"]).select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return labelled(docs, carry=["doc_id"]).select(
@@ -221,6 +229,7 @@ QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_license_scan": op12_license_scan,
     "op13_filter_audit": op13_filter_audit,
 }
