@@ -42,8 +42,9 @@ START = LABELS
 # Piece kinds in a model file (fixed by its format).
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-# Encodings of words, and borders of pieces, that a worker remembers; a full memory is emptied.
-REMEMBERED = 200_000
+# Encodings of words, and borders of pieces, that a worker remembers.  A full memory of words becomes the old one,
+# whose words move up when they come again, and the old one before it goes; a full memory of borders is emptied.
+REMEMBERED = 300_000
 BORDERS = 600_000
 
 
@@ -77,6 +78,9 @@ class Transducer:
         self.longest = max(len(p) for _, p in usable)
         # Without a piece that has a blank after other characters, words can be composed one by one.
         self.by_word = not any(re.search(f"[^{BLANK}]{BLANK}", p) for _, p in usable)
+        # So can lines, if no piece goes beyond a line break.
+        self.by_line = (self.by_word and all(p == "\n" or "\n" not in p for _, p in usable)
+                        and (bool(self.byte_ids) or any(p == "\n" for _, p in usable)))
         self.arcs, self.left, self.right = {}, {}, {}
         for i, p in usable:
             if self.bpe:
@@ -92,6 +96,10 @@ class Transducer:
         self.borders: dict = {}
         self.n_borders = 0
         self.words: dict = {}
+        self.old_words: dict = {}
+        # The words met that do not decode to themselves.
+        self.changed: set = set()
+        self.most_changed = REMEMBERED
 
     def _spines(self, piece: str):
         """How the first and the last symbol of ``piece`` grow as it is merged up: (symbol, rank at which it
@@ -203,27 +211,53 @@ class Transducer:
         got = self.words.get(key)
         if got is None:
             if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            got = self._word(word)
+                self.old_words, self.words = self.words, {}
+            got = self.old_words.get(key)
+            if got is None:
+                got = self._word(word)
+                back = b"".join(map(self.written.__getitem__, memoryview(got).cast("i")))
+                if back != word.replace(BLANK, " ").encode():
+                    self.changed.add(key)
             if len(key) <= 64:
                 self.words[key] = got
         return got
 
+    def _words(self, text: str) -> tuple[list[str], list[bytes]]:
+        """(keys in the memory of words, their ids) of a text."""
+        if self.by_word and self.dummy_prefix and "  " not in text and text[0] != " " and BLANK not in text:
+            first, *lines = text.split("\n") if self.by_line else [text]
+            keys = first.split(" ")  # the key is the word without its blank
+            for line in lines:  # a line's first word has none: its key starts with the line break before it
+                head, *rest = line.split(" ")
+                keys.append("\n" + head)
+                keys += rest
+            parts = list(map(self.words.get, keys))
+            if None in parts:
+                parts = [got if got is not None else self._remembered(w, w if self.by_line and w[:1] == "\n" else BLANK + w)
+                         for w, got in zip(keys, parts)]
+            return keys, parts
+        text = (BLANK if self.dummy_prefix else "") + text.replace(" ", BLANK)
+        cut = re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", text) if self.by_word else [text]
+        # Keys apart from those above.
+        return (keys := [BLANK + w for w in cut]), [self._remembered(k, w) for k, w in zip(keys, cut)]
+
     def encode(self, text: str) -> np.ndarray:
+        return self.encode_decode(text)[0]
+
+    def encode_decode(self, text: str) -> tuple[np.ndarray, str]:
+        """The ids of a text, and the text that they decode to: its words' decodings, known with their ids."""
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
         if not text:
-            return np.empty(0, np.int32)
-        if self.by_word and self.dummy_prefix and "  " not in text and text[0] != " " and BLANK not in text:
-            known, parts = self.words, []
-            for w in text.split(" "):  # the key is the word without its blank
-                got = known.get(w)
-                parts.append(got if got is not None else self._remembered(w, BLANK + w))
-        else:
-            text = (BLANK if self.dummy_prefix else "") + text.replace(" ", BLANK)
-            cut = re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", text) if self.by_word else [text]
-            parts = [self._remembered(BLANK + w, w) for w in cut]  # keys apart from those above
-        return np.frombuffer(b"".join(parts), np.int32)
+            return np.empty(0, np.int32), ""
+        if len(self.changed) > self.most_changed:  # forgotten words are judged anew when they come again
+            self.changed = {k for k in self.changed if k in self.words or k in self.old_words}
+            self.most_changed = REMEMBERED + 2 * len(self.changed)
+        keys, parts = self._words(text)
+        ids = np.frombuffer(b"".join(parts), np.int32)
+        if BLANK in text or not self.changed.isdisjoint(keys):
+            return ids, self.decode(ids.tolist())
+        return ids, text
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
@@ -245,8 +279,7 @@ def _mapper(model, key: str, at: int, with_text: bool):
             texts = batch.column(0).field(at)
             ids, whole, same = [], [], []
             for t in texts.to_pylist():
-                got = None if t is None else fst.encode(t)
-                back = None if t is None else fst.decode(got.tolist())
+                got, back = (None, None) if t is None else fst.encode_decode(t)
                 ids.append(got)
                 whole.append(back)
                 same.append(None if t is None else back == t)
