@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from ..sources.files import MALFORMED_COLUMN
 from ..spec import TableName
 from ..workspace import new_run_dir, stage
 from .names import col, cols, fresh, same_keys
+from .reconcile import Digest, digest_columns, digest_from
 
 REASON_COLUMN = "reject_reason"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -36,6 +37,19 @@ def _decimals_fit(src, value, scale: int):
     return plain | (src.rlike("[eE]") & (value.cast("double") == src.try_cast("double")))
 
 
+def _magnitude_fits(src, value):
+    """Whether a text's float is not beyond the type: infinity fits only its own name, and zero only zeros."""
+    infinite = F.abs(value) == F.lit(float("inf"))
+    return F.when(infinite, src.rlike(r"(?i)^\s*[+-]?inf")).when(value == 0, ~src.rlike(r"^[^eE]*[1-9]")).otherwise(True)
+
+
+def _moment_fits(src, local: bool):
+    """Whether a text's moment has a date of its own, no digit but zeros beyond micro-seconds, and, for a type
+    without a zone, no zone."""
+    fits = ~src.rlike(r"\.\d{6}\d*[1-9]") & ~src.rlike(r"^\s*T?\d{1,2}:")
+    return fits & ~src.rlike(r":.*[A-Za-z+-]") if local else fits
+
+
 def _has_map(t) -> bool:
     return isinstance(t, T.MapType) or (isinstance(t, T.ArrayType) and _has_map(t.elementType)) or (
         isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields))
@@ -47,7 +61,8 @@ def _converted(src, src_type, dst_type, encoded: bool):
     A value fits only if nothing is lost: cast back, it is the value it came
     from.  Text fits if it spells a value of the type, for a decimal or a date
     without digits or a time of day beyond it; a text of a float or double takes
-    the nearest value, as such numbers are always written.  ``encoded`` text
+    the nearest value, as such numbers are always written, but not infinity or
+    zero for a number beyond the type; a moment keeps all its digits and its zone.  ``encoded`` text
     spells binary values in base64.
 
     Narrowing a number into a smaller integer is a range test, which stays in
@@ -71,6 +86,10 @@ def _converted(src, src_type, dst_type, encoded: bool):
             return F.when(_decimals_fit(src, value, dst_type.scale), value)
         if isinstance(dst_type, T.DateType):
             return F.when(value.cast("timestamp_ntz") == src.try_cast("timestamp_ntz"), value)
+        if isinstance(dst_type, (T.FloatType, T.DoubleType)):
+            return F.when(_magnitude_fits(src, value), value)
+        if isinstance(dst_type, (T.TimestampType, T.TimestampNTZType)):
+            return F.when(_moment_fits(src, isinstance(dst_type, T.TimestampNTZType)), value)
         if not isinstance(dst_type, T.BinaryType):
             return value
     if _has_map(src_type) or _has_map(dst_type):  # maps cannot be compared
@@ -108,6 +127,15 @@ def _fit(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = No
     return out
 
 
+def _judged(df: DataFrame, target: T.StructType, limits: dict[str, int] | None):
+    """(converted columns, reason): the reason is empty where all fit."""
+    fits = _fit(df, target, limits)
+    reasons = [F.when(bad, F.lit(name)) for name, _, bad in fits]
+    if MALFORMED_COLUMN in df.columns:
+        reasons = [F.when(col(MALFORMED_COLUMN).isNotNull(), F.lit(MALFORMED_COLUMN))] + reasons
+    return [value.alias(name) for name, value, _ in fits], F.concat_ws(",", *reasons)
+
+
 def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = None
                      ) -> tuple[DataFrame, DataFrame]:
     """(rows converted to ``target``, rejected source rows + ``reject_reason``).
@@ -116,16 +144,44 @@ def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int]
     or names the malformed-line column for text that did not parse.  ``limits``
     are the declared lengths of CHAR/VARCHAR columns.
     """
-    fits = _fit(df, target, limits)
-    reasons = [F.when(bad, F.lit(name)) for name, _, bad in fits]
-    if MALFORMED_COLUMN in df.columns:
-        reasons = [F.when(col(MALFORMED_COLUMN).isNotNull(), F.lit(MALFORMED_COLUMN))] + reasons
-    reason = F.concat_ws(",", *reasons)
-    good = df.where(reason == "").select(*[value.alias(name) for name, value, _ in fits])
+    values, reason = _judged(df, target, limits)
+    good = df.where(reason == "").select(*values)
     rejects = df.where(reason != "").select(*cols(df.columns), reason.alias(REASON_COLUMN))
     return good, rejects
 
 
+def staged_conversion(df: DataFrame, target: T.StructType, limits: dict[str, int] | None, folder: str,
+                      prove: bool = False) -> dict[str, Digest]:
+    """``conversion_split`` in one pass over the source: every row is written to ``folder`` once, under the
+    target's types or, if it does not fit, as it came; ``converted_sides`` reads both sides.  What comes later
+    reads columns of that, so the source is neither read nor converted again, and may change.  With ``prove`` the
+    same pass returns the digests of the source, of its rejected rows and of the converted ones."""
+    values, reason = _judged(df, target, limits)
+    judged = df.select(F.struct(*cols(df.columns)).alias("source"), F.struct(*values).alias("row"), reason.alias(REASON_COLUMN))
+    # Out of a generator, so that nothing above repeats the conversion.
+    judged = judged.select(F.inline(F.array(F.struct("source", "row", REASON_COLUMN))))
+    fits = F.col(REASON_COLUMN) == ""
+    digests = {}
+    if prove:
+        seen = Observation()
+        source_schema, row_schema = judged.schema["source"].dataType, judged.schema["row"].dataType
+        judged = judged.observe(seen, *digest_columns(source_schema, "source", of="source"),
+                                *digest_columns(source_schema, "rejected", ~fits, of="source"), *digest_columns(row_schema, "converted", fits, of="row"))
+    stage(judged.select(F.when(fits, F.col("row")).alias("row"), F.when(~fits, F.col("source")).alias("source"), REASON_COLUMN), folder)
+    if prove:
+        digests = {n: digest_from(seen.get, n) for n in ("source", "rejected", "converted")}
+    return digests
+
+
+def converted_sides(spark, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(rows converted to the target, rejected source rows + ``reject_reason``) of a staged conversion."""
+    both = spark.read.parquet(folder)
+    fits = F.col(REASON_COLUMN) == ""
+    good = both.where(fits).select(*[F.col("row").getField(c).alias(c) for c in both.schema["row"].dataType.fieldNames()])
+    source = both.schema["source"].dataType.fieldNames()
+    return good, both.where(~fits).select(*[F.col("source").getField(c).alias(c) for c in source], REASON_COLUMN)
+
+
 def matched_columns(df: DataFrame, target: T.StructType, mapping: dict[str, str] | None = None,
                     allow_unmatched: bool = False) -> DataFrame:
     """``df`` under the target's column names.  Without a ``mapping`` (target column -> source column, which
@@ -159,65 +215,125 @@ def _orderable(name: str, data_type) -> list:
     return [col(name)]
 
 
-def duplicate_split(df: DataFrame, key_columns, *, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(one row per key, all other rows).
+# Where a staged row lies: which file, which row of it.  No address is hot, whatever the rows hold.
+ADDRESS = ("file", "place")
+# Types whose least value a hash aggregate finds without sorting rows.
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
-    The row that stays is the least by the other columns.  NULL in a key equals
-    NULL: rows without a key value are duplicates of one another.  Rows come out
-    as they went in, to the bit.
 
-    First only keys are counted (partial aggregate; the shuffle carries keys,
-    not rows).  Rows of keys that occur once pass an anti-join with the repeated
-    keys, which is no shuffle where these are few, and nothing at all where
-    there are none.  Rows of repeated keys are staged in ``folder``; there each
-    has an address (file, row number), the least row's address is found per key
-    by a partial aggregate, and a join by address, which no key can make hot,
-    tells it from the rest."""
-    key = list(key_columns)
-    missing = [k for k in key if k not in df.columns]
+def _addresses() -> list:
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
+
+
+def _named_keys(rows: DataFrame, key: list[str]) -> list[str]:
+    """Names for the key columns that neither the rows nor an address have."""
+    return fresh([*rows.columns, *ADDRESS], *[f"k{i}" for i in range(len(key))])
+
+
+def repeated_rows(rows: DataFrame, key: list[str], folder: str) -> DataFrame | None:
+    """Addresses of all rows of repeated keys but the least by the other columns, None if no key repeats.
+    ``rows`` are staged.
+
+    Keys are counted by a partial aggregate, whose shuffle carries keys and not rows; for a first other column
+    of fixed width it finds the least value too, so that only rows that share it are compared as a whole."""
+    k = _named_keys(rows, key)
+    order = [c for c in rows.columns if c not in key]
+    first = order[0] if order and isinstance(rows.schema[order[0]].dataType, _FIXED_WIDTH) else None
+    more = [F.min(col(first)).alias("lo"), F.bool_or(col(first).isNull()).alias("gap")] if first else []
+    counted = rows.groupBy(*[col(c).alias(n) for c, n in zip(key, k)]).agg(F.count(F.lit(1)).alias("n"), *more)
+    repeated = stage(counted.where("n > 1").drop("n"), f"{folder}/repeated")
+    if repeated.isEmpty():
+        return None
+    same = same_keys([F.col(n) for n in k], [F.col(f"r_{n}") for n in k])
+    repeated = repeated.select(*[F.col(n).alias(f"r_{n}") for n in k], *[n for n in ("lo", "gap") if more])
+    if first:  # NULL is least, and equals no value
+        same_first = F.when(F.col("gap"), col(first).isNull()).otherwise(col(first) == F.col("lo"))
+    rank = [o for c in [*order, *key] for o in _orderable(c, rows.schema[c].dataType)]  # 0.0 and -0.0 are one key
+    keyed = rows.select(*[col(c).alias(n) for c, n in zip(key, k)], *_addresses(), *([col(first)] if first else []),
+                        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(rank)]).alias("rank"))
+    least = keyed.join(repeated, same & same_first if first else same).groupBy(*k).agg(F.min(F.struct("rank", *ADDRESS)).alias("least"))
+    chosen = stage(least.select("least.file", "least.place"), f"{folder}/chosen")
+    again = keyed.select(*k, *ADDRESS).join(repeated, same, "left_semi")
+    return again.select(*ADDRESS).join(chosen, list(ADDRESS), "left_anti")
+
+
+def held_rows(rows: DataFrame, key: list[str], held: DataFrame) -> DataFrame:
+    """Addresses of the rows whose key ``held`` has, under the same names.  NULL equals NULL.  ``rows`` are staged."""
+    k = _named_keys(rows, key)
+    theirs = held.select(*[col(c).alias(f"t_{n}") for c, n in zip(key, k)])
+    ours = rows.select(*[col(c).alias(n) for c, n in zip(key, k)], *_addresses())
+    return ours.join(theirs, same_keys([F.col(n) for n in k], [F.col(f"t_{n}") for n in k]), "left_semi").select(*ADDRESS)
+
+
+def key_range(rows: DataFrame, column: str) -> tuple | None:
+    """(least, greatest, whether there are NULLs) of an orderable column; None if all are NULL or it has no range."""
+    if not isinstance(rows.schema[column].dataType, (*_FIXED_WIDTH, T.StringType)):
+        return None
+    r = rows.agg(F.min(col(column)).alias("lo"), F.max(col(column)).alias("hi"), F.bool_or(col(column).isNull()).alias("gap")).first()
+    return None if r["lo"] is None else (r["lo"], r["hi"], bool(r["gap"]))
+
+
+def in_range(held: DataFrame, column: str, bounds: tuple | None) -> DataFrame:
+    """``held`` cut to a range of ``key_range``."""
+    if bounds is None:
+        return held
+    lo, hi, gap = bounds
+    inside = col(column).between(F.lit(lo), F.lit(hi))
+    return held.where(inside | col(column).isNull() if gap else inside)
+
+
+def stage_out(out: list[DataFrame], folder: str) -> None:
+    """Stage the addresses of the rows that go, each once."""
+    if out:
+        bad = out[0]
+        for more in out[1:]:
+            bad = bad.unionByName(more)
+        stage(bad.distinct() if len(out) > 1 else bad, folder)
+
+
+def without_rows(rows: DataFrame, bad: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(staged rows that stay, those at the staged addresses ``bad``).  Where these are none, or all, nothing is
+    joined."""
+    n = 0 if bad is None else bad.count()
+    if n == 0:
+        return rows, rows.limit(0)
+    if n == rows.count():
+        return rows.limit(0), rows
+    packed = rows.select(F.struct(*cols(rows.columns)).alias("row"), *_addresses())
+    own = [F.col("row").getField(c).alias(c) for c in rows.columns]
+    stays, goes = (packed.join(bad, list(ADDRESS), how).select(*own) for how in ("left_anti", "left_semi"))
+    return stays, goes
+
+
+def checked_key(df: DataFrame, key_columns) -> list[str]:
+    """The key columns under their own spelling."""
+    by_lower = {c.lower(): c for c in df.columns}
+    missing = [k for k in key_columns if k.lower() not in by_lower]
     if missing:
         raise ValueError(f"Key columns {missing} are not in the rows.")
+    key = [by_lower[k.lower()] for k in key_columns]
     unfit = [k for k in key if _has_map(df.schema[k].dataType)]
     if unfit:
         raise ValueError(f"Key columns {unfit} hold maps, which cannot be compared.")
+    return key
+
+
+def duplicate_split(df: DataFrame, key_columns, *, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(one row per key, all other rows).
+
+    The row that stays is the least by the other columns.  NULL in a key equals
+    NULL: rows without a key value are duplicates of one another.  Rows come out
+    as they went in, to the bit.
+
+    The rows are staged once in ``folder``, where each has an address (file, row
+    number).  The addresses of the rows that go are found by keys and staged, and
+    a join by address, which no key can make hot and which is left out where no
+    key repeats, parts the rows."""
+    key = checked_key(df, key_columns)
     folder = folder or new_run_dir(df.sparkSession, "duplicates")
-    k_names = fresh(df.columns, *[f"k{i}" for i in range(len(key))])
-    keys = df.select(*[col(c).alias(n) for c, n in zip(key, k_names)])
-    n = fresh(k_names, "n")[0]
-    repeated = stage(keys.groupBy(*k_names).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(*k_names),
-                     f"{folder}/repeated")
-    same = same_keys(cols(key), [F.col(n) for n in k_names])
-    once = df.join(repeated, same, "left_anti")
-    again = stage(df.join(repeated, same, "left_semi"), f"{folder}/again")
-    order = [o for c in df.columns if c not in key for o in _orderable(c, df.schema[c].dataType)]
-    order += [o for c in key for o in _orderable(c, df.schema[c].dataType)]  # 0.0 and -0.0 are one key
-    row = again.select(F.struct(*cols(df.columns)).alias("row"), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("rank"),
-                       F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
-                       *[col(c).alias(n) for c, n in zip(key, [f"key{i}" for i in range(len(key))])])
-    least = row.groupBy(*[f"key{i}" for i in range(len(key))]).agg(F.min(F.struct("rank", "file", "place")).alias("least"))
-    chosen = stage(least.select("least.file", "least.place"), f"{folder}/chosen")
-    out = [F.col("row").getField(c).alias(c) for c in df.columns]
-    stays, goes = (row.join(chosen, ["file", "place"], how).select(*out) for how in ("left_semi", "left_anti"))
-    return once.unionByName(stays), goes
-
-
-def held_split(df: DataFrame, key_columns, held: DataFrame, *, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key ``held`` lacks, rows whose key it has), for rows unique by key.  ``held`` has the key
-    columns under the same names.  NULL equals NULL.  The target's side is cut to the range of the incoming
-    first key column before the join; only keys are joined and staged, not rows."""
-    key = list(key_columns)
-    first = key[0]
-    if isinstance(df.schema[first].dataType, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        r = df.agg(F.min(col(first)).alias("lo"), F.max(col(first)).alias("hi"), F.bool_or(col(first).isNull()).alias("gap")).first()
-        if r["lo"] is not None:
-            inside = col(first).between(F.lit(r["lo"]), F.lit(r["hi"]))
-            held = held.where(inside | col(first).isNull() if r["gap"] else inside)
-    k_names = fresh(df.columns, *[f"k{i}" for i in range(len(key))])
-    theirs = held.select(*[col(c).alias(n) for c, n in zip(key, k_names)])
-    ours = df.select(*cols(key))
-    both = stage(theirs.join(ours, same_keys([F.col(n) for n in k_names], cols(key)), "left_semi").distinct(), f"{folder}/held")
-    same = same_keys(cols(key), [F.col(n) for n in k_names])
-    return df.join(both, same, "left_anti"), df.join(both, same, "left_semi")
+    rows = stage(df, f"{folder}/rows")
+    again = repeated_rows(rows, key, folder)
+    return without_rows(rows, None if again is None else stage(again, f"{folder}/out"))
 
 
 def prepare_reject_tables(warehouse, tables: tuple[TableName, ...], *, drop: bool) -> list[str]:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.names import col
-from ..sources.files import NULL_MARK, TEXT_OPTIONS, avro_available, escape_text, spark_format
+from ..workspace import touch
+from ..sources.files import ESCAPED_MARK, NULL_MARK, TEXT_OPTIONS, avro_available, escape_text, spark_format
 
 
 def _as_text(f: T.StructField, alone: bool):
@@ -45,4 +46,6 @@ def extract_files(df: DataFrame, path: str, file_format: str | None, *,
     if fmt == "csv":
         writer = writer.options(**TEXT_OPTIONS).option("sep", separator or ",")
     writer.options(**(options or {})).save(path)
+    if fmt == "csv":
+        touch(df.sparkSession, f"{path.rstrip('/')}/{ESCAPED_MARK}")
     return path

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.names import col
+from ..workspace import exists
 
 # The transfer's format names and their Spark readers.
 FORMAT_ALIASES = {"avrofile": "avro", "orcfile": "orc", "textfile": "csv", "parquetfile": "parquet"}
@@ -52,6 +53,8 @@ def spark_format(file_format: str | None) -> str:
 # that every record is one line and a large file is read by many tasks.
 ESCAPE = "\x10"
 NULL_MARK = ESCAPE + "z"
+# An empty file of this name lies beside text files that this library wrote.
+ESCAPED_MARK = "_tablemover_escapes"
 ESCAPED = (("\n", "n"), ("\r", "r"), ("\x00", "0"), (ESCAPE, "e"))
 
 
@@ -86,40 +89,73 @@ def text_read_options(separator: str | None, *, multiline: bool = False) -> dict
     return opts
 
 
-def _unclosed_quote(line: Column, separator: str) -> Column:
-    """A field of the line begins with a quote, and the quotes do not pair: the value goes on in a line that
-    cannot be told, so neither is a record."""
-    quotes = F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
-    return (quotes % 2 == 1) & (line.startswith('"') | line.contains(separator + '"'))
+def line_options(separator: str | None, options: dict | None = None) -> dict[str, str]:
+    """Options by which one line is parsed: this library's own, then the caller's.  A caller's escape character
+    also escapes itself, unless told otherwise."""
+    own = {k.lower(): k for k in TEXT_OPTIONS} | {"sep": "sep", "delimiter": "sep"}
+    given = {own.get(k.lower(), k): str(v) for k, v in (options or {}).items()}
+    opts = text_read_options(separator)
+    if "escape" in given or "quote" in given:
+        opts["escape"] = given.get("escape", opts["escape"])
+        opts["charToEscapeQuoteEscaping"] = opts["escape"]
+    return opts | given
+
+
+def _unclosed_quote(line: Column, opts: dict[str, str]) -> Column:
+    """A field of the line begins with a quote, and the quotes that are not escaped do not pair: the value goes on
+    in a line that cannot be told, so neither is a record."""
+    quote, escape, sep = opts["quote"], opts["escape"], opts["sep"]
+    if not quote:
+        return F.lit(False)
+    own = line
+    if escape and escape != quote:
+        for pair in (escape + escape, escape + quote):
+            own = F.replace(own, F.lit(pair), F.lit(""))
+    quotes = F.char_length(own) - F.char_length(F.replace(own, F.lit(quote), F.lit("")))
+    return (quotes % 2 == 1) & (line.startswith(quote) | line.contains(sep + quote))
+
+
+def escaped_by_us(spark: SparkSession, path: str) -> bool:
+    """Whether this library wrote the text files in the folder, and so escaped line breaks in their values."""
+    return exists(spark, f"{path.rstrip('/')}/{ESCAPED_MARK}")
 
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.StructType,
                    separator: str | None = None, *, multiline: bool = False,
-                   options: dict | None = None) -> DataFrame:
+                   options: dict | None = None, escaped: bool | None = None) -> DataFrame:
     """Delimited text, every field as a string, plus the raw line of any
     malformed record in ``_malformed_line`` (R1 routes those aside).
 
     Lines are read as text and parsed one by one, so a file splits anywhere, and
     a line whose quote is not closed is malformed.  Options that concern whole
-    files (``multiLine``, ``header``, ``encoding``, ...) go to the CSV reader."""
+    files (``multiLine``, ``header``, ``encoding``, ...) go to the CSV reader.
+
+    ``escaped`` tells whether line breaks in values are written as this library
+    writes them; by default the mark that it leaves beside its files does.
+
+    A line is parsed once: the record comes out of a generator, through which no
+    filter or projection passes, so that none repeats the parsing."""
     names = columns.fieldNames() if isinstance(columns, T.StructType) else list(columns)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField(MALFORMED_COLUMN, T.StringType())])
-    opts = text_read_options(separator, multiline=multiline)
+    opts = line_options(separator, options)
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_COLUMN})
-    opts.update(options or {})
-    if opts["multiLine"] == "true" or {k.lower() for k in options or {}} - LINE_OPTIONS:
+    if multiline:
+        opts["multiLine"] = "true"
+    if opts["multiLine"].lower() == "true" or {k.lower() for k in options or {}} - LINE_OPTIONS:
         parsed = spark.read.schema(schema).options(**opts).csv(path)
     else:
         lines = spark.read.option("lineSep", "\n").text(path)
         lines = lines.where("value <> ''")  # an empty line is no record
+        broken = _unclosed_quote(F.col("value"), opts)
         opts = {k: v for k, v in opts.items() if k not in ("header", "lineSep", "multiLine")}
-        record = F.from_csv("value", schema.toDDL(), opts)
-        broken = _unclosed_quote(F.col("value"), opts["sep"])
-        lines = lines.select("value", broken.alias("broken"), F.when(~broken, record).alias("r"))
-        parsed = lines.select(
-            *[F.col("r").getField(n).alias(n) for n in names],
-            F.when(F.col("broken"), F.col("value")).otherwise(F.col("r").getField(MALFORMED_COLUMN)).alias(MALFORMED_COLUMN))
+        record = F.when(~broken, F.from_csv("value", schema.toDDL(), opts)).otherwise(
+            F.struct(*[F.lit(None).cast("string").alias(n) for n in names], F.col("value").alias(MALFORMED_COLUMN)))
+        parsed = lines.select(F.explode(F.array(record)).alias("r")).select("r.*")
+    if escaped is None:
+        escaped = escaped_by_us(spark, path)
+    if not escaped:
+        return parsed
     return parsed.select(*[unescape_text(col(n)).alias(n) for n in names], col(MALFORMED_COLUMN))
 
 

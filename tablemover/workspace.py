@@ -57,12 +57,35 @@ def new_database(spark: SparkSession, label: str = "wh") -> str:
     return name
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return bool(fs.exists(target))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    fs, target = _file_system(spark, path)
+    fs.create(target, True).close()
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder; ``new`` must not exist."""
+    fs, source = _file_system(spark, old)
+    _, target = _file_system(spark, new)
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"{old} could not be renamed to {new}.")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder this library staged, once nothing will read it again.
     Best effort: a leftover folder costs space, never correctness."""
     try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        fs, target = _file_system(spark, path)
+        fs.delete(target, True)
     except Exception:
         pass

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tablemover.functions.protect import decrypt_columns, encrypt_columns
 from tablemover.operators.rejects import conversion_split, duplicate_split
 from tablemover.plans.registry import REVENUE_SQL, source_database
+from tablemover.sources.files import read_delimited
 from tablemover.workspace import new_run_dir, stage
 
 SF = "/root/testdata/sf0.001"
@@ -66,6 +67,13 @@ def test_conversion_is_one_narrow_pass(spark):
         assert "Exchange" not in plan and "try_cast(l_orderkey" not in plan
 
 
+def test_a_text_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a").write_text("1|2.5|x\n")
+    target = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType()), T.StructField("s", T.StringType())])
+    for df in conversion_split(read_delimited(spark, str(tmp_path / "a"), target, "|"), target):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
 def test_extract_query_prunes_columns(spark):
     db = source_database(spark, SF, ["lineitem", "orders"])
     plan = physical(spark.sql(REVENUE_SQL.format(db=f"`{db}`.")))

@@ -221,7 +221,12 @@ def test_a_map_cannot_be_a_key(spark):
     ("timestamp_ntz", "2024-01-01 00:00:00", "date", "2024-01-01"), ("string", "1.7", "int", None), ("string", "12", "int", 12),
     ("string", "1.239", "decimal(4,1)", None), ("string", "1.20", "decimal(4,1)", "1.2"), ("string", "1e1", "decimal(4,1)", "10.0"),
     ("string", "2024-01-01 10:00", "date", None), ("string", "2024-01-01", "date", "2024-01-01"), ("string", "0.1", "double", 0.1),
-    ("string", "x", "double", None)])
+    ("string", "x", "double", None), ("string", "1e400", "double", None), ("string", "-1e39", "float", None), ("string", "1e38", "float", 9.999999680285692e37),
+    ("string", "-Infinity", "double", float("-inf")), ("string", "inf", "float", float("inf")), ("string", "1e-400", "double", None),
+    ("string", "0.000e5", "double", 0.0), ("string", "2020-01-01 00:00:00.123456789", "timestamp", None),
+    ("string", "2020-01-01 00:00:00.123456000", "timestamp_ntz", "2020-01-01 00:00:00.123456"), ("string", "2020-01-01 00:00:00.1234567", "timestamp_ntz", None),
+    ("string", "2020-01-01 00:00:00+02:00", "timestamp_ntz", None), ("string", "2020-01-01 00:00:00Z", "timestamp_ntz", None),
+    ("string", "12:30:00", "timestamp", None), ("string", "2020-01-01", "timestamp_ntz", "2020-01-01 00:00:00")])
 def test_a_value_fits_only_without_loss(spark, source, value, target, fits):
     df = spark.createDataFrame([(value if not isinstance(value, str) else None, str(value))], "v double, s string") \
         if source == "double" else spark.sql(f"SELECT CAST('{value}' AS {source}) AS v")
@@ -262,3 +267,33 @@ def test_json_lines_reject_bad_values_and_lines(spark, tmp_path):
     good, bad = conversion_split(read_files(spark, str(path), "json", columns=target), target)
     assert sorted(tuple(r) for r in good.collect()) == [(1, "a", [1, 2]), (3, None, [])]
     assert sorted(r[REASON_COLUMN] for r in bad.collect()) == [MALFORMED_COLUMN, "k"]
+
+
+def read_back(spark, path, columns, **options):
+    from tablemover.sources.files import read_files
+    df = read_files(spark, str(path), "textfile", columns=columns, separator="|", options=options)
+    rows = [tuple(r) for r in df.collect()]
+    return sorted((r[:-1] for r in rows if r[-1] is None), key=repr), sorted(r[-1] for r in rows if r[-1] is not None)
+
+
+def test_escape_and_quote_options(spark, tmp_path):
+    (tmp_path / "a").write_text('1|"a \\" b"\n2|"open\n3|plain\n4|"two \\\\"\n5|"odd \\"\n')
+    assert read_back(spark, tmp_path / "a", ["k", "s"], escape="\\") == (
+        [("1", 'a " b'), ("3", "plain"), ("4", "two \\")], ['2|"open', '5|"odd \\"'])
+    (tmp_path / "b").write_text("1|'open\n2|'a|b'\n3|say \"x\n4|it's\n")
+    good, bad = read_back(spark, tmp_path / "b", ["k", "s"], quote="'")
+    assert bad == ["1|'open"] and good == [("2", "a|b"), ("3", 'say "x'), ("4", "it's")]
+    assert read_back(spark, tmp_path / "b", ["k", "s"], quote="") == (
+        [("1", "'open"), ("3", 'say "x'), ("4", "it's")], ["2|'a|b'"])
+
+
+def test_foreign_text_keeps_what_looks_like_an_escape(spark, tmp_path):
+    from tablemover.sinks.files import extract_files
+    from tablemover.sources.files import read_delimited
+    (tmp_path / "a").write_text("1|x\x10ny\n2|\x10z\n")
+    assert read_back(spark, tmp_path / "a", ["k", "s"]) == ([("1", "x\x10ny"), ("2", "\x10z")], [])
+    df = spark.createDataFrame([(1, "x\x10n\ny"), (2, None)], "k int, s string")
+    extract_files(df, str(tmp_path / "own"), "textfile", separator="|")
+    own = read_delimited(spark, str(tmp_path / "own"), ["k", "s"], "|")
+    assert sorted(tuple(r)[:2] for r in own.collect()) == [("1", "x\x10n\ny"), ("2", None)]
+    assert read_delimited(spark, str(tmp_path / "own"), ["k", "s"], "|", escaped=False).where("k = '1'").first().s == "x\x10en\x10ny"
