@@ -8,7 +8,11 @@
 (comma-separated duplicate key), ``tablemover.column.mapping`` (comma-separated
 ``target=source`` pairs: all that is loaded), ``tablemover.allow.unmatched``
 (``true``: columns that only one side has do not stop a load),
-``tablemover.split.column`` (JDBC split reads),
+``tablemover.split.column`` (split reads; with the retrieve method
+``split.by.range`` one or more columns of any orderable type),
+``tablemover.journal`` (a shared folder in which a load keeps its phases, so
+that it can be run again after a lost driver), ``tablemover.reconcile``
+(``true``: prove by digests that source = target + rejects),
 ``tablemover.jdbc.driver`` and ``tablemover.jdbc.url``.
 """
 
@@ -75,6 +79,9 @@ def _extras(props: dict[str, str]) -> dict:
     extra["allow_unmatched"] = props.get("tablemover.allow.unmatched", "").strip().lower() == "true"
     if props.get("tablemover.split.column"):
         extra["split_column"] = props["tablemover.split.column"]
+    if props.get("tablemover.journal"):
+        extra["journal"] = props["tablemover.journal"]
+    extra["reconcile"] = props.get("tablemover.reconcile", "").strip().lower() == "true"
     return extra
 
 

@@ -16,15 +16,33 @@ import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import IntegralType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType, StructType
 
+from .operators.key_index import candidate_files, indexable, keep_index, read_index
 from .operators.names import cols
+from .operators.rejects import in_range, key_range
+from .operators.splits import in_splits, key_sketch, plan_splits, sql_predicates
 from .spec import TableName, merge_options
 
 _UNSUPPORTED = re.compile("UNSUPPORTED|NOT_SUPPORTED|_EXTERNAL|external table|does not support|not allowed", re.I)
 _CHAR_TYPE = re.compile(r"(?:var)?char\((\d+)\)")
 
 
+# The retrieve method that splits by quantiles of the split columns.
+RANGE_METHOD = "split.by.range"
+
+
+def split_columns(schema: StructType, given: str | None) -> list[str]:
+    """The comma-separated columns under the schema's own spelling."""
+    by_lower = {c.lower(): c for c in schema.fieldNames()}
+    names = [c.strip() for c in (given or "").split(",") if c.strip()]
+    unknown = [c for c in names if c.lower() not in by_lower]
+    if not names or unknown:
+        raise ValueError(f"{RANGE_METHOD} needs the columns to split by; unknown: {unknown}.")
+    return [by_lower[c.lower()] for c in names]
+
+
 def _quote(part: str) -> str:
     return "`" + part.replace("`", "``") + "`"
 
@@ -116,17 +134,75 @@ class CatalogWarehouse:
         """Write ``df`` as a new table (used for the reject tables)."""
         df.write.format(fmt).mode("errorifexists").saveAsTable(self.name(table))
 
+    def storage(self, table: TableName) -> tuple[str | None, str | None]:
+        """(provider, location) of a table of files; (None, None) of any other."""
+        told = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()}
+        provider = (told.get("Provider") or "").lower()
+        if provider not in ("parquet", "orc", "csv", "json", "text") or not told.get("Location"):
+            return None, None
+        return provider, told["Location"]
+
+    def files(self, table: TableName) -> DataFrame | None:
+        """(file, size, changed) of the table's data files, listed by Spark; None for a table of another kind."""
+        location = self.storage(table)[1]
+        if location is None:
+            return None
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
+        return listed.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+
+    def read_files(self, table: TableName, files: list[str]) -> DataFrame:
+        """The rows that lie in some of the table's files; no other file is opened."""
+        self.spark.catalog.refreshTable(self.name(table))
+        rows = self.spark.table(self.name(table))
+        return rows.where(F.col("_metadata.file_path").isin(files)) if files else rows.limit(0)
+
+    def held_keys(self, table: TableName, key: list[str], incoming: DataFrame, *, splits: int | None = None,
+                  split_column: str | None = None) -> DataFrame | None:
+        """The target's keys that may meet those of ``incoming`` (staged rows), None if no file can have one.  The
+        key index beside a parquet table tells which files these are."""
+        provider, location = self.storage(table)
+        rows = self.spark.table(self.name(table))
+        if provider == "parquet" and indexable(incoming.schema, key):
+            index = read_index(self.spark, location, incoming.schema, key)
+            if index is not None:
+                files = candidate_files(index, self.files(table), incoming, key)
+                if not files:
+                    return None
+                rows = self.read_files(table, files)
+        return in_range(rows, key[0], key_range(incoming, key[0])).select(*cols(key))
+
+    def keep_key_index(self, table: TableName, key: list[str]) -> None:
+        """Bring the key index up to the table's files, where it can have one."""
+        provider, location = self.storage(table)
+        self.spark.catalog.refreshTable(self.name(table))
+        rows = self.spark.table(self.name(table))
+        by_lower = {c.lower(): c for c in rows.columns}
+        key = [by_lower[k.lower()] for k in key]
+        if provider == "parquet" and indexable(rows.schema, key):
+            keep_index(location, rows, self.files(table), key)
+
     def read_table(self, table: TableName, *, splits: int | None = None,
                    method: str | None = None, split_column: str | None = None) -> DataFrame:
         """Whole table.  Splits follow the files (data location), as the
-        scan's own partitioning: no repartition, so no shuffle."""
-        return self.spark.table(self.name(table))
+        scan's own partitioning: no repartition, so no shuffle.  With
+        ``split.by.range`` they are ranges of the split columns (comma-separated)
+        that hold about equal numbers of rows."""
+        rows = self.spark.table(self.name(table))
+        if method == RANGE_METHOD:
+            return in_splits(rows, split_columns(rows.schema, split_column), splits or 1)
+        return rows
 
     def read_query(self, sql: str, *, splits: int | None = None,
                    split_column: str | None = None) -> DataFrame:
         return self.spark.sql(sql)
 
 
+def _as_pattern(meta, name: str | None) -> str | None:
+    """A name for a metadata call that takes patterns: its ``_`` and ``%`` mean themselves."""
+    escape = meta.getSearchStringEscape()
+    return re.sub(r"[%_]" + (f"|{re.escape(escape)}" if escape else ""), lambda m: (escape or "") + m[0], name) if name else name
+
+
 class JdbcWarehouse:
     """A relational warehouse behind a JDBC URL."""
 
@@ -200,7 +276,7 @@ class JdbcWarehouse:
             meta = conn.getMetaData()
             for db, name in ((table.database, table.table),
                              (table.database and table.database.upper(), table.table.upper())):
-                rs = meta.getTables(None, db, name, None)
+                rs = meta.getTables(None, _as_pattern(meta, db), _as_pattern(meta, name), None)
                 try:
                     if rs.next():
                         return True
@@ -233,7 +309,7 @@ class JdbcWarehouse:
             meta = conn.getMetaData()
             for db, name in ((table.database, table.table),
                              (table.database and table.database.upper(), table.table.upper())):
-                rs = meta.getColumns(None, db, name, None)
+                rs = meta.getColumns(None, _as_pattern(meta, db), _as_pattern(meta, name), None)
                 limits = {}
                 try:
                     while rs.next():
@@ -321,6 +397,8 @@ class JdbcWarehouse:
         its units by a hash of that key.  A table without one, or with a key of another type than integers,
         needs ``split_column`` (a column, or with a parenthesis in it an integer-valued expression, such as a
         hash of the key); reading it through one connection takes ``splits=1``."""
+        if method == RANGE_METHOD and splits and splits > 1:
+            return self._range_read(table, splits, split_columns(self.schema(table), split_column))
         if splits and splits > 1 and not split_column:
             schema = self.schema(table)
             types = {f.name.lower(): f.dataType for f in schema.fields}
@@ -333,6 +411,49 @@ class JdbcWarehouse:
                                  "of the warehouse as the split column, or splits=1.")
         return self._split_read(table.qualified(), splits, method, split_column)
 
+    def _by_predicates(self, source_sql: str, predicates: list[str]) -> DataFrame:
+        opts = self.read_options(dbtable=source_sql)
+        props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+        return self.spark.read.jdbc(self.url, source_sql, predicates=predicates, properties=props)
+
+    def _integer_key(self, table: TableName) -> list[str]:
+        types = {f.name.lower(): f.dataType for f in self.schema(table).fields}
+        key = list(self.primary_key(table))
+        return key if key and all(isinstance(types.get(c.lower()), IntegralType) for c in key) else []
+
+    def _keys_only(self, table: TableName, columns: list[str]) -> DataFrame:
+        """The columns alone, through several connections where an integer key tells how to share them out."""
+        names = ", ".join(self.quoted(c) for c in columns)
+        key = self._integer_key(table)
+        if not key:
+            return self.spark.read.format("jdbc").options(**self.read_options(query=f"SELECT {names} FROM {table.qualified()}")).load()
+        more = "".join(f", {self.quoted(c)}" for c in key if c not in columns)
+        return self._by_predicates(f"(SELECT {names}{more} FROM {table.qualified()}) src", self.split_predicates(key, 8)).select(*cols(columns))
+
+    def _range_read(self, table: TableName, splits: int, columns: list[str]) -> DataFrame:
+        """Ranges of equal numbers of rows over any orderable columns: their quantiles are taken first, over the
+        columns alone.  A hot value is parted further by the table's integer key, if it has one."""
+        sketch = key_sketch(self._keys_only(table, columns), columns, max(1024, 16 * splits))
+        key = self._integer_key(table)
+        return self._by_predicates(table.qualified(), sql_predicates(
+            plan_splits(sketch, columns, splits), [self.quoted(c) for c in columns], self.quoted(key[-1]) if key else None))
+
+    def held_keys(self, table: TableName, key: list[str], incoming: DataFrame, *, splits: int | None = None,
+                  split_column: str | None = None) -> DataFrame:
+        """The target's keys.  Numbers and dates are read within the incoming range.  A key of text, or a part of
+        one, is read whole: the database may order text by another rule, under which a range of Spark's would leave
+        rows out.  Its splits come from the quantiles of the incoming keys, which cost the database nothing."""
+        schema = self.schema(table)
+        theirs = {c.lower(): c for c in schema.fieldNames()}
+        names = [theirs[c.lower()] for c in key]
+        if split_column or not splits or splits <= 1 or self._integer_key(table):
+            held = self.read_table(table, splits=splits, split_column=split_column)
+        else:
+            plan = plan_splits(key_sketch(incoming, key), key, splits)
+            held = self._by_predicates(table.qualified(), sql_predicates(plan, [self.quoted(c) for c in names]))
+        held = held.select(*[c.alias(k) for c, k in zip(cols(names), key)])
+        return held if isinstance(schema[names[0]].dataType, StringType) else in_range(held, key[0], key_range(incoming, key[0]))
+
     def read_query(self, sql: str, *, splits: int | None = None,
                    split_column: str | None = None) -> DataFrame:
         if not split_column or not splits or splits <= 1:
@@ -354,9 +475,5 @@ class JdbcWarehouse:
                 numPartitions=splits)).load()
         # split.by.hash and split.by.amp: rows grouped by a hash of the key,
         # which is how the warehouse spreads a table over its units.
-        opts = self.read_options(dbtable=source_sql)
-        props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
         expression = isinstance(column, str) and "(" in column
-        return self.spark.read.jdbc(self.url, source_sql,
-                                    predicates=self.split_predicates(column, splits, is_expression=expression),
-                                    properties=props)
+        return self._by_predicates(source_sql, self.split_predicates(column, splits, is_expression=expression))

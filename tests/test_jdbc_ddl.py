@@ -1,6 +1,8 @@
 """JdbcWarehouse's driver-side statements, against a stand-in JDBC connection
 (no database may be started here)."""
 
+import re
+
 from tablemover import JdbcWarehouse, TableName
 
 
@@ -25,14 +27,22 @@ class Meta:
     def __init__(self, db):
         self.db = db
 
+    def getSearchStringEscape(self):
+        return "\\"
+
+    def like(self, pattern, value):
+        """A metadata pattern: ``_`` and ``%`` are wildcards unless escaped."""
+        parts = re.findall(r"\\.|.", pattern or "")
+        return re.fullmatch("".join({"_": ".", "%": ".*"}.get(x, re.escape(x[-1])) for x in parts), value or "") is not None
+
     def getTables(self, cat, schema, name, types):
-        return ResultSet([{}] if (schema, name) in self.db.tables else [])
+        return ResultSet([{} for s, n in self.db.tables if self.like(schema, s) and self.like(name, n)])
 
     def getPrimaryKeys(self, cat, schema, name):
         return ResultSet(self.db.keys.get((schema, name), []))
 
     def getColumns(self, cat, schema, name, pattern):
-        return ResultSet(self.db.columns.get((schema, name), []))
+        return ResultSet([c for (s, n), found in self.db.columns.items() if self.like(schema, s) and self.like(name, n) for c in found])
 
 
 class Statement:
@@ -91,6 +101,16 @@ def test_exists_tries_upper_case_names():
     assert not wh.exists(TableName("target_ERR_2", "db"))
 
 
+def test_names_are_not_patterns():
+    db = FakeDb()
+    db.tables, db.columns = {("DB", "TXERR_1")}, {("db", "taxget"): [{"TYPE_NAME": "CHAR", "COLUMN_NAME": "c", "COLUMN_SIZE": 3}]}
+    wh = Warehouse(db)
+    assert wh.exists(TableName("TXERR_1", "DB")) and not wh.exists(TableName("T_ERR_1", "DB"))
+    wh.drop(TableName("T_ERR_1", "DB"))
+    assert not [x for x in db.log if x.startswith("DROP")]
+    assert wh.text_limits(TableName("ta_get", "db")) == {} and wh.text_limits(TableName("taxget", "db")) == {"c": 3}
+
+
 def test_drop_only_what_exists():
     db = FakeDb()
     wh = Warehouse(db)

@@ -1,0 +1,163 @@
+"""Split plans by quantiles, as partitions of a DataFrame and as predicates of a database."""
+
+import datetime as dt
+from decimal import Decimal
+from statistics import median
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablemover import JdbcWarehouse, TableName, extract
+from tablemover.operators.splits import Plan, in_splits, key_sketch, plan_splits, split_number, sql_literal, sql_predicates
+from tablemover.plans.registry import catalog_spec, source_database
+from tablemover.workspace import new_run_dir
+
+SF = "/root/testdata/sf0.001"
+
+
+def sizes(df):
+    return sorted(df.groupBy(F.spark_partition_id()).count().toPandas()["count"])
+
+
+def test_sketch_keeps_all_weight_and_ranks(spark):
+    """Skewed order of arrival, many tasks: quantiles within 2 %."""
+    df = spark.range(0, 200_000, numPartitions=13).select((F.col("id") * 7919 % 200_000).alias("k"))
+    sketch = key_sketch(df, ["k"], 256)
+    assert sum(w for _, w in sketch) == 200_000 and len(sketch) < 6000
+    assert sketch == sorted(sketch)
+    seen = 0
+    for (k,), w in sketch:
+        seen += w
+        assert abs(seen - k) < 4000
+
+
+def test_sketch_of_a_small_table_is_exact(spark):
+    rows = [("b", None), ("a", 2), (None, 1), ("a", 2), ("é", 0)]
+    df = spark.createDataFrame(rows, "s string, n int").repartition(3)
+    counted = {}
+    for k, w in key_sketch(df, ["s", "n"]):
+        counted[k] = counted.get(k, 0) + w
+    assert counted == {("b", None): 1, ("a", 2): 2, (None, 1): 1, ("é", 0): 1}
+    assert key_sketch(df.limit(0), ["s"]) == []
+
+
+def test_ranges_of_text_and_dates_are_even(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    for columns in (["o_orderpriority", "o_orderdate"], ["o_orderkey"], ["o_totalprice"]):
+        df = in_splits(orders, columns, 8)
+        assert df.rdd.getNumPartitions() == 8 and df.columns == orders.columns
+        counts = sizes(df)
+        assert sum(counts) == orders.count() and len(counts) == 8 and max(counts) <= 2 * median(counts)
+
+
+def test_a_hot_value_has_splits_of_its_own(spark):
+    df = spark.range(0, 9000).select(F.when(F.col("id") % 3 != 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    plan = plan_splits(key_sketch(df, ["k"]), ["k"], 9)
+    assert [k for k, _ in plan.hot] == [("hot",)] and plan.hot[0][1] == 6
+    counts = sizes(in_splits(df, ["k"], 9))
+    assert sum(counts) == 9000 and max(counts) <= 2 * median(counts)
+    # Equal rows all fall into one of a hot value's parts, whatever their number; the plan still holds each once.
+    same = spark.range(0, 500).select(F.lit(None).cast("date").alias("k"))
+    assert sizes(in_splits(same, ["k"], 4)) == [500]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["", "a", "A", "b'", "ab", "é", "zz"])), st.one_of(st.none(), st.integers(-3, 3))),
+                max_size=60), st.integers(1, 7))
+def test_predicates_cover_every_row_once(spark, duck, rows, splits):
+    """The plan of Spark's keys as SQL: each row meets exactly the predicate of its split number, but for the parts of
+    hot values, which a database tells by its own expression."""
+    df = spark.createDataFrame(rows, "s string, n int")
+    plan = plan_splits(key_sketch(df, ["s", "n"]), ["s", "n"], splits)
+    values = ", ".join(f"({sql_literal(s)}, {sql_literal(n)})" for s, n in rows) or "(NULL, NULL)"
+    for part_of in (None, "n"):
+        predicates = sql_predicates(plan, ['"s"', '"n"'], part_of)
+        met = duck.execute(f"SELECT {' + '.join(f'CAST(coalesce(({p}), false) AS INT)' for p in predicates)} FROM (VALUES {values}) t(s, n)").fetchall()
+        assert all(m == (1,) for m in met), predicates
+    if rows:
+        assert len(sql_predicates(plan, ["s", "n"])) == len(plan.bounds) + 1 + len(plan.hot)
+        counts = duck.execute(f"SELECT {', '.join(f'sum(CAST(({p}) AS INT))' for p in predicates[:len(plan.bounds) + 1])} FROM (VALUES {values}) t(s, n)").fetchone()
+        ours = dict(df.groupBy(split_number(df, plan).alias("i")).count().collect())
+        assert [int(c) for c in counts] == [ours.get(i, 0) for i in range(len(counts))]
+
+
+def test_bounds_that_do_not_ascend_still_cover_every_row_once(duck):
+    """A database may order text by another rule than Spark's."""
+    plan = Plan(("s",), (("B",), ("a",), ("C",)), ())
+    met = duck.execute("SELECT " + " + ".join(f"CAST(({p}) AS INT)" for p in sql_predicates(plan, ["lower(s)"]))
+                       + " FROM (VALUES ('a'), ('A'), ('b'), ('B'), ('c'), ('d'), (''), (NULL)) t(s)").fetchall()
+    assert met == [(1,)] * 8
+
+
+def test_literals():
+    assert [sql_literal(v) for v in (None, True, 3, Decimal("1.50"), "it's", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5, 6))] == [
+        "NULL", "TRUE", "3", "1.50", "'it''s'", "DATE '2024-01-02'", "TIMESTAMP '2024-01-02 03:04:05.000006'"]
+    with pytest.raises(ValueError):
+        sql_literal(b"x")
+
+
+def test_keys_that_cannot_be_ordered_are_refused(spark):
+    with pytest.raises(ValueError, match="cannot be ordered"):
+        key_sketch(spark.createDataFrame([([1],)], "a array<int>"), ["a"])
+    db = source_database(spark, SF, ["orders"])
+    path = f"{new_run_dir(spark, 'test')}/o"
+    with pytest.raises(ValueError, match="needs the columns"):
+        extract(spark, catalog_spec(source_table=f"{db}.orders", target_path=path, file_format="parquet", retrieve_method="split.by.range"))
+
+
+class Reads:
+    """Stands in for Spark's reader: answers key reads from a DataFrame, records the rest."""
+
+    def __init__(self, keys):
+        self.keys, self.queries, self.predicates = keys, [], None
+
+    def format(self, _):
+        return self
+
+    def options(self, **kw):
+        self.queries.append(kw)
+        return self
+
+    def load(self):
+        return self.keys
+
+    def jdbc(self, url, table, predicates, properties):
+        self.table, self.predicates = table, predicates
+        return self.keys
+
+
+class Session:
+    def __init__(self, keys):
+        self.read = Reads(keys)
+
+
+class TextKeyed(JdbcWarehouse):
+    def primary_key(self, table):
+        return ("name",)
+
+    def schema(self, table):
+        return T.StructType([T.StructField("name", T.StringType()), T.StructField("v", T.LongType())])
+
+
+def test_jdbc_ranges_of_a_text_key(spark, duck):
+    keys = spark.range(0, 4000).select(F.concat(F.lit("it's "), F.hash("id").cast("string")).alias("name"))
+    wh = TextKeyed(Session(keys), "jdbc:x://h", driver="D", user="u", password="pw")
+    wh.read_table(TableName("t", "db"), splits=6, method="split.by.range", split_column="NAME")
+    assert wh.spark.read.queries[0]["query"] == 'SELECT "name" FROM db.t' and wh.spark.read.table == "db.t"
+    predicates = wh.spark.read.predicates
+    duck.register("keys_of_t", keys.toPandas())
+    counts = [duck.execute(f"SELECT count(*) FROM keys_of_t WHERE {p}").fetchone()[0] for p in predicates]
+    assert len(counts) == 6 and sum(counts) == 4000 and max(counts) <= 2 * median(counts)
+
+
+def test_held_keys_of_a_text_key_are_read_in_splits(spark):
+    """The everyday append: a text primary key and no split column."""
+    incoming = spark.createDataFrame([(f"k{i:04d}", i) for i in range(1000)], "name string, v long")
+    wh = TextKeyed(Session(incoming.select("name")), "jdbc:x://h", driver="D", user="u", password="pw")
+    held = wh.held_keys(TableName("t", "db"), ["name"], incoming, splits=8)
+    assert held.columns == ["name"] and len(wh.spark.read.predicates) == 8
+    assert wh.spark.read.queries == []  # the quantiles are those of the incoming rows
+    assert "Filter" not in held._jdf.queryExecution().optimizedPlan().toString()
