@@ -112,6 +112,16 @@ def overwrite_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.orc(path)
 
 
+def overwrite_self(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract that reads the path it replaces."""
+    db = source_database(spark, sf_dir, ["customer"])
+    path = f"{new_run_dir(spark, 'extract')}/customer"
+    extract(spark, catalog_spec(source_table=f"{db}.customer", target_path=path, file_format="orcfile"))
+    query = f"SELECT c_custkey, upper(c_name) AS c_name, c_mktsegment, c_acctbal FROM orc.`{path}` WHERE c_acctbal > 0"
+    extract(spark, catalog_spec(source_query=query, target_path=path, file_format="orcfile", force_overwrite=True))
+    return spark.read.orc(path)
+
+
 def extract_delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents (separators, quotes and line breaks inside) to text and back."""
     db = source_database(spark, sf_dir, ["documents"])
@@ -411,6 +421,7 @@ QUERIES = {
     "extract_table_ranges": extract_table_ranges,
     "extract_query": extract_query,
     "overwrite_extract": overwrite_extract,
+    "overwrite_self": overwrite_self,
     "extract_delimited_text": extract_delimited_text,
     "extract_pages_text": extract_pages_text,
     "roundtrip_pages_text": roundtrip_pages_text,
@@ -444,6 +455,7 @@ COVERAGE = {
     "extract_table_ranges": ("S5", "K3", "F3"),
     "extract_query": ("S6", "K3", "F4"),
     "overwrite_extract": ("S5", "S6", "K3", "K4", "F3", "F4"),
+    "overwrite_self": ("S6", "K3", "K4", "F4"),
     "extract_delimited_text": ("S5", "K3", "F3"),
     "extract_pages_text": ("S5", "K3", "F3"),
     "roundtrip_pages_text": ("S5", "K3", "F3", "S2", "R1", "K1", "F1"),
@@ -488,6 +500,7 @@ ORACLE_SQL = {
     "extract_table_ranges": "SELECT * FROM orders",
     "extract_query": REVENUE_SQL.format(db=""),
     "overwrite_extract": "SELECT * FROM customer",
+    "overwrite_self": "SELECT c_custkey, upper(c_name) AS c_name, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0",
     "extract_delimited_text": "SELECT * FROM documents",
     "extract_pages_text": "SELECT * FROM pages",
     "load_delimited_events": "SELECT * FROM events",

@@ -6,13 +6,16 @@ per file split of a catalog table): no repartition, so no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.names import col
-from ..workspace import touch
 from ..sources.files import ESCAPED_MARK, NULL_MARK, TEXT_OPTIONS, avro_available, escape_text, spark_format
+from ..workspace import discard, exists, read_small, rename, touch, write_small
 
 
 def _as_text(f: T.StructField, alone: bool):
@@ -29,8 +32,10 @@ def _as_text(f: T.StructField, alone: bool):
 def extract_files(df: DataFrame, path: str, file_format: str | None, *,
                   separator: str | None = None, overwrite: bool = False,
                   options: dict | None = None) -> str:
-    """K3 with K4: ``overwrite`` replaces what is at ``path`` (the reference
-    deletes the folder first); without it an existing ``path`` is an error."""
+    """K3 with K4: ``overwrite`` replaces what is at ``path``; without it an
+    existing ``path`` is an error.  A replacement is written beside the old output
+    and swapped in when it is complete, so a failed extract leaves the old one,
+    and a source may read the path that it replaces."""
     fmt = spark_format(file_format)
     if fmt == "avro" and not avro_available(df.sparkSession):
         raise RuntimeError("Writing Avro needs Spark's Avro module on the class path "
@@ -42,10 +47,56 @@ def extract_files(df: DataFrame, path: str, file_format: str | None, *,
             raise ValueError(f"Delimited text cannot hold nested columns {nested}; "
                              "turn them to text with to_json first, or extract to orc or parquet.")
         df = df.select(*[_as_text(f, len(df.columns) == 1) for f in df.schema.fields])
-    writer = df.write.format(fmt).mode("overwrite" if overwrite else "errorifexists")
+    spark, path = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
+    # A new output is published by a rename; an existing one is an error before anything is written.
+    place = f"{_beside(path)}-{uuid.uuid4().hex[:8]}" if overwrite and exists(spark, path) else path
+    writer = df.write.format(fmt).mode("errorifexists")
     if fmt == "csv":
         writer = writer.options(**TEXT_OPTIONS).option("sep", separator or ",")
-    writer.options(**(options or {})).save(path)
-    if fmt == "csv":
-        touch(df.sparkSession, f"{path.rstrip('/')}/{ESCAPED_MARK}")
+    try:
+        writer.options(**(options or {})).save(place)
+        if fmt == "csv":
+            touch(spark, f"{place}/{ESCAPED_MARK}")
+    except BaseException:
+        if place != path:
+            discard(spark, place)
+        raise
+    if place != path:
+        publish(spark, place, path)
     return path
+
+
+def _beside(path: str) -> str:
+    """A hidden name next to ``path``, in the same file system."""
+    folder, _, name = path.rpartition("/")
+    return f"{folder}/_tablemover-{name}" if folder else f"_tablemover-{name}"
+
+
+def publish(spark: SparkSession, new: str, path: str) -> None:
+    """Put the complete folder ``new`` in the place of ``path``.  The swap is on record before it begins, so that
+    ``recover`` can end one that was cut short; until the old output has moved aside it stays as it was."""
+    record, old = f"{_beside(path)}.swap", f"{new}-old"
+    write_small(spark, record, json.dumps({"new": new, "old": old}))
+    rename(spark, path, old)
+    rename(spark, new, path)
+    discard(spark, old)
+    discard(spark, record)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """End a swap at ``path`` that was cut short: the new output is complete, so it goes in.  True if there was one."""
+    path = path.rstrip("/")
+    record = f"{_beside(path)}.swap"
+    text = read_small(spark, record)
+    if text is None:
+        return False
+    swap = json.loads(text)
+    if exists(spark, swap["new"]):
+        if exists(spark, path):
+            rename(spark, path, swap["old"])
+        rename(spark, swap["new"], path)
+    discard(spark, swap["old"])
+    discard(spark, record)
+    return True
+

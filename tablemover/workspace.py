@@ -73,6 +73,30 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, whole or not at all: written under another name first."""
+    fs, target = _file_system(spark, path)
+    _, draft = _file_system(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"{path} could not be written.")
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     """Move a folder; ``new`` must not exist."""
     fs, source = _file_system(spark, old)
