@@ -15,7 +15,7 @@ from .line_dedup import dedup_lines
 from .minmax import near_duplicates
 from .pitman_yor import score_texts
 from .quality import judge
-from .secret_ledger import BASE_RULES, findings
+from .secret_ledger import BASE_RULES, RULES, Rule, findings
 from .sentencepiece_fst import encode_decode
 from .sharding import shard_rows
 from .tokenizer_alignment import linked_counts
@@ -131,6 +131,32 @@ def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words),
+classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY s),
+places AS (SELECT rep, n, unnest(s) AS shingle FROM classes),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS n
+  FROM places a JOIN places b ON a.shingle = b.shingle AND a.rep < b.rep
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.rep, b.rep),
+links AS (SELECT x, y FROM pairs WHERE 100 * n >= 80 * (nx + ny - n) UNION SELECT y, x FROM pairs WHERE 100 * n >= 80 * (nx + ny - n)),
+reach(node, root) AS (
+  SELECT rep, rep FROM classes
+  UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.node AND r.root < l.y),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT t.doc_id, CAST(len(t.s) AS BIGINT) AS n_shingles, coalesce(r.root, t.doc_id) AS component_id,
+       coalesce(t.doc_id = coalesce(r.root, t.doc_id), true) AS kept
+FROM sets t LEFT JOIN classes c ON t.s = c.s AND t.doc_id IS NOT NULL LEFT JOIN roots r ON r.node = c.rep
+"""
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ledger = new_run_dir(spark, "ledger")
@@ -150,6 +176,34 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                           written(F.col("found")).alias("spans"))
 
 
+def _spans_sql(kind: int, rule: Rule) -> str:
+    """The rule's spans of every text: it is cut at the matches, whose lengths and those between add up to places."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {kind} AS kind, '{rule.name}' AS name, list_sum(gap[1:i]) + coalesce(list_sum(whole[1:i - 1]), 0) AS start, whole[i] AS n
+  FROM (SELECT doc_id, gap, whole, own, unnest(range(1, len(whole) + 1)) AS i
+        FROM (SELECT doc_id, list_transform(string_split_regex(text, '{pattern}'), lambda x: length(x)) AS gap,
+                     list_transform(regexp_extract_all(text, '{pattern}', 0), lambda x: length(x)) AS whole,
+                     list_transform(regexp_extract_all(text, '{pattern}', {rule.group}), lambda x: length(x)) AS own
+              FROM texts) m) p
+  WHERE own[i] >= {rule.least}"""
+
+
+OP6_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({' UNION ALL '.join(_spans_sql(k, r) for k, r in enumerate(RULES))}),
+written AS (
+  SELECT doc_id, kind, CAST(start AS BIGINT) AS start, name || ':' || CAST(start AS BIGINT) || ':' || CAST(start + n AS BIGINT) AS span FROM spans),
+told AS (
+  SELECT doc_id, {', '.join(f"count(*) FILTER (kind = {k}) AS n_{r.name}" for k, r in enumerate(BASE_RULES))},
+         string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE_RULES)}) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM written GROUP BY doc_id)
+SELECT t.doc_id, {', '.join(f"coalesce(n_{r.name}, 0) AS n_{r.name}" for r in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts t LEFT JOIN told USING (doc_id)
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return judge(docs).select("row.doc_id", "counts.n_words", "counts.word_chars", "counts.n_symbols",
@@ -236,6 +290,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op4_line_dedup": OP4_SQL,
+    "op5_minmax_dedup": OP5_SQL,
+    "op6_secret_ledger": OP6_SQL,
     "op10_warc": OP10_SQL,
     "op13_filter_audit": OP13_SQL,
 }
