@@ -13,6 +13,8 @@
 ``tablemover.journal`` (a shared folder in which a load keeps its phases, so
 that it can be run again after a lost driver), ``tablemover.reconcile``
 (``true``: prove by digests that source = target + rejects),
+``tablemover.reject.addresses`` (``true``: conversion rejects tell their file,
+line and values),
 ``tablemover.jdbc.driver`` and ``tablemover.jdbc.url``.
 """
 
@@ -82,6 +84,7 @@ def _extras(props: dict[str, str]) -> dict:
     if props.get("tablemover.journal"):
         extra["journal"] = props["tablemover.journal"]
     extra["reconcile"] = props.get("tablemover.reconcile", "").strip().lower() == "true"
+    extra["reject_addresses"] = props.get("tablemover.reject.addresses", "").strip().lower() == "true"
     return extra
 
 

@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.files import MALFORMED_COLUMN
+from ..sources.files import ADDRESS_COLUMN, MALFORMED_COLUMN, OWN_COLUMNS
 from ..spec import TableName
 from ..workspace import new_run_dir, stage
 from .names import col, cols, fresh, same_keys
 from .reconcile import Digest, digest_columns, digest_from
 
 REASON_COLUMN = "reject_reason"
+# On request: the values that did not fit, and where their row was read.
+VALUES_COLUMN, FILE_COLUMN, LINE_COLUMN = "reject_values", "reject_file", "reject_line"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -150,6 +152,31 @@ def conversion_split(df: DataFrame, target: T.StructType, limits: dict[str, int]
     return good, rejects
 
 
+def with_addresses(rejects: DataFrame, target: T.StructType, limits: dict[str, int] | None, bases: DataFrame | None) -> DataFrame:
+    """Conversion rejects with the values that did not fit, as (column, value as text), and the file and number of
+    their line (of their row, for Parquet), instead of the address they were read with.  ``bases`` are
+    ``line_bases``, None where marks are numbers already."""
+    source = rejects.drop(REASON_COLUMN)
+    bad = [F.when(bad, F.struct(F.lit(name).alias("column"), col(by).cast("string").alias("value")))
+           for (name, _, bad), by in ((f, _source_of(source, f[0])) for f in _fit(source, target, limits)) if by]
+    if MALFORMED_COLUMN in rejects.columns:
+        raw = F.struct(F.lit(MALFORMED_COLUMN).alias("column"), col(MALFORMED_COLUMN).alias("value"))
+        bad = [F.when(col(MALFORMED_COLUMN).isNotNull(), raw), *[F.when(col(MALFORMED_COLUMN).isNull(), b) for b in bad]]
+    at = col(ADDRESS_COLUMN)
+    told = rejects.withColumns({VALUES_COLUMN: F.array_compact(F.array(*bad)), FILE_COLUMN: at["file"]})
+    if bases is None:
+        out = told.withColumn(LINE_COLUMN, at["mark"] + 1)
+    else:
+        out = told.join(bases, (at["file"] == F.col("b_file")) & (at["split"] == F.col("b_split")), "left").withColumn(
+            LINE_COLUMN, F.col("before") + at["mark"] - F.col("first") + 1)
+    kept = [c for c in rejects.columns if c != ADDRESS_COLUMN]
+    return out.select(*cols(kept), VALUES_COLUMN, FILE_COLUMN, LINE_COLUMN)
+
+
+def _source_of(df: DataFrame, name: str) -> str | None:
+    return next((c for c in df.columns if c.lower() == name.lower()), None)
+
+
 def staged_conversion(df: DataFrame, target: T.StructType, limits: dict[str, int] | None, folder: str,
                       prove: bool = False) -> dict[str, Digest]:
     """``conversion_split`` in one pass over the source: every row is written to ``folder`` once, under the
@@ -165,8 +192,9 @@ def staged_conversion(df: DataFrame, target: T.StructType, limits: dict[str, int
     if prove:
         seen = Observation()
         source_schema, row_schema = judged.schema["source"].dataType, judged.schema["row"].dataType
-        judged = judged.observe(seen, *digest_columns(source_schema, "source", of="source"),
-                                *digest_columns(source_schema, "rejected", ~fits, of="source"), *digest_columns(row_schema, "converted", fits, of="row"))
+        own = [c for c in source_schema.fieldNames() if c != ADDRESS_COLUMN]
+        judged = judged.observe(seen, *digest_columns(source_schema, "source", columns=own, of="source"),
+                                *digest_columns(source_schema, "rejected", ~fits, columns=own, of="source"), *digest_columns(row_schema, "converted", fits, of="row"))
     stage(judged.select(F.when(fits, F.col("row")).alias("row"), F.when(~fits, F.col("source")).alias("source"), REASON_COLUMN), folder)
     if prove:
         digests = {n: digest_from(seen.get, n) for n in ("source", "rejected", "converted")}
@@ -187,7 +215,7 @@ def matched_columns(df: DataFrame, target: T.StructType, mapping: dict[str, str]
     """``df`` under the target's column names.  Without a ``mapping`` (target column -> source column, which
     says all that is loaded) the names must be the same, letter case aside; a difference is an error that
     names both sides unless ``allow_unmatched``, which drops the one and fills the other with NULL."""
-    own = [c for c in df.columns if c != MALFORMED_COLUMN]
+    own = [c for c in df.columns if c not in OWN_COLUMNS]
     if mapping:
         by_lower = {c.lower(): c for c in own}
         wrong = [f"{t} <- {s}" for t, s in mapping.items()
@@ -195,7 +223,7 @@ def matched_columns(df: DataFrame, target: T.StructType, mapping: dict[str, str]
         if wrong:
             raise ValueError(f"The column mapping names unknown columns: {wrong}; the source has {own}, "
                              f"the target {target.fieldNames()}.")
-        more = [col(MALFORMED_COLUMN)] if MALFORMED_COLUMN in df.columns else []
+        more = [col(c) for c in OWN_COLUMNS if c in df.columns]
         return df.select(*[col(by_lower[s.lower()]).alias(t) for t, s in mapping.items()], *more)
     theirs, ours = {f.lower() for f in target.fieldNames()}, {c.lower() for c in own}
     extra = [c for c in own if c.lower() not in theirs]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.protect import decrypt_columns, encrypt_columns, mask_columns
-from ..operators.rejects import REASON_COLUMN, conversion_split
+from ..operators.rejects import FILE_COLUMN, LINE_COLUMN, REASON_COLUMN, VALUES_COLUMN, conversion_split
 from ..operators.spread import wide
 from ..sinks.files import extract_files
 from ..sources.files import read_delimited
@@ -350,6 +350,28 @@ def reject_lossy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("long").alias("event_id"), "moment", F.col("amount").isNotNull().alias("has_amount"), "props", REASON_COLUMN))
 
 
+def reject_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem as sorted text files (by the order's remainder), read in small splits; the rejects of narrow columns
+    tell the line and the values that did not fit."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    path = f"{new_run_dir(spark, 'files')}/lineitem"
+    parts = 16 + items.count() // 1_000_000
+    dealt = items.withColumn("part", F.coalesce(F.pmod("l_orderkey", F.lit(parts)), F.lit(0)))
+    lines = dealt.repartition(parts, "part").sortWithinPartitions("part", *items.columns)
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("l_orderkey", "l_partkey", "l_linenumber")])
+    lines.select("part", line.alias("line")).write.partitionBy("part").text(path)
+    db = new_database(spark, "wh")
+    create_table(spark, db, "items", T.StructType([T.StructField("l_orderkey", T.ByteType()), T.StructField("l_partkey", T.ShortType()),
+                                                   T.StructField("l_linenumber", T.IntegerType())]))
+    spec = catalog_spec(source_path=path, file_format="textfile", separator=SEP, target_table=f"{db}.items", reject_addresses=True,
+                        spark_settings={"spark.sql.files.maxPartitionBytes": "16384"})
+    load(spark, spec)
+    bad = _table(spark, db, spec.error_tables[0].table)
+    told = F.array_join(F.transform(VALUES_COLUMN, lambda v: F.concat_ws("=", v["column"], v["value"])), ";")
+    return bad.select(F.regexp_extract(FILE_COLUMN, r"part=(\d+)", 1).cast("long").alias("part"), LINE_COLUMN, REASON_COLUMN, told.alias("told"),
+                      "l_orderkey", "l_partkey", "l_linenumber")
+
+
 # -- loads that are cut short, and loads that are proved (F1, F2) ---------------------------
 def resume_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders appended in two journaled loads.  The second stops when its rows are in the target but before that is
@@ -441,6 +463,7 @@ QUERIES = {
     "reject_existing_keys": reject_existing_keys,
     "reject_hot_copies": reject_hot_copies,
     "reject_lossy_text": reject_lossy_text,
+    "reject_addresses": reject_addresses,
     "resume_load": resume_load,
     "reconcile_load": reconcile_load,
     "encrypt_decrypt": encrypt_decrypt,
@@ -475,6 +498,7 @@ COVERAGE = {
     "reject_existing_keys": ("S4", "R2", "R3", "K1", "F2"),
     "reject_hot_copies": ("S3", "R2", "K2", "K1", "F1"),
     "reject_lossy_text": ("S2", "R1", "K1", "F1"),
+    "reject_addresses": ("S2", "R1", "F1"),
     "resume_load": ("S3", "R2", "R3", "K1", "F1"),
     "reconcile_load": ("S4", "R1", "R2", "K1", "F2"),
     "encrypt_decrypt": ("C1", "C2"),
@@ -536,6 +560,18 @@ ORACLE_SQL = {
                true AS has_amount, props || ' it''s a \\ b' AS props,
                CASE WHEN fine AND big THEN 'moment,amount' WHEN fine THEN 'moment' WHEN big THEN 'amount' END AS {REASON_COLUMN}
         FROM (SELECT *, event_id % 4 > 0 AS fine, event_id % 5 = 4 AS big FROM events) e""",
+    "reject_addresses": f"""
+        WITH n AS (SELECT 16 + count(*) // 1000000 AS parts FROM lineitem),
+             lines AS (SELECT l_orderkey, l_partkey, l_linenumber, coalesce(((l_orderkey % parts) + parts) % parts, 0) AS part,
+                              row_number() OVER (PARTITION BY coalesce(((l_orderkey % parts) + parts) % parts, 0) ORDER BY
+                                  l_orderkey NULLS FIRST, l_partkey NULLS FIRST, {_LINEITEM_OTHERS.replace('l_partkey, l_suppkey,', 'l_suppkey NULLS FIRST, l_linenumber NULLS FIRST,').replace(', l_', ' NULLS FIRST, l_').replace('NULLS FIRST NULLS', 'NULLS')} NULLS FIRST) AS line
+                       FROM lineitem, n),
+             judged AS (SELECT *, TRY_CAST(l_orderkey AS TINYINT) IS NULL AND l_orderkey IS NOT NULL AS bad_key,
+                               TRY_CAST(l_partkey AS SMALLINT) IS NULL AND l_partkey IS NOT NULL AS bad_part FROM lines)
+        SELECT part, line AS reject_line, concat_ws(',', CASE WHEN bad_key THEN 'l_orderkey' END, CASE WHEN bad_part THEN 'l_partkey' END) AS reject_reason,
+               concat_ws(';', CASE WHEN bad_key THEN 'l_orderkey=' || l_orderkey END, CASE WHEN bad_part THEN 'l_partkey=' || l_partkey END) AS told,
+               CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber
+        FROM judged WHERE bad_key OR bad_part""",
     "resume_load": """
         WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 2, o_orderkey NULLS FIRST) AS rn FROM orders)
         SELECT * EXCLUDE (rn), CASE WHEN rn = 1 THEN 'target' ELSE 'ERR_2' END AS table_role FROM ranked

@@ -14,6 +14,7 @@ Extract (F3 table -> files, F4 query -> files):
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 
 from ..operators.reconcile import Digest, Unreconciled, digest
 from ..operators.rejects import (checked_key, conversion_split, converted_sides, held_rows, matched_columns,
-                                 prepare_reject_tables, repeated_rows, stage_out, staged_conversion, without_rows)
+                                 prepare_reject_tables, repeated_rows, stage_out, staged_conversion, with_addresses,
+                                 without_rows)
 from ..sinks.files import extract_files
 from ..sinks.tables import load_table, replace_and_load
-from ..sources.files import read_avro_schema_file, read_files, spark_format
+from ..sources.files import ADDRESS_COLUMN, line_bases, read_avro_schema_file, read_files, spark_format
 from ..sources.tables import read_catalog_table, read_query, read_table_split
 from ..functions.protect import decrypt_columns, read_passphrase
 from ..spec import CRYPTO_KEY_PATH_KEY, ENCRYPTED_CREDENTIAL_KEY, Direction, TableName, TransferSpec
@@ -92,7 +94,8 @@ def load_source(spark: SparkSession, spec: TransferSpec, target_schema) -> DataF
         return read_catalog_table(spark, spec.hive_database, spec.hive_table)
     return read_files(spark, spec.source_path, spec.file_format, columns=target_schema,
                       separator=spec.separator, avro_schema_inline=spec.avro_schema_inline,
-                      avro_schema_path=spec.avro_schema_path, options=spec.source_options)
+                      avro_schema_path=spec.avro_schema_path, options=spec.source_options,
+                      addresses=spec.reject_addresses)
 
 
 def load(spark: SparkSession, spec: TransferSpec, *, warehouse=None,
@@ -191,6 +194,10 @@ class _Load:
         dropped = prepare_reject_tables(self.wh, tables, drop=again or self.spec.drop_error_tables)
         state["dropped"] = state["dropped"] if again else dropped
         _, rejects, goes = self._sides(state)
+        if ADDRESS_COLUMN in rejects.columns:
+            text = spark_format(self.spec.file_format) == "csv"
+            bases = stage(line_bases(self.spark, self.spec.source_path), f"{state['run_dir']}/lines-{uuid.uuid4().hex[:8]}") if text else None
+            rejects = with_addresses(rejects, self.wh.schema(self.target), self.wh.text_limits(self.target), bases)
         self.wh.create(rejects, tables[0], writers=self.spec.writers)
         if goes is not None:
             self.wh.create(goes, tables[1], writers=self.spec.writers)
@@ -237,7 +244,7 @@ class _Load:
         err_1, err_2 = (TableName.parse(t) for t in state["error_tables"])
         both = self.spark.read.parquet(f"{state['run_dir']}/converted").schema
         source, row = (both[c].dataType.fieldNames() for c in ("source", "row"))
-        proof["error_1"] = digest(self.wh.read_table(err_1, splits=1), source)
+        proof["error_1"] = digest(self.wh.read_table(err_1, splits=1), [c for c in source if c != ADDRESS_COLUMN])
         proof["error_2"] = digest(self.wh.read_table(err_2, splits=1), row) if state["key"] else Digest()
         listed = exists(self.spark, self._listing(state))
         gained = self.wh.read_files(self.target, self._new_files(state)) if listed else self.wh.read_table(self.target, splits=1)

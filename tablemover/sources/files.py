@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..operators.names import col
 from ..workspace import exists
@@ -18,6 +19,9 @@ from ..workspace import exists
 # The transfer's format names and their Spark readers.
 FORMAT_ALIASES = {"avrofile": "avro", "orcfile": "orc", "textfile": "csv", "parquetfile": "parquet"}
 MALFORMED_COLUMN = "_malformed_line"
+# Where a source row was read, on request: its file, the split of it, and a mark that rises row by row in the split.
+ADDRESS_COLUMN = "_source_address"
+OWN_COLUMNS = (MALFORMED_COLUMN, ADDRESS_COLUMN)
 # Reader options that concern single lines; any other makes the CSV reader read the file.
 LINE_OPTIONS = {"sep", "delimiter", "quote", "escape", "chartoescapequoteescaping", "nullvalue", "emptyvalue",
                 "ignoreleadingwhitespace", "ignoretrailingwhitespace", "multiline", "maxcolumns", "maxcharspercolumn"}
@@ -122,7 +126,8 @@ def escaped_by_us(spark: SparkSession, path: str) -> bool:
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.StructType,
                    separator: str | None = None, *, multiline: bool = False,
-                   options: dict | None = None, escaped: bool | None = None) -> DataFrame:
+                   options: dict | None = None, escaped: bool | None = None,
+                   addresses: bool = False) -> DataFrame:
     """Delimited text, every field as a string, plus the raw line of any
     malformed record in ``_malformed_line`` (R1 routes those aside).
 
@@ -143,20 +148,40 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
     if multiline:
         opts["multiLine"] = "true"
     if opts["multiLine"].lower() == "true" or {k.lower() for k in options or {}} - LINE_OPTIONS:
+        if addresses:
+            raise ValueError("Line numbers are told only of text that is read line by line.")
         parsed = spark.read.schema(schema).options(**opts).csv(path)
     else:
-        lines = spark.read.option("lineSep", "\n").text(path)
+        # The mark is taken before any line is left out.
+        where = [_line_address().alias(ADDRESS_COLUMN)] if addresses else []
+        lines = spark.read.option("lineSep", "\n").text(path).select("value", *where)
         lines = lines.where("value <> ''")  # an empty line is no record
         broken = _unclosed_quote(F.col("value"), opts)
         opts = {k: v for k, v in opts.items() if k not in ("header", "lineSep", "multiLine")}
         record = F.when(~broken, F.from_csv("value", schema.toDDL(), opts)).otherwise(
             F.struct(*[F.lit(None).cast("string").alias(n) for n in names], F.col("value").alias(MALFORMED_COLUMN)))
-        parsed = lines.select(F.explode(F.array(record)).alias("r")).select("r.*")
+        parsed = lines.select(*[ADDRESS_COLUMN] * addresses, F.explode(F.array(record)).alias("r")).select("r.*", *[ADDRESS_COLUMN] * addresses)
     if escaped is None:
         escaped = escaped_by_us(spark, path)
     if not escaped:
         return parsed
-    return parsed.select(*[unescape_text(col(n)).alias(n) for n in names], col(MALFORMED_COLUMN))
+    return parsed.select(*[unescape_text(col(n)).alias(n) for n in names], MALFORMED_COLUMN, *[ADDRESS_COLUMN] * addresses)
+
+
+def _line_address() -> Column:
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                    F.monotonically_increasing_id().alias("mark"))
+
+
+def line_bases(spark: SparkSession, path: str) -> DataFrame:
+    """(b_file, b_split, first, before) of every split of text files: its first line's mark and the number of lines
+    of the file before it.  One count per split and a running sum over the splits of each file; the scan is split
+    as that of ``read_delimited`` is, so that their marks agree."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(_line_address().alias("a"))
+    counted = lines.groupBy(F.col("a.file").alias("b_file"), F.col("a.split").alias("b_split")).agg(
+        F.min("a.mark").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("b_file").orderBy("b_split").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.select("b_file", "b_split", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
 
 
 def read_json_lines(spark: SparkSession, path: str, target: T.StructType, *,
@@ -203,16 +228,22 @@ def read_avro(spark: SparkSession, path: str, *, schema_inline: str | None = Non
 def read_files(spark: SparkSession, path: str, file_format: str | None, *,
                columns: list[str] | T.StructType | None = None, separator: str | None = None,
                avro_schema_inline: str | None = None, avro_schema_path: str | None = None,
-               options: dict | None = None) -> DataFrame:
-    """S1/S2/S3 by format name."""
+               options: dict | None = None, addresses: bool = False) -> DataFrame:
+    """S1/S2/S3 by format name.  ``addresses`` tells of each row where it was read (text and Parquet)."""
     fmt = spark_format(file_format)
+    if addresses and fmt not in ("csv", "parquet"):
+        raise ValueError(f"Rows of {fmt} files have no address.")
     if fmt == "avro":
         return read_avro(spark, path, schema_inline=avro_schema_inline,
                          schema_path=avro_schema_path, options=options)
     if fmt == "csv":
         if columns is None:
             raise ValueError("Delimited text needs the target's column names.")
-        return read_delimited(spark, path, columns, separator, options=options)
+        return read_delimited(spark, path, columns, separator, options=options, addresses=addresses)
     if fmt == "json" and isinstance(columns, T.StructType):
         return read_json_lines(spark, path, columns, options=options)
-    return spark.read.format(fmt).options(**(options or {})).load(path)
+    rows = spark.read.format(fmt).options(**(options or {})).load(path)
+    if addresses:  # a row's number in its file is its mark
+        rows = rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.lit(0).cast("long").alias("split"),
+                                         F.col("_metadata.row_index").alias("mark")).alias(ADDRESS_COLUMN))
+    return rows

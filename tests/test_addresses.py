@@ -1,0 +1,58 @@
+"""Rejects tell the file, the line and the values that did not fit."""
+
+import pytest
+from pyspark.sql import types as T
+
+from tablemover import load
+from tablemover.plans.registry import catalog_spec, create_table
+from tablemover.workspace import new_database
+
+TARGET = T.StructType([T.StructField("k", T.ByteType()), T.StructField("s", T.StringType()), T.StructField("d", T.DateType())])
+
+
+def loaded(spark, path, fmt, **kw):
+    db = new_database(spark, "lines")
+    create_table(spark, db, "t", TARGET)
+    kw = {"source_path": str(path), "file_format": fmt, "separator": "|", "target_table": f"{db}.t", "reject_addresses": True} | kw
+    report = load(spark, catalog_spec(**kw))
+    rows = [(r.reject_file.rsplit("/", 1)[-1], r.reject_line, r.reject_reason, [tuple(v) for v in r.reject_values])
+            for r in spark.table(f"{db}.t_ERR_1").collect()]
+    return report, sorted(rows)
+
+
+@pytest.mark.parametrize("kw", [{}, {"reconcile": True}, {"key_columns": ("k",)}])
+@pytest.mark.parametrize("size", ["48", "1000000"])
+def test_lines_of_text_in_any_splits(spark, tmp_path, size, kw):
+    """Empty lines, long lines over several splits, a malformed line, two files; against the files' own lines."""
+    a = ["1|a|2024-01-01", "", "500|b|2024-01-02", "x|" + "long " * 40 + "|2024-13-01", "2|c|", '3|"open|2024-01-01', ""] * 5
+    b = ["9|z|2024-01-01"] * 30 + ["bad|y|nodate"]
+    (tmp_path / "a.txt").write_text("\n".join(a) + "\n")
+    (tmp_path / "b.txt").write_text("\n".join(b))
+    _, rows = loaded(spark, tmp_path, "textfile", spark_settings={"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1"}, **kw)
+    want = []
+    for name, lines in (("a.txt", a), ("b.txt", b)):
+        for no, line in enumerate(lines, 1):
+            if line.startswith("500"):
+                want.append((name, no, "k", [("k", "500")]))
+            elif line.startswith("x|"):
+                want.append((name, no, "k,d", [("k", "x"), ("d", "2024-13-01")]))
+            elif "open" in line:
+                want.append((name, no, "_malformed_line", [("_malformed_line", line)]))
+            elif line.startswith("bad"):
+                want.append((name, no, "k,d", [("k", "bad"), ("d", "nodate")]))
+    assert rows == sorted(want)
+
+
+def test_rows_of_parquet(spark, tmp_path):
+    spark.createDataFrame([(1, "a", None), (300, "b", None), (2, "c", None), (-200, "d", None)], "k int, s string, d date").coalesce(1).write.parquet(f"{tmp_path}/p")
+    _, rows = loaded(spark, f"{tmp_path}/p", "parquet")
+    assert [(r[1], r[3]) for r in rows] == [(2, [("k", "300")]), (4, [("k", "-200")])]
+
+
+def test_formats_without_addresses_are_refused(spark, tmp_path):
+    spark.range(1).write.orc(f"{tmp_path}/o")
+    with pytest.raises(ValueError, match="no address"):
+        loaded(spark, f"{tmp_path}/o", "orcfile")
+    (tmp_path / "c.txt").write_text("k|s|d\n")
+    with pytest.raises(ValueError, match="line by line"):
+        loaded(spark, tmp_path / "c.txt", "textfile", source_options={"header": "true"})
