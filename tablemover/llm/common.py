@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
+import types
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The characters of [\x20\x09-\x0D].
@@ -23,6 +27,33 @@ def release() -> None:
     """Give freed memory back to the system, so that an idle Python worker holds none of its last batch."""
     for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
         pool.release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def remembered(owner: str | None, build=None):
+    """What a Python worker keeps between tasks: one object, that of the last ``owner`` who asked.  An operator that
+    keeps nothing asks with None, so that a reused worker does not hold an earlier operator's memory beside its own."""
+    kept = sys.modules.setdefault("_tablemover_memory", types.ModuleType("_tablemover_memory"))
+    if not hasattr(kept, "owner"):
+        kept.owner = kept.value = None
+    if kept.owner != owner:
+        kept.owner = kept.value = None
+        gc.collect()
+        release()
+        kept.value = build() if build else None
+        kept.owner = owner
+    return kept.value
+
+
+def slices(batches, rows: int = 256):
+    """Record batches cut into parts of few rows, so that what a task builds per row stays small."""
+    remembered(None)
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+            release()
 
 
 def ascii_lower(c: Column) -> Column:
@@ -31,6 +62,12 @@ def ascii_lower(c: Column) -> Column:
     return F.when(ascii_only, F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+def integer_id(df: DataFrame, name: str) -> None:
+    """Refuse an id column of another type than the integers."""
+    if not isinstance(df.schema[name].dataType, T.IntegralType):
+        raise ValueError(f"The id column {name} is {df.schema[name].dataType.simpleString()}; ids are integers.")
+
+
 def packed(df: DataFrame, row: str = "row") -> DataFrame:
     """The whole input row as one struct column, so that no helper column can clash with its names."""
     quoted = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

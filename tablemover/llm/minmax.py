@@ -8,19 +8,23 @@ similarity.  The values are banded (32 bands of 4): two sets of similarity 0.8 s
 1. Equal sets are one class, carried by its smallest id; only classes go on.
 2. Classes that share a band with another are candidates; their full sets are written once.
 3. Star rounds: in every band group that still holds several components, all members are compared with one
-   centre (later rounds: several centres), on full sets.  A group of n near copies costs n comparisons a
-   round, not n * n.  Links are contracted to components after each round.
-4. The rest, exactly: in groups that still hold several components, members off the centre's component are
-   compared with all others, in blocks of bounded size, first by long signatures (2,048 min-max values, two
-   bits of each; a pair of similarity 0.8 shows an estimate below 0.758 in 4 of 10^5 cases), then on full sets.
+   centre (later rounds: one of each of the two largest components), on full sets.  A group of n near copies
+   costs n comparisons a round, not n * n.  Links are contracted to components after each round.  In large groups rounds go on while
+   they halve the rows that lie off their group's largest component.
+4. The rest, exactly, first by long signatures (2,048 min-max values, two bits of each; a pair of similarity 0.8
+   shows an estimate below 0.758 in 4 of 10^5 cases), then on full sets: all pairs of a small group; of a large
+   one the members off the largest component with all others, in blocks of bounded size.  A pair of blocks leaves
+   only links that join its members (a spanning forest), so a group leaves no square of pairs.
 
 Two sets are linked when 100 * |intersection| >= 100 * threshold * |union|.  A document's component is that
 of its class; the component's id is the least document id in it.
 
 Defined cases.  A text without words, null included, has an empty set and is linked with nothing.  A text
 with fewer words than a shingle is one shingle, its whole sequence.  A null id is in no component and is
-kept.  Rows that repeat an id each belong to the component of their own text.  An empty table gives an empty
-table.
+kept.  Rows that repeat an id each belong to the component of their own text.  Ties, sets at just the threshold,
+are links.  A very long text is one set, its row's work; its id and links are as any other's.  Ids are integers;
+others are refused by name.  An empty table gives an empty table.  Other columns come back as they were, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -30,17 +34,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, release, ship_by_value
+from .common import field, integer_id, packed, ship_by_value, slices
 from .components import components
 
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 THRESHOLD = 0.8
-# Star rounds: centres per group in each.
-STARS = (1, 2)
-BLOCK = 256
+# Star rounds at most, all but the first in groups of more than SMALL rows; what they leave is compared exactly.
+MOST_ROUNDS, SMALL = 12, 64
+# Members, and bytes of their sets, of a block in the exact rest.
+BLOCK, BLOCK_BYTES = 256, 4_000_000
 LONG_PERMUTATIONS, LEAST_ESTIMATE = 1024, 0.758
 _MASK = (1 << 64) - 1
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -103,10 +109,10 @@ def _band_keys(sig: np.ndarray) -> np.ndarray:
 
 def _sign(width: int):
     def sign(batches):
-        for batch in batches:
+        for batch in slices(batches):
             n, keys, bands = [], [], []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text, width)
+            for text in batch.column("text"):
+                s = shingle_set(text.as_py(), width)
                 n.append(len(s))
                 if not len(s):
                     keys.append(None), bands.append(None)
@@ -116,55 +122,96 @@ def _sign(width: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))], ["id", "n_shingles", "set_key", "bands"])
-            release()
     return sign
 
 
 def _sets(width: int):
     def sets(batches):
-        for batch in batches:
-            out = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            out = [shingle_set(t.as_py(), width).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(out, pa.binary())], ["rep", "members"])
-            release()
     return sets
 
 
+def _set_of(cell) -> np.ndarray:
+    """The sorted hashes of a binary cell, without a copy."""
+    return np.frombuffer(cell.as_buffer(), np.uint64)
+
+
+def similar(x: np.ndarray, y: np.ndarray, bound: int) -> bool:
+    """100 * |intersection| >= bound * |union| of two sorted sets."""
+    if 100 * min(len(x), len(y)) < bound * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= bound * (len(x) + len(y) - both)
+
+
 def _linked(threshold: float):
     bound = round(100 * threshold)
 
     def linked(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= bound * (len(x) + len(y) - both))
+        for batch in slices(batches):
+            keep = [similar(_set_of(x), _set_of(y), bound) for x, y in zip(batch.column("sa"), batch.column("sb"))]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            release()
     return linked
 
 
 def _long_signatures(batches):
-    for batch in batches:
-        out = [long_signature(np.frombuffer(m, np.uint64)).tobytes() for m in batch.column("members").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(out, pa.binary())], ["rep", "sig"])
+    for batch in slices(batches):
+        out = [long_signature(_set_of(m)).tobytes() for m in batch.column("members")]
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(out, pa.binary()), batch.column("members")], ["rep", "sig", "members"])
+
+
+def spanning_links(left, right, bound: int) -> list[tuple[int, int]]:
+    """Links across two blocks of members (rep, root, signature, set), enough to join all that are linked there:
+    at most one less than there are members.  Members of one root are joined already.  Pairs whose signatures look
+    similar enough are tested on full sets, unless a link before has joined them."""
+    up: dict[int, int] = {}
+
+    def top(n: int) -> int:
+        while up.setdefault(n, n) != n:
+            up[n] = n = up[up[n]]
+        return n
+
+    out = []
+    others = np.array([m[2] for m in right])
+    roots = np.array([m[1] for m in right])
+    for rep, root, sig, members in left:
+        for k in np.flatnonzero((estimates(sig, others) >= LEAST_ESTIMATE) & (roots != root)):
+            a, b = top(root), top(int(roots[k]))
+            if a != b and similar(members, right[k][3], bound):
+                up[a] = b
+                out.append((min(rep, right[k][0]), max(rep, right[k][0])))
+    return out
 
 
 def _alike(batches):
-    """Pairs across two blocks of members, in different components, whose signatures look similar enough."""
-    for batch in batches:
+    """The pairs of a small group, across components, whose signatures look similar enough."""
+    for batch in slices(batches):
         a_out, b_out = [], []
-        for left, right in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True):
-            x, y = (np.array([np.frombuffer(m["sig"], np.uint8) for m in side]) for side in (left, right))
-            cx, cy = (np.array([m["root"] for m in side]) for side in (left, right))
-            rx, ry = (np.array([m["rep"] for m in side]) for side in (left, right))
-            for k in range(len(x)):
-                ok = (estimates(x[k], y) >= LEAST_ESTIMATE) & (cy != cx[k])
-                a_out += np.minimum(rx[k], ry[ok]).tolist()
-                b_out += np.maximum(rx[k], ry[ok]).tolist()
+        for group in batch.column("members"):
+            rep, root = (np.array(group.values.field(c)) for c in ("rep", "root"))
+            sig = np.array([np.frombuffer(m["sig"].as_buffer(), np.uint8) for m in group.values])
+            for k in range(len(rep) - 1):
+                ok = np.flatnonzero((estimates(sig[k], sig[k + 1:]) >= LEAST_ESTIMATE) & (root[k + 1:] != root[k])) + k + 1
+                a_out += np.minimum(rep[k], rep[ok]).tolist()
+                b_out += np.maximum(rep[k], rep[ok]).tolist()
         yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
 
+def _spanning(threshold: float):
+    bound = round(100 * threshold)
+
+    def read(side):
+        return [(m["rep"].as_py(), m["root"].as_py(), np.frombuffer(m["sig"].as_buffer(), np.uint8), _set_of(m["members"])) for m in side.values]
+
+    def spanning(batches):
+        for batch in slices(batches, 1):
+            links = spanning_links(read(batch.column("one")[0]), read(batch.column("other")[0]), bound)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return spanning
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     left = sets.select(F.col("rep").alias("a"), F.col("members").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("members").alias("sb"))
@@ -179,39 +226,60 @@ def _open(groups: DataFrame, folder: str) -> DataFrame:
     return groups.join(several, F.col("key") == F.col("k"), "left_semi")
 
 
-def _star_pairs(groups: DataFrame, centres: int, round_no: int, folder: str) -> DataFrame:
-    """Every member with the group's centres: the members least by ``centres`` hash orders.  In the first
-    round all groups use one order, so that copies meet the same centre in every band."""
-    orders = [F.min(F.struct(F.xxhash64(F.lit(100 * round_no + c), "rep").alias("h"), F.col("rep").alias("rep"),
-                             F.col("root").alias("root"))).alias(f"c{c}") for c in range(centres)]
-    middle = groups.groupBy(F.col("key").alias("k")).agg(*orders)
-    middle = middle.select("k", F.explode(F.array_distinct(F.array(*[
-        F.struct(f"c{c}.rep", f"c{c}.root") for c in range(centres)]))).alias("c"))
-    middle = stage(middle, folder)
-    return (groups.join(middle, F.col("key") == F.col("k")).where("root <> c.root")
-            .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct())
-
-
-def _rest_pairs(groups: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
-    """All pairs across components that share a band and look alike by signature, from blocks of members."""
-    sized = groups.groupBy(F.col("key").alias("k")).agg(
-        F.ceil(F.count("*") / BLOCK).alias("blocks"),
-        F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("root").alias("root"))).getField("root").alias("main"))
+def _largest(groups: DataFrame, folder: str) -> DataFrame:
+    """(k, rows, first, second) per group: how many rows it has, and its two largest components (rows, root)."""
+    sized = groups.groupBy(F.col("key").alias("k"), "root").agg(F.count("*").alias("n"))
+    by_size = Window.partitionBy("k").orderBy(F.desc("n"), "root")
+    # Only the two first of a group go on; their ranks stop a window's task early.
+    ranked = sized.withColumn("place", F.row_number().over(by_size)).where("place <= 2")
+    total = sized.groupBy(F.col("k").alias("tk")).agg(F.sum("n").alias("rows"))
+    two = ranked.groupBy("k").agg(*[F.max(F.when(F.col("place") == p, F.struct("n", "root"))).alias(c) for p, c in ((1, "first"), (2, "second"))])
+    return stage(two.join(total, F.col("k") == F.col("tk")).select("k", "rows", "first", "second"), folder)
+
+
+def _star_pairs(groups: DataFrame, largest: DataFrame | None, round_no: int, folder: str) -> DataFrame:
+    """Every member with the group's centres.  In the first round that is the member least by a hash order, one
+    order for all groups, so that copies meet the same centre in every band; later one member each, by an order of
+    the round, of the largest component and of the largest other one."""
+    own = groups
+    if round_no:
+        own = groups.join(largest.where(F.col("rows") > SMALL), F.col("key") == F.col("k")).where("root IN (first.root, second.root)")
+    order = F.min(F.struct(F.xxhash64(F.lit(100 * round_no), "rep").alias("h"), F.col("rep").alias("c_rep"), F.col("root").alias("c_root")))
+    middle = own.groupBy(F.col("key").alias("ck"), *(["root"] if round_no else [])).agg(order.alias("c"))
+    middle = stage(middle.select("ck", "c.c_rep", "c.c_root"), folder)
+    return (groups.join(middle, F.col("key") == F.col("ck")).where("root <> c_root")
+            .select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct())
+
+
+def _rest_links(groups: DataFrame, largest: DataFrame, sets: DataFrame, threshold: float, folder: str) -> DataFrame:
+    """Links that join all that the groups still hold apart.  A small group's pairs are sorted out by signatures,
+    and verified once however many groups share them.  Of a large group the members off the largest component meet
+    all others in blocks of a bounded number of members and bytes, which carry their sets."""
     left = groups.select(F.col("rep").alias("r")).distinct()
-    sigs = stage(sets.join(left, F.col("rep") == F.col("r"), "left_semi").mapInArrow(_long_signatures, "rep long, sig binary"), folder)
-    member = F.struct("rep", "root", "sig")
-    rows = (groups.join(sigs, "rep").join(sized, F.col("key") == F.col("k"))
+    signed = sets.join(left, F.col("rep") == F.col("r"), "left_semi").mapInArrow(_long_signatures, "rep long, sig binary, members binary")
+    signed = stage(signed.withColumnRenamed("rep", "s_rep"), f"{folder}/signed")
+    told = groups.join(largest.select("k", "rows", F.col("first.root").alias("main")), F.col("key") == F.col("k"))
+    small = told.where(F.col("rows") <= SMALL).join(signed.drop("members"), F.col("rep") == F.col("s_rep"))
+    pairs = small.groupBy("key").agg(F.collect_list(F.struct("rep", "root", "sig")).alias("members")).select("members").mapInArrow(
+        _alike, "a long, b long").distinct()
+    large = told.where(F.col("rows") > SMALL)
+    sizes = large.join(signed.select("s_rep", F.octet_length("members").alias("size")), F.col("rep") == F.col("s_rep"))
+    blocks = stage(sizes.groupBy(F.col("key").alias("bk")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).alias("blocks")),
+                   f"{folder}/blocks")
+    rows = (large.join(signed, F.col("rep") == F.col("s_rep")).join(blocks, F.col("key") == F.col("bk"))
             .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "rep"), F.col("blocks"))))
+    member = F.struct("rep", "root", "sig", "members")
     every = rows.groupBy("key", "block").agg(F.collect_list(member).alias("other"))
     off = rows.where("root <> main").groupBy(F.col("key").alias("k"), "block").agg(F.collect_list(member).alias("one"))
-    return off.drop("block").join(every, F.col("k") == F.col("key")).select("one", "other").mapInArrow(
-        _alike, "a long, b long").distinct()
+    met = off.drop("block").join(every, F.col("k") == F.col("key")).select("one", "other").mapInArrow(_spanning(threshold), "a long, b long")
+    return _verify(pairs, sets, threshold).unionByName(met.distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
                     threshold: float = THRESHOLD) -> DataFrame:
     """(id, set_key, n_shingles, component_id): one row per input row."""
     spark = docs.sparkSession
+    integer_id(docs, doc_id)
     folder = new_run_dir(spark, "minmax")
     rows = docs.select(F.col("`" + doc_id + "`").cast("long").alias("id"), F.col("`" + text + "`").alias("text"))
     signed = stage(rows.mapInArrow(_sign(width), "id long, n_shingles long, set_key binary, bands array<long>"),
@@ -231,12 +299,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keyed = texts.withColumnRenamed("id", "rep").mapInArrow(_sets(width), "rep long, members binary")
     sets = stage(keyed, f"{folder}/sets")
     roots = None
-    for k in range(len(STARS) + 1):
-        if groups.isEmpty():
-            break
-        pairs = _star_pairs(groups, STARS[k], k, f"{folder}/{k}/centres") if k < len(STARS) else \
-            _rest_pairs(groups, sets, f"{folder}/signatures")
-        links = _verify(pairs, sets, threshold)
+    largest, apart, k, last = None, None, 0, False
+    while not groups.isEmpty() and not last:
+        if k or not MOST_ROUNDS:
+            largest = _largest(groups, f"{folder}/{k}/largest")
+            off = F.when(F.col("rows") > SMALL, F.col("rows") - F.col("first.n"))
+            before, apart = apart, largest.agg(F.sum(off)).first()[0] or 0
+            # Stars go on while each halves the rows that lie off their large group's largest component.
+            last = k >= MOST_ROUNDS or not apart or before is not None and apart > before / 2
+        links = (_rest_links(groups, largest, sets, threshold, f"{folder}/rest") if last else
+                 _verify(_star_pairs(groups, largest, k, f"{folder}/{k}/centres"), sets, threshold))
         root_of = groups.select("rep", "root").distinct()
         ra, rb = (root_of.select(F.col("rep").alias(f"r{c}"), F.col("root").alias(f"root_{c}")) for c in "ab")
         links = links.join(ra, F.col("a") == F.col("ra")).join(rb, F.col("b") == F.col("rb"))
@@ -248,6 +320,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             move(roots).unionByName(step.select(F.col("n").alias("rep"), F.col("r").alias("root"))).groupBy("rep").agg(F.min("root").alias("root"))
         roots = stage(roots, f"{folder}/{k}/roots")
         groups = stage(_open(move(groups), f"{folder}/{k}/open"), f"{folder}/{k}/groups")
+        k += 1
     found = classes.withColumnRenamed("set_key", "ck")
     if roots is not None:
         found = found.join(roots.withColumnRenamed("rep", "n"), F.col("rep") == F.col("n"), "left").select(

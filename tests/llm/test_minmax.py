@@ -55,11 +55,12 @@ def test_awkward(awkward, nothing):
     assert near_duplicates(nothing).count() == 0 and drop_near_duplicates(nothing).count() == 0
 
 
-@pytest.mark.parametrize("stars", [(1, 3), ()])
-def test_group_of_near_copies(spark, monkeypatch, stars):
+@pytest.mark.parametrize("rounds", [12, 1, 0])
+def test_group_of_near_copies(spark, monkeypatch, rounds):
     """Copies edited to differing degrees, many pairs of them below the threshold, in chains; with few or no
     star rounds the exact rest has to find the links."""
-    monkeypatch.setattr(minmax, "STARS", stars)
+    monkeypatch.setattr(minmax, "MOST_ROUNDS", rounds)
+    monkeypatch.setattr(minmax, "SMALL", 8 if rounds < 12 else 64)
     rng = random.Random(4)
     base = [f"w{k}" for k in range(200)]
     docs = {}
