@@ -198,6 +198,23 @@ def load_delimited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, db, "documents")
 
 
+def load_multiline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as foreign CSV: raw line breaks within quotes, read in small splits."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    path = f"{new_run_dir(spark, 'files')}/pages"
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    pages.select(F.concat_ws(",", F.col("page_id").cast("string"), F.coalesce(quoted("url"), F.lit("")),
+                             F.coalesce(quoted("html"), F.lit("")))).write.text(path)
+    db = new_database(spark, "wh")
+    create_table(spark, db, "pages", pages.schema)
+    load(spark, catalog_spec(source_path=path, file_format="textfile", target_table=f"{db}.pages", source_options={"multiLine": "true"},
+                             spark_settings={"spark.sql.files.maxPartitionBytes": "65536"}))
+    return _table(spark, db, "pages")
+
+
 def load_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = _files_from(spark, sf_dir, "part", "orcfile")
     db = new_database(spark, "wh")
@@ -451,6 +468,7 @@ QUERIES = {
     "load_delimited": load_delimited,
     "load_delimited_events": load_delimited_events,
     "load_delimited_documents": load_delimited_documents,
+    "load_multiline_pages": load_multiline_pages,
     "load_orc": load_orc,
     "load_orc_embeddings": load_orc_embeddings,
     "load_catalog_table": load_catalog_table,
@@ -486,6 +504,7 @@ COVERAGE = {
     "load_delimited": ("S2", "R1", "R3", "K1", "F1"),
     "load_delimited_events": ("S2", "R1", "R2", "R3", "K1", "F1"),
     "load_delimited_documents": ("S2", "R1", "R3", "K1", "F1"),
+    "load_multiline_pages": ("S2", "R1", "K1", "F1"),
     "load_orc": ("S3", "R1", "R3", "K1", "F1"),
     "load_orc_embeddings": ("S3", "R1", "R2", "K1", "F1"),
     "load_catalog_table": ("S4", "R1", "R3", "K1", "F2"),
@@ -531,6 +550,7 @@ ORACLE_SQL = {
     "load_delimited_documents": "SELECT * FROM documents",
     "encrypt_documents": "SELECT * FROM documents",
     "load_delimited": "SELECT * FROM customer",
+    "load_multiline_pages": "SELECT * FROM pages",
     "load_orc": "SELECT * FROM part",
     "load_orc_embeddings": "SELECT * FROM embeddings",
     "load_catalog_table": "SELECT * FROM supplier",

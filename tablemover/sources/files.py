@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from ..operators.names import col
 from ..workspace import exists
+from .records import line_address, read_records
 
 # The transfer's format names and their Spark readers.
 FORMAT_ALIASES = {"avrofile": "avro", "orcfile": "orc", "textfile": "csv", "parquetfile": "parquet"}
@@ -132,8 +133,9 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
     malformed record in ``_malformed_line`` (R1 routes those aside).
 
     Lines are read as text and parsed one by one, so a file splits anywhere, and
-    a line whose quote is not closed is malformed.  Options that concern whole
-    files (``multiLine``, ``header``, ``encoding``, ...) go to the CSV reader.
+    a line whose quote is not closed is malformed.  With ``multiLine`` lines are
+    joined to records, still in parallel (sources/records.py).  Options that concern
+    whole files (``header``, ``encoding``, ...) go to the CSV reader.
 
     ``escaped`` tells whether line breaks in values are written as this library
     writes them; by default the mark that it leaves beside its files does.
@@ -147,13 +149,20 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_COLUMN})
     if multiline:
         opts["multiLine"] = "true"
-    if opts["multiLine"].lower() == "true" or {k.lower() for k in options or {}} - LINE_OPTIONS:
+    whole_files = bool({k.lower() for k in options or {}} - LINE_OPTIONS)
+    if opts["multiLine"].lower() == "true" and opts["quote"] and not whole_files and not addresses:
+        record = F.from_csv("record", schema.toDDL(), {k: v for k, v in opts.items() if k not in ("header", "lineSep")})
+        # A record whose quote is still open where its file ends is malformed.
+        record = F.when(F.col("closed"), record).otherwise(
+            F.struct(*[F.lit(None).cast("string").alias(n) for n in names], F.col("record").alias(MALFORMED_COLUMN)))
+        parsed = read_records(spark, path, opts["quote"], opts["escape"]).select(F.explode(F.array(record)).alias("r")).select("r.*")
+    elif opts["multiLine"].lower() == "true" or whole_files:
         if addresses:
             raise ValueError("Line numbers are told only of text that is read line by line.")
         parsed = spark.read.schema(schema).options(**opts).csv(path)
     else:
         # The mark is taken before any line is left out.
-        where = [_line_address().alias(ADDRESS_COLUMN)] if addresses else []
+        where = [line_address().alias(ADDRESS_COLUMN)] if addresses else []
         lines = spark.read.option("lineSep", "\n").text(path).select("value", *where)
         lines = lines.where("value <> ''")  # an empty line is no record
         broken = _unclosed_quote(F.col("value"), opts)
@@ -168,16 +177,11 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
     return parsed.select(*[unescape_text(col(n)).alias(n) for n in names], MALFORMED_COLUMN, *[ADDRESS_COLUMN] * addresses)
 
 
-def _line_address() -> Column:
-    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-                    F.monotonically_increasing_id().alias("mark"))
-
-
 def line_bases(spark: SparkSession, path: str) -> DataFrame:
     """(b_file, b_split, first, before) of every split of text files: its first line's mark and the number of lines
     of the file before it.  One count per split and a running sum over the splits of each file; the scan is split
     as that of ``read_delimited`` is, so that their marks agree."""
-    lines = spark.read.option("lineSep", "\n").text(path).select(_line_address().alias("a"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(line_address().alias("a"))
     counted = lines.groupBy(F.col("a.file").alias("b_file"), F.col("a.split").alias("b_split")).agg(
         F.min("a.mark").alias("first"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("b_file").orderBy("b_split").rowsBetween(Window.unboundedPreceding, -1)

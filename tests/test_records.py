@@ -1,0 +1,72 @@
+"""Quoted line breaks, read in parallel."""
+
+import csv
+import io
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from tablemover.sources import records
+from tablemover.sources.files import MALFORMED_COLUMN, read_delimited
+from tablemover.sources.records import read_records
+
+VALUES = ["plain", "", 'say "hi"', "a,b", "line\nbreak", "\n\n", '"\n"', "x" * 90, "two\nlong " + "y" * 150 + "\nlines\n", "\r\nwin\r\n", "é\n😀"]
+
+
+def read(spark, path, size="64", **options):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read_delimited(spark, str(path), ["k", "a", "b"], options={"multiLine": "true"} | options)
+        return sorted((tuple(r) for r in df.collect()), key=repr), df
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_any_splits_against_the_csv_module(spark, tmp_path, seed, most, monkeypatch):
+    """Records over many splits, several files, splits within and between quotes."""
+    monkeypatch.setattr(records, "MOST_SPLITS", most)
+    rng, want = random.Random(seed), []
+    for name in ("a", "b"):
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator="\n", quoting=csv.QUOTE_ALL)
+        for k in range(25):
+            row = (f"{name}{k}", rng.choice(VALUES), rng.choice(VALUES))
+            writer.writerow(row)
+            want.append((*row, None))
+            if rng.random() < 0.2:
+                out.write("\n")  # an empty line is no record
+        (tmp_path / name).write_text(out.getvalue(), newline="")
+    for size in ("37", "64", "1000000"):
+        got, df = read(spark, tmp_path, size)
+        assert got == sorted(want, key=repr)
+    assert "FileScan csv" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_escaped_quotes_and_an_open_end(spark, tmp_path):
+    (tmp_path / "a").write_text('1,"a \\" \n b",x\n2,"back \\\\",y\n3,"open\nto the end\n')
+    got, _ = read(spark, tmp_path / "a", "16", escape="\\")
+    assert got == sorted([("1", 'a " \n b', "x", None), ("2", "back \\", "y", None), (None, None, None, '3,"open\nto the end')], key=repr)
+
+
+def test_no_quotes_and_empty_files(spark, tmp_path):
+    (tmp_path / "a").write_text("1,x,y\n\n2,z,w")
+    (tmp_path / "b").write_text("")
+    assert [r[0] for r in read(spark, tmp_path)[0]] == ["1", "2"]
+    assert read_records(spark, str(tmp_path / "b"), '"', '"').collect() == []
+
+
+def test_no_task_reads_a_whole_file(spark, tmp_path):
+    (tmp_path / "a").write_text("".join(f'{k},"v\n{k}","{"z" * 50}"\n' for k in range(400)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = read_delimited(spark, str(tmp_path / "a"), T.StructType([T.StructField(c, T.StringType()) for c in "kab"]), options={"multiLine": "true"})
+        assert rows.where(f"{MALFORMED_COLUMN} IS NULL").count() == 400
+        assert spark.read.text(str(tmp_path / "a")).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
