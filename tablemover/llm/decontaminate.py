@@ -6,6 +6,11 @@ q-grams in a document are counted by diagonal, in bands twice as wide as needed
 every range of e + 1 diagonals lies in one.  A band that reaches the bound is a region; it is verified by an
 alignment within the band, item against any part of the region, and counts if it needs at most e edits.
 
+A q-gram that an item repeats very often would meet a repetitive text in their product of places.  Its places are
+left out of the counting, and the bound is lower by as many; where nothing is left of it, every band that such a
+q-gram reaches is a candidate.  Candidates are counted anew over all places before the alignment, by a search for
+each place's q-gram on the band's diagonals, so the work on repetitive texts stays near their length.
+
 Texts are compared in lower case with every run of other characters than letters and digits as one space.
 The edit budget is ``EDIT_RATE`` of the item's length, less where the bound would reach zero.
 
@@ -13,8 +18,10 @@ The benchmark is the stated query set: its q-grams go to the tasks in blocks of
 characters, one pass over the documents per block; documents are never shuffled for the search.
 
 Defined cases.  Items with fewer than q letters and spaces, empty and null ones match nothing; equal items
-match alike.  A null or empty document is clean.  Very long documents are searched in overlapping segments.
-Rows that repeat an id are judged by their own text.  Empty tables give no matches.
+match alike.  Of several places of an item (ties) the first of least edits counts.  A null or empty document is
+clean.  Very long documents are searched in overlapping segments.  Rows that repeat an id are judged by their own
+text.  Ids of documents and items are integers; others are refused by name.  Empty tables give no matches.  The
+other columns are carried packed, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, release, ship_by_value
+from .common import field, integer_id, packed, ship_by_value, slices
 
 Q = 10
 EDIT_RATE = 0.08
 BLOCK_CHARS = 2_000_000
 SEGMENT = 1_000_000
+# A q-gram that an item holds more often than this is no posting; hits are counted so many at a time.
+OFTEN, HITS = 64, 2_000_000
 MATCHES = "id long, text_hash long, item_id long, start long, stop long, edits int"
 _OTHER = re.compile(r"[\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -51,6 +60,10 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
 
+def _text(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of every q-gram, put together from those of half the length."""
     if len(codes) < q:
@@ -82,10 +95,25 @@ class QGramIndex:
         g = np.concatenate(grams)
         owner = np.repeat(np.arange(len(grams)), [len(x) for x in grams])
         place = np.concatenate([np.arange(len(x)) for x in grams])
-        order = np.argsort(g, kind="stable")
-        self.owner, self.place = owner[order], place[order]
-        self.keys, self.first = np.unique(g[order], return_index=True)
-        self.count = np.diff(np.append(self.first, len(g)))
+        self.keys, key = np.unique(g, return_inverse=True)
+        self.gram_of = np.split(key, np.cumsum([len(x) for x in grams])[:-1])  # per item: the key at each place
+        # Places whose q-gram an item repeats too often are no postings: the lemma holds for the others with as many less.
+        pairs, of_pair, times = np.unique(owner.astype(np.int64) << 32 | key, return_inverse=True, return_counts=True)
+        often = times[of_pair] > OFTEN
+        self.rare_need = self.need - np.bincount(owner[often], minlength=len(grams))
+        order = np.argsort(key[~often], kind="stable")
+        self.owner, self.place = owner[~often][order], place[~often][order]
+        self.first = np.searchsorted(key[~often][order], np.arange(len(self.keys)))
+        self.count = np.bincount(key[~often], minlength=len(self.keys))
+        # Of these, by key: the item and the first and last place, for items that so much may be missing of.
+        open_item = often & (self.rare_need <= 0)[owner]
+        some, at = np.unique(of_pair[open_item], return_inverse=True)
+        low, high = np.full(len(some), len(g)), np.zeros(len(some), np.int64)
+        np.minimum.at(low, at, place[open_item])
+        np.maximum.at(high, at, place[open_item])
+        by_key = np.argsort(pairs[some] & 0xFFFFFFFF, kind="stable")
+        self.often_key = (pairs[some] & 0xFFFFFFFF)[by_key]
+        self.often = np.column_stack((pairs[some] >> 32, low, high))[by_key]
         # A bit per hash class tells most foreign q-grams apart before the search among the keys.
         self.bits = max(16, int(np.ceil(np.log2(16 * len(self.keys) + 1))))
         self.seen = np.zeros(1 << self.bits, bool)
@@ -106,43 +134,91 @@ class QGramIndex:
         k[k == len(self.keys)] = 0
         hit = self.keys[k] == g
         at, k = at[hit], k[hit]
-        n = self.count[k]
-        if not n.sum():
+        if not len(at):
             return []
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        posting = np.repeat(self.first[k], n) + within
-        owner, place = self.owner[posting], self.place[posting]
-        diagonal = np.repeat(at, n) - place
-        cell = (diagonal + (1 << 31)) // self.width[owner]
-        key = owner.astype(np.int64) << 34 | cell
-        cells, where, found = np.unique(key, return_inverse=True, return_counts=True)
-        nxt = np.append(cells[1:] == cells[:-1] + 1, False)
-        band = found + np.where(nxt, np.append(found[1:], 0), 0)
+        places = np.sort(k.astype(np.int64) << 32 | at)  # the text's places of each key
+        bands = []
+        for item, cell in self._candidates(at, k):
+            low = cell * self.width[item] - (1 << 31)
+            shared = self._shared(places, item, low, 2 * self.width[item])
+            if shared >= self.need[item]:
+                bands.append((-shared, item, low))
         best = {}
-        for c in np.flatnonzero(band >= self.need[cells >> 34]):
-            item = int(cells[c] >> 34)
-            inside = (where == c) | ((where == c + 1) if nxt[c] else False)
-            if len(np.unique(place[inside])) < self.need[item]:
+        for _, item, low in sorted(bands):  # those that share most first: an exact copy ends the search for its item
+            if item in best and not best[item][3]:
                 continue
             # Edits before the first and after the last shared q-gram may leave the band by as many diagonals.
-            low = int((cells[c] & ((1 << 34) - 1)) * self.width[item] - (1 << 31) - self.budget[item])
-            width = int(2 * self.width[item] + 2 * self.budget[item])
-            got = align(self.items[item][1], codes, low, width, int(self.budget[item]))
+            low, width = int(low - self.budget[item]), int(2 * self.width[item] + 2 * self.budget[item])
+            # Only fewer edits than the best place so far are of use.
+            got = align(self.items[item][1], codes, low, width, best[item][3] - 1 if item in best else int(self.budget[item]))
             if got and (item not in best or got[2] < best[item][3]):
                 best[item] = (item, *got)
         return list(best.values())
 
+    def _candidates(self, at: np.ndarray, k: np.ndarray):
+        """(item, cell) of the bands, a cell and the next, that may share enough q-grams, in order."""
+        cells, found = self._counted(at, k)
+        nxt = np.append(cells[1:] == cells[:-1] + 1, False)
+        band = found + np.where(nxt, np.append(found[1:], 0), 0)
+        # Where an item has places that are no postings, its band may begin a cell before the first hit.
+        before = cells[self.rare_need[cells >> 34] < self.need[cells >> 34]] - 1
+        before = np.setdiff1d(before, cells)
+        counts = np.concatenate((band, found[np.searchsorted(cells, before + 1)]))
+        cells = np.concatenate((cells, before))
+        out = [cells[counts >= np.maximum(1, self.rare_need[cells >> 34])]]
+        if len(self.often_key):
+            for j in np.flatnonzero(np.isin(self.often_key, k)):
+                item, first, last = self.often[j].tolist()
+                mine, w = at[k == self.often_key[j]], int(self.width[item])
+                a, b = (mine - last + (1 << 31)) // w - 1, (mine - first + (1 << 31)) // w
+                # Intervals of cells, one per place in the text, as their union.
+                starts = np.flatnonzero(np.concatenate(([True], a[1:] > b[:-1] + 1)))
+                out += [(item << 34) + np.arange(a[s], b[e - 1] + 1) for s, e in zip(starts, [*starts[1:], len(a)])]
+        for c in np.unique(np.concatenate(out)).tolist():
+            yield c >> 34, c & ((1 << 34) - 1)
+
+    def _counted(self, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item and cell, hits) in order, worked through in slices of a bounded number of hits."""
+        n = self.count[k]
+        at, k, n = at[n > 0], k[n > 0], n[n > 0]
+        total = np.cumsum(n)
+        cuts = np.unique(np.searchsorted(total, np.arange(HITS, total[-1] if len(n) else 0, HITS)))
+        parts = []
+        for s, e in zip([0, *cuts], [*cuts, len(n)]):
+            if e == s:
+                continue
+            m = n[s:e]
+            posting = np.repeat(self.first[k[s:e]], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            owner = self.owner[posting].astype(np.int64)
+            cell = (np.repeat(at[s:e], m) - self.place[posting] + (1 << 31)) // self.width[owner]
+            parts.append(np.unique(owner << 34 | cell, return_counts=True))
+        if not parts:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        cells, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return cells, np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
+
+    def _shared(self, places: np.ndarray, item: int, low: int, width: int) -> int:
+        """How many of the item's places have their q-gram in the text on one of the diagonals from ``low`` on."""
+        gram = self.gram_of[item].astype(np.int64) << 32
+        begin = low + np.arange(len(gram))
+        j = np.searchsorted(places, gram | np.maximum(begin, 0))
+        there = places[np.minimum(j, len(places) - 1)]
+        return int(((j < len(places)) & (there < gram + np.maximum(begin + width, 0))).sum())
+
 
 def align(pattern: np.ndarray, text: np.ndarray, low: int, width: int, budget: int):
     """Least edits between the pattern and a part of ``text`` whose alignment stays on the diagonals low to
     low + width: (start, stop, edits), or None above the budget.  Start is that of the stop's diagonal."""
     m, n = len(pattern), len(text)
-    pad = np.full(width + 1 + max(0, -low), 1 << 40, np.uint64)
-    region = text[max(low, 0):max(0, min(n, low + m + width))]
-    line = np.concatenate((pad[:max(0, -low)], region, np.full(m + 2 * width + 2, 1 << 40, np.uint64)))
-    for shift in range(width + 1):  # an exact copy needs no table
-        if line[shift] == pattern[0] and np.array_equal(line[shift:shift + m], pattern):
-            return low + shift, low + shift + m, 0
+    begin = max(low, 0)
+    region = text[begin:max(0, min(n, low + m + width))]
+    exact = _text(region).find(_text(pattern))  # an exact copy needs no table
+    if exact >= 0:
+        return begin + exact, begin + exact + m, 0
+    if budget < 1:
+        return None
+    pad = np.full(max(0, -low), 1 << 40, np.uint64)
+    line = np.concatenate((pad, region, np.full(m + 2 * width + 2, 1 << 40, np.uint64)))
     steps = np.arange(width + 1)
     cost = np.zeros(width + 1, np.int64)
     for i in range(m):
@@ -159,7 +235,7 @@ def align(pattern: np.ndarray, text: np.ndarray, low: int, width: int, budget: i
 def _searcher(index_value):
     def search(batches):
         index = QGramIndex(*index_value.value)
-        for batch in batches:
+        for batch in slices(batches):
             ids, hashes, texts = (batch.column(c).to_pylist() for c in range(3))
             rows = []
             for i, h, text in zip(ids, hashes, texts, strict=True):
@@ -174,12 +250,12 @@ def _searcher(index_value):
                 kinds = [pa.int64()] * 5 + [pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-            release()
     return search
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, q: int, block_chars: int):
-    """The usable items in blocks; the driver holds one block at a time."""
+    """The usable items in blocks.  All of the benchmark passes through the driver and is broadcast block by block:
+    it is the small, fixed side, and each of its blocks is a pass over the documents."""
     block, chars = [], 0
     for row in benchmark.select(item_id, text).where(F.col(text).isNotNull()).toLocalIterator():
         item = normalised(row[1])
@@ -199,6 +275,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id"
     """(id, text_hash, item_id, start, stop, edits): the benchmark items found in the rows (id, text).  Start
     and stop count characters of the normalised text."""
     spark = docs.sparkSession
+    integer_id(benchmark, item_id)
     rows = docs.select(F.col("id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     found = [rows.mapInArrow(_searcher(spark.sparkContext.broadcast((block, q, rate))), MATCHES)
              for block in _blocks(benchmark, item_id, item_text, q, block_chars)]
@@ -209,6 +286,7 @@ def _marked(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, carry
     """The documents as (row, id, text_hash), the row with the columns in ``carry`` (all by default), and the
     matches by document as (f_id, f_hash, items, edits), written once: they are few, and their size is then
     known to the join."""
+    integer_id(docs, doc_id)
     whole, carry = packed(docs), docs.columns if carry is None else list(carry)
     rows = whole.select(F.struct(*[field("row", c).alias(c) for c in carry]).alias("row"),
                         field("row", doc_id).cast("long").alias("id"), F.xxhash64(field("row", text)).alias("text_hash"))

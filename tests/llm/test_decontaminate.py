@@ -1,9 +1,11 @@
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tablemover.llm import decontaminate
 from tablemover.llm.decontaminate import (Q, QGramIndex, _codes, contamination, drop_contaminated, edit_budget, find_matches,
                                           normalised)
 from tablemover.llm.queries import op9_decontaminate
@@ -97,3 +99,43 @@ def test_query(spark):
 def test_normalised():
     assert normalised(" A--b\tC_d,É ") == "a b c d é" and normalised(None) == ""
     assert not re.search(r"\s\s", normalised(ITEM))
+
+
+@pytest.mark.parametrize("text, item", [("a" * 20_000, "a" * 1000), ("ab" * 10_000, "ab" * 300), ("a" * 1_000_000, "a" * 1000),
+                                        ("abc" * 100_000, "abc" * 100_000), ("- " * 9 + "a" * 400_000, "b" + "a" * 5000)])
+def test_repetitive_text_and_item(text, item):
+    """Work near the length: no product of the places of one q-gram."""
+    import resource
+    import time
+
+    index, before = QGramIndex([(7, item)]), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    began = time.process_time()
+    found = index.search(_codes(text))
+    assert time.process_time() - began < 60 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000
+    assert [f[0] for f in found] == [0] and found[0][3] <= index.budget[0]
+
+
+@pytest.mark.parametrize("often", [1, 3, 64])
+def test_repeated_grams_do_not_hide_a_match(monkeypatch, often):
+    """Against the full table, with most q-grams left out of the counting."""
+    import random
+
+    monkeypatch.setattr(decontaminate, "OFTEN", often)
+    rng = random.Random(often)
+    for _ in range(40):
+        item = "".join(rng.choice(["ab", "aaa", "xyz ", "b"]) for _ in range(rng.randint(15, 60)))
+        broken = list(item)
+        for _ in range(rng.randint(0, 1 + len(item) // 15)):
+            broken[rng.randrange(len(broken))] = rng.choice(["", "q", "ab"])
+        text = "".join(rng.choice(["a", "b", "xyz ", "ab"]) for _ in range(80)) + "".join(broken) + "a" * rng.randint(0, 60)
+        index = QGramIndex([(1, item)])
+        found = index.search(_codes(text))
+        assert bool(found) == (least_edits(item, text) <= index.budget[0]), (item, text)
+
+
+def test_ids_of_other_types_are_refused(spark):
+    docs, items = spark.createDataFrame([("a", "t")], "doc_id string, text string"), spark.createDataFrame([(1, "t")], "item_id int, text string")
+    with pytest.raises(ValueError, match="doc_id is string"):
+        contamination(docs, items)
+    with pytest.raises(ValueError, match="item_id is string"):
+        contamination(items.withColumnRenamed("item_id", "doc_id"), docs.withColumnRenamed("doc_id", "item_id"))
