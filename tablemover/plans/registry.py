@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.protect import decrypt_columns, encrypt_columns, mask_columns
+from ..functions.rotate import registry_table, rotate_columns
 from ..operators.rejects import FILE_COLUMN, LINE_COLUMN, REASON_COLUMN, VALUES_COLUMN, conversion_split
 from ..operators.spread import wide
 from ..sinks.files import extract_files
@@ -451,6 +452,25 @@ def decrypt_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decrypt_columns(at_rest.withColumn("ver", ver), ["c_name"], PASSPHRASE, tasks=wide(spark))
 
 
+def rotate_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer names under an old pass phrase, a quarter of them as ``1.1``, rotated in three batches: stopped after
+    the first, run again, and run once more, which seals nothing.  The registry accounts for every value."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    root = new_run_dir(spark, "rotate")
+    old = (encrypt_columns(customer.where("c_custkey % 4 = 0"), ["c_name"], "old " + PASSPHRASE, version="1.1")
+           .unionByName(encrypt_columns(customer.where("c_custkey % 4 <> 0 OR c_custkey IS NULL"), ["c_name"], "old " + PASSPHRASE)))
+    at_rest = stage(old.repartition(6), f"{root}/customer")
+    files = -(-len(at_rest.inputFiles()) // 3)
+    rotated = [rotate_columns(spark, f"{root}/customer", ["c_name"], "old " + PASSPHRASE, PASSPHRASE, f"{root}/work", files=files, stop_after=n)
+               for n in (1, None, None)]
+    known = registry_table(spark, f"{root}/work")
+    rows = spark.read.parquet(f"{root}/customer")
+    if rotated[2] or sum(rotated) != rows.where("c_name IS NOT NULL").count() or known.agg(F.sum("rows")).first()[0] != sum(rotated):
+        raise AssertionError(f"Sealed {rotated}")
+    ver = F.get_json_object(F.unbase64(F.col("c_name")).cast("string"), "$.ver")
+    return decrypt_columns(rows.withColumn("ver", ver), ["c_name"], PASSPHRASE)
+
+
 def mask_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_columns(spark.read.parquet(f"{sf_dir}/customer.parquet"), ["c_name"])
 
@@ -487,6 +507,7 @@ QUERIES = {
     "encrypt_decrypt": encrypt_decrypt,
     "encrypt_documents": encrypt_documents,
     "decrypt_mixed_versions": decrypt_mixed_versions,
+    "rotate_envelopes": rotate_envelopes,
     "mask_columns": mask_columns_query,
 }
 
@@ -523,6 +544,7 @@ COVERAGE = {
     "encrypt_decrypt": ("C1", "C2"),
     "encrypt_documents": ("C1", "C2"),
     "decrypt_mixed_versions": ("C1", "C2"),
+    "rotate_envelopes": ("C1", "C2"),
     "mask_columns": ("C3",),
 }
 
@@ -610,6 +632,7 @@ ORACLE_SQL = {
     "encrypt_decrypt": "SELECT * FROM customer",
     "decrypt_mixed_versions": ("SELECT *, '1.1' AS ver FROM customer "
                                "UNION ALL SELECT *, '2.0' AS ver FROM customer"),
+    "rotate_envelopes": "SELECT *, '2.0' AS ver FROM customer",
     "mask_columns": ("SELECT c_custkey, repeat('*', length(c_name)) AS c_name, c_nationkey, "
                      "c_acctbal, c_mktsegment FROM customer"),
 }

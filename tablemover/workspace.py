@@ -97,10 +97,17 @@ def read_small(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, in order; nothing if there is none."""
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
-    """Move a folder; ``new`` must not exist."""
+    """Move a file or folder; ``new`` must not exist."""
     fs, source = _file_system(spark, old)
     _, target = _file_system(spark, new)
+    fs.mkdirs(target.getParent())
     if fs.exists(target) or not fs.rename(source, target):
         raise OSError(f"{old} could not be renamed to {new}.")
 
