@@ -234,6 +234,20 @@ def load_orc_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, db, "embeddings")
 
 
+def load_drifted_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files of three schemas: narrow keys, a key as text, and one that lacks a column and has decimals."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    path = f"{new_run_dir(spark, 'files')}/orders"
+    rest = F.coalesce(F.pmod("o_orderkey", F.lit(3)), F.lit(0))
+    orders.where(rest == 0).withColumn("o_orderkey", F.col("o_orderkey").cast("int")).write.orc(f"{path}/a")
+    orders.where(rest == 1).withColumn("o_custkey", F.col("o_custkey").cast("string")).write.orc(f"{path}/b")
+    orders.where(rest == 2).drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("decimal(20,0)")).write.orc(f"{path}/c")
+    db = new_database(spark, "wh")
+    create_table(spark, db, "orders", orders.schema)
+    load(spark, catalog_spec(source_path=path, file_format="orcfile", target_table=f"{db}.orders", source_options={"driftingSchemas": "true"}))
+    return _table(spark, db, "orders")
+
+
 def load_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = source_database(spark, sf_dir, ["supplier"])
     db = new_database(spark, "wh")
@@ -491,6 +505,7 @@ QUERIES = {
     "load_multiline_pages": load_multiline_pages,
     "load_orc": load_orc,
     "load_orc_embeddings": load_orc_embeddings,
+    "load_drifted_orc": load_drifted_orc,
     "load_catalog_table": load_catalog_table,
     "replace_target": replace_target,
     "reject_conversion": reject_conversion,
@@ -528,6 +543,7 @@ COVERAGE = {
     "load_multiline_pages": ("S2", "R1", "K1", "F1"),
     "load_orc": ("S3", "R1", "R3", "K1", "F1"),
     "load_orc_embeddings": ("S3", "R1", "R2", "K1", "F1"),
+    "load_drifted_orc": ("S3", "R1", "K1", "F1"),
     "load_catalog_table": ("S4", "R1", "R3", "K1", "F2"),
     "replace_target": ("S3", "K2", "K1", "F1"),
     "reject_conversion": ("S4", "R1", "K2", "F2"),
@@ -575,6 +591,8 @@ ORACLE_SQL = {
     "load_multiline_pages": "SELECT * FROM pages",
     "load_orc": "SELECT * FROM part",
     "load_orc_embeddings": "SELECT * FROM embeddings",
+    "load_drifted_orc": """
+        SELECT * EXCLUDE (o_orderpriority), CASE WHEN ((o_orderkey % 3) + 3) % 3 = 2 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders""",
     "load_catalog_table": "SELECT * FROM supplier",
     "replace_target": "SELECT * FROM customer",
     "reject_conversion": f"SELECT *, 'l_orderkey' AS {REASON_COLUMN} FROM lineitem WHERE NOT {_NARROW_FIT}",

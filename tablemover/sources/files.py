@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from ..operators.names import col
 from ..workspace import exists
+from . import drift
 from .records import line_address, read_records
 
 # The transfer's format names and their Spark readers.
@@ -233,7 +234,8 @@ def read_files(spark: SparkSession, path: str, file_format: str | None, *,
                columns: list[str] | T.StructType | None = None, separator: str | None = None,
                avro_schema_inline: str | None = None, avro_schema_path: str | None = None,
                options: dict | None = None, addresses: bool = False) -> DataFrame:
-    """S1/S2/S3 by format name.  ``addresses`` tells of each row where it was read (text and Parquet)."""
+    """S1/S2/S3 by format name.  ``addresses`` tells of each row where it was read (text and Parquet).  The option
+    ``driftingSchemas`` reads files of several schemas under the widest of their types (sources/drift.py)."""
     fmt = spark_format(file_format)
     if addresses and fmt not in ("csv", "parquet"):
         raise ValueError(f"Rows of {fmt} files have no address.")
@@ -246,6 +248,9 @@ def read_files(spark: SparkSession, path: str, file_format: str | None, *,
         return read_delimited(spark, path, columns, separator, options=options, addresses=addresses)
     if fmt == "json" and isinstance(columns, T.StructType):
         return read_json_lines(spark, path, columns, options=options)
+    drifting = {k for k in options or {} if k.lower() == drift.OPTION and str(options[k]).lower() == "true"}
+    if drifting and not addresses:
+        return drift.read_drifting(spark, path, fmt, {k: v for k, v in options.items() if k not in drifting})
     rows = spark.read.format(fmt).options(**(options or {})).load(path)
     if addresses:  # a row's number in its file is its mark
         rows = rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.lit(0).cast("long").alias("split"),

@@ -1,0 +1,55 @@
+"""S3: files of several schemas read as one table."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from tablemover.sources.drift import merged, widest
+from tablemover.sources.files import read_files
+
+B, S, I, L, FL, D, TX = T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(), T.StringType()
+TYPES = [B, S, I, L, FL, D, TX, T.DecimalType(5, 2), T.DecimalType(38, 10), T.DateType(), T.TimestampNTZType(), T.TimestampType(), T.BooleanType(), T.NullType()]
+
+
+@pytest.mark.parametrize("a, b, want", [
+    (B, L, L), (I, D, D), (L, D, TX), (S, FL, FL), (I, FL, D), (L, FL, TX), (FL, D, D), (I, T.DecimalType(5, 2), T.DecimalType(12, 2)),
+    (T.DecimalType(5, 2), T.DecimalType(10, 0), T.DecimalType(12, 2)), (T.DecimalType(38, 0), T.DecimalType(38, 10), TX), (D, T.DecimalType(5, 2), TX),
+    (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()), (T.DateType(), T.TimestampType(), TX), (T.BooleanType(), I, TX), (T.NullType(), I, I),
+    (T.ArrayType(I), T.ArrayType(L), T.ArrayType(L)), (T.MapType(TX, I), T.MapType(TX, D), T.MapType(TX, D)),
+    (T.StructType([T.StructField("x", I)]), T.StructType([T.StructField("X", L), T.StructField("y", TX)]),
+     T.StructType([T.StructField("x", L), T.StructField("y", TX)]))])
+def test_widest_type(a, b, want):
+    assert widest(a, b) == want and widest(a, b).simpleString() == want.simpleString()
+    if not isinstance(a, T.StructType):
+        assert widest(b, a) == want
+
+
+@given(st.sampled_from(TYPES), st.sampled_from(TYPES), st.sampled_from(TYPES))
+@settings(max_examples=300, deadline=None)
+def test_types_form_a_lattice(a, b, c):
+    assert widest(a, a) == a and widest(a, b) == widest(b, a)
+    up = widest(a, b)
+    assert widest(up, a) == up == widest(up, b)  # an upper bound
+
+
+def test_types_that_do_not_meet_are_refused():
+    for other in (I, TX, T.ArrayType(I)):
+        with pytest.raises(ValueError, match="Column x: No type holds both"):
+            merged([T.StructType([T.StructField("x", T.BinaryType())]), T.StructType([T.StructField("x", other)])])
+
+
+@pytest.mark.parametrize("fmt", ["orc", "parquet"])
+def test_values_survive(spark, tmp_path, fmt):
+    spark.createDataFrame([(1, 2 ** 31 - 1, [1], (1, "a"))], "k byte, v int, xs array<int>, s struct<x:int,y:string>").write.format(fmt).save(f"{tmp_path}/a")
+    spark.createDataFrame([(2, 0.1, [2 ** 40], ("b", 2 ** 40)), (None, None, None, None)],
+                          "K long, v double, xs array<bigint>, s struct<y:string,x:bigint>").write.format(fmt).save(f"{tmp_path}/b")
+    spark.createDataFrame([("x", "3")], "extra string, k string").write.format(fmt).save(f"{tmp_path}/c")
+    got = read_files(spark, str(tmp_path), fmt, options={"driftingSchemas": "true"})
+    assert got.schema["v"].dataType == D and got.schema["k"].dataType == TX
+    rows = {r.k: (r.v, r.xs, r.s and (r.s.x, r.s.y), r.extra) for r in got.collect()}
+    assert rows == {"1": (2147483647.0, [1], (1, "a"), None), "2": (0.1, [2 ** 40], (2 ** 40, "b"), None), None: (None, None, None, None),
+                    "3": (None, None, None, "x")}
+    with pytest.raises(ValueError, match="No files"):
+        (tmp_path / "empty").mkdir()
+        read_files(spark, f"{tmp_path}/empty", fmt, options={"driftingSchemas": "true"})
