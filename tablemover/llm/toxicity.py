@@ -17,7 +17,9 @@ smallest by a hash of the id); scoring covers every whole text.
 
 Defined cases.  A null or empty text has no words and gets the scores' intercept.  Repeated ids score each
 row.  Labels of unknown documents count for nothing; of several labels for an id, toxic wins.  Without any
-positive, every score is 0.  An empty table gives an empty table.
+positive, every score is 0.  Equal texts (ties) have equal scores.  A very long text is one row's work; its
+features are shares of its words.  A null id is in no label.  An empty table gives an empty table.  Other columns
+come back untouched, whatever their names, but for a column ``score``, which is replaced.
 """
 
 from __future__ import annotations
@@ -54,16 +56,16 @@ def _features(texts: pd.Series) -> pd.Series:
     return pd.Series([sorted(features_of(t)) for t in texts])
 
 
-def telling(sample: DataFrame, n: int, m: int) -> DataFrame:
+def telling(sample: DataFrame, n: int, m: int, most: int = MAX_FEATURES) -> DataFrame:
     """Features of the rows (positive, found) whose rate in the n positives differs from that in the m
-    unlabelled texts beyond chance; the MAX_FEATURES most telling ones, in order."""
+    unlabelled texts beyond chance; the ``most`` telling ones, in order."""
     counts = sample.select("positive", F.explode("found").alias("feature")).groupBy("feature").agg(
         F.sum(F.col("positive").cast("int")).alias("p"), F.sum((~F.col("positive")).cast("int")).alias("u"))
     both = (F.col("p") + F.col("u") + 1) / (n + m + 2)
     error = F.sqrt(both * (1 - both) * (1 / n + 1 / max(1, m)))
     z = F.abs(F.col("p") / n - F.col("u") / max(1, m)) / error
     return (counts.where(F.col("p") >= MIN_FOUND).select("feature", z.alias("z")).where(F.col("z") >= MIN_Z)
-            .orderBy(F.desc("z"), "feature").limit(MAX_FEATURES))
+            .orderBy(F.desc("z"), "feature").limit(most))
 
 
 def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = STEPS) -> np.ndarray:
@@ -123,10 +125,10 @@ def smallest(ids: DataFrame, column: str, most: int) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          toxic: str = "toxic", max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED):
+          toxic: str = "toxic", max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES):
     """Fit on the positives of ``labels`` and on a sample of all ``docs``.  The class prior is the share of
     positives among the labelled.  Returns the classifiers.  Feature counts are taken in Spark; the driver gets
-    at most MAX_FEATURES features and, per sampled text, the numbers of those it has."""
+    at most ``max_features`` features, the size of the model, and, per sampled text, the numbers of those it has."""
     marked = (labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("label_id"))
               .agg(F.max(toxic).alias("mark")))
     share = marked.agg(F.sum(F.when(F.col("mark") == 1, 1).otherwise(0)).alias("p"), F.count("*").alias("n")).first()
@@ -142,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     n, m = sizes.get(True, 0), sizes.get(False, 0)
     if not n or not m:
         return []
-    features = [r["feature"] for r in telling(sample, n, m).collect()]
+    features = [r["feature"] for r in telling(sample, n, m, max_features).collect()]
     at = {f: k for k, f in enumerate(features)}
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))

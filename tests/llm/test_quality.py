@@ -4,6 +4,7 @@ from collections import Counter
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tablemover.llm import quality
 from tablemover.llm.quality import COUNTS, judge, keep_good, text_counts
 from tablemover.llm.queries import op7_quality_rules
 
@@ -76,3 +77,56 @@ def test_query(spark):
         if not r.base_failed and r.doc_id in labels:
             assert r.kept == bool(labels[r.doc_id])
     assert len(rows) == len(docs)
+
+
+def exact_verdicts(docs, min_group=quality.MIN_GROUP):
+    """doc id -> kept, with quantiles of sorted lists in place of sketches."""
+    import math
+    from collections import defaultdict
+
+    def signals(c):
+        n_words, word_chars, n_symbols, n_dup, n_repeat, n_lines = c
+        return {"symbol_share": n_symbols / word_chars, "line_share": n_dup / n_lines, "repeat_share": n_repeat / n_words,
+                "word_length": word_chars / n_words}
+
+    counts = {d.doc_id: quality.text_counts(d.text or "") for d in docs}
+    good = {d.doc_id: d for d in docs if counts[d.doc_id][0] >= 50 and counts[d.doc_id][4] <= 0.5 * counts[d.doc_id][0]}
+    seen = {i: signals(counts[i]) for i in good}
+
+    def grid(values):
+        values = sorted(values)
+        return [values[max(math.ceil((k + 0.5) / quality.GRID * len(values)) - 1, 0)] for k in range(quality.GRID)]
+
+    groups = defaultdict(list)
+    for i, d in good.items():
+        for key in ((d.lang, d.source), d.lang, None):
+            groups[key].append(i)
+    sizes = dict(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"), range(6)))
+    out = {d.doc_id: False for d in docs}
+    for i, d in good.items():
+        own, wide = groups[d.lang, d.source], groups[d.lang]
+        share, fits = len(wide) / (len(wide) + min_group), True
+        for s, size in quality.SIGNALS.items():
+            weighed = sorted((v, w / quality.GRID) for ids, w in ((own, len(own)), (wide, min_group * share), (groups[None], min_group * (1 - share)))
+                             for v in grid([seen[j][s] for j in ids]))
+            total, at = sum(w for _, w in weighed), {}
+            for name, q in quality.QUARTILES.items():
+                below = 0.0
+                for v, w in weighed:
+                    below += w
+                    if below >= q * total - 1e-9:
+                        at[name] = v
+                        break
+            n = counts[i][sizes[size]]
+            chance = math.sqrt((at["mid"] + 1 / n) / n)
+            fits &= (at["low"] - quality.SPREADS * max(at["mid"] - at["low"], chance) <= seen[i][s]
+                     <= at["high"] + quality.SPREADS * max(at["high"] - at["mid"], chance))
+        out[i] = fits
+    return out
+
+
+def test_kept_against_exact_quantiles(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = exact_verdicts(docs.collect())
+    got = {r.row.doc_id: r.kept for r in quality.judge(docs).select("row", "kept").collect()}
+    assert got == want and 0 < sum(want.values()) < len(want)

@@ -88,3 +88,24 @@ def test_held_out_accuracy(spark):
     assert np.mean(caught) > 0.7 and np.mean(clean) < 0.01
     good, bad = (np.mean([r.score for r in rows if labels[r.doc_id] == y]) for y in (0, 1))
     assert bad > good + 0.4
+
+
+def test_fit_against_a_plain_minimiser():
+    """The risk of the fitted weights is near the least over a grid, by plain arithmetic on one feature."""
+    import math
+
+    import numpy as np
+
+    from tablemover.llm.toxicity import fit_nnpu
+
+    prior, pos, unl = 0.3, [1] * 45 + [0] * 5, [1] * 70 + [0] * 130
+
+    def risk(w, b):
+        s = {x: 1 / (1 + math.exp(-(w * x + b))) for x in (0, 1)}
+        mean = lambda rows, f: sum(f(s[x]) for x in rows) / len(rows)
+        negative = mean(unl, lambda v: v * v) - prior * mean(pos, lambda v: v * v)
+        return prior * mean(pos, lambda v: (1 - v) ** 2) + max(negative, 0)
+
+    least = min(risk(w / 4, b / 4) for w in range(-40, 41) for b in range(-40, 41))
+    w, b = (float(v) for v in fit_nnpu(np.array([[x] for x in pos], np.float32), np.array([[x] for x in unl], np.float32), prior))
+    assert risk(w, b) <= least + 0.005
