@@ -3,6 +3,11 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes as Parquet to the shared
 folder and rereads as the next stage's documents.  All stages but the last return the columns of documents;
 each works on all rows that its predecessor kept.
+
+Defined cases.  A null or empty text has too few words and goes in the first stage.  A null id is in no group of near
+copies and loses no lines.  Of equal texts (ties) the least id stays; rows that repeat an id and a text stay together.
+Very long texts are a row's work in every stage.  Columns of documents beyond those used are carried along, whatever
+their names, but those that the last stage adds replace theirs.  An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ and each text is put together again from the positions that stay.
 Defined cases.  A null or empty text is one empty line and comes back as it was.  A text that loses all its
 lines becomes the empty text.  A document without an id neither loses lines nor takes them from others.
 Rows with the same id count as one document; each row is put together from its own text.  An empty table
-gives an empty table.  Any other columns come back untouched, whatever their names.
+gives an empty table.  Of equal lines in one document (ties) all go or all stay.  A very long text is split and put
+together as rows of lines; a very long line is one value.  Any other columns come back untouched, whatever their names.
 """
 
 from __future__ import annotations

@@ -28,7 +28,9 @@ LEAVES + MIDDLES + 1 restaurants are exchanged between sweeps.
 Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased; each text ends in an end token.
 
 Defined cases.  A null or empty text has the end token alone.  Null ids and repeated rows are scored each.
-Without training texts the model is the base.  An empty table gives an empty table.
+Without training texts the model is the base.  Equal texts (ties) have equal scores.  A very long text is cut into
+postings like any other; its sums come together by its number in its block.  Only id, text and train are read,
+whatever other columns there are.  Ids are integers.  An empty table gives an empty table.
 """
 
 from __future__ import annotations

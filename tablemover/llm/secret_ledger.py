@@ -9,7 +9,9 @@ All steps are DataFrame functions.  Spans come from cutting the text at the matc
 pieces between matches and of the matches themselves give the offsets, in code points.
 
 Defined cases.  A null text is the empty blob.  Null paths are paths like any other.  Repeated rows give
-repeated findings but one scan.  An empty table scans nothing and still leaves a ledger.
+repeated findings but one scan.  Spans of several rules at one start (ties) come in the rules' order.  A very long text is
+one row's scan.  An empty table scans nothing and still leaves a ledger.  The input row comes back packed, so its
+columns may have any names.
 """
 
 from __future__ import annotations

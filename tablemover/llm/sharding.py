@@ -11,7 +11,9 @@ The law is ``rows``: shard counts are at most one apart.  All steps over rows ar
 
 Defined cases.  Null ids and null texts are rows like any other.  Rows equal in every given column take
 ranks that are interchangeable.  With fewer rows than shards, the last shards stay empty.  An empty table
-gives an empty table.
+gives an empty table.  Texts are not read, so their length does not matter.  The input row comes back packed, so
+its columns may have any names.  A table whose rows are all equal in the given columns is one block, whose ranks one
+task deals: give columns that tell rows apart.
 """
 
 from __future__ import annotations
