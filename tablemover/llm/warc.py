@@ -1,8 +1,10 @@
 """WARC: write records to archives and read them back as a chunked record table.
 
-A payload travels as rows (record id, chunk number, chunk), never as one value: the writer appends chunk by
-chunk, the reader streams each archive and emits a row per chunk that carries the SHA-1 and the byte count of
-the payload so far.  The last chunk of a record therefore holds the digest of the whole payload.
+A payload travels as rows (record id, chunk number, chunk): the writer appends chunk by chunk, the reader streams
+each archive and emits a row per chunk that carries the SHA-1 and the byte count of the payload so far.  The last
+chunk of a record therefore holds the digest of the whole payload.  What is written comes from a table whose cells
+hold whole payloads: up to the cutting, Spark has a payload as one value, digests it there and moves it through the
+join that finds revisits where these are many.
 
 Archives are gzip files with one member per record, written under a name of the attempt's own; only archives
 listed in the manifest table are read, so a repeated or lost task leaves nothing behind that counts.
@@ -10,7 +12,8 @@ listed in the manifest table are read, so a repeated or lost task leaves nothing
 Defined cases.  A null payload is an empty one.  Empty payloads give one empty chunk.  Of equal payloads of at
 least ``min_revisit`` bytes the record with the largest id is the response, the others revisit it; records
 with that same largest id (repeated rows) are all responses.  A null id is written as an empty one, comes back
-null, and is always a response.  An empty table writes no archive and reads back as no rows.
+null, and is always a response.  Ids are integers; others are refused by name.  A very long payload is many chunks.
+Other columns are not written, whatever their names.  An empty table writes no archive and reads back as no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workspace import stage
-from .common import ship_by_value
+from ..workspace import new_run_dir, stage
+from .common import integer_id, ship_by_value
 
 CHUNK_BYTES = 256 * 1024
 BATCH_BYTES = 8 * 1024 * 1024
@@ -92,6 +95,7 @@ def write_warc(records: DataFrame, folder: str, record_id: str, url: str, payloa
     def name(c):
         return F.col("`" + c.replace("`", "``") + "`")
 
+    integer_id(records, record_id)
     rows = records.select(name(record_id).cast("long").alias("rid"), name(url).cast("string").alias("url"),
                           F.coalesce(name(payload).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")})
@@ -104,10 +108,10 @@ def write_warc(records: DataFrame, folder: str, record_id: str, url: str, payloa
                              "refers_to": F.when(again, F.col("newest")),
                              "body": F.when(again, F.lit(b"")).otherwise(F.col("payload"))})
     chunks = F.greatest(F.lit(1), F.ceil(F.octet_length("body") / chunk_bytes)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), chunks - 1),
-                      lambda i: F.substring(F.col("body"), i * chunk_bytes + 1, F.lit(chunk_bytes)))
-    rows = rows.select("rid", "url", "kind", "refers_to", "digest", "size", chunks.alias("chunks"),
-                       F.posexplode(cut).alias("chunk_no", "chunk"))
+    # A row per chunk number; each chunk is cut out as its row goes by, so a record's chunks are never all there.
+    rows = rows.select("rid", "url", "kind", "refers_to", "digest", "size", "body", chunks.alias("chunks"),
+                       F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk_no"))
+    rows = rows.withColumn("chunk", F.substring("body", F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes))).drop("body")
     return stage(rows.mapInArrow(_writer(folder), MANIFEST), f"{folder}/manifest")
 
 
@@ -188,13 +192,15 @@ def read_warc(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 def records_of(chunks: DataFrame) -> DataFrame:
     """One row per record: record_id, record_type, refers_to, and the full payload's bytes and digest.  A
     revisit holds no payload: its size comes from the response it refers to, whose digest must agree."""
-    whole = chunks.where("last").select("record_id", "record_type", "refers_to", "url", "bytes_so_far",
-                                        "digest_so_far", "header_digest")
-    full = (whole.where("record_type = 'response'").groupBy("record_id", "digest_so_far")
-            .agg(F.max("bytes_so_far").alias("full_bytes"))
+    whole = stage(chunks.where("last").select("record_id", "record_type", "refers_to", "url", "bytes_so_far",
+                                              "digest_so_far", "header_digest"), new_run_dir(chunks.sparkSession, "records"))
+    again = whole.where("record_type = 'revisit'")
+    named = again.select(F.col("refers_to").alias("named_id")).distinct()
+    # Only responses that a revisit names; they may grow with the archives, so they are not broadcast.
+    full = (whole.where("record_type = 'response'").join(named.hint("shuffle_merge"), F.col("record_id") == F.col("named_id"), "left_semi")
+            .groupBy("record_id", "digest_so_far").agg(F.max("bytes_so_far").alias("full_bytes"))
             .select(F.col("record_id").alias("full_id"), F.col("digest_so_far").alias("full_digest"), "full_bytes"))
-    revisits = whole.where("record_type = 'revisit'").join(
-        full, (F.col("refers_to") == F.col("full_id")) & (F.col("header_digest") == F.col("full_digest")), "left")
+    revisits = again.join(full.hint("shuffle_merge"), (F.col("refers_to") == F.col("full_id")) & (F.col("header_digest") == F.col("full_digest")), "left")
     return whole.where("record_type = 'response'").select(
         "record_id", "record_type", "refers_to", "url", F.col("bytes_so_far").alias("payload_bytes"),
         F.col("digest_so_far").alias("payload_digest")).unionByName(revisits.select(
