@@ -47,9 +47,11 @@ def remembered(owner: str | None, build=None):
     return kept.value
 
 
-def slices(batches, rows: int = 256):
-    """Record batches cut into parts of few rows, so that what a task builds per row stays small."""
-    remembered(None)
+def slices(batches, rows: int = 256, keep: str | None = None):
+    """Record batches cut into parts of few rows, so that what a task builds per row stays small.  ``keep`` names
+    what the worker remembers for the caller; all else is forgotten."""
+    if keep is None:
+        remembered(None)
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)

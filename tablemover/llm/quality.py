@@ -15,8 +15,10 @@ Documents are then filtered by a join with the groups' quartiles.
 Two rules stay fixed, as base rules: at least 50 words, and at most half of the words in repeated windows.
 
 Defined cases.  A null or empty text has no words and fails.  Null languages and sources are groups of
-their own.  Repeated rows count each.  An empty table gives an empty table.  Sketches are approximate, so a
-document within their rank error (about 1 %) of a threshold may fall on either side.
+their own.  Repeated rows count each.  A signal at just its limit (a tie) passes.  A very long text is one row's
+work.  The input row comes back packed, so its columns may have any names.  An empty table gives an empty table.  Sketches are approximate, so a
+document within their rank error (about 1 %) of a threshold may fall on either side, and two runs may differ there:
+the sketch draws at random which values it drops.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, release, ship_by_value
+from .common import field, packed, release, remembered, ship_by_value
 
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
@@ -79,6 +81,7 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
 def _counts(texts: pd.Series) -> pd.DataFrame:
+    remembered(None)
     release()
     return pd.DataFrame([text_counts(t or "") for t in texts], columns=list(COUNTS), dtype="int64")
 

@@ -15,15 +15,14 @@ along a path, least over paths) is the encoding.
   that stood there together can merge at a lower rank than either is merged inwards.
 
 Defined cases.  A null text has null pieces and decodes to null; an empty text has none and decodes to the
-empty text.  A text that contains the piece blank U+2581 itself decodes to a space there, as in any
+empty text.  A very long text is one row's work, word by word; a word without blanks is one path, however long.  An
+empty table gives an empty table.  A text that contains the piece blank U+2581 itself decodes to a space there, as in any
 SentencePiece model.  Equal texts have equal pieces.  New columns replace input columns of the same name.
 """
 
 from __future__ import annotations
 
 import re
-import sys
-import types
 from array import array
 
 import numpy as np
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, release, ship_by_value
+from .common import packed, remembered, ship_by_value, slices
 
 BLANK = "▁"
 NEVER = float("inf")
@@ -44,8 +43,8 @@ NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # Encodings of words, and borders of pieces, that a worker remembers.  A full memory of words becomes the old one,
 # whose words move up when they come again, and the old one before it goes; a full memory of borders is emptied.
-REMEMBERED = 300_000
-BORDERS = 600_000
+REMEMBERED = 220_000
+BORDERS = 400_000
 
 
 def read_model(path: str) -> dict:
@@ -264,18 +263,10 @@ class Transducer:
         return text.removeprefix(" ") if self.dummy_prefix else text
 
 
-def _transducer(model: dict, key: str) -> Transducer:
-    """The worker's transducer for the model, kept between tasks."""
-    kept = sys.modules.setdefault("_tablemover_transducers", types.ModuleType("_tablemover_transducers"))
-    if not hasattr(kept, key):
-        setattr(kept, key, Transducer(model))
-    return getattr(kept, key)
-
-
 def _mapper(model, key: str, at: int, with_text: bool):
     def encode(batches):
-        fst = _transducer(model.value, key)
-        for batch in batches:
+        fst = remembered(key, lambda: Transducer(model.value))  # kept between tasks
+        for batch in slices(batches, keep=key):
             texts = batch.column(0).field(at)
             ids, whole, same = [], [], []
             for t in texts.to_pylist():
@@ -294,7 +285,6 @@ def _mapper(model, key: str, at: int, with_text: bool):
                 columns.append(pa.array(whole, pa.string()))
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names)
-            release()
     return encode
 
 

@@ -27,8 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import sys
-import types
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -40,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, release, ship_by_value
+from .common import field, packed, release, remembered, ship_by_value
 
 # Text of a block, and tokens of A between the places where a long document may be parted into lanes.
 BLOCK_BYTES = 4_000_000
@@ -207,11 +205,7 @@ def read_models(a_path: str, b_path: str) -> tuple[str, bytes]:
 
 def _aligner(models, key: str) -> Aligner:
     """The worker's aligner for these models, kept between tasks."""
-    kept = sys.modules.setdefault("_tablemover_aligners", types.ModuleType("_tablemover_aligners"))
-    if not hasattr(kept, key):
-        a, b = models.value
-        setattr(kept, key, Aligner(ByteBPE(a), Pieces(b)))
-    return getattr(kept, key)
+    return remembered(key, lambda: Aligner(ByteBPE(models.value[0]), Pieces(models.value[1])))
 
 
 def _blocks(batches, at: int):

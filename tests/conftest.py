@@ -28,6 +28,15 @@ def spark(tmp_path_factory):
     s.stop()
 
 
+@pytest.fixture
+def few_partitions(spark):
+    """For tests of many small loads, whose rows fill no more."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def duck():
     import duckdb

@@ -7,6 +7,8 @@ from tablemover import load
 from tablemover.plans.registry import catalog_spec, create_table
 from tablemover.workspace import new_database
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 TARGET = T.StructType([T.StructField("k", T.ByteType()), T.StructField("s", T.StringType()), T.StructField("d", T.DateType())])
 
 

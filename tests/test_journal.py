@@ -12,6 +12,8 @@ from tablemover.spec import TableName
 from tablemover.warehouse import CatalogWarehouse
 from tablemover.workspace import exists, new_database, new_run_dir
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 PHASES = ("staged", "rejects", "changing", "changed")
 
 

@@ -14,6 +14,8 @@ from tablemover.spec import TableName
 from tablemover.warehouse import CatalogWarehouse
 from tablemover.workspace import new_database, new_run_dir, stage
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 
 @given(st.lists(st.integers(-2 ** 63, 2 ** 63 - 1), min_size=1, max_size=200))
 @settings(max_examples=60, deadline=None)

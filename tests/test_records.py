@@ -11,6 +11,8 @@ from tablemover.sources import records
 from tablemover.sources.files import MALFORMED_COLUMN, read_delimited
 from tablemover.sources.records import read_records
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 VALUES = ["plain", "", 'say "hi"', "a,b", "line\nbreak", "\n\n", '"\n"', "x" * 90, "two\nlong " + "y" * 150 + "\nlines\n", "\r\nwin\r\n", "é\n😀"]
 
 

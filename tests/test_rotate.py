@@ -9,6 +9,8 @@ from tablemover.functions.protect import decrypt_columns, encrypt_columns
 from tablemover.functions.rotate import registry_table, rotate_columns
 from tablemover.sinks import files
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 
 @pytest.fixture
 def sealed(spark, tmp_path):

@@ -18,6 +18,9 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tablemover.functions.protect import decrypt_columns, encrypt_columns  # noqa: E402
 from tablemover.operators.rejects import conversion_split, duplicate_split  # noqa: E402
+from tablemover.operators.splits import in_splits  # noqa: E402
+from tablemover.sinks.files import extract_files  # noqa: E402
+from tablemover.sources.files import read_delimited  # noqa: E402
 from tablemover.plans.registry import REVENUE_SQL, source_database  # noqa: E402
 
 
@@ -49,10 +52,16 @@ def main() -> None:
     opened = decrypt_columns(spark.read.parquet(staged), ["c_name"], "pass phrase")
     db = source_database(spark, sf, ["lineitem", "orders"])
     revenue = spark.sql(REVENUE_SQL.format(db=f"`{db}`."))
+    lines = f"{staged}-lines"
+    extract_files(spark.read.parquet(f"{sf}/customer.parquet"), lines, "textfile", overwrite=True)
+    parsed = conversion_split(read_delimited(spark, lines, customer.schema), customer.schema)[0]
+    ranges = in_splits(spark.read.parquet(f"{sf}/orders.parquet"), ["o_orderpriority", "o_orderdate"], 4)
     sections = [
+        ("S2 text lines, converted (one from_csv, behind a generator)", parsed),
+        ("S5 split.by.range (a partition for each split)", ranges),
         ("R1 conversion split, rejected rows (one narrow pass, range test)", bad),
-        ("R2 kept rows (anti-join with the repeated keys, and the least of each)", kept),
-        ("R2 rejected rows (staged rows of repeated keys, by address)", rejects),
+        ("R2 kept rows (staged rows not at the addresses of those that go)", kept),
+        ("R2 rejected rows (staged rows at these addresses)", rejects),
         ("C1 encrypt 2.0 (table of 1024 keys, broadcast hash join)", sealed),
         ("C2 decrypt (one pass; keys derived in the tasks)", opened),
         ("S6/F4 extract query (pruned scans; Catalyst picks the join)", revenue),
