@@ -114,6 +114,8 @@ def _fit(df: DataFrame, target: T.StructType, limits: dict[str, int] | None = No
         src = col(src_name)
         if src_type == f.dataType:
             value = src
+        elif isinstance(src_type, T.NullType):
+            value = F.lit(None).cast(f.dataType)
         elif isinstance(src_type, _NESTED) and not isinstance(f.dataType, _NESTED):
             raise ValueError(f"Column {src_name} is nested ({src_type.simpleString()}) but the "
                              f"target column is flat; turn it to text first with to_json.")
@@ -184,7 +186,9 @@ def staged_conversion(df: DataFrame, target: T.StructType, limits: dict[str, int
     reads columns of that, so the source is neither read nor converted again, and may change.  With ``prove`` the
     same pass returns the digests of the source, of its rejected rows and of the converted ones."""
     values, reason = _judged(df, target, limits)
-    judged = df.select(F.struct(*cols(df.columns)).alias("source"), F.struct(*values).alias("row"), reason.alias(REASON_COLUMN))
+    # A column that is NULL throughout has a type that files cannot hold.
+    own = [col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else col(f.name) for f in df.schema.fields]
+    judged = df.select(F.struct(*own).alias("source"), F.struct(*values).alias("row"), reason.alias(REASON_COLUMN))
     # Out of a generator, so that nothing above repeats the conversion.
     judged = judged.select(F.inline(F.array(F.struct("source", "row", REASON_COLUMN))))
     fits = F.col(REASON_COLUMN) == ""

@@ -297,3 +297,13 @@ def test_foreign_text_keeps_what_looks_like_an_escape(spark, tmp_path):
     own = read_delimited(spark, str(tmp_path / "own"), ["k", "s"], "|")
     assert sorted(tuple(r)[:2] for r in own.collect()) == [("1", "x\x10n\ny"), ("2", None)]
     assert read_delimited(spark, str(tmp_path / "own"), ["k", "s"], "|", escaped=False).where("k = '1'").first().s == "x\x10en\x10ny"
+
+
+def test_a_keyed_load_of_a_column_without_a_type(spark):
+    from tablemover import TransferSpec, load
+    from tablemover.workspace import new_database
+    db = new_database(spark, "void")
+    spark.sql(f"CREATE TABLE {db}.t (k TINYINT, s STRING) USING parquet")
+    spec = TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db, hive_table="src", target_table=f"{db}.t", key_columns=("k",))
+    report = load(spark, spec, source=spark.sql("SELECT explode(array(1, 1, 500)) AS k, NULL AS s"))
+    assert report.loaded == 1 and list(report.rejected.values()) == [1, 1]
