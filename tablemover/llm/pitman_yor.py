@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from ..workspace import new_run_dir, stage
-from .common import release, ship_by_value
+from .common import arrow_batches, release, ship_by_value
 
 LEAVES, MIDDLES = 1024, 32
 # (discount, strength) of the root, the middle restaurants and the leaves.
@@ -138,26 +138,6 @@ def _postings(buckets: int, frequent: np.ndarray):
     return postings
 
 
-def seat(rng, customers: np.ndarray, pull: np.ndarray, discount: float) -> np.ndarray:
-    """The restaurant rule before any word is seen, which sweeps do not use (see ``reseat``).
-    Tables that ``customers`` of each entry take, one after the other: a new one with odds pull (strength
-    plus discount times all tables, times the parent's probability) against those seated less discount times
-    tables.  From the 64th on they come in groups of a sixteenth of those seated, with one draw a group."""
-    tables = (customers > 0).astype(np.float64)
-    live = np.flatnonzero(customers > 1)
-    seated = 1
-    while len(live):
-        group = max(1, seated // 16) if seated >= 64 else 1
-        p = pull[live] / (pull[live] + np.maximum(seated - discount * tables[live], 1e-9))
-        if group == 1:
-            tables[live] += rng.random(len(live)) < p
-        else:
-            tables[live] += rng.binomial(np.minimum(group, customers[live] - seated).astype(np.int64), p)
-        seated += group
-        live = live[customers[live] > seated]
-    return tables
-
-
 class _Stirling(dict):
     """Per discount the logarithms of S(n, t) for n and t up to EXACT, where
     S(n + 1, t) = S(n, t - 1) + (n - discount t) S(n, t).  Kept by a process; a task takes none along."""
@@ -424,6 +404,7 @@ def score_texts(docs: DataFrame) -> tuple[DataFrame, int]:
     """Scores of the rows (id, text, train), learnt from those with ``train``: the rows of RESULT, scores as
     log10 probabilities, and the number of training tokens."""
     spark = docs.sparkSession
+    arrow_batches(spark, "64m")  # a batch's texts make up a block of postings
     folder = new_run_dir(spark, "pitman-yor")
     rows = docs.select(F.col("id").cast("long").alias("id"), "text", "train")
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablemover.llm import pitman_yor
-from tablemover.llm.pitman_yor import LEAVES, LEVELS, MIDDLES, Words, reseat, score_texts, seat, tokens_of
+from tablemover.llm.pitman_yor import LEAVES, LEVELS, MIDDLES, Words, reseat, score_texts, tokens_of
 from tablemover.llm.queries import op8_pitman_yor
 
 from .conftest import SF
@@ -61,18 +61,6 @@ def test_probabilities_sum_to_one():
         words.sweep(rng, t, base)
 
 
-def test_seating_follows_the_restaurant_rule():
-    rng, d, pull, n = np.random.default_rng(1), 0.5, 2.0, 40_000
-    got = Counter(seat(rng, np.full(n, 3), np.full(n, pull), d).astype(int).tolist())
-    one = (1 - d) / (1 - d + pull)
-    exact = {1: one * (2 - d) / (2 - d + pull),
-             3: (1 - one) * pull / (2 - 2 * d + pull)}
-    exact[2] = 1 - exact[1] - exact[3]
-    assert all(abs(got[k] / n - exact[k]) < 0.01 for k in exact)
-    many = seat(rng, np.array([0, 1, 10**6]), np.full(3, 5.0), 0.0)
-    assert many[0] == 0 and many[1] == 1 and abs(many[2] - 5 * math.log(10**6 / 5)) < 40
-
-
 def test_sweeps_draw_from_the_conditional_law():
     """Three customers of one word: weights (1 - d)(2 - d), 3 K (1 - d) and K * K of one, two and three tables."""
     n, word = 40_000, np.arange(40_000)
