@@ -47,6 +47,18 @@ def remembered(owner: str | None, build=None):
     return kept.value
 
 
+# Bounds that operators set; any other is the session's own.
+BATCH_SIZES = ("2m", "8m")
+
+
+def arrow_batches(spark, size: str = "2m") -> None:
+    """Bound the bytes of the batches that go to Python workers, unless the session has a bound of its own.  Spark's
+    default, 64 MB, is held several times per task: by the JVM, by Arrow and as Python values."""
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key, default) in (default, *BATCH_SIZES):
+        spark.conf.set(key, size)
+
+
 def slices(batches, rows: int = 256, keep: str | None = None):
     """Record batches cut into parts of few rows, so that what a task builds per row stays small.  ``keep`` names
     what the worker remembers for the caller; all else is forgotten."""

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir, stage
-from .common import field, integer_id, packed, ship_by_value, slices
+from .common import arrow_batches, field, integer_id, packed, ship_by_value, slices
 
 Q = 10
 EDIT_RATE = 0.08
@@ -276,6 +276,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id"
     and stop count characters of the normalised text."""
     spark = docs.sparkSession
     integer_id(benchmark, item_id)
+    arrow_batches(spark)
     rows = docs.select(F.col("id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     found = [rows.mapInArrow(_searcher(spark.sparkContext.broadcast((block, q, rate))), MATCHES)
              for block in _blocks(benchmark, item_id, item_text, q, block_chars)]

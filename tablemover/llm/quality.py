@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, release, remembered, ship_by_value
+from .common import arrow_batches, field, packed, release, remembered, ship_by_value
 
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
@@ -155,6 +155,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """(row, counts, base_failed, kept) for every document: the packed input row, the counts of its text and
     the verdict.  The thresholds are written once, so that every later task applies the same ones."""
     spark = docs.sparkSession
+    arrow_batches(spark)
     rows = packed(docs).withColumn("counts", _counts(field("row", text)))
     groups = [field("row", lang).alias("lang"), field("row", source).alias("source")]
     seen = _with_signals(packed(docs.select(text, lang, source)).withColumn("counts", _counts(field("row", text)))

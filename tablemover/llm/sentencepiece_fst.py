@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, remembered, ship_by_value, slices
+from .common import arrow_batches, packed, remembered, ship_by_value, slices
 
 BLANK = "▁"
 NEVER = float("inf")
@@ -294,6 +294,7 @@ def encode_decode(docs: DataFrame, model_path: str, text: str = "text", decoded:
     import zlib
 
     spark = docs.sparkSession
+    arrow_batches(spark)
     model = read_model(model_path)
     key = f"m{zlib.crc32(repr(model).encode())}"
     rows = packed(docs)

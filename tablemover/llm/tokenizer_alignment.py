@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..workspace import new_run_dir, stage
-from .common import field, packed, release, remembered, ship_by_value
+from .common import arrow_batches, field, packed, release, remembered, ship_by_value
 
 # Text of a block, and tokens of A between the places where a long document may be parted into lanes.
 BLOCK_BYTES = 4_000_000
@@ -334,6 +334,7 @@ def linked_counts(docs: DataFrame, a_path: str, b_path: str, text: str = "text",
     """(row, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum) of every row.  ``carry`` names the
     columns of ``row`` where not all are wanted (at least one)."""
     spark = docs.sparkSession
+    arrow_batches(spark)
     folder = new_run_dir(spark, "alignment")
     models, key = _broadcast_models(spark, a_path, b_path)
     keep = docs.columns if carry is None else list(carry)
