@@ -404,7 +404,7 @@ def score_texts(docs: DataFrame) -> tuple[DataFrame, int]:
     """Scores of the rows (id, text, train), learnt from those with ``train``: the rows of RESULT, scores as
     log10 probabilities, and the number of training tokens."""
     spark = docs.sparkSession
-    arrow_batches(spark, "64m")  # a batch's texts make up a block of postings
+    arrow_batches(spark, "8m")  # a batch's texts make up a block of postings; a bucket of them is about as large
     folder = new_run_dir(spark, "pitman-yor")
     rows = docs.select(F.col("id").cast("long").alias("id"), "text", "train")
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
