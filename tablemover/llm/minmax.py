@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..workspace import new_run_dir, stage
-from .common import field, integer_id, packed, ship_by_value, slices
+from .common import arrow_batches, field, integer_id, packed, ship_by_value, slices
 from .components import components
 
 PERMUTATIONS, ROWS = 64, 4
@@ -237,17 +237,19 @@ def _largest(groups: DataFrame, folder: str) -> DataFrame:
     return stage(two.join(total, F.col("k") == F.col("tk")).select("k", "rows", "first", "second"), folder)
 
 
-def _star_pairs(groups: DataFrame, largest: DataFrame | None, round_no: int, folder: str) -> DataFrame:
+def _star_pairs(groups: DataFrame, largest: DataFrame | None, round_no: int, threshold: float, folder: str) -> DataFrame:
     """Every member with the group's centres.  In the first round that is the member least by a hash order, one
     order for all groups, so that copies meet the same centre in every band; later one member each, by an order of
-    the round, of the largest component and of the largest other one."""
+    the round, of the largest component and of the largest other one.  Sets whose sizes alone rule a link out are no
+    pair, so that their members need not travel."""
     own = groups
     if round_no:
         own = groups.join(largest.where(F.col("rows") > SMALL), F.col("key") == F.col("k")).where("root IN (first.root, second.root)")
-    order = F.min(F.struct(F.xxhash64(F.lit(100 * round_no), "rep").alias("h"), F.col("rep").alias("c_rep"), F.col("root").alias("c_root")))
+    order = F.min(F.struct(F.xxhash64(F.lit(100 * round_no), "rep").alias("h"), F.col("rep").alias("c_rep"), F.col("root").alias("c_root"), F.col("items").alias("c_items")))
     middle = own.groupBy(F.col("key").alias("ck"), *(["root"] if round_no else [])).agg(order.alias("c"))
-    middle = stage(middle.select("ck", "c.c_rep", "c.c_root"), folder)
-    return (groups.join(middle, F.col("key") == F.col("ck")).where("root <> c_root")
+    middle = stage(middle.select("ck", "c.c_rep", "c.c_root", "c.c_items"), folder)
+    near = 100 * F.least("items", "c_items") >= round(100 * threshold) * F.greatest("items", "c_items")
+    return (groups.join(middle, F.col("key") == F.col("ck")).where("root <> c_root").where(near)
             .select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct())
 
 
@@ -280,6 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(id, set_key, n_shingles, component_id): one row per input row."""
     spark = docs.sparkSession
     integer_id(docs, doc_id)
+    arrow_batches(spark)
     folder = new_run_dir(spark, "minmax")
     rows = docs.select(F.col("`" + doc_id + "`").cast("long").alias("id"), F.col("`" + text + "`").alias("text"))
     signed = stage(rows.mapInArrow(_sign(width), "id long, n_shingles long, set_key binary, bands array<long>"),
@@ -289,9 +292,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # One row of each class, that of its smallest id, carries the bands.
     carriers = with_id.join(classes.withColumnRenamed("set_key", "ck"),
                             (F.col("set_key") == F.col("ck")) & (F.col("id") == F.col("rep")))
-    carriers = stage(carriers.groupBy("rep", "set_key").agg(F.first("bands").alias("bands")),
+    carriers = stage(carriers.groupBy("rep", "set_key").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("items")),
                      f"{folder}/classes")
-    member = carriers.select(F.explode("bands").alias("key"), "rep")
+    member = carriers.select(F.explode("bands").alias("key"), "rep", "items")
     # Classes share a rep where rows repeat an id with different texts; the id then has several sets.
     groups = stage(_open(member.withColumn("root", F.col("rep")), f"{folder}/open"), f"{folder}/groups")
     wanted = groups.select("rep").distinct()
@@ -308,7 +311,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             # Stars go on while each halves the rows that lie off their large group's largest component.
             last = k >= MOST_ROUNDS or not apart or before is not None and apart > before / 2
         links = (_rest_links(groups, largest, sets, threshold, f"{folder}/rest") if last else
-                 _verify(_star_pairs(groups, largest, k, f"{folder}/{k}/centres"), sets, threshold))
+                 _verify(_star_pairs(groups, largest, k, threshold, f"{folder}/{k}/centres"), sets, threshold))
         root_of = groups.select("rep", "root").distinct()
         ra, rb = (root_of.select(F.col("rep").alias(f"r{c}"), F.col("root").alias(f"root_{c}")) for c in "ab")
         links = links.join(ra, F.col("a") == F.col("ra")).join(rb, F.col("b") == F.col("rb"))
