@@ -21,6 +21,7 @@ from ..spec import TableName
 from ..workspace import new_run_dir, stage
 from .names import col, cols, fresh, same_keys
 from .reconcile import Digest, digest_columns, digest_from
+from .spread import in_tasks
 
 REASON_COLUMN = "reject_reason"
 # On request: the values that did not fit, and where their row was read.
@@ -79,6 +80,10 @@ def _converted(src, src_type, dst_type, encoded: bool):
         number = Decimal if isinstance(src_type, T.DecimalType) else float
         inside = (src >= F.lit(number(lo))) & (src < F.lit(number(hi + 1)))
         value = F.when(inside, src.cast(dst_type))
+    elif bounds and isinstance(src_type, T.StringType):
+        # By way of a long, so that a number beyond the type is no exception either.
+        number = src.try_cast("long")
+        return F.when(number.between(*bounds), number.cast(dst_type))
     elif isinstance(src_type, T.StringType) and isinstance(dst_type, T.BinaryType) and encoded:
         return F.try_to_binary(src, F.lit("base64"))
     else:
@@ -207,7 +212,7 @@ def staged_conversion(df: DataFrame, target: T.StructType, limits: dict[str, int
 
 def converted_sides(spark, folder: str) -> tuple[DataFrame, DataFrame]:
     """(rows converted to the target, rejected source rows + ``reject_reason``) of a staged conversion."""
-    both = spark.read.parquet(folder)
+    both = in_tasks(spark.read.parquet(folder))
     fits = F.col(REASON_COLUMN) == ""
     good = both.where(fits).select(*[F.col("row").getField(c).alias(c) for c in both.schema["row"].dataType.fieldNames()])
     source = both.schema["source"].dataType.fieldNames()

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from ..operators.names import col
 from ..workspace import exists
 from . import drift
-from .records import line_address, read_records
+from .records import addressed_lines, read_records
 
 # The transfer's format names and their Spark readers.
 FORMAT_ALIASES = {"avrofile": "avro", "orcfile": "orc", "textfile": "csv", "parquetfile": "parquet"}
@@ -163,8 +163,8 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str] | T.Struct
         parsed = spark.read.schema(schema).options(**opts).csv(path)
     else:
         # The mark is taken before any line is left out.
-        where = [line_address().alias(ADDRESS_COLUMN)] if addresses else []
-        lines = spark.read.option("lineSep", "\n").text(path).select("value", *where)
+        where = [F.col("a").alias(ADDRESS_COLUMN)] if addresses else []
+        lines = addressed_lines(spark, path).select("value", *where)
         lines = lines.where("value <> ''")  # an empty line is no record
         broken = _unclosed_quote(F.col("value"), opts)
         opts = {k: v for k, v in opts.items() if k not in ("header", "lineSep", "multiLine")}
@@ -182,7 +182,7 @@ def line_bases(spark: SparkSession, path: str) -> DataFrame:
     """(b_file, b_split, first, before) of every split of text files: its first line's mark and the number of lines
     of the file before it.  One count per split and a running sum over the splits of each file; the scan is split
     as that of ``read_delimited`` is, so that their marks agree."""
-    lines = spark.read.option("lineSep", "\n").text(path).select(line_address().alias("a"))
+    lines = addressed_lines(spark, path).select("a")
     counted = lines.groupBy(F.col("a.file").alias("b_file"), F.col("a.split").alias("b_split")).agg(
         F.min("a.mark").alias("first"), F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("b_file").orderBy("b_split").rowsBetween(Window.unboundedPreceding, -1)

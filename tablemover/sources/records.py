@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.spread import in_tasks
 from ..workspace import new_run_dir, stage
 
 # Splits up to which what is known of them is broadcast (about 150 bytes each); beyond, lines are shuffled to it.
@@ -37,6 +38,12 @@ def line_address() -> Column:
                     F.monotonically_increasing_id().alias("mark"))
 
 
+def addressed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(a, value): the lines of text files with their addresses, in the session's splits.  The marks are those
+    of the splits, however these are dealt to tasks."""
+    return in_tasks(spark.read.option("lineSep", "\n").text(path).select(line_address().alias("a"), "value"))
+
+
 def odd_quotes(line: Column, quote: str, escape: str) -> Column:
     """Whether the line has an odd number of quotes that are not escaped.  A quote that doubles as its own escape
     comes in pairs."""
@@ -81,7 +88,7 @@ def _joined(batches):
 def read_records(spark: SparkSession, path: str, quote: str, escape: str) -> DataFrame:
     """(record, closed): the text of every record, and whether its quotes pair."""
     odd = odd_quotes(F.col("value"), quote, escape)
-    lines = spark.read.option("lineSep", "\n").text(path).select(line_address().alias("a"), "value").select("a.*", "value", odd.alias("odd"))
+    lines = addressed_lines(spark, path).select("a.*", "value", odd.alias("odd"))
     folder = new_run_dir(spark, "records")
     counted = lines.groupBy("file", "split").agg((F.sum(F.col("odd").cast("long")) % 2).alias("odd"))
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)

@@ -23,6 +23,7 @@ from .operators.key_index import candidate_files, indexable, keep_index, read_in
 from .operators.names import cols
 from .operators.rejects import in_range, key_range
 from .operators.splits import in_splits, key_sketch, plan_splits, sql_predicates
+from .operators.spread import in_tasks
 from .spec import TableName, merge_options
 
 _UNSUPPORTED = re.compile("UNSUPPORTED|NOT_SUPPORTED|_EXTERNAL|external table|does not support|not allowed", re.I)
@@ -70,7 +71,7 @@ class CatalogWarehouse:
         return self.spark.table(self.name(table)).schema
 
     def count(self, table: TableName) -> int:
-        return self.spark.table(self.name(table)).count()
+        return in_tasks(self.spark.table(self.name(table))).count()
 
     def primary_key(self, table: TableName) -> tuple[str, ...]:
         """Spark's catalog tables declare no enforced key; the caller names one."""

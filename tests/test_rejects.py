@@ -307,3 +307,13 @@ def test_a_keyed_load_of_a_column_without_a_type(spark):
     spec = TransferSpec.build(warehouse="catalog", job_type="hive", hive_database=db, hive_table="src", target_table=f"{db}.t", key_columns=("k",))
     report = load(spark, spec, source=spark.sql("SELECT explode(array(1, 1, 500)) AS k, NULL AS s"))
     assert report.loaded == 1 and list(report.rejected.values()) == [1, 1]
+
+
+def test_texts_beyond_an_integer_type_raise_nothing_inside(spark):
+    """A number of more digits than the type holds is told by a range test, not by an exception caught per value."""
+    texts = ["1", " 7 ", "127", "128", "-128", "-129", "+5", "1.5", "x", "", None, "1e2", "9223372036854775808", "70000"]
+    df = spark.createDataFrame([(t,) for t in texts], "k string")
+    good, bad = conversion_split(df, T.StructType([T.StructField("k", T.ByteType())]))
+    assert sorted(r.k for r in good.where("k IS NOT NULL").collect()) == [-128, 1, 5, 7, 127]
+    assert {r.k for r in bad.collect()} == {r.k for r in df.where("k IS NOT NULL AND try_cast(k AS tinyint) IS NULL").collect()}
+    assert "as bigint" in good._jdf.queryExecution().optimizedPlan().toString().lower()
