@@ -99,8 +99,8 @@ def read_records(spark: SparkSession, path: str, quote: str, escape: str) -> Dat
         known = lines.join(F.broadcast(splits), on)  # lines stay where they were read, in their order
     else:
         known = lines.join(splits.hint("shuffle_merge"), on).sortWithinPartitions("file", "split", "mark")
-    parts = stage(known.select("file", "split", "open", "value", "odd").mapInArrow(_joined, "file string, split long, kind int, text string"),
-                  f"{folder}/parts")
+    parts = in_tasks(stage(known.select("file", "split", "open", "value", "odd").mapInArrow(_joined, "file string, split long, kind int, text string"),
+                           f"{folder}/parts"))
     whole = parts.where(F.col("kind") == WHOLE).select(F.col("text").alias("record"), F.lit(True).alias("closed"))
     # A record begins with a tail; heads and middles belong to the tail before them.
     torn = parts.where(F.col("kind") != WHOLE)

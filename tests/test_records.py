@@ -72,3 +72,17 @@ def test_no_task_reads_a_whole_file(spark, tmp_path):
         assert spark.read.text(str(tmp_path / "a")).rdd.getNumPartitions() > 8
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_small_splits_are_read_several_to_a_task(spark, tmp_path):
+    """Every split keeps its own addresses; a task for each would cost more than its lines."""
+    (tmp_path / "a").write_text("".join(f"line {k}\n" for k in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        lines = records.addressed_lines(spark, str(tmp_path / "a"))
+        assert lines.rdd.getNumPartitions() <= 8
+        rows = lines.select("a.split", "a.mark", "value").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({r.split for r in rows}) > 300
+    assert [r.value for r in sorted(rows, key=lambda r: (r.split, r.mark))] == [f"line {k}" for k in range(5000)]
