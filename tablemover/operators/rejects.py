@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..sources.files import ADDRESS_COLUMN, MALFORMED_COLUMN, OWN_COLUMNS
 from ..spec import TableName
 from ..workspace import new_run_dir, stage
-from .names import col, cols, fresh, same_keys
+from .names import col, cols, same_keys
 from .reconcile import Digest, digest_columns, digest_from
 from .spread import in_tasks
 
@@ -204,19 +204,24 @@ def staged_conversion(df: DataFrame, target: T.StructType, limits: dict[str, int
         own = [c for c in source_schema.fieldNames() if c != ADDRESS_COLUMN]
         judged = judged.observe(seen, *digest_columns(source_schema, "source", columns=own, of="source"),
                                 *digest_columns(source_schema, "rejected", ~fits, columns=own, of="source"), *digest_columns(row_schema, "converted", fits, of="row"))
-    stage(judged.select(F.when(fits, F.col("row")).alias("row"), F.when(~fits, F.col("source")).alias("source"), REASON_COLUMN), folder)
+    stage(judged.select(F.when(fits, F.col("row")).alias("row"), F.when(~fits, F.col("source")).alias("source"), REASON_COLUMN, _place()), folder)
     if prove:
         digests = {n: digest_from(seen.get, n) for n in ("source", "rejected", "converted")}
     return digests
 
 
-def converted_sides(spark, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(rows converted to the target, rejected source rows + ``reject_reason``) of a staged conversion."""
+def converted_rows(spark, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(staged rows that fit the target, rejected source rows + ``reject_reason``) of a staged conversion."""
     both = in_tasks(spark.read.parquet(folder))
     fits = F.col(REASON_COLUMN) == ""
-    good = both.where(fits).select(*[F.col("row").getField(c).alias(c) for c in both.schema["row"].dataType.fieldNames()])
     source = both.schema["source"].dataType.fieldNames()
-    return good, both.where(~fits).select(*[F.col("source").getField(c).alias(c) for c in source], REASON_COLUMN)
+    return both.where(fits).select("row", PLACE), both.where(~fits).select(*[F.col("source").getField(c).alias(c) for c in source], REASON_COLUMN)
+
+
+def converted_sides(spark, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(rows converted to the target, rejected source rows + ``reject_reason``) of a staged conversion."""
+    rows, rejects = converted_rows(spark, folder)
+    return plain(rows), rejects
 
 
 def matched_columns(df: DataFrame, target: T.StructType, mapping: dict[str, str] | None = None,
@@ -243,63 +248,112 @@ def matched_columns(df: DataFrame, target: T.StructType, mapping: dict[str, str]
     return df
 
 
-def _orderable(name: str, data_type) -> list:
-    """Columns that order the values of ``name`` totally: -0.0 and 0.0 apart, maps by their JSON text."""
+def _orderable(value, data_type) -> list:
+    """Columns that order the values of a column totally: -0.0 and 0.0 apart, maps by their JSON text."""
     if _has_map(data_type):
-        return [F.to_json(F.struct(col(name).alias("v")))]
+        return [F.to_json(F.struct(value.alias("v")))]
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return [col(name), col(name).cast("string")]
-    return [col(name)]
+        return [value, value.cast("string")]
+    return [value]
 
 
-# Where a staged row lies: which file, which row of it.  No address is hot, whatever the rows hold.
-ADDRESS = ("file", "place")
+# Staged rows are (row, place): the columns, and a number of the row's own that is staged with it and rises row by row
+# in a file.  No place is hot, whatever the rows hold.
+PLACE = "place"
+# Sets of places are marks, (word, bits) with a bit for each of 64 places; a block is 512 words, 4 KB.
+WORD_BITS, BLOCK_BITS = 6, 15
+# Blocks up to which marks are broadcast (64 MB, half a billion rows); beyond, rows are shuffled to them.
+MOST_BLOCKS = 16384
 # Types whose least value a hash aggregate finds without sorting rows.
 _FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
-def _addresses() -> list:
-    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
+def _place():
+    return F.monotonically_increasing_id().alias(PLACE)
+
+
+def staged_rows(df: DataFrame, folder: str) -> DataFrame:
+    """Stage ``df`` as (row, place)."""
+    return in_tasks(stage(df.select(F.struct(*cols(df.columns)).alias("row"), _place()), folder))
+
+
+def plain(rows: DataFrame) -> DataFrame:
+    """The columns of staged rows."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in rows.schema["row"].dataType.fieldNames()])
+
+
+def marks_of(places: DataFrame) -> DataFrame:
+    """Marks of the places that come an odd number of times."""
+    bit = F.expr(f"shiftleft(1L, cast({PLACE} & 63 AS int))")
+    return places.groupBy(F.shiftright(PLACE, WORD_BITS).alias("word")).agg(F.bit_xor(bit).alias("bits")).where("bits <> 0")
+
+
+def _marked(rows: DataFrame, marks: DataFrame, marked: bool) -> DataFrame:
+    """Staged rows whose place the staged ``marks`` have, or have not."""
+    low = BLOCK_BITS - WORD_BITS
+    words = marks.select(F.shiftright("word", low).alias("block"), F.col("word").bitwiseAND((1 << low) - 1).alias("at"), "bits")
+    blocks = words.select("block").distinct()
+    # Every word of a block, so that one is found by its place in the array.
+    blank = blocks.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((1 << low) - 1).cast("long"))).alias("at"), F.lit(0).cast("long").alias("bits"))
+    full = words.unionByName(blank).groupBy("block", "at").agg(F.bit_or("bits").alias("bits")).groupBy("block").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "bits"))), lambda w: w["bits"]).alias("words"))
+    if blocks.count() <= MOST_BLOCKS:
+        full = F.broadcast(full)
+    met = rows.withColumn("block", F.shiftright(PLACE, BLOCK_BITS)).join(full, "block", "inner" if marked else "left")
+    word = F.get("words", F.shiftright(PLACE, WORD_BITS).bitwiseAND((1 << low) - 1).cast("int"))
+    hit = F.coalesce(F.call_function("shiftright", word, F.col(PLACE).bitwiseAND(63).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    return met.where(hit if marked else ~hit).select("row", PLACE)
 
 
 def _named_keys(rows: DataFrame, key: list[str]) -> list[str]:
-    """Names for the key columns that neither the rows nor an address have."""
-    return fresh([*rows.columns, *ADDRESS], *[f"k{i}" for i in range(len(key))])
+    """Names for the key columns that nothing else here has."""
+    return [f"k{i}" for i in range(len(key))]
+
+
+def _keyed(rows: DataFrame, key: list[str], *more) -> DataFrame:
+    return rows.select(*[F.col("row").getField(c).alias(n) for c, n in zip(key, _named_keys(rows, key))], PLACE, *more)
 
 
 def repeated_rows(rows: DataFrame, key: list[str], folder: str) -> DataFrame | None:
-    """Addresses of all rows of repeated keys but the least by the other columns, None if no key repeats.
+    """Marks of all rows of repeated keys but the least by the other columns, None if no key repeats.
     ``rows`` are staged.
 
     Keys are counted by a partial aggregate, whose shuffle carries keys and not rows; for a first other column
-    of fixed width it finds the least value too, so that only rows that share it are compared as a whole."""
+    of fixed width it finds the least value too.  A second shuffle finds the rows of repeated keys, by key, first
+    other column and place.  Only rows that share the least are compared as a whole."""
     k = _named_keys(rows, key)
-    order = [c for c in rows.columns if c not in key]
-    first = order[0] if order and isinstance(rows.schema[order[0]].dataType, _FIXED_WIDTH) else None
-    more = [F.min(col(first)).alias("lo"), F.bool_or(col(first).isNull()).alias("gap")] if first else []
-    counted = rows.groupBy(*[col(c).alias(n) for c, n in zip(key, k)]).agg(F.count(F.lit(1)).alias("n"), *more)
-    repeated = stage(counted.where("n > 1").drop("n"), f"{folder}/repeated")
+    schema = rows.schema["row"].dataType
+    order = [c for c in schema.fieldNames() if c not in key]
+    first = order[0] if order and isinstance(schema[order[0]].dataType, _FIXED_WIDTH) else None
+    own = [F.col("row").getField(first).alias("first")] if first else []
+    more = [F.min("first").alias("lo"), F.bool_or(F.col("first").isNull()).alias("gap")] if first else []
+    keyed = _keyed(rows, key, *own)
+    repeated = stage(keyed.groupBy(*k).agg(F.count(F.lit(1)).alias("n"), *more).where("n > 1").drop("n"), f"{folder}/repeated")
     if repeated.isEmpty():
         return None
     same = same_keys([F.col(n) for n in k], [F.col(f"r_{n}") for n in k])
     repeated = repeated.select(*[F.col(n).alias(f"r_{n}") for n in k], *[n for n in ("lo", "gap") if more])
-    if first:  # NULL is least, and equals no value
-        same_first = F.when(F.col("gap"), col(first).isNull()).otherwise(col(first) == F.col("lo"))
-    rank = [o for c in [*order, *key] for o in _orderable(c, rows.schema[c].dataType)]  # 0.0 and -0.0 are one key
-    keyed = rows.select(*[col(c).alias(n) for c, n in zip(key, k)], *_addresses(), *([col(first)] if first else []),
-                        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(rank)]).alias("rank"))
-    least = keyed.join(repeated, same & same_first if first else same).groupBy(*k).agg(F.min(F.struct("rank", *ADDRESS)).alias("least"))
-    chosen = stage(least.select("least.file", "least.place"), f"{folder}/chosen")
-    again = keyed.select(*k, *ADDRESS).join(repeated, same, "left_semi")
-    return again.select(*ADDRESS).join(chosen, list(ADDRESS), "left_anti")
+    # NULL is least, and equals no value
+    least = F.when(F.col("gap"), F.col("first").isNull()).otherwise(F.col("first") == F.col("lo")) if first else F.lit(True)
+    again = stage(keyed.join(repeated, same).select(*k, PLACE, least.alias("least")), f"{folder}/again")
+    low = again.where("least")
+    tied = stage(low.groupBy(*k).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*[F.col(n).alias(f"r_{n}") for n in k]), f"{folder}/tied")
+    out = again.where("NOT least").select(PLACE)
+    if not tied.isEmpty():
+        equal = low.join(tied, same, "left_semi").select(PLACE)
+        compared = _marked(rows, stage(marks_of(equal), f"{folder}/equal"), True)
+        rank = [o for c in [*order, *key] for o in _orderable(F.col("row").getField(c), schema[c].dataType)]  # 0.0 and -0.0 are one key
+        ranked = _keyed(compared, key, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(rank)]).alias("rank"))
+        stays = ranked.groupBy(*k).agg(F.min(F.struct("rank", PLACE)).alias("least")).select(f"least.{PLACE}")
+        out = out.unionByName(equal).unionByName(stays)  # one that is there twice is not marked
+    return marks_of(out)
 
 
 def held_rows(rows: DataFrame, key: list[str], held: DataFrame) -> DataFrame:
-    """Addresses of the rows whose key ``held`` has, under the same names.  NULL equals NULL.  ``rows`` are staged."""
+    """Marks of the rows whose key ``held`` has, under the same names.  NULL equals NULL.  ``rows`` are staged."""
     k = _named_keys(rows, key)
     theirs = held.select(*[col(c).alias(f"t_{n}") for c, n in zip(key, k)])
-    ours = rows.select(*[col(c).alias(n) for c, n in zip(key, k)], *_addresses())
-    return ours.join(theirs, same_keys([F.col(n) for n in k], [F.col(f"t_{n}") for n in k]), "left_semi").select(*ADDRESS)
+    return marks_of(_keyed(rows, key).join(theirs, same_keys([F.col(n) for n in k], [F.col(f"t_{n}") for n in k]), "left_semi").select(PLACE))
 
 
 def key_range(rows: DataFrame, column: str) -> tuple | None:
@@ -319,27 +373,27 @@ def in_range(held: DataFrame, column: str, bounds: tuple | None) -> DataFrame:
     return held.where(inside | col(column).isNull() if gap else inside)
 
 
-def stage_out(out: list[DataFrame], folder: str) -> None:
-    """Stage the addresses of the rows that go, each once."""
-    if out:
-        bad = out[0]
-        for more in out[1:]:
-            bad = bad.unionByName(more)
-        stage(bad.distinct() if len(out) > 1 else bad, folder)
+def stage_out(out: DataFrame | None, folder: str) -> None:
+    """Stage marks of rows that go, beside those staged before; no row is marked twice."""
+    if out is not None:
+        out.write.mode("append").parquet(folder)
 
 
-def without_rows(rows: DataFrame, bad: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(staged rows that stay, those at the staged addresses ``bad``).  Where these are none, or all, nothing is
-    joined."""
-    n = 0 if bad is None else bad.count()
+def split_rows(rows: DataFrame, out: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(staged rows that stay, those of the staged marks ``out``).  Where these are none, or all, nothing is
+    joined; else the marks are broadcast, so that rows stay where they are read."""
+    n = 0 if out is None else out.agg(F.sum(F.bit_count("bits"))).first()[0] or 0
     if n == 0:
         return rows, rows.limit(0)
     if n == rows.count():
         return rows.limit(0), rows
-    packed = rows.select(F.struct(*cols(rows.columns)).alias("row"), *_addresses())
-    own = [F.col("row").getField(c).alias(c) for c in rows.columns]
-    stays, goes = (packed.join(bad, list(ADDRESS), how).select(*own) for how in ("left_anti", "left_semi"))
-    return stays, goes
+    return _marked(rows, out, False), _marked(rows, out, True)
+
+
+def without_rows(rows: DataFrame, out: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The columns of ``split_rows``."""
+    stays, goes = split_rows(rows, out)
+    return plain(stays), plain(goes)
 
 
 def checked_key(df: DataFrame, key_columns) -> list[str]:
@@ -362,13 +416,12 @@ def duplicate_split(df: DataFrame, key_columns, *, folder: str | None = None) ->
     NULL: rows without a key value are duplicates of one another.  Rows come out
     as they went in, to the bit.
 
-    The rows are staged once in ``folder``, where each has an address (file, row
-    number).  The addresses of the rows that go are found by keys and staged, and
-    a join by address, which no key can make hot and which is left out where no
-    key repeats, parts the rows."""
+    The rows are staged once in ``folder``, each with a number of its own.  The
+    numbers of the rows that go are found by keys and staged as marks, 64 rows to a
+    word, by which the rows are parted without a shuffle."""
     key = checked_key(df, key_columns)
     folder = folder or new_run_dir(df.sparkSession, "duplicates")
-    rows = stage(df, f"{folder}/rows")
+    rows = staged_rows(df, f"{folder}/rows")
     again = repeated_rows(rows, key, folder)
     return without_rows(rows, None if again is None else stage(again, f"{folder}/out"))
 

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reconcile import Digest, Unreconciled, digest
-from ..operators.rejects import (checked_key, conversion_split, converted_sides, held_rows, matched_columns,
-                                 prepare_reject_tables, repeated_rows, stage_out, staged_conversion, with_addresses,
-                                 without_rows)
+from ..operators.rejects import (checked_key, conversion_split, converted_rows, converted_sides, held_rows, matched_columns,
+                                 plain, prepare_reject_tables, repeated_rows, split_rows, stage_out, staged_conversion,
+                                 staged_rows, with_addresses, without_rows)
 from ..sinks.files import extract_files
 from ..sinks.tables import load_table, replace_and_load
 from ..sources.files import ADDRESS_COLUMN, line_bases, read_avro_schema_file, read_files, spark_format
@@ -165,15 +165,15 @@ class _Load:
         proof = staged_conversion(rows, schema, limits, f"{run_dir}/converted", prove=spec.reconcile)
         state["proof"] = {n: [d.rows, *map(str, d.sums)] for n, d in proof.items()}
         if key:
-            good, _ = converted_sides(self.spark, f"{run_dir}/converted")
+            placed, _ = converted_rows(self.spark, f"{run_dir}/converted")
+            good = plain(placed)
             state["key"] = key = checked_key(good, key)
-            again = repeated_rows(good, key, run_dir)
-            out = [again] if again is not None else []
             if not spec.replace_target:  # rows whose key the target already holds would break it as well
                 held = wh.held_keys(self.target, key, good, splits=spec.writers, split_column=spec.split_column)
                 if held is not None:
-                    out.append(held_rows(good, key, held))
-            stage_out(out, f"{run_dir}/out")
+                    stage_out(held_rows(placed, key, held), f"{run_dir}/out")
+                    placed, _ = split_rows(placed, self.spark.read.parquet(f"{run_dir}/out"))
+            stage_out(repeated_rows(placed, key, run_dir), f"{run_dir}/out")
         return state
 
     def _sides(self, state: dict) -> tuple[DataFrame, DataFrame, DataFrame | None]:
@@ -181,11 +181,11 @@ class _Load:
         folder = f"{state['run_dir']}/converted"
         if not state["key"] and not exists(self.spark, folder):
             return *self.direct, None
-        good, rejects = converted_sides(self.spark, folder)
         if not state["key"]:
-            return good, rejects, None
+            return *converted_sides(self.spark, folder), None
+        placed, rejects = converted_rows(self.spark, folder)
         out = f"{state['run_dir']}/out"
-        stays, goes = without_rows(good, self.spark.read.parquet(out) if exists(self.spark, out) else None)
+        stays, goes = without_rows(placed, self.spark.read.parquet(out) if exists(self.spark, out) else None)
         return stays, rejects, goes
 
     def _write_rejects(self, state: dict, again: bool = False) -> None:
@@ -314,8 +314,8 @@ class _Load:
             raise RuntimeError(f"The append to {self.target.qualified()} was cut short, and without a key the rows that "
                                "arrived cannot be told: clear them by hand, and end the load in its journal.")
         folder = new_run_dir(self.spark, f"load-{state['run_dir'].rsplit('/', 1)[-1]}-rest")
-        rows = stage(self._sides(state)[0], f"{folder}/rows")
-        held = self.wh.held_keys(self.target, state["key"], rows, splits=self.spec.writers, split_column=self.spec.split_column)
+        rows = staged_rows(self._sides(state)[0], f"{folder}/rows")
+        held = self.wh.held_keys(self.target, state["key"], plain(rows), splits=self.spec.writers, split_column=self.spec.split_column)
         return without_rows(rows, stage(held_rows(rows, state["key"], held), f"{folder}/arrived"))[0]
 
     def _settle(self, entry: Entry) -> None:

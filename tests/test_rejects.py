@@ -317,3 +317,28 @@ def test_texts_beyond_an_integer_type_raise_nothing_inside(spark):
     assert sorted(r.k for r in good.where("k IS NOT NULL").collect()) == [-128, 1, 5, 7, 127]
     assert {r.k for r in bad.collect()} == {r.k for r in df.where("k IS NOT NULL AND try_cast(k AS tinyint) IS NULL").collect()}
     assert "as bigint" in good._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_rows_are_parted_without_a_shuffle(spark):
+    """Repeated keys: the rows that stay and those that go are told by marks and shuffled in neither frame."""
+    rows = [(k % 300, k % 7, f"v{k % 11}") for k in range(2000)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "k long, d long, s string").repartition(5)
+    kept, rejects = duplicate_split(df, ["k"])
+    for part in (kept, rejects):
+        assert "hashpartitioning(file" not in (plan := part._jdf.queryExecution().executedPlan().toString()) and "SortMergeJoin" not in plan
+        assert not [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "row#" in x]
+    assert multiset(kept.unionByName(rejects)) == sorted(repr(r) for r in rows)
+    least = {}
+    for r in rows:
+        rank = tuple((v is not None, v) for v in r[1:])
+        least[r[0]] = min(least.get(r[0], (rank, r)), (rank, r), key=lambda x: x[0])
+    assert multiset(kept) == sorted(repr(r) for _, r in least.values())
+
+
+def test_marks_beyond_the_broadcast_are_joined(spark, monkeypatch):
+    from tablemover.operators import rejects as R
+
+    df = spark.createDataFrame([(k // 2, k, "x") for k in range(500)], "k long, d long, s string").repartition(3)
+    want = [multiset(x) for x in duplicate_split(df, ["k"])]
+    monkeypatch.setattr(R, "MOST_BLOCKS", 0)
+    assert [multiset(x) for x in duplicate_split(df, ["k"])] == want and len(want[0]) == len(want[1]) == 250
