@@ -21,6 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..workspace import exists
 from .names import col
@@ -82,23 +83,26 @@ def _scan(rows: DataFrame) -> list[Column]:
 
 
 def index_of(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Index rows for the files of ``rows`` (a scan): only key hashes and first key columns are shuffled."""
+    """Index rows for the files of ``rows`` (a scan): only key hashes, first key columns and their file's number are
+    shuffled."""
     first = rows.schema[key[0]].dataType
+    files = rows.select(*_scan(rows)).distinct().withColumn("number", F.row_number().over(Window.orderBy(*FILE)))
     keys = rows.select(*_scan(rows), F.floor(F.col("_metadata.row_index") / BLOCK).alias("block"), col(key[0]).alias("first"),
-                       key_hash(rows.schema, key).alias("hash"))
+                       key_hash(rows.schema, key).alias("hash")).join(F.broadcast(files), FILE).select("number", "block", "first", "hash")
 
     def built(values, table):
         firsts = table.column("first")
         ends = pc.min_max(firsts)
         one = {"n": table.num_rows, "gap": firsts.null_count > 0, "lo": ends["min"].as_py(), "hi": ends["max"].as_py(),
                "bits": bloom(table.column("hash").to_numpy())}
-        cells = {n: pa.array([v.as_py()], v.type) for n, v in zip([*FILE, "block"], values)}
+        cells = {n: pa.array([v.as_py()], v.type) for n, v in zip(["number", "block"], values)}
         kinds = {"n": pa.int64(), "gap": pa.bool_(), "lo": firsts.type, "hi": firsts.type, "bits": pa.binary()}
         return pa.table(cells | {n: pa.array([one[n]], kinds[n]) for n in kinds})
 
     kind = first.simpleString()
-    return keys.groupBy(*FILE, "block").applyInArrow(
-        built, f"file string, size long, changed timestamp, block long, n long, gap boolean, lo {kind}, hi {kind}, bits binary")
+    built_rows = keys.groupBy("number", "block").applyInArrow(
+        built, f"number int, block long, n long, gap boolean, lo {kind}, hi {kind}, bits binary")
+    return built_rows.join(F.broadcast(files), "number").select(*FILE, "block", "n", "gap", "lo", "hi", "bits")
 
 
 def read_index(spark: SparkSession, location: str, schema: T.StructType, key: list[str]) -> DataFrame | None:
