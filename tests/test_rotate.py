@@ -84,3 +84,14 @@ def test_no_plaintext_at_rest(spark, sealed, tmp_path):
         for name in names:
             with open(os.path.join(folder, name), "rb") as f:
                 assert b"name 1" not in f.read()
+
+
+def test_a_batch_of_few_files_is_dealt_to_every_core(spark, sealed, monkeypatch):
+    """Opening and sealing run in as many tasks as the session is wide; the batch has its files' number again."""
+    path, work, rows = sealed
+    seen, real = [], rotate._resealed
+    monkeypatch.setattr(rotate, "_resealed", lambda r, *a: seen.append(r.rdd.getNumPartitions()) or real(r, *a))
+    files_before = len(spark.read.parquet(path).inputFiles())
+    rotate_columns(spark, path, ["a", "b"], "old", "new", work, files=2)
+    assert seen and min(seen) >= spark.sparkContext.defaultParallelism
+    assert len(spark.read.parquet(path).inputFiles()) == files_before and opened(spark, path, "new") == rows
