@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.names import col, cols
-from ..operators.spread import wide
+from ..operators.spread import parallelism
 from ..sinks.files import publish, recover
 from ..workspace import children, discard, exists, rename, stage, touch
 from .protect import VERSION_2_0, _parsed, decrypt_columns, encrypt_columns
@@ -87,7 +87,7 @@ def rotate_columns(spark: SparkSession, path: str, columns, old: str, new: str,
         own = [r.file for r in plan.where(F.col("batch") == k).collect()]
         out = f"{place}/batch-{k}"
         discard(spark, out)  # of a run that was cut short
-        rows, tasks = spark.read.parquet(*own), wide(spark)
+        rows, tasks = spark.read.parquet(*own), parallelism(spark)
         few = rows.rdd.getNumPartitions() < tasks
         # Two key derivations per value of 1.1 (about 1 ms): every core has a share of a batch of few files.
         done = _resealed(rows.repartition(tasks) if few else rows, columns, old, new, known)
