@@ -76,6 +76,30 @@ def ascii_lower(c: Column) -> Column:
     return F.when(ascii_only, F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+# Bits per id, bits of a bitmap (Spark's), and bitmaps at most of ``maybe_among``: 16 MB in all.
+BITS_PER_ID, BITMAP_BITS, MOST_BITMAPS = 32, 32768, 4096
+
+
+def maybe_among(rows: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
+    """The rows with a column ``maybe``, false where ``key`` is none of ``ids``, a staged table of one column of the
+    key's type.  The ids set bits in bitmaps, which are broadcast: 4 bytes an id, 16 MB at most.  One in 32 of the
+    other rows (more beyond 4 million ids) is true by chance, so an exact join must follow; but only the rows that
+    are true need be shuffled for it, not a whole table of texts."""
+    bitmaps = min(MOST_BITMAPS, ids.count() * BITS_PER_ID // BITMAP_BITS + 1)
+
+    def bit(c):
+        return F.pmod(F.xxhash64(c), F.lit(bitmaps * BITMAP_BITS))
+    places = ids.select(bit(F.col(ids.columns[0])).alias("bit")).distinct()
+    places = places.select(F.shiftright("bit", 15).alias("bitmap"), F.col("bit").bitwiseAND(BITMAP_BITS - 1).alias("place"))
+    # Ids travel, not a bitmap from every task.
+    maps = places.repartition("bitmap").groupBy("bitmap").agg(F.bitmap_construct_agg("place").alias("bits"))
+    asked = rows.withColumn("asked", bit(key))
+    place = F.col("asked").bitwiseAND(BITMAP_BITS - 1)
+    byte = F.conv(F.hex(F.substring("bits", (F.shiftright(place, 3) + 1).cast("int"), 1)), 16, 10).cast("int")
+    met = asked.join(F.broadcast(maps), F.shiftright("asked", 15) == F.col("bitmap"), "left")
+    return met.select(*rows.columns, F.coalesce(F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1, F.lit(False)).alias("maybe"))
+
+
 def integer_id(df: DataFrame, name: str) -> None:
     """Refuse an id column of another type than the integers."""
     if not isinstance(df.schema[name].dataType, T.IntegralType):

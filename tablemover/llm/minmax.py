@@ -6,7 +6,8 @@ similarity.  The values are banded (32 bands of 4): two sets of similarity 0.8 s
 10^8 pairs.
 
 1. Equal sets are one class, carried by its smallest id; only classes go on.
-2. Classes that share a band with another are candidates; their full sets are written once.
+2. Classes that share a band with another are candidates; their full sets are written once.  Texts of other rows
+   are not shuffled but for one in 32, nor are, at the end, the rows that stay.
 3. Star rounds: in every band group that still holds several components, all members are compared with one
    centre (later rounds: one of each of the two largest components), on full sets.  A group of n near copies
    costs n comparisons a round, not n * n.  Links are contracted to components after each round.  In large groups rounds go on while
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..workspace import new_run_dir, stage
-from .common import arrow_batches, field, integer_id, packed, ship_by_value, slices
+from .common import arrow_batches, field, integer_id, maybe_among, packed, ship_by_value, slices
 from .components import components
 
 PERMUTATIONS, ROWS = 64, 4
@@ -297,8 +298,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     member = carriers.select(F.explode("bands").alias("key"), "rep", "items")
     # Classes share a rep where rows repeat an id with different texts; the id then has several sets.
     groups = stage(_open(member.withColumn("root", F.col("rep")), f"{folder}/open"), f"{folder}/groups")
-    wanted = groups.select("rep").distinct()
-    texts = rows.join(wanted, F.col("id") == F.col("rep"), "left_semi")
+    wanted = stage(groups.select("rep").distinct(), f"{folder}/wanted")
+    texts = maybe_among(rows, F.col("id"), wanted).where("maybe").drop("maybe")
+    texts = texts.join(wanted, F.col("id") == F.col("rep"), "left_semi")
     keyed = texts.withColumnRenamed("id", "rep").mapInArrow(_sets(width), "rep long, members binary")
     sets = stage(keyed, f"{folder}/sets")
     roots = None
@@ -336,9 +338,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each component stays, that with the smallest id."""
     verdict = near_duplicates(docs, doc_id=doc_id, **options)
-    gone = verdict.where("id <> component_id").select(F.col("id").alias("gone_id"))
-    rows = packed(docs)
-    kept = rows.join(gone, field("row", doc_id).cast("long") == F.col("gone_id"), "left_anti")
+    gone = verdict.where("id <> component_id").select(F.col("id").alias("gone_id")).distinct()
+    gone = stage(gone, f"{new_run_dir(docs.sparkSession, 'minmax')}/gone")
+    own_id = field("row", doc_id).cast("long")
+    rows = maybe_among(packed(docs), own_id, gone)
+    # Rows that surely stay are not shuffled.
+    tested = rows.where("maybe").join(gone, own_id == F.col("gone_id"), "left_anti")
+    kept = rows.where("NOT maybe").unionByName(tested)
     return kept.select(*[field("row", c).alias(c) for c in docs.columns])
 
 

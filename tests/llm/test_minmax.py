@@ -4,8 +4,9 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tablemover.llm import minmax
+from tablemover.llm import common, minmax
 from tablemover.llm.components import components
 from tablemover.llm.minmax import drop_near_duplicates, near_duplicates, shingle_set, signature
 from tablemover.llm.queries import op5_minmax_dedup
@@ -130,3 +131,29 @@ def test_long_signatures_estimate_closely():
         j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         errors.append(minmax.estimates(minmax.long_signature(a), minmax.long_signature(b)[None])[0] - j)
     assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.025
+
+
+@pytest.mark.parametrize("bitmaps", [1, 4096])
+def test_rows_without_an_id_among_the_few_are_told_apart(spark, monkeypatch, bitmaps):
+    monkeypatch.setattr(common, "MOST_BITMAPS", bitmaps)
+    rows = spark.range(-20_000, 20_000).unionByName(spark.createDataFrame([(None,)], "id long"))
+    ids = spark.range(0, 20_000, 10).withColumnRenamed("id", "wanted")
+    got = {r.id: r.maybe for r in common.maybe_among(rows, F.col("id"), ids).collect()}
+    assert len(got) == 40_001 and all(got[i] for i in range(0, 20_000, 10))
+    assert sum(got.values()) < 2_000 + 40_000 / (20 if bitmaps > 1 else 10)
+    none = common.maybe_among(rows, F.col("id"), ids.where("wanted < 0"))
+    assert none.count() == 40_001 and none.where("maybe").isEmpty()
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """Only the rows that are likely to go meet the join that would shuffle whole texts."""
+    text = " ".join(f"w2x{j}" for j in range(30))
+    docs = spark.createDataFrame([(k, text.replace("w2x", f"w{k}x"), "s") for k in range(2, 400)]
+                                 + [(1000, text, "s"), (None, text, "s")], "doc_id long, text string, source string")
+    kept = drop_near_duplicates(docs)
+    assert {r.doc_id for r in kept.collect()} == {*range(2, 400), None}
+    node = kept._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Union":
+        assert node.nodeName() in ("Project", "Filter")  # no join over all rows
+        node = node.children().head()
+    assert sorted("LeftAnti" in node.children().apply(k).toString() for k in range(2)) == [False, True]
