@@ -20,7 +20,8 @@ LEAVES + MIDDLES + 1 restaurants are exchanged between sweeps.
    hot keys: their tokens stay dealt by block of documents, and only their counts (at most FREQUENT x LEAVES
    numbers) are brought together, on the driver.
 2. Blocks of documents are cut into postings per bucket of words (word, leaf, document number), exchanged,
-   and written once.  A posting takes about five bytes.  The leaf's highest bit marks training texts.
+   and written once.  Words and leaves travel as steps, and all columns compressed, as do the sums that come back;
+   a posting takes about four bytes.  The leaf's highest bit marks training texts.
 3. Each sweep is a pass over the buckets.  Draws depend on seed, bucket and sweep alone, so a sweep can be
    repeated from the totals before it, and nothing else has to be kept.
 4. The last pass scores every posting and adds up by document within its block.
@@ -78,6 +79,24 @@ def _values(column):
         yield from column.slice(at, 256).to_pylist()
 
 
+def _packed(x: np.ndarray, steps: bool = False, planes: bool = True) -> bytes:
+    """Numbers, or their steps, compressed; with ``planes`` all their first bytes come first, then all second ones.
+    In front are how many there are and the bytes of one."""
+    head = len(x).to_bytes(4, "little") + bytes([x.itemsize])
+    if steps:
+        x = np.diff(x, prepend=x.dtype.type(0))  # wraps around
+    data = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize)
+    return head + pa.compress((data.T if planes else data).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: str = "u", steps: bool = False, planes: bool = True) -> np.ndarray:
+    """Undo ``_packed`` for numbers of a kind (u: unsigned, f: floating)."""
+    n, size = int.from_bytes(data[:4], "little"), data[4]
+    raw = np.frombuffer(pa.decompress(memoryview(data)[5:], n * size, "zstd", asbytes=True), np.uint8)
+    x = (raw.reshape(size, n).T.ravel() if planes else raw).view(f"{kind}{size}")
+    return np.cumsum(x, dtype=x.dtype) if steps else x
+
+
 def _frequent_parts(batches):
     """Words with at least 1 / FREQUENT of a batch's tokens, with their counts, and the batch's tokens under a
     null word.  A word with that share overall has it in some batch."""
@@ -114,8 +133,8 @@ def _postings(buckets: int, frequent: np.ndarray):
             first = np.flatnonzero(np.append(True, w[a + 1:b] != w[a:b - 1]))
             runs = np.diff(np.append(first, b - a)).astype(np.uint32)
             is_hot = bucket[a] == buckets
-            yield (home if is_hot else int(bucket[a]), HOT if is_hot else COLD, block, w[a:b][first].tobytes(),
-                   runs.tobytes(), leaf[a:b].tobytes(), _small(doc[a:b]).tobytes())
+            yield (home if is_hot else int(bucket[a]), HOT if is_hot else COLD, block, _packed(w[a:b][first], steps=True),
+                   _packed(runs), _packed(leaf[a:b], steps=True), _packed(_small(doc[a:b])))
 
     def postings(batches):
         block = TaskContext.get().partitionId() << 24
@@ -255,10 +274,15 @@ class Words:
         return mean / max(1, n)
 
 
-def _buckets(batch):
-    """The rows of a batch one by one: a worker holds the postings of one bucket at a time."""
+def _buckets(batch, *kinds):
+    """The rows of a batch one by one, postings of ``kinds`` unpacked: a worker holds the postings of one bucket at a
+    time."""
     for row in range(batch.num_rows):
-        yield batch.column("bucket")[row].as_py(), batch.column("parts")[row].as_py()
+        parts = batch.column("parts")[row].as_py()
+        for p in parts:
+            if p["kind"] in kinds:
+                p |= {c: _unpacked(p[c], steps=c in ("words", "leaves")) for c in ("words", "runs", "leaves", "docs")}
+        yield batch.column("bucket")[row].as_py(), parts
         release()
 
 
@@ -266,18 +290,12 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint16 if not len(x) or x.max() < 65536 else np.uint32)
 
 
-def _wide(data: bytes, n: int) -> np.ndarray:
-    """Undo ``_small`` for n numbers."""
-    return np.frombuffer(data, np.uint16 if len(data) == 2 * n else np.uint32)
-
-
 def _read(parts, kind, sub=0, subs=1):
     """The postings of one kind in a bucket, of the words of one part: the seating of these words, the word and
     the entry of each posting, and the documents per block."""
     words, runs, leaf, docs = [], [], [], []
     for p in sorted((p for p in parts if p["kind"] == kind), key=lambda p: p["block"]):
-        w, r, x = (np.frombuffer(p[c], t) for c, t in (("words", np.uint64), ("runs", np.uint32), ("leaves", np.uint16)))
-        d = _wide(p["docs"], len(x))
+        w, r, x, d = (p[c] for c in ("words", "runs", "leaves", "docs"))
         if subs > 1:
             here = (w >> np.uint64(44)) % np.uint64(subs) == sub
             take = np.repeat(here, r)
@@ -299,7 +317,7 @@ def _totals(history, base):
     number of training words and tokens."""
     def totals(batches):
         for batch in batches:
-            for bucket, parts in _buckets(batch):
+            for bucket, parts in _buckets(batch, COLD):
                 out, words, tokens = np.zeros((2, 1 + MIDDLES + LEAVES)), 0, 0
                 for sub in range(SUBS):
                     got = _read(parts, COLD, sub, SUBS)
@@ -322,7 +340,7 @@ def _totals(history, base):
 def _hot_counts(batches):
     """(word, leaf, training count) of the frequent words' postings."""
     for batch in batches:
-        for _, parts in _buckets(batch):
+        for _, parts in _buckets(batch, HOT):
             got = _read(parts, HOT)
             if got is not None:
                 words, seating = got[:2]
@@ -345,13 +363,15 @@ def _scores(model):
 
     def pack(block, sums):
         here = np.flatnonzero(sums[0])
-        return block, COLD, _small(here).tobytes(), _small(sums[1, here].round()).tobytes(), sums[2, here].tobytes(), sums[3, here].tobytes()
+        # Base sums of few rare words repeat; the others differ in all but their highest bytes.
+        return (block, COLD, _packed(_small(here), steps=True), _packed(_small(sums[1, here].round())),
+                _packed(sums[2, here], planes=False), _packed(sums[3, here]))
 
     def scores(batches):
         history, base, vocabulary, tokens, hot_words, hot_log, hot_total = model.value
         floor = tokens + 0.1 * (vocabulary + 1)
         for batch in batches:
-            for bucket, parts in _buckets(batch):
+            for bucket, parts in _buckets(batch, COLD, HOT):
                 rows = [(p["block"], DOCS, p["words"], p["runs"], p["leaves"], p["docs"]) for p in parts if p["kind"] == DOCS]
                 sums: dict = {}
                 for kind, sub, subs in [(COLD, k, SUBS) for k in range(SUBS)] + [(HOT, 0, 1)]:
@@ -390,9 +410,8 @@ def _by_document(table: pa.Table) -> pa.Table:
     sums = np.zeros((3, len(ids)))
     for r in rows:
         if r["kind"] != DOCS:
-            base, log = (np.frombuffer(r[c], np.float64) for c in "cd")
-            at = _wide(r["a"], len(base))
-            for k, x in enumerate((_wide(r["b"], len(base)), base, log)):
+            at = _unpacked(r["a"], steps=True)
+            for k, x in enumerate((_unpacked(r["b"]), _unpacked(r["c"], "f", planes=False), _unpacked(r["d"], "f"))):
                 sums[k, at] += x
     return pa.table({"id": pa.array(ids, mask=np.frombuffer(docs["d"], np.uint8).astype(bool)),
                      "train": pa.array(np.frombuffer(docs["c"], np.uint8).astype(bool)),
