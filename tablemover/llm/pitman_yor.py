@@ -57,6 +57,8 @@ BUCKET_BYTES = 12_000_000
 # A bucket is worked off in so many parts by word, so that few numbers are in memory, while the sums that
 # leave it are still one per document.
 SUBS = 4
+# Partial sums of logarithms travel in steps of 6e-11.
+UNITS = float(1 << 34)
 BLOCK_TOKENS = 1_000_000
 END = b"\n"
 COLD, HOT, DOCS = 0, 1, 2
@@ -79,22 +81,37 @@ def _values(column):
         yield from column.slice(at, 256).to_pylist()
 
 
-def _packed(x: np.ndarray, steps: bool = False, planes: bool = True) -> bytes:
-    """Numbers, or their steps, compressed; with ``planes`` all their first bytes come first, then all second ones.
-    In front are how many there are and the bytes of one."""
-    head = len(x).to_bytes(4, "little") + bytes([x.itemsize])
+def _packed(x: np.ndarray, steps: bool = False) -> bytes:
+    """Numbers, or their steps, compressed: all their first bytes, then all second ones and so on, or number by
+    number where that is shorter, as with values that repeat.  In front are how many there are, the way, and the
+    type."""
+    head = len(x).to_bytes(4, "little")
     if steps:
         x = np.diff(x, prepend=x.dtype.type(0))  # wraps around
     data = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize)
-    return head + pa.compress((data.T if planes else data).tobytes(), "zstd", asbytes=True)
+    ways = [b"p" + x.dtype.str.encode() + pa.compress(data.T.tobytes(), "zstd", asbytes=True)]
+    if x.dtype == np.int64:
+        ways.append(b"n" + x.dtype.str.encode() + pa.compress(data.tobytes(), "zstd", asbytes=True))
+    return head + min(ways, key=len)
 
 
-def _unpacked(data: bytes, kind: str = "u", steps: bool = False, planes: bool = True) -> np.ndarray:
-    """Undo ``_packed`` for numbers of a kind (u: unsigned, f: floating)."""
-    n, size = int.from_bytes(data[:4], "little"), data[4]
-    raw = np.frombuffer(pa.decompress(memoryview(data)[5:], n * size, "zstd", asbytes=True), np.uint8)
-    x = (raw.reshape(size, n).T.ravel() if planes else raw).view(f"{kind}{size}")
-    return np.cumsum(x, dtype=x.dtype) if steps else x
+def _unpacked(data: bytes, steps: bool = False) -> np.ndarray:
+    """Undo ``_packed``."""
+    n, kind = int.from_bytes(data[:4], "little"), np.dtype(data[5:8].decode())
+    raw = np.frombuffer(pa.decompress(memoryview(data)[8:], n * kind.itemsize, "zstd", asbytes=True), np.uint8)
+    x = (raw.reshape(kind.itemsize, n).T.ravel() if data[4:5] == b"p" else raw).view(kind)
+    return np.cumsum(x, dtype=kind) if steps else x
+
+
+def _fixed(x: np.ndarray) -> np.ndarray:
+    """Sums in units of 1 / ``UNITS``, which drops bits far below the error of a sum of logarithms; as they are if
+    some are too large for that."""
+    return np.rint(x * UNITS).astype(np.int64) if not len(x) or np.abs(x).max() < 1 << 28 else x
+
+
+def _floating(x: np.ndarray) -> np.ndarray:
+    """Undo ``_fixed``."""
+    return x / UNITS if x.dtype == np.int64 else x
 
 
 def _frequent_parts(batches):
@@ -363,9 +380,8 @@ def _scores(model):
 
     def pack(block, sums):
         here = np.flatnonzero(sums[0])
-        # Base sums of few rare words repeat; the others differ in all but their highest bytes.
         return (block, COLD, _packed(_small(here), steps=True), _packed(_small(sums[1, here].round())),
-                _packed(sums[2, here], planes=False), _packed(sums[3, here]))
+                _packed(_fixed(sums[2, here])), _packed(_fixed(sums[3, here])))
 
     def scores(batches):
         history, base, vocabulary, tokens, hot_words, hot_log, hot_total = model.value
@@ -411,7 +427,7 @@ def _by_document(table: pa.Table) -> pa.Table:
     for r in rows:
         if r["kind"] != DOCS:
             at = _unpacked(r["a"], steps=True)
-            for k, x in enumerate((_unpacked(r["b"]), _unpacked(r["c"], "f", planes=False), _unpacked(r["d"], "f"))):
+            for k, x in enumerate((_unpacked(r["b"]), _floating(_unpacked(r["c"])), _floating(_unpacked(r["d"])))):
                 sums[k, at] += x
     return pa.table({"id": pa.array(ids, mask=np.frombuffer(docs["d"], np.uint8).astype(bool)),
                      "train": pa.array(np.frombuffer(docs["c"], np.uint8).astype(bool)),
